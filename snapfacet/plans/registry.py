@@ -125,3 +125,7 @@ def search_sort_asc_nulls(spark, sf_dir):
         tiebreak="o_orderkey",
     )
     return S.search(o, spec).page
+
+
+# The query families register themselves on import.
+from . import queries_columns, queries_filters, queries_history, queries_text  # noqa: E402,F401
