@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.common import col
+from ..session import ensure_parallelism
 
 K1 = 1.2
 B = 0.75
@@ -83,12 +84,18 @@ def english_stop_words() -> list[str]:
 
 
 @F.pandas_udf(T.StringType())
-def porter_stem(words: pd.Series) -> pd.Series:
+def _porter_stem(words: pd.Series) -> pd.Series:
     from ..functions.stemmer import stem
 
     return words.map(stem)
 
 
+# Marked nondeterministic on purpose: it keeps Catalyst from copying a filter on the stem
+# (e.g. the query terms) below the vocabulary into the token stream, which would run
+# Python once per token instead of once per distinct term.
+porter_stem = _porter_stem.asNondeterministic()
+
+
 def analyze_query(text: str, stop_words: Sequence[str] = (), stemmer: bool = False) -> list[str]:
     """The query side of X2-X4 (a short string, so done in Python): same rule as the index."""
     table = str.maketrans(ACCENTS_FROM, ACCENTS_TO)
@@ -152,12 +159,15 @@ def postings_frame(
     stemmer: bool = False,
 ) -> DataFrame:
     """(term, id, tf, dl) without corpus statistics (lazy)."""
+    df = ensure_parallelism(df.select(id_col, *columns))
     toks = token_array(columns)
     if stop_words:
         sw = list(stop_words)
         toks = F.filter(toks, lambda t: ~t.isin(sw))
+    # the length is taken before the explode, so exploded rows carry a number, not the array
     docs = df.select(F.col(id_col).alias(id_col), toks.alias("toks"))
-    docs = docs.select(id_col, F.size("toks").cast("long").alias("dl"), F.explode("toks").alias("term"))
+    docs = docs.select(id_col, F.size("toks").cast("long").alias("dl"), "toks")
+    docs = docs.select(id_col, "dl", F.explode("toks").alias("term"))
     post = docs.groupBy("term", id_col, "dl").agg(F.count(F.lit(1)).alias("tf"))
     if stemmer:
         vocab = post.select("term").distinct()
@@ -185,7 +195,7 @@ def build_text_index(
     toks = token_array(columns)
     if sw:
         toks = F.filter(toks, lambda t: ~t.isin(list(sw)))
-    stats = df.select(F.size(toks).alias("dl")).agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl")).first()
+    stats = ensure_parallelism(df.select(*columns)).select(F.size(toks).alias("dl")).agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl")).first()
     return TextIndex(post, terms, int(stats["n"]), float(stats["avgdl"] or 0.0), id_col, sw, stemmer)
 
 

@@ -9,7 +9,7 @@ from ..functions.identity import row_hash
 from ..functions.phrases import longest_first_pattern, split_known_phrases
 from ..functions.text_format import sql_structure_stages, structure_text
 from ..operators.export import visible_columns, with_defaults
-from ..session import table
+from ..session import ensure_parallelism, table
 from .registry import register
 
 # ---------------------------------------------------------------------------
@@ -340,7 +340,7 @@ def _sections_sql() -> str:
 
 @register("text_sections", _sections_sql())
 def text_sections(spark, sf_dir):
-    d = table(spark, sf_dir, "documents")
+    d = ensure_parallelism(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
     lang = F.col("lang")
     x = F.concat(
         F.lit("  Overview:  "),

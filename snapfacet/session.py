@@ -73,3 +73,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def ensure_parallelism(df: DataFrame, factor: int = 2) -> DataFrame:
+    """Spread rows over the task slots before CPU-heavy per-row work (tokenising, regex
+    chains) -- but only when the input has fewer partitions than slots, e.g. a table
+    stored as one small file. Large inputs already split into many scan tasks and are
+    returned unchanged, so no extra shuffle is added at scale."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots * factor)
+    return df
