@@ -17,12 +17,12 @@ DMY_FORMAT = "d-MMM-yyyy"
 
 def to_double(c: ColumnOrName, lenient: bool = False) -> Column:
     """Text -> double."""
-    return F.try_cast(col(c), "double") if lenient else col(c).cast("double")
+    return col(c).try_cast("double") if lenient else col(c).cast("double")
 
 
 def timestamp_text_to_date(c: ColumnOrName, lenient: bool = False) -> Column:
     """``2026-01-26T00:00:00.000`` -> date."""
-    return F.try_cast(col(c), "date") if lenient else col(c).cast("date")
+    return col(c).try_cast("date") if lenient else col(c).cast("date")
 
 
 def parse_dmy(c: ColumnOrName, lenient: bool = False) -> Column:
@@ -58,7 +58,7 @@ def text_to_iso_date(s: ColumnOrName) -> Column:
     """P14 text branch: a date or date-time text -> ``YYYY-MM-DD``; unparseable text is
     returned unchanged; null -> ``""``."""
     t = col(s)
-    parsed = F.coalesce(F.try_cast(t, "date"), F.to_date(F.try_to_timestamp(t)))
+    parsed = F.coalesce(t.try_cast("date"), F.to_date(F.try_to_timestamp(t)))
     return F.coalesce(parsed.cast("string"), t, F.lit(""))
 
 

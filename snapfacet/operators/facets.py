@@ -17,6 +17,14 @@ from ..functions.common import col
 from .predicates import SearchSpec, not_blank
 
 
+def _pair_of(facet: str, ok: Column | None = None):
+    """A one-argument lambda for ``F.transform`` (a lambda with a second parameter would
+    receive the element index there, silently)."""
+    if ok is None:
+        return lambda x: F.struct(F.lit(facet).alias("f"), x.alias("v"))
+    return lambda x: F.struct(F.lit(facet).alias("f"), x.alias("v"), ok.alias("ok"))
+
+
 def facet_values(df: DataFrame, column: str, alias: str | None = None, drop_empty: bool = True) -> DataFrame:
     """A2: distinct non-null (and by default non-empty) values, ordered."""
     name = alias or column
@@ -45,10 +53,7 @@ def facets(
     """Several facet lists in one scan: every row becomes (facet, value) pairs, the
     pairs are de-duplicated once. Result: ``facet, value`` ordered by both."""
     pairs = [F.array(F.struct(F.lit(c).alias("f"), F.col(c).cast("string").alias("v"))) for c in scalar]
-    pairs += [
-        F.transform(F.coalesce(F.col(c), F.array().cast("array<string>")), lambda x, c=c: F.struct(F.lit(c).alias("f"), x.alias("v")))
-        for c in arrays
-    ]
+    pairs += [F.transform(F.coalesce(F.col(c), F.array().cast("array<string>")), _pair_of(c)) for c in arrays]
     exploded = df.select(F.explode(F.concat(*pairs)).alias("p")).select(
         F.col("p.f").alias(facet_col), F.col("p.v").alias(value_col)
     )
@@ -98,10 +103,7 @@ def facet_counts(
     for c in arrays:
         ok = spec.predicate(skip=(c,))
         pieces.append(
-            F.transform(
-                F.coalesce(F.array_distinct(F.col(c)), F.array().cast("array<string>")),
-                lambda x, c=c, ok=ok: F.struct(F.lit(c).alias("f"), x.alias("v"), ok.alias("ok")),
-            )
+            F.transform(F.coalesce(F.array_distinct(F.col(c)), F.array().cast("array<string>")), _pair_of(c, ok))
         )
     pairs = df.select(F.explode(F.concat(*pieces)).alias("p")).where(F.col("p.ok") & not_blank(F.col("p.v")))
     return (

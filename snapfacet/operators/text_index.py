@@ -83,17 +83,23 @@ def english_stop_words() -> list[str]:
     return [w for w in StopWordsRemover.loadDefaultStopWords("english") if re.fullmatch("[a-z]+", w)]
 
 
-@F.pandas_udf(T.StringType())
-def _porter_stem(words: pd.Series) -> pd.Series:
+def _stem_batch(words: pd.Series) -> pd.Series:
     from ..functions.stemmer import stem
 
     return words.map(stem)
 
 
-# Marked nondeterministic on purpose: it keeps Catalyst from copying a filter on the stem
-# (e.g. the query terms) below the vocabulary into the token stream, which would run
-# Python once per token instead of once per distinct term.
-porter_stem = _porter_stem.asNondeterministic()
+_STEM_UDF = []
+
+
+def porter_stem(c: Column) -> Column:
+    """X4 as an Arrow-batched UDF. Marked nondeterministic on purpose: it keeps Catalyst
+    from copying a filter on the stem (e.g. the query terms) below the vocabulary into the
+    token stream, which would run Python once per token instead of once per distinct
+    term. Created on first use (a UDF needs a running session)."""
+    if not _STEM_UDF:
+        _STEM_UDF.append(F.pandas_udf(_stem_batch, T.StringType()).asNondeterministic())
+    return _STEM_UDF[0](c)
 
 
 def analyze_query(text: str, stop_words: Sequence[str] = (), stemmer: bool = False) -> list[str]:
