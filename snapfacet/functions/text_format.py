@@ -9,45 +9,59 @@ before a final line break).
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import ColumnOrName, col
 from .labels import escape_html
 
-# Whitespace as the browser's regex engine defines ``\s``.
+# Whitespace as the browser's regex engine defines ``\s``. Java's own ``\s`` is the ASCII part
+# of it ([ \t\n\x0B\f\r]); rows holding none of the other characters use the (much
+# faster) built-in class, the rest the full one -- same result either way.
 WS = r"[\t\n\x{0B}\f\r \x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]"
+WS_ASCII = r"\s"
+WS_OTHER = r"[\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]"
 BULLETS = "[·§•]"
 
-# (pattern, replacement with $n groups); each list is applied in order.
-HEADERS = [(WS + r"{2,}([A-Za-z ]{1,30}):" + WS + "{2,}", "</p><h4>$1</h4><p>")]
-HAS_NUMBERED = "^" + WS + r"*1\." + WS + "|" + WS + r"{2,}1\." + WS
-NUMBERED = [
-    ("^" + WS + r"*1\." + WS, "<ol><li>"),
-    (WS + r"{2,}1\." + WS, "</p><ol><li>"),
-    (";" + WS + "+or" + WS + r"+([0-9]+)\." + WS, "</li><li>"),
-    (WS + r"{2,}([0-9]+)\." + WS, "</li><li>"),
-    (r"<li>([^<]+)\z", "<li>$1</li></ol>"),
-    (r"<li>([^<]+)(</p>|<h4>)", "<li>$1</li></ol>$2"),
-]
-HAS_BULLETS = BULLETS
-BULLETED = [
-    (WS + "{2,}" + BULLETS + WS + "*", "</p><ul><li>"),
-    ("^" + BULLETS + WS + "*", "<ul><li>"),
-    (BULLETS + WS + "*", "</li><li>"),
-    (r"<li>([^<]+)\z", "<li>$1</li></ul>"),
-    (r"<li>([^<]+)(</p>|<h4>)", "<li>$1</li></ul>$2"),
-]
-PARAGRAPHS = [(WS + "{3,}", "</p><p>")]
-CLEANUP = [
-    ("<p>" + WS + "*</p>", ""),
-    ("</p>" + WS + "*</p>", "</p>"),
-    ("<p>" + WS + "*<p>", "<p>"),
-    ("<p>" + WS + "*<h4>", "<h4>"),
-    ("</h4>" + WS + "*</p>", "</h4>"),
-    ("<p>" + WS + "*<ol>", "<ol>"),
-    ("<p>" + WS + "*<ul>", "<ul>"),
-]
+
+def _steps(ws: str) -> dict:
+    """(pattern, replacement with $n groups) lists for a whitespace class; each list is
+    applied in order."""
+    return {
+        "headers": [(ws + r"{2,}([A-Za-z ]{1,30}):" + ws + "{2,}", "</p><h4>$1</h4><p>")],
+        "has_numbered": "^" + ws + r"*1\." + ws + "|" + ws + r"{2,}1\." + ws,
+        "numbered": [
+            ("^" + ws + r"*1\." + ws, "<ol><li>"),
+            (ws + r"{2,}1\." + ws, "</p><ol><li>"),
+            (";" + ws + "+or" + ws + r"+([0-9]+)\." + ws, "</li><li>"),
+            (ws + r"{2,}([0-9]+)\." + ws, "</li><li>"),
+            (r"<li>([^<]+)\z", "<li>$1</li></ol>"),
+            (r"<li>([^<]+)(</p>|<h4>)", "<li>$1</li></ol>$2"),
+        ],
+        "bulleted": [
+            (ws + "{2,}" + BULLETS + ws + "*", "</p><ul><li>"),
+            ("^" + BULLETS + ws + "*", "<ul><li>"),
+            (BULLETS + ws + "*", "</li><li>"),
+            (r"<li>([^<]+)\z", "<li>$1</li></ul>"),
+            (r"<li>([^<]+)(</p>|<h4>)", "<li>$1</li></ul>$2"),
+        ],
+        "paragraphs": [(ws + "{3,}", "</p><p>")],
+        "cleanup": [
+            ("<p>" + ws + "*</p>", ""),
+            ("</p>" + ws + "*</p>", "</p>"),
+            ("<p>" + ws + "*<p>", "<p>"),
+            # "<p> <h4>" -> "<h4>", "</h4> </p>" -> "</h4>", "<p> <ol>" -> "<ol>",
+            # "<p> <ul>" -> "<ul>": one pass, since none of these can create or hide a
+            # match of another (each removes whitespace and one tag next to a different tag)
+            ("<p>" + ws + "*(<h4>|<ol>|<ul>)|(</h4>)" + ws + "*</p>", "$1$2"),
+        ],
+    }
+
+
+FULL = _steps(WS)
+FAST = _steps(WS_ASCII)
+HEADERS, HAS_NUMBERED, NUMBERED = FULL["headers"], FULL["has_numbered"], FULL["numbered"]
+HAS_BULLETS, BULLETED, PARAGRAPHS, CLEANUP = BULLETS, FULL["bulleted"], FULL["paragraphs"], FULL["cleanup"]
 
 
 def _chain(c: Column, steps) -> Column:
@@ -56,15 +70,31 @@ def _chain(c: Column, steps) -> Column:
     return c
 
 
+def _structure(x: Column, st: dict) -> Column:
+    x = _chain(x, st["headers"])
+    x = F.when(x.rlike(st["has_numbered"]), _chain(x, st["numbered"])).otherwise(x)
+    x = F.when(x.rlike(BULLETS), _chain(x, st["bulleted"])).otherwise(x)
+    x = F.concat(F.lit("<p>"), _chain(x, st["paragraphs"]), F.lit("</p>"))
+    return _chain(x, st["cleanup"])
+
+
 def structure_text(c: ColumnOrName) -> Column:
-    """P18 (with P19 first): text -> HTML fragment."""
+    """P18 (with P19 first): text -> HTML fragment, as one Column expression (fine for a
+    page of rows; for whole tables use :func:`with_structured_text`)."""
     x = escape_html(col(c))
-    x = _chain(x, HEADERS)
-    x = F.when(x.rlike(HAS_NUMBERED), _chain(x, NUMBERED)).otherwise(x)
-    x = F.when(x.rlike(HAS_BULLETS), _chain(x, BULLETED)).otherwise(x)
-    x = _chain(x, PARAGRAPHS)
-    x = F.concat(F.lit("<p>"), x, F.lit("</p>"))
-    return _chain(x, CLEANUP)
+    return F.when(x.rlike(WS_OTHER), _structure(x, FULL)).otherwise(_structure(x, FAST))
+
+
+def with_structured_text(df: DataFrame, source: str, out: str) -> DataFrame:
+    """P18 over a frame. The escaped text and the "has non-ASCII whitespace" flag are
+    computed once per row in their own projection; each row then runs one chain of regex
+    passes (the fast ASCII one unless it holds other whitespace)."""
+    keep = [c for c in df.columns if c != out]
+    esc = df.select(*keep, escape_html(F.col(source)).alias("__x"))
+    esc = esc.select(*keep, "__x", F.col("__x").rlike(WS_OTHER).alias("__u"))
+    x = F.col("__x")
+    html = F.when(F.col("__u"), _structure(x, FULL)).otherwise(_structure(x, FAST))
+    return esc.select(*keep, html.alias(out))
 
 
 def sql_structure_stages(x: str = "x") -> list[str]:

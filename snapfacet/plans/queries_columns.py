@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import casts, labels
 from ..functions.identity import row_hash
 from ..functions.phrases import longest_first_pattern, split_known_phrases
-from ..functions.text_format import sql_structure_stages, structure_text
+from ..functions.text_format import sql_structure_stages, with_structured_text
 from ..operators.export import visible_columns, with_defaults
 from ..session import ensure_parallelism, table
 from .registry import register
@@ -348,8 +348,8 @@ def text_sections(spark, sf_dir):
         F.when(lang.isin("en", "fr"), F.lit("  1. first item; or 2. second item  3. third item")).otherwise(F.lit("")),
         F.when(lang.isin("de", "fr"), F.lit("  Details:  · one & two · three <b>")).otherwise(F.lit("")),
     )
-    h = structure_text(x)
-    return d.select("doc_id", h.alias("html")).select("doc_id", "html", F.length("html").alias("html_len"))
+    staged = with_structured_text(d.select("doc_id", x.alias("x")), "x", "html")
+    return staged.select("doc_id", "html", F.length("html").alias("html_len"))
 
 
 # ---------------------------------------------------------------------------

@@ -114,8 +114,8 @@ def _oracle_sql() -> str:
 
 
 def _raw_frame(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").alias("o")
-    c = table(spark, sf_dir, "customer").alias("c")
+    o = table(spark, sf_dir, "orders", spread=True).alias("o")
+    c = table(spark, sf_dir, "customer", spread=True).alias("c")
     j = o.join(c, F.col("o.o_custkey") == F.col("c.c_custkey"))
     cats = F.array(*[F.lit(x) for x in JOB_CATEGORIES])
     levels = F.array(*[F.lit(x) for x in CAREER_LEVELS])

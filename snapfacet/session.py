@@ -71,8 +71,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool | None = None) -> DataFrame:
+    """A driver table. With ``spread`` (for CPU-heavy per-row work; default from
+    ``SNAPFACET_SPREAD``) an input stored as fewer partitions than task slots is spread
+    first (see ``ensure_parallelism``); inputs that already split into many scan tasks are
+    returned as they are. Light queries (filters, top-k, counts) do better without it."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if spread if spread is not None else os.environ.get("SNAPFACET_SPREAD", "0") == "1":
+        df = ensure_parallelism(df)
+    return df
 
 
 def ensure_parallelism(df: DataFrame, factor: int = 2) -> DataFrame:
