@@ -60,9 +60,39 @@ _DOUBLE_COLS = ("salary_range_from", "salary_range_to")
 _DATE_COLS = ("posted_date", "posted_until_date", "posting_updated_date", "processed_date")
 
 
-def _oracle_sql() -> str:
+_BODY = [
+    "job_id", "agency", "posting_type", "number_of_positions", "business_title", "civil_service_title",
+    "title_classification", "title_code_no", "level", "job_category", "career_level", "salary_range_from",
+    "salary_range_to", "full_time_part_time_indicator", "salary_frequency", "work_location",
+    "division_work_unit", "job_description", "minimum_qual_requirements", "residency_requirement",
+    "posted_date", "posted_until_date", "posting_updated_date", "processed_date", "requires_exam",
+    "is_full_time", "job_categories",
+]
+
+
+def _text_sql(c: str) -> str:
+    if c == "job_categories":
+        return f"array_to_string({c}, chr({ord(ITEM_SEP)}))"
+    if c in _DOUBLE_COLS + _DATE_COLS + ("requires_exam", "is_full_time"):
+        return f"CAST({c} AS VARCHAR)"
+    return c
+
+
+ID_SQL = (
+    f"md5(concat_ws(chr({ord(FIELD_SEP)}), "
+    + ", ".join(f"coalesce({_text_sql(c)}, chr({ord(NULL_TOKEN)}))" for c in _BODY)
+    + "))"
+)
+
+
+def postings_cte_sql() -> str:
+    """``WITH raw AS (...), typed AS (...), added AS (...), postings AS (...)``: the oracle
+    side of the transform; ``postings`` holds the 28 processed columns."""
     pat = longest_first_pattern(JOB_CATEGORIES).replace("'", "''")
-    typed = f"""
+    return (
+        "WITH "
+        + _RAW_SQL
+        + f""",
     typed AS (
       SELECT job_id, agency, posting_type, number_of_positions, business_title, civil_service_title,
              title_classification, title_code_no, level, job_category, career_level,
@@ -80,35 +110,19 @@ def _oracle_sql() -> str:
              full_time_part_time_indicator = 'F' AS is_full_time,
              list_filter(list_transform(string_split(regexp_replace(job_category, '{pat}', '|\\1', 'g'), '|'),
                                         lambda x: trim(x)), lambda x: length(x) > 0) AS job_categories
-      FROM typed)
+      FROM typed),
+    postings AS (SELECT {ID_SQL} AS id, * FROM added)
     """
-    body = [
-        "job_id", "agency", "posting_type", "number_of_positions", "business_title", "civil_service_title",
-        "title_classification", "title_code_no", "level", "job_category", "career_level", "salary_range_from",
-        "salary_range_to", "full_time_part_time_indicator", "salary_frequency", "work_location",
-        "division_work_unit", "job_description", "minimum_qual_requirements", "residency_requirement",
-        "posted_date", "posted_until_date", "posting_updated_date", "processed_date", "requires_exam",
-        "is_full_time", "job_categories",
-    ]
-
-    def text(c: str) -> str:
-        if c == "job_categories":
-            return f"array_to_string({c}, chr({ord(ITEM_SEP)}))"
-        if c in ("job_id", "agency") or c not in _DOUBLE_COLS + _DATE_COLS + ("requires_exam", "is_full_time"):
-            return c
-        return f"CAST({c} AS VARCHAR)"
+    )
 
-    parts = ", ".join(f"coalesce({text(c)}, chr({ord(NULL_TOKEN)}))" for c in body)
+
+def _oracle_sql() -> str:
     return (
-        "WITH "
-        + _RAW_SQL
-        + ","
-        + typed
-        + f"""
-    SELECT md5(concat_ws(chr({ord(FIELD_SEP)}), {parts})) AS id,
-           job_id, salary_range_from, salary_range_to, posted_date, posted_until_date, processed_date,
+        postings_cte_sql()
+        + """
+    SELECT id, job_id, salary_range_from, salary_range_to, posted_date, posted_until_date, processed_date,
            requires_exam, is_full_time, array_to_string(job_categories, '|') AS categories, len(job_categories) AS n_categories
-    FROM added
+    FROM postings
     """
     )
 
@@ -153,9 +167,14 @@ def _raw_frame(spark, sf_dir):
     return j.select(*[cols[f].alias(f) for f in RAW_FIELDS])
 
 
+def postings_frame(spark, sf_dir):
+    """Processed postings built from the driver tables (the transform's output)."""
+    return transform_postings(_raw_frame(spark, sf_dir))
+
+
 @register("transform_snapshot", _oracle_sql())
 def transform_snapshot(spark, sf_dir):
-    out = transform_postings(_raw_frame(spark, sf_dir))
+    out = postings_frame(spark, sf_dir)
     return out.select(
         "id",
         "job_id",
