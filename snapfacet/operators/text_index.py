@@ -157,6 +157,21 @@ class TextIndex:
         )
 
 
+def _tokens_and_length(columns: Sequence[str], stop_words: Sequence[str]) -> tuple[Column, Column]:
+    """(array of tokens, document length). Splitting at runs of non-letters leaves empty
+    strings only at the two ends, so without stop words the length is plain arithmetic and
+    the empties are dropped after the explode -- all codegen, no lambda. Stop words need an
+    array filter (a lambda) so the length counts only the kept tokens."""
+    arr = F.split(normalized_text(columns), TOKEN_SPLIT)
+    if stop_words:
+        sw = list(stop_words)
+        kept = F.filter(arr, lambda t: (t != F.lit("")) & ~t.isin(sw))
+        return kept, F.size(kept).cast("long")
+    n = F.size(arr)
+    empties = F.when(arr[0] == F.lit(""), 1).otherwise(0) + F.when((n > 1) & (F.element_at(arr, -1) == F.lit("")), 1).otherwise(0)
+    return arr, (n - empties).cast("long")
+
+
 def postings_frame(
     df: DataFrame,
     id_col: str,
@@ -166,14 +181,10 @@ def postings_frame(
 ) -> DataFrame:
     """(term, id, tf, dl) without corpus statistics (lazy)."""
     df = ensure_parallelism(df.select(id_col, *columns))
-    toks = token_array(columns)
-    if stop_words:
-        sw = list(stop_words)
-        toks = F.filter(toks, lambda t: ~t.isin(sw))
+    toks, length = _tokens_and_length(columns, stop_words)
     # the length is taken before the explode, so exploded rows carry a number, not the array
-    docs = df.select(F.col(id_col).alias(id_col), toks.alias("toks"))
-    docs = docs.select(id_col, F.size("toks").cast("long").alias("dl"), "toks")
-    docs = docs.select(id_col, "dl", F.explode("toks").alias("term"))
+    docs = df.select(F.col(id_col).alias(id_col), toks.alias("toks"), length.alias("dl"))
+    docs = docs.select(id_col, "dl", F.explode("toks").alias("term")).where(F.col("term") != F.lit(""))
     post = docs.groupBy("term", id_col, "dl").agg(F.count(F.lit(1)).alias("tf"))
     if stemmer:
         vocab = post.select("term").distinct()
@@ -194,14 +205,17 @@ def build_text_index(
     stemmer: bool = False,
 ) -> TextIndex:
     """Build the index. ``stop_words=None`` -> none; pass ``english_stop_words()``
-    for the reference's setting. Corpus statistics are two aggregates (one row each)."""
+    for the reference's setting. Corpus statistics are one aggregate (one row)."""
     sw = tuple(stop_words or ())
     post = postings_frame(df, id_col, columns, sw, stemmer)
     terms = post.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    toks = token_array(columns)
-    if sw:
-        toks = F.filter(toks, lambda t: ~t.isin(list(sw)))
-    stats = ensure_parallelism(df.select(*columns)).select(F.size(toks).alias("dl")).agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl")).first()
+    _, length = _tokens_and_length(columns, sw)
+    stats = (
+        ensure_parallelism(df.select(*columns))
+        .select(length.alias("dl"))
+        .agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl"))
+        .first()
+    )
     return TextIndex(post, terms, int(stats["n"]), float(stats["avgdl"] or 0.0), id_col, sw, stemmer)
 
 

@@ -37,7 +37,32 @@ def _processed_keys(spark: SparkSession, root: str) -> DataFrame:
         return spark.createDataFrame([], f"{SRC.RAW_KEY} date")
 
 
-def _finish(spark, root, new_rows: DataFrame, full_history: bool, fetched_at=None) -> RunResult:
+def index_path(root: str, day) -> str:
+    return f"{root}/index/{SRC.PROCESSED_KEY}={day.isoformat()}"
+
+
+def build_snapshot_index(spark: SparkSession, root: str, day, stemmer: bool = True, stop_words: bool = True):
+    """The full-text index of one processed snapshot, built in the pipeline (the
+    reference builds it in the browser on every page load) and stored next to the data."""
+    from ..operators import text_index as X
+    from ..schema import INDEX_COLUMNS
+
+    rows = SRC.read_processed(spark, root).where(F.col(SRC.PROCESSED_KEY) == F.lit(day))
+    sw = X.english_stop_words() if stop_words else None
+    return X.build_text_index(rows, "id", INDEX_COLUMNS, sw, stemmer).save(index_path(root, day))
+
+
+def load_latest_index(spark: SparkSession, root: str):
+    """The stored index of the snapshot the state points to."""
+    from ..operators.text_index import TextIndex
+
+    st = SRC.read_state(spark, root).first()
+    if st is None or st["source_updated_at"] is None:
+        raise ValueError("state has no source_updated_at: nothing processed yet")
+    return TextIndex.load(spark, index_path(root, st["source_updated_at"].date()))
+
+
+def _finish(spark, root, new_rows: DataFrame, full_history: bool, fetched_at=None, build_index: bool = False) -> RunResult:
     SRC.write_processed(new_rows, root)
     # Counts per written snapshot: the keys are partition folders, the count reads only
     # Parquet footers. One row per snapshot comes back to the driver.
@@ -51,6 +76,8 @@ def _finish(spark, root, new_rows: DataFrame, full_history: bool, fetched_at=Non
     SRC.write_history(history_columns(hist_src), root, full=full_history)
     newest = max((r[SRC.PROCESSED_KEY] for r in counts), default=None)
     newest_count = next((r["n"] for r in counts if r[SRC.PROCESSED_KEY] == newest), None)
+    if build_index and newest is not None:
+        build_snapshot_index(spark, root, newest)
     now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     if newest is not None:
         SRC.write_state(
@@ -64,7 +91,7 @@ def _finish(spark, root, new_rows: DataFrame, full_history: bool, fetched_at=Non
     return RunResult("OK", sorted(r[SRC.PROCESSED_KEY] for r in counts), int(sum(r["n"] for r in counts)))
 
 
-def run_latest(spark: SparkSession, root: str, lenient: bool = False) -> RunResult:
+def run_latest(spark: SparkSession, root: str, lenient: bool = False, build_index: bool = False) -> RunResult:
     """Process every landed raw snapshot that has no processed partition yet.
 
     The gate tests the *processed* keys (not the raw ones), so a snapshot whose processing
@@ -74,15 +101,16 @@ def run_latest(spark: SparkSession, root: str, lenient: bool = False) -> RunResu
     if not new_keys.take(1):
         return RunResult("No new data", [], 0)
     todo = raw.join(new_keys, on=SRC.RAW_KEY, how="left_semi").drop(SRC.RAW_KEY)
-    return _finish(spark, root, transform_postings(todo, lenient=lenient), full_history=False)
+    return _finish(spark, root, transform_postings(todo, lenient=lenient), full_history=False, build_index=build_index)
 
 
-def reprocess_all(spark: SparkSession, root: str, lenient: bool = False) -> RunResult:
+def reprocess_all(spark: SparkSession, root: str, lenient: bool = False, build_index: bool = False) -> RunResult:
     """Every raw snapshot again, history rebuilt, state from the newest."""
     raw = _raw(spark, root)
     if not raw.take(1):
         return RunResult("No raw files to process", [], 0)
-    res = _finish(spark, root, transform_postings(raw.drop(SRC.RAW_KEY) if SRC.RAW_KEY in raw.columns else raw, lenient=lenient), full_history=True)
+    rows = transform_postings(raw.drop(SRC.RAW_KEY) if SRC.RAW_KEY in raw.columns else raw, lenient=lenient)
+    res = _finish(spark, root, rows, full_history=True, build_index=build_index)
     res.message = f"Reprocessed {len(res.snapshots)} snapshots"
     return res
 

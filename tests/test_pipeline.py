@@ -59,6 +59,18 @@ def test_reprocess_all(spark, workdir):
     assert SRC.read_state(spark, workdir).first()["record_count"] == 3
 
 
+def test_pipeline_builds_index_of_latest(spark, workdir):
+    from snapfacet.operators import predicates as P
+    from snapfacet.operators import search as S
+
+    land_snapshot(workdir, "2026-01-26", snap("2026-01-26", 2) + [raw_posting(job_id="9", business_title="Senior Plumber")])
+    pipeline.run_latest(spark, workdir, build_index=True)
+    idx = pipeline.load_latest_index(spark, workdir)
+    jobs = SRC.load_latest(spark, workdir)
+    rows, total = S.search(jobs, P.SearchSpec.postings(search="plumbers", use_index=True), index=idx).collect()
+    assert total == 1 and rows[0]["job_id"] == "9"
+
+
 def test_empty_state_and_load_error(spark, workdir):
     st = SRC.read_state(spark, workdir).first()
     assert st["source_updated_at"] is None and st["record_count"] is None
