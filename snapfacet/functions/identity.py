@@ -62,6 +62,8 @@ def lookup_one(df: DataFrame, id_col: str, value) -> DataFrame:
 
 def lookup_many(df: DataFrame, id_col: str, keys: DataFrame, key_col: str | None = None) -> DataFrame:
     """F13 batch form: rows whose id is in a frame of keys (left semi join; the planner
-    broadcasts the keys when their measured size allows, else sort-merges)."""
-    k = keys.select(F.col(key_col or id_col).alias(id_col))
+    broadcasts the keys when their measured size allows, else sort-merges). The keys are
+    de-duplicated first -- a partial aggregate inside every task -- so a key repeated in a
+    third of the key rows reaches the join as one row per task, not as one huge group."""
+    k = keys.select(F.col(key_col or id_col).alias(id_col)).distinct()
     return df.join(k, on=id_col, how="left_semi")

@@ -16,5 +16,11 @@ def number_rows(df: DataFrame, order: list[Column], name: str = "position", star
     """Sort by ``order`` and add a 1-based (by default) position column."""
     ordered = df.orderBy(*order)
     schema = T.StructType(ordered.schema.fields + [T.StructField(name, T.LongType(), False)])
-    rdd = ordered.rdd.zipWithIndex().map(lambda p: tuple(p[0]) + (p[1] + start,))
+    try:
+        rdd = ordered.rdd.zipWithIndex().map(lambda p: tuple(p[0]) + (p[1] + start,))
+    except Exception:  # noqa: BLE001 - no RDD access (Spark Connect): window fallback
+        from pyspark.sql import Window
+        from pyspark.sql import functions as F
+
+        return df.withColumn(name, F.row_number().over(Window.orderBy(*order)) + (start - 1)).orderBy(name)
     return ordered.sparkSession.createDataFrame(rdd, schema)

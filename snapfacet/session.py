@@ -87,7 +87,11 @@ def ensure_parallelism(df: DataFrame, factor: int = 2) -> DataFrame:
     chains) -- but only when the input has fewer partitions than slots, e.g. a table
     stored as one small file. Large inputs already split into many scan tasks and are
     returned unchanged, so no extra shuffle is added at scale."""
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
+    try:
+        slots = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()  # plans the scan, runs nothing
+    except Exception:  # noqa: BLE001 - no RDD access (e.g. Spark Connect): leave as is
+        return df
+    if parts < slots:
         return df.repartition(slots * factor)
     return df
