@@ -54,7 +54,9 @@ def facets(
     pairs are de-duplicated once. Result: ``facet, value`` ordered by both."""
     pairs = [F.array(F.struct(F.lit(c).alias("f"), F.col(c).cast("string").alias("v"))) for c in scalar]
     pairs += [F.transform(F.coalesce(F.col(c), F.array().cast("array<string>")), _pair_of(c)) for c in arrays]
-    exploded = df.select(F.explode(F.concat(*pairs)).alias("p")).select(
+    # explode_outer: a plain explode would make Spark infer a size(...) > 0 filter that
+    # evaluates the pair arrays a second time; null pairs are dropped by the filter below
+    exploded = df.select(F.explode_outer(F.concat(*pairs)).alias("p")).select(
         F.col("p.f").alias(facet_col), F.col("p.v").alias(value_col)
     )
     return (
@@ -105,7 +107,9 @@ def facet_counts(
         pieces.append(
             F.transform(F.coalesce(F.array_distinct(F.col(c)), F.array().cast("array<string>")), _pair_of(c, ok))
         )
-    pairs = df.select(F.explode(F.concat(*pieces)).alias("p")).where(F.col("p.ok") & not_blank(F.col("p.v")))
+    pairs = df.select(F.explode_outer(F.concat(*pieces)).alias("p")).where(
+        F.col("p").isNotNull() & F.col("p.ok") & not_blank(F.col("p.v"))
+    )
     return (
         pairs.groupBy(F.col("p.f").alias(facet_col), F.col("p.v").alias(value_col))
         .agg(F.count(F.lit(1)).alias(count_col))

@@ -14,10 +14,11 @@ Stored layout (Parquet, one folder per table):
 * ``terms(term, df)``: document frequency per term.
 * ``corpus(n_docs, avgdl)``: one row.
 
-The token stream is never shuffled: ``groupBy(id, term)`` aggregates inside each task first
-(all tokens of one row live in one task), so only distinct (document, term) pairs move.
-Document frequency per term is again a partial aggregate, so a term present in a third of
-all documents costs one partial row per task.
+The token stream is never shuffled: a document is one row, so its term frequencies are
+counted inside the row (sorted token array, lengths of runs of equal tokens) and the
+(term, tf) pairs are exploded -- building postings needs no exchange at all. Document
+frequency per term is a partial aggregate, so a term present in a third of all documents
+costs one partial row per task.
 
 Score (X5): ``sum over query terms of idf * tf*(k1+1) / (tf + k1*(1-b+b*dl/avgdl))`` with
 ``idf = ln(1 + (N-df+0.5)/(df+0.5))``; rows without any query term get no score (F15).
@@ -172,6 +173,32 @@ def _tokens_and_length(columns: Sequence[str], stop_words: Sequence[str]) -> tup
     return arr, (n - empties).cast("long")
 
 
+def with_term_counts(df: DataFrame, tokens: Column, out: str = "counts", length: str = "dl") -> DataFrame:
+    """Per-row term frequencies without a shuffle: sort the row's tokens, find where each
+    run of equal tokens ends, and pair every distinct term with its run length. Adds
+    ``out`` (array<struct<term, tf>>) and ``length`` (number of tokens).
+
+    The sorted array and the run ends are their own columns (separate projections): the
+    lambdas below read them by position, and an inlined ``array_sort`` would be re-run for
+    every element."""
+    keep = [c for c in df.columns if c not in (out, length)]
+    a, e = F.col("__sorted"), F.col("__ends")
+    staged = df.select(*keep, F.array_sort(tokens).alias("__sorted"))
+    staged = staged.select(*keep, "__sorted", F.size(a).alias("__n"))
+    n = F.col("__n")
+    ends = F.when(
+        n > 0,
+        F.filter(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: (i == n) | (F.element_at(a, i) != F.element_at(a, i + 1))),
+    ).otherwise(F.array().cast("array<int>"))
+    staged = staged.select(*keep, "__sorted", "__n", ends.alias("__ends"))
+
+    def pair(end, k):  # k: 0-based position in ``__ends``; the previous run ended at ends[k]
+        start = F.when(k == 0, F.lit(0)).otherwise(F.element_at(e, k))
+        return F.struct(F.element_at(a, end).alias("term"), (end - start).cast("long").alias("tf"))
+
+    return staged.select(*keep, F.transform(e, pair).alias(out), n.cast("long").alias(length))
+
+
 def postings_frame(
     df: DataFrame,
     id_col: str,
@@ -179,13 +206,24 @@ def postings_frame(
     stop_words: Sequence[str] = (),
     stemmer: bool = False,
 ) -> DataFrame:
-    """(term, id, tf, dl) without corpus statistics (lazy)."""
+    """(term, id, tf, dl) without corpus statistics (lazy).
+
+    Every document is one row, so its term counts are computed inside the row
+    (``term_counts``) and exploded: building postings moves no data between tasks. Only the
+    optional stemming re-aggregates (stems of different words of one document merge)."""
     df = ensure_parallelism(df.select(id_col, *columns))
-    toks, length = _tokens_and_length(columns, stop_words)
-    # the length is taken before the explode, so exploded rows carry a number, not the array
-    docs = df.select(F.col(id_col).alias(id_col), toks.alias("toks"), length.alias("dl"))
-    docs = docs.select(id_col, "dl", F.explode("toks").alias("term")).where(F.col("term") != F.lit(""))
-    post = docs.groupBy("term", id_col, "dl").agg(F.count(F.lit(1)).alias("tf"))
+    sw = list(stop_words or ())
+    words = F.split(normalized_text(columns), TOKEN_SPLIT)
+    keep = (lambda t: (t != F.lit("")) & ~t.isin(sw)) if sw else (lambda t: t != F.lit(""))
+    docs = with_term_counts(df.select(id_col, F.filter(words, keep).alias("toks")), F.col("toks"), "c", "dl")
+    # explode_outer + an explicit null filter: for a plain explode Spark infers a
+    # ``size(c) > 0`` filter and pushes it below the projections, re-evaluating the whole
+    # counting expression (sort included) inside it.
+    post = (
+        docs.select(id_col, "dl", F.explode_outer("c").alias("p"))
+        .where(F.col("p").isNotNull())
+        .select(F.col("p.term").alias("term"), id_col, F.col("p.tf").alias("tf"), "dl")
+    )
     if stemmer:
         vocab = post.select("term").distinct()
         stems = vocab.select("term", porter_stem(F.col("term")).alias("stem"))
