@@ -54,8 +54,8 @@ def rekey_plan(files: DataFrame, file_col: str = "file", target_col: str = "targ
     task), joined back on the target.
     """
     f, t = F.col(file_col), F.col(target_col)
-    dated = files.where(t.isNotNull())
-    keepers = dated.groupBy(target_col).agg(
+    # (the null-target group gets a keeper too, but a null key never joins back)
+    keepers = files.groupBy(target_col).agg(
         F.min(F.struct((f != t).alias("misnamed"), f.alias("name"))).getField("name").alias("_keeper")
     )
     plan = files.join(keepers, on=target_col, how="left")
@@ -95,11 +95,12 @@ def history_metrics(df: DataFrame, key: str, entity: str) -> DataFrame:
         (F.lag("_s").over(w).isNull() | (F.lag("_s").over(w) != F.col("_s") - 1)).cast("int").alias("_new"),
         (F.lead("_s").over(w).isNull() | (F.lead("_s").over(w) != F.col("_s") + 1)).cast("int").alias("_gone_next"),
     )
+    # one aggregate gives all three counts; "gone at s" is "gone after s - 1", a shift
+    # over the per-snapshot rows (one row per snapshot, so the window is tiny)
     per = flagged.groupBy("_s").agg(
         F.count(F.lit(1)).alias("present"), F.sum("_new").alias("new"), F.sum("_gone_next").alias("_gn")
     )
-    prev = per.select((F.col("_s") + 1).alias("_s"), F.col("_gn").alias("gone"))
-    out = seq.join(per, "_s", "left").join(prev, "_s", "left")
+    out = seq.join(per, "_s", "left").withColumn("gone", F.lag("_gn").over(Window.orderBy("_s")))
     return out.select(
         F.col("_k").alias(key),
         F.coalesce("present", F.lit(0)).cast("long").alias("present"),
