@@ -118,3 +118,21 @@ def test_porter_examples():
         "sky": "sky",
     }
     assert {w: stem(w) for w in cases} == cases
+
+
+def test_term_counts_edge_cases(spark):
+    rows = [(1, ""), (2, "!!! ..."), (3, "word"), (4, "b a b a b"), (5, None), (6, "  Élan élan, ÉLAN!")]
+    d = spark.createDataFrame(rows, "id long, text string")
+    got = {}
+    for r in X.postings_frame(d, "id", ["text"]).collect():
+        got.setdefault(r["id"], {})[r["term"]] = (r["tf"], r["dl"])
+    assert 1 not in got and 2 not in got and 5 not in got
+    assert got[3] == {"word": (1, 1)}
+    assert got[4] == {"a": (2, 5), "b": (3, 5)}
+    assert got[6] == {"elan": (3, 3)}
+
+
+def test_postings_plan_has_no_inferred_size_filter(spark):
+    d = spark.createDataFrame([(1, "b a b")], "id long, text string")
+    plan = X.postings_frame(d, "id", ["text"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "Filter (size(" not in plan
