@@ -35,8 +35,9 @@ def facet_values(df: DataFrame, column: str, alias: str | None = None, drop_empt
 
 def facet_array_values(df: DataFrame, column: str, alias: str = "value") -> DataFrame:
     """A3: distinct elements of an array column, ordered (null arrays give no row)."""
+    # explode_outer: no inferred size(...) > 0 filter that would compute the array twice
     return (
-        df.select(F.explode(F.col(column)).alias(alias))
+        df.select(F.explode_outer(F.col(column)).alias(alias))
         .where(F.col(alias).isNotNull())
         .distinct()
         .orderBy(F.col(alias).asc())
