@@ -35,8 +35,11 @@ def snapshot_gate(incoming: DataFrame, existing: DataFrame, key: str) -> DataFra
     """Snapshot keys of ``incoming`` that ``existing`` does not hold yet.
 
     The gate is tested against the *processed* keys, so a snapshot whose processing failed
-    is taken up again on the next run."""
-    return incoming.select(key).distinct().join(existing.select(key).distinct(), on=key, how="left_anti")
+    is taken up again on the next run. The existing side is the list of snapshot keys --
+    one row per snapshot (a few hundred per year of daily snapshots) -- so it is broadcast;
+    the incoming side is de-duplicated map-side first."""
+    keys = F.broadcast(existing.select(key).distinct())
+    return incoming.select(key).distinct().join(keys, on=key, how="left_anti")
 
 
 def history_union(frames: Sequence[DataFrame]) -> DataFrame:
