@@ -41,7 +41,7 @@ _PHRASE_TEXT_SQL = """
 
 
 def _phrase_text(spark, sf_dir):
-    o = table(spark, sf_dir, "orders")
+    o = table(spark, sf_dir, "orders", spread=True)
     c = table(spark, sf_dir, "customer")
     j = o.join(c, o.o_custkey == c.c_custkey)
     return j.select("o_orderkey", F.concat_ws(" ", "o_orderstatus", "o_orderpriority", "c_mktsegment").alias("text"))
