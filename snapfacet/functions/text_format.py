@@ -70,6 +70,12 @@ def _chain(c: Column, steps) -> Column:
     return c
 
 
+def _has_other_space(x: Column) -> Column:
+    """Whether the text holds whitespace outside ASCII. A text whose character count
+    equals its byte count is pure ASCII, so the regex runs only on the others."""
+    return (F.length(x) != F.octet_length(x)) & x.rlike(WS_OTHER)
+
+
 def _structure(x: Column, st: dict) -> Column:
     x = _chain(x, st["headers"])
     x = F.when(x.rlike(st["has_numbered"]), _chain(x, st["numbered"])).otherwise(x)
@@ -82,7 +88,7 @@ def structure_text(c: ColumnOrName) -> Column:
     """P18 (with P19 first): text -> HTML fragment, as one Column expression (fine for a
     page of rows; for whole tables use :func:`with_structured_text`)."""
     x = escape_html(col(c))
-    return F.when(x.rlike(WS_OTHER), _structure(x, FULL)).otherwise(_structure(x, FAST))
+    return F.when(_has_other_space(x), _structure(x, FULL)).otherwise(_structure(x, FAST))
 
 
 def with_structured_text(df: DataFrame, source: str, out: str) -> DataFrame:
@@ -91,7 +97,7 @@ def with_structured_text(df: DataFrame, source: str, out: str) -> DataFrame:
     passes (the fast ASCII one unless it holds other whitespace)."""
     keep = [c for c in df.columns if c != out]
     esc = df.select(*keep, escape_html(F.col(source)).alias("__x"))
-    esc = esc.select(*keep, "__x", F.col("__x").rlike(WS_OTHER).alias("__u"))
+    esc = esc.select(*keep, "__x", _has_other_space(F.col("__x")).alias("__u"))
     x = F.col("__x")
     html = F.when(F.col("__u"), _structure(x, FULL)).otherwise(_structure(x, FAST))
     return esc.select(*keep, html.alias(out))
