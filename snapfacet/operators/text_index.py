@@ -127,11 +127,13 @@ class TextIndex:
     stemmer: bool = False
 
     def save(self, path: str, partitions: int | None = None) -> "TextIndex":
-        """Write the three tables; postings sorted by term for row-group skipping."""
+        """Write the three tables; postings sorted by term for row-group skipping. The range
+        key is (term, id), not term alone: a term held by a third of all documents is then
+        spread over many writer tasks instead of landing in one partition."""
         spark = self.postings.sparkSession
         n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
         (
-            self.postings.repartitionByRange(n, "term")
+            self.postings.repartitionByRange(n, "term", self.id_col)
             .sortWithinPartitions("term", self.id_col)
             .write.mode("overwrite")
             .parquet(f"{path}/postings")
