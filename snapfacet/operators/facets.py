@@ -69,7 +69,7 @@ def facets(
 
 def facet_search(values: DataFrame, term: str, value_col: str = "value") -> DataFrame:
     """F16: facet values containing the term, case-insensitive."""
-    return values.where(F.contains(F.lower(F.col(value_col)), F.lit(term.lower())))
+    return values.where(F.contains(F.lower(F.col(value_col)), F.lower(F.lit(term))))
 
 
 def selected_first(values: DataFrame, chosen: Sequence[str], value_col: str = "value", rank_col: str | None = "position") -> DataFrame:

@@ -29,7 +29,7 @@ def substring_any(columns: Sequence[ColumnOrName], term: str, mode: str = "liter
     reference builds it, so ``%`` and ``_`` in the term act as wildcards.
     """
     if mode == "literal":
-        needle = F.lit(term.lower())
+        needle = F.lower(F.lit(term))  # the same case mapping on both sides (Spark's)
         preds = [F.contains(F.lower(col(c)), needle) for c in columns]
     elif mode == "compat":
         pattern = "%" + like_escape(term) + "%"
