@@ -13,7 +13,6 @@ from typing import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.common import col
 from .predicates import SearchSpec, not_blank
 
 
