@@ -45,6 +45,32 @@ def page(
     return out.limit(int(limit))
 
 
+def last_page(
+    df: DataFrame,
+    predicate: Column | None,
+    order_by: ColumnOrName,
+    descending: bool = True,
+    page_size: int = 25,
+    total_rows: int | None = None,
+    tiebreak: Sequence[str] = (),
+) -> DataFrame:
+    """T4 "last" button: the final page, read from the other end of the order.
+
+    Offset paging keeps ``offset + limit`` rows per task for the top-k merge, so the last
+    page of a huge result would be the most expensive one. Reversing every sort key (and
+    where nulls go) turns it into a first page of ``rows_on_last_page`` rows; those few rows
+    are then put back in the requested order. ``total_rows`` is the request's total (A1)."""
+    out = df if predicate is None else df.where(predicate)
+    if total_rows is None:
+        total_rows = out.count()
+    if total_rows <= 0:
+        return out.limit(0)
+    rows_on_last = total_rows - (math.ceil(total_rows / page_size) - 1) * page_size
+    k = col(order_by)
+    backwards = [k.asc_nulls_first() if descending else k.desc_nulls_first()] + [col(t).desc_nulls_first() for t in tiebreak]
+    return out.orderBy(*backwards).limit(int(rows_on_last)).orderBy(*order_columns(order_by, descending, tiebreak))
+
+
 def total(df: DataFrame, predicate: Column | None, alias: str = "total") -> DataFrame:
     """A1: number of rows under the same predicate as the page (one row)."""
     out = df if predicate is None else df.where(predicate)

@@ -96,6 +96,24 @@ def keyset_page(spark, sf_dir):
     )
 
 
+@register(
+    "last_page",
+    f"""
+    WITH f AS (
+      SELECT *, row_number() OVER (ORDER BY o_totalprice DESC NULLS LAST, o_orderkey ASC NULLS LAST) AS rn,
+             count(*) OVER () AS n
+      FROM orders WHERE {_ORDERS_WHERE})
+    SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+    FROM f WHERE rn > (CAST(ceil(n / 25.0) AS BIGINT) - 1) * 25
+    """,
+)
+def last_page(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    pred = ORDERS_SPEC.predicate()
+    n = S.total(orders, pred).first()[0]
+    return S.last_page(orders, pred, "o_totalprice", True, 25, n, ("o_orderkey",))
+
+
 @register(
     "search_sort_asc_nulls",
     """

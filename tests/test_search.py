@@ -160,3 +160,13 @@ def test_selected_first_and_search(spark):
     got = [(r["value"], r["position"]) for r in FC.selected_first(values, ["gamma"]).collect()]
     assert got == [("gamma", 1), ("Alpha", 2), ("beta", 3), ("delta", 4)]
     assert [r["value"] for r in FC.facet_search(values, "ALP").collect()] == ["Alpha"]
+
+
+def test_last_page_equals_offset_paging(spark):
+    df = jobs(spark)
+    for desc in (True, False):
+        for size in (2, 3, 5):
+            full = [r["id"] for r in S.page(df, None, "posted_date", desc, 100, 0, ("id",)).collect()]
+            start = (len(full) - 1) // size * size
+            got = [r["id"] for r in S.last_page(df, None, "posted_date", desc, size, len(full), ("id",)).collect()]
+            assert got == full[start:], (desc, size)
