@@ -170,3 +170,19 @@ def test_last_page_equals_offset_paging(spark):
             start = (len(full) - 1) // size * size
             got = [r["id"] for r in S.last_page(df, None, "posted_date", desc, size, len(full), ("id",)).collect()]
             assert got == full[start:], (desc, size)
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.integers(min_value=1, max_value=6), st.sampled_from(["External", "Internal", None]))
+def test_total_equals_sum_of_page_sizes(spark, size, kind):
+    df = jobs(spark)
+    spec = P.SearchSpec(two_value={"posting_type": (((kind,) if kind else ()), P.POSTING_TYPES)}, order_by="posted_date", limit=size, tiebreak="id")
+    total_rows = S.search(df, spec).total.first()[0]
+    seen = 0
+    for p in range(SearchPages(total_rows, size)):
+        seen += S.search(df, spec.with_(offset=p * size)).page.count()
+    assert seen == total_rows
+
+
+def SearchPages(n, size):
+    return S.SearchResult.pages(n, size)
