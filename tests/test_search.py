@@ -186,3 +186,14 @@ def test_total_equals_sum_of_page_sizes(spark, size, kind):
 
 def SearchPages(n, size):
     return S.SearchResult.pages(n, size)
+
+
+def test_page_from_nearer_end_equals_offset_paging(spark):
+    df = jobs(spark)
+    n = df.count()
+    for desc in (True, False):
+        for size in (1, 2, 3):
+            full = [r["id"] for r in S.page(df, None, "salary_range_from", desc, 100, 0, ("id",)).collect()]
+            for off in range(0, n + 1, size):
+                got = [r["id"] for r in S.page_from_nearer_end(df, None, "salary_range_from", desc, size, off, n, ("id",)).collect()]
+                assert got == full[off : off + size], (desc, size, off)
