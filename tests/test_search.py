@@ -197,3 +197,13 @@ def test_page_from_nearer_end_equals_offset_paging(spark):
             for off in range(0, n + 1, size):
                 got = [r["id"] for r in S.page_from_nearer_end(df, None, "salary_range_from", desc, size, off, n, ("id",)).collect()]
                 assert got == full[off : off + size], (desc, size, off)
+
+
+def test_null_flag_passes_only_without_filter(spark):
+    df = jobs(spark)  # row "b" has requires_exam = null
+    none = P.SearchSpec.postings(exam=[])
+    both = P.SearchSpec.postings(exam=["requires_exam", "no_exam"])
+    only = P.SearchSpec.postings(exam=["no_exam"])
+    assert "b" in ids(df.where(none.predicate())) and "b" in ids(df.where(both.predicate()))
+    assert "b" not in ids(df.where(only.predicate()))
+    assert ids(df.where(only.predicate())) == ["c", "d"]
