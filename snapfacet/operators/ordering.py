@@ -17,6 +17,9 @@ def number_rows(df: DataFrame, order: list[Column], name: str = "position", star
     ordered = df.orderBy(*order)
     schema = T.StructType(ordered.schema.fields + [T.StructField(name, T.LongType(), False)])
     try:
+        from ..session import ship_package
+
+        ship_package(df.sparkSession)
         rdd = ordered.rdd.zipWithIndex().map(lambda p: tuple(p[0]) + (p[1] + start,))
     except Exception:  # noqa: BLE001 - no RDD access (Spark Connect): window fallback
         from pyspark.sql import Window

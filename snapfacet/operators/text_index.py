@@ -98,6 +98,9 @@ def porter_stem(c: Column) -> Column:
     from copying a filter on the stem (e.g. the query terms) below the vocabulary into the
     token stream, which would run Python once per token instead of once per distinct
     term. Created on first use (a UDF needs a running session)."""
+    from ..session import ship_package
+
+    ship_package(SparkSession.getActiveSession())
     if not _STEM_UDF:
         _STEM_UDF.append(F.pandas_udf(_stem_batch, T.StringType()).asNondeterministic())
     return _STEM_UDF[0](c)

@@ -95,3 +95,26 @@ def ensure_parallelism(df: DataFrame, factor: int = 2) -> DataFrame:
     if parts < slots:
         return df.repartition(slots * factor)
     return df
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``snapfacet`` importable in executor Python workers (what ``--py-files`` does):
+    the package is zipped once per application and added with ``addPyFile``, which Spark
+    distributes to every executor. Needed only where Python runs on executors (the
+    stemmer UDF, ``zipWithIndex`` numbering); a no-op when already shipped."""
+    import shutil
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    staging = tempfile.mkdtemp(prefix="snapfacet-pyfiles-")
+    archive = shutil.make_archive(
+        os.path.join(staging, "snapfacet"), "zip", root_dir=os.path.dirname(pkg_dir), base_dir=os.path.basename(pkg_dir)
+    )
+    sc.addPyFile(archive)
+    _SHIPPED.add(app)
