@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .benchmark_decontamination import op7_benchmark_decontamination
 from .packing import op4_harmonic_packing
 from .simhash import op10_simhash_near_dedup
 from .substring_dedup import op1_substring_dedup
@@ -10,6 +11,7 @@ from .suffix_dedup import op8_suffix_array_dedup
 QUERIES = {
     "op1_substring_dedup": (op1_substring_dedup, None),
     "op4_harmonic_packing": (op4_harmonic_packing, None),
+    "op7_benchmark_decontamination": (op7_benchmark_decontamination, None),
     "op8_suffix_array_dedup": (op8_suffix_array_dedup, None),
     "op10_simhash_near_dedup": (op10_simhash_near_dedup, None),
 }
