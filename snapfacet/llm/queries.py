@@ -7,9 +7,11 @@ from .packing import op4_harmonic_packing
 from .simhash import op10_simhash_near_dedup
 from .substring_dedup import op1_substring_dedup
 from .suffix_dedup import op8_suffix_array_dedup
+from .toxicity import op2_toxicity
 
 QUERIES = {
     "op1_substring_dedup": (op1_substring_dedup, None),
+    "op2_toxicity": (op2_toxicity, None),
     "op4_harmonic_packing": (op4_harmonic_packing, None),
     "op7_benchmark_decontamination": (op7_benchmark_decontamination, None),
     "op8_suffix_array_dedup": (op8_suffix_array_dedup, None),
