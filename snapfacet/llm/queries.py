@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .benchmark_decontamination import op7_benchmark_decontamination
+from .interpolation import op9_deleted_interpolation
 from .packing import op4_harmonic_packing
 from .simhash import op10_simhash_near_dedup
 from .substring_dedup import op1_substring_dedup
@@ -15,5 +16,6 @@ QUERIES = {
     "op4_harmonic_packing": (op4_harmonic_packing, None),
     "op7_benchmark_decontamination": (op7_benchmark_decontamination, None),
     "op8_suffix_array_dedup": (op8_suffix_array_dedup, None),
+    "op9_deleted_interpolation": (op9_deleted_interpolation, None),
     "op10_simhash_near_dedup": (op10_simhash_near_dedup, None),
 }
