@@ -83,7 +83,8 @@ def suffix_dedup(
     def retained(rows: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         prefix = W.windows(h, prefix_words)
         at = minimisers(prefix, W.within(rows, min_words), per_window) if len(rows) >= min_words else np.zeros(0, np.int64)
-        return at, prefix[at]
+        # minimisers are small hashes: mixed once more, they spread evenly over the buckets
+        return at, W.mix(prefix[at] ^ W.START)
 
     def suffixes(table: pa.Table) -> pa.Table:
         _, _, rows, _, _, h, ids = read(table)
