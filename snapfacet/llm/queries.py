@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from .benchmark_decontamination import op7_benchmark_decontamination
+from .hamming_search import OP6_SQL, op6_exact_top_k
 from .interpolation import op9_deleted_interpolation
+from .license_scan import OP3_SQL, op3_license_scan
 from .packing import op4_harmonic_packing
 from .simhash import op10_simhash_near_dedup
 from .substring_dedup import op1_substring_dedup
@@ -13,7 +15,9 @@ from .toxicity import op2_toxicity
 QUERIES = {
     "op1_substring_dedup": (op1_substring_dedup, None),
     "op2_toxicity": (op2_toxicity, None),
+    "op3_license_scan": (op3_license_scan, OP3_SQL),
     "op4_harmonic_packing": (op4_harmonic_packing, None),
+    "op6_exact_top_k": (op6_exact_top_k, OP6_SQL),
     "op7_benchmark_decontamination": (op7_benchmark_decontamination, None),
     "op8_suffix_array_dedup": (op8_suffix_array_dedup, None),
     "op9_deleted_interpolation": (op9_deleted_interpolation, None),
