@@ -7,6 +7,7 @@ from .hamming_search import OP6_SQL, op6_exact_top_k
 from .interpolation import op9_deleted_interpolation
 from .license_scan import OP3_SQL, op3_license_scan
 from .packing import op4_harmonic_packing
+from .revisits import OP5_SQL, op5_not_modified_revisits
 from .simhash import op10_simhash_near_dedup
 from .substring_dedup import op1_substring_dedup
 from .suffix_dedup import op8_suffix_array_dedup
@@ -17,6 +18,7 @@ QUERIES = {
     "op2_toxicity": (op2_toxicity, None),
     "op3_license_scan": (op3_license_scan, OP3_SQL),
     "op4_harmonic_packing": (op4_harmonic_packing, None),
+    "op5_not_modified_revisits": (op5_not_modified_revisits, OP5_SQL),
     "op6_exact_top_k": (op6_exact_top_k, OP6_SQL),
     "op7_benchmark_decontamination": (op7_benchmark_decontamination, None),
     "op8_suffix_array_dedup": (op8_suffix_array_dedup, None),
