@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
+
 from .benchmark_decontamination import op7_benchmark_decontamination
 from .hamming_search import OP6_SQL, op6_exact_top_k
 from .interpolation import op9_deleted_interpolation
@@ -13,6 +15,12 @@ from .substring_dedup import op1_substring_dedup
 from .suffix_dedup import op8_suffix_array_dedup
 from .toxicity import op2_toxicity
 
+
+def pipeline(spark, sf_dir):
+    """All stages of ``corpus_pipeline`` (at the top of the repository) over ``documents``."""
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
     "op1_substring_dedup": (op1_substring_dedup, None),
     "op2_toxicity": (op2_toxicity, None),
@@ -24,4 +32,5 @@ QUERIES = {
     "op8_suffix_array_dedup": (op8_suffix_array_dedup, None),
     "op9_deleted_interpolation": (op9_deleted_interpolation, None),
     "op10_simhash_near_dedup": (op10_simhash_near_dedup, None),
+    "pipeline": (pipeline, corpus_pipeline.ORACLE_SQL),
 }

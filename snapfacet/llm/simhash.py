@@ -342,8 +342,9 @@ def components(links: DataFrame) -> DataFrame:
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 4, max_bits: int = 4, node_size: int = NODE
 ) -> DataFrame:
-    """Per row of ``docs``: ``row``, ``fingerprint`` (16 hex digits) and ``component_id``, the
-    smallest id reachable over links of at most ``max_bits`` differing bits."""
+    """Per row of ``docs``: ``row``, ``fingerprint`` (16 hex digits), ``component_id``, the smallest
+    id reachable over links of at most ``max_bits`` differing bits, and ``component``, a fingerprint
+    that names the component also where it has no id."""
     ensure_checkpoint_dir(docs.sparkSession)
     prints = simhash(docs, text_col, shingle_words).withColumn("_id", B.quoted("row")[id_col].cast("long")).checkpoint()
     classes = prints.groupBy("fingerprint").agg(F.min("_id").alias("least"))
@@ -352,9 +353,9 @@ def near_duplicates(
         "fingerprint", "least", F.coalesce("root", "fingerprint").alias("root")
     )
     smallest = classes.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = classes.join(smallest, "root").select(F.col("fingerprint").alias("_fp"), "component_id")
+    named = classes.join(smallest, "root").select(F.col("fingerprint").alias("_fp"), "component_id", F.col("root").alias("component"))
     out = prints.join(named, prints["fingerprint"] == named["_fp"], "left")
-    return out.select("row", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
+    return out.select("row", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id", "component")
 
 
 def op10_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:
