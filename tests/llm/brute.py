@@ -72,7 +72,7 @@ def contamination(rows, items, k=13):
         hit, found = [False] * len(w), set()
         for p in range(len(w)):
             for n in sizes:
-                if who := windows.get(tuple(w[p : p + n])):
+                if p + n <= len(w) and (who := windows.get(tuple(w[p : p + n]))):
                     found |= who
                     hit[p : p + n] = [True] * n
         out.append((len(w), sum(hit), found))
