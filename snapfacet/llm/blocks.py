@@ -28,7 +28,7 @@ SPANS = T.ArrayType(T.StructType().add("start", "long").add("end", "long"))
 BLOCK = "_chunk long, _bucket long, _level int, _block binary"
 
 
-def pack(*arrays: np.ndarray) -> bytes:
+def pack(*arrays: np.ndarray, level: int = 1) -> bytes:
     """Unsigned arrays as compressed byte planes (only as many planes as the largest needs)."""
     out = [struct.pack("<I", len(arrays))]
     for a in arrays:
@@ -37,7 +37,7 @@ def pack(*arrays: np.ndarray) -> bytes:
         out.append(struct.pack("<QB", len(a), width))
         out.append(a.view(np.uint8).reshape(len(a), 8)[:, :width].T.tobytes())
     raw = b"".join(out)
-    return struct.pack("<Q", len(raw)) + pa.compress(raw, codec="zstd", asbytes=True)
+    return struct.pack("<Q", len(raw)) + pa.Codec("zstd", level).compress(raw, asbytes=True)
 
 
 def unpack(block: bytes) -> list[np.ndarray]:
@@ -89,8 +89,35 @@ def chunked(docs: DataFrame, id_col: str, text_col: str, chunk: int | None = Non
     layout = Layout(total, chunk, per_bucket)
     rest = F.struct(*(quoted(c) for c in docs.columns if c != text_col))
     d = docs.select(quoted(id_col).cast("long").alias("_id"), text.alias("_text"), rest.alias("_rest"))
-    key = F.pmod(F.xxhash64("_id", "_text"), F.lit(layout.chunks))
-    return d.withColumn("_chunk", key).repartition("_chunk"), layout
+    d = d.withColumn("_chunk", F.pmod(F.xxhash64("_id", "_text"), F.lit(layout.chunks)))
+    packed = T.StructType([T.StructField(f.name, T.BinaryType() if f.name == "_text" else f.dataType) for f in d.schema])
+    return d.mapInArrow(_packed_texts, packed).repartition("_chunk"), layout
+
+
+def _packed_texts(batches):
+    """Texts as zstd frames behind their length: the dealt documents are the largest shuffle, and
+    the block compression of the shuffle makes them half as large again."""
+    codec = pa.Codec("zstd", 1)
+    for batch in batches:
+        out = []
+        for text in batch.column("_text"):
+            raw = text.as_buffer() if text.is_valid else None
+            out.append(None if raw is None else struct.pack("<Q", raw.size) + (codec.compress(raw, asbytes=True) if raw.size else b""))
+        i = batch.schema.get_field_index("_text")
+        cols = [*batch.columns[:i], pa.array(out, pa.binary()), *batch.columns[i + 1 :]]
+        yield pa.RecordBatch.from_arrays(cols, batch.schema.names)
+
+
+def texts(column) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes and row offsets of packed texts (null: empty)."""
+    codec, parts, size = pa.Codec("zstd"), [], [0]
+    for value in column:
+        block = value.as_buffer() if value.is_valid else None
+        n = struct.unpack_from("<Q", block)[0] if block is not None else 0
+        if n:
+            parts.append(codec.decompress(block[8:], n, asbytes=True))
+        size.append(n)
+    return np.frombuffer(b"".join(parts), np.uint8), np.cumsum(np.array(size, np.int64))
 
 
 def blocks(chunk: int, level: int, layout: Layout, keys: np.ndarray, *more: np.ndarray, bits: int = 64):
@@ -134,7 +161,7 @@ def answer(sent: DataFrame, decide) -> DataFrame:
             for j, i in enumerate(at):
                 s = slice(end[j], end[j + 1])
                 if mask is None:
-                    block = pack(*(a[s] for a in arrays))
+                    block = pack(*(a[s] for a in arrays), level=6)
                 elif mask[s].any():
                     block = pack(delta(keys[s][mask[s]]))
                 else:

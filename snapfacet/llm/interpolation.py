@@ -39,6 +39,9 @@ _U = np.uint64
 #: Histogram cells: quarters of a power of ten, down to 10**-12 (0 apart), and context buckets.
 STEPS, FLOOR = 4, 12
 BUCKETS = 64
+#: Bytes of text in a chunk: a larger one has fewer distinct n-grams for its size. Two different
+#: pairs or triples of words share a key with a chance under 2**-SPARE.
+CHUNK, SPARE = 6 << 20, 20
 
 
 def _pair(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -60,7 +63,7 @@ class _Tokens:
 
 
 def _tokens(chunk: pa.Table) -> _Tokens:
-    data, offsets = W.text_bytes(chunk["_text"])
+    data, offsets = B.texts(chunk["_text"])
     rows, _, _, h = W.words(data, offsets, W.NOT_SPACE, W.LOWER)
     n = chunk.num_rows
     first = np.searchsorted(rows, np.arange(n + 1), "left") + np.arange(n + 1)  # one end a row
@@ -91,7 +94,7 @@ class _Counter:
         self.layout = layout
 
     def _distinct(self, t: _Tokens, level: int, at: np.ndarray):
-        bits = 64 if level == ONE else self.layout.bits(24)
+        bits = 64 if level == ONE else self.layout.bits(SPARE)
         keys = t.keys[level][at] >> _U(64 - bits)
         order, first = B.groups(keys) if len(keys) else (np.zeros(0, np.int64), np.zeros(0, np.int64))
         return bits, keys, order, first
@@ -104,8 +107,9 @@ class _Counter:
         held = np.diff(np.append(first, len(keys))) - trained
         return B.blocks(chunk, level, self.layout, keys[order][first], trained, held, bits=bits)
 
-    def totals(self, t: _Tokens, level: int, at: np.ndarray, got: pa.Table) -> list[np.ndarray]:
-        """For the tokens ``at``: training occurrences, and 1 where the key has others than this."""
+    def totals(self, t: _Tokens, level: int, at: np.ndarray, got: pa.Table) -> tuple[np.ndarray, ...]:
+        """For the tokens ``at``: training occurrences of the key; 1 where it occurs twice at all;
+        1 where this chunk counts the key for the vocabulary."""
         _, keys, order, first = self._distinct(t, level, at)
         answers = [
             (b, B.unpack(x))
@@ -113,27 +117,22 @@ class _Counter:
             if lv == level
         ]
         answers.sort(key=lambda a: a[0])
-        size = np.diff(np.append(first, len(keys)))
-        out = []
-        for part in range(2 + (level == ONE)):
-            total = np.concatenate([a[1][part] for a in answers]).astype(np.int64) if answers else np.zeros(0, np.int64)
-            mine = np.empty(len(keys), np.int64)
-            mine[order] = np.repeat(total, size)
-            out.append(mine)
-        return out
+        total = np.concatenate([a[1][0] for a in answers]).astype(np.int64) if answers else np.zeros(0, np.int64)
+        mine = np.empty(len(keys), np.int64)
+        mine[order] = np.repeat(total, np.diff(np.append(first, len(keys))))
+        return mine >> 2, mine >> 1 & 1, mine & 1
 
 
 def _add_up(level: int, keys, owner, trained, held):
-    """Training occurrences of each key; whether it occurs twice at all; for words also 1 for one
-    of the chunks that have it in training text, so that the chunks can count the vocabulary."""
-    all_trained = B.per_key(keys, trained.astype(np.int64), np.add)
-    several = (all_trained + B.per_key(keys, held.astype(np.int64), np.add)) > 1
-    if level != ONE:
-        return None, (all_trained, several)
-    order, first = B.groups(keys)
-    once = np.zeros(len(keys), np.int64)
-    once[order[first]] = 1
-    return None, (all_trained, several, once & (all_trained > 0))
+    """Of each key, in one number: training occurrences; whether it occurs twice at all; for words
+    also 1 for one of the chunks that have it, so that the chunks can count the vocabulary."""
+    total = B.per_key(keys, trained.astype(np.int64), np.add)
+    several = (total + B.per_key(keys, held.astype(np.int64), np.add)) > 1
+    out = total << 2 | several.astype(np.int64) << 1
+    if level == ONE:
+        order, first = B.groups(keys)
+        out[order[first]] |= 1
+    return None, (out,)
 
 
 COUNTS = T.StructType().add("rows", "binary").add("n_tokens", "long").add("train_tokens", "long").add("train_rows", "long")
@@ -146,7 +145,7 @@ def ngram_counts(docs: DataFrame, train, text_col: str = "text", id_col: str = "
     ``train`` is a boolean column of ``docs``."""
     ship_package(docs.sparkSession)
     marked = docs.withColumn("_train_row", F.coalesce(train, F.lit(True)))
-    dealt, layout = B.chunked(marked, id_col, text_col, chunk, per_bucket)
+    dealt, layout = B.chunked(marked, id_col, text_col, chunk or CHUNK, per_bucket)
     dealt = dealt.withColumn("_train", F.col("_rest")["_train_row"])
     counter = _Counter(layout)
     kind = dealt.schema["_rest"].dataType
@@ -175,7 +174,7 @@ def ngram_counts(docs: DataFrame, train, text_col: str = "text", id_col: str = "
         three[at] = counter.totals(t, THREE, at, got)[0]
         train = table["_train"].combine_chunks().to_numpy(zero_copy_only=False).astype(bool)
         # a word of this chunk that it counts for the vocabulary
-        types = len(np.unique(t.keys[ONE][one[2] > 0]))
+        types = len(np.unique(t.keys[ONE][(one[2] > 0) & (one[0] > 0)]))
         rest = table["_rest"].combine_chunks()
         sink = pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, pa.schema([("row", rest.type)])) as writer:
@@ -189,7 +188,7 @@ def ngram_counts(docs: DataFrame, train, text_col: str = "text", id_col: str = "
                 "types": [types],
                 "sizes": pa.array([B.pack(np.diff(t.first))], pa.binary()),
                 "train": pa.array([B.pack(train)], pa.binary()),
-                "counts": pa.array([B.pack(one[0], two[0], three)], pa.binary()),
+                "counts": pa.array([_pack_counts(one[0], two[0], three)], pa.binary()),
             }
         )
 
@@ -200,6 +199,23 @@ def ngram_counts(docs: DataFrame, train, text_col: str = "text", id_col: str = "
     return out, kind
 
 
+def _pack_counts(*counts: np.ndarray) -> bytes:
+    """Counts by their rank among the chunk's distinct counts, the most frequent first."""
+    out = []
+    for c in counts:
+        value, rank, n = np.unique(c, return_inverse=True, return_counts=True)
+        order = np.argsort(-n, kind="stable")
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        out += [value[order], place[rank]]
+    return B.pack(*out, level=9)
+
+
+def _unpack_counts(block: bytes) -> list[np.ndarray]:
+    parts = B.unpack(block)
+    return [value.astype(np.int64)[rank.astype(np.int64)] for value, rank in zip(parts[::2], parts[1::2])]
+
+
 @dataclass
 class Interpolation:
     tokens: int = 0  # N
@@ -238,8 +254,7 @@ def _chance(cell: np.ndarray) -> np.ndarray:
 
 def _opened(row: dict):
     (sizes,), (train,) = B.unpack(row["sizes"]), B.unpack(row["train"])
-    counts = [c.astype(np.int64) for c in B.unpack(row["counts"])]
-    return np.append(0, np.cumsum(sizes.astype(np.int64))), train.astype(bool), counts
+    return np.append(0, np.cumsum(sizes.astype(np.int64))), train.astype(bool), _unpack_counts(row["counts"])
 
 
 def _records(batch, names):

@@ -45,7 +45,7 @@ def lengths(min_words: int, first: int) -> list[int]:
 
 
 def _read(table: pa.Table):
-    data, offsets = W.text_bytes(table["_text"])
+    data, offsets = B.texts(table["_text"])
     return (data, *W.words(data, offsets), B.ordered_ids(table["_id"]))
 
 

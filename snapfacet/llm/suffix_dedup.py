@@ -77,7 +77,7 @@ def suffix_dedup(
     per_window = min_words - prefix_words + 1
 
     def read(table: pa.Table):
-        data, offsets = W.text_bytes(table["_text"])
+        data, offsets = B.texts(table["_text"])
         return (data, offsets, *W.words(data, offsets), B.ordered_ids(table["_id"]))
 
     def retained(rows: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
