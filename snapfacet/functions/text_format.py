@@ -1,10 +1,13 @@
-"""Flat description text -> structured HTML (headed sections, numbered and bulleted
-lists, paragraphs), as a chain of native ``regexp_replace`` calls.
+"""Flat description text -> sections, lists and paragraphs.
 
-The patterns are written once and rendered for Java (Spark) or RE2 (the DuckDB oracle):
-whitespace is spelled out as the browser's ``\\s`` class with ``\\x{..}`` escapes that both
-engines read, digits as ``[0-9]``, and end of text as ``\\z`` (Java's ``$`` would also match
-before a final line break).
+A text is parted into pieces first: boundaries are marked by control characters, then the text is
+split at the marks. Its long form is a table (section, item, kind, text); its HTML form is written
+from the same pieces, one element per piece, a list around neighbouring items of one kind.
+
+Rules: a header is a short label between wide gaps (two or more spaces) and a colon; a numbered item
+is a number with a full stop after the start, a wide gap or ``; or``, in texts that have an item 1; a
+bullet starts an item; a gap of three or more spaces ends a paragraph. Pieces without text are
+left out. Control characters 1 to 6 of the source are taken as spaces.
 """
 
 from __future__ import annotations
@@ -15,116 +18,90 @@ from pyspark.sql import functions as F
 from .common import ColumnOrName, col
 from .labels import escape_html
 
-# Whitespace as the browser's regex engine defines ``\s``. Java's own ``\s`` is the ASCII part
-# of it ([ \t\n\x0B\f\r]); rows holding none of the other characters use the (much
-# faster) built-in class, the rest the full one -- same result either way.
-WS = r"[\t\n\x{0B}\f\r \x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]"
-WS_ASCII = r"\s"
-WS_OTHER = r"[\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]"
-BULLETS = "[·§•]"
-
-
-def _steps(ws: str) -> dict:
-    """(pattern, replacement with $n groups) lists for a whitespace class; each list is
-    applied in order."""
-    return {
-        "headers": [(ws + r"{2,}([A-Za-z ]{1,30}):" + ws + "{2,}", "</p><h4>$1</h4><p>")],
-        "has_numbered": "^" + ws + r"*1\." + ws + "|" + ws + r"{2,}1\." + ws,
-        "numbered": [
-            ("^" + ws + r"*1\." + ws, "<ol><li>"),
-            (ws + r"{2,}1\." + ws, "</p><ol><li>"),
-            # "; or N. " and "  N. " both become a new item; one pass, since the
-            # replacement holds no whitespace or digit and cannot make or hide a match
-            (";" + ws + "+or" + ws + r"+[0-9]+\." + ws + "|" + ws + r"{2,}[0-9]+\." + ws, "</li><li>"),
-            (r"<li>([^<]+)\z", "<li>$1</li></ol>"),
-            (r"<li>([^<]+)(</p>|<h4>)", "<li>$1</li></ol>$2"),
-        ],
-        "bulleted": [
-            (ws + "{2,}" + BULLETS + ws + "*", "</p><ul><li>"),
-            ("^" + BULLETS + ws + "*", "<ul><li>"),
-            (BULLETS + ws + "*", "</li><li>"),
-            (r"<li>([^<]+)\z", "<li>$1</li></ul>"),
-            (r"<li>([^<]+)(</p>|<h4>)", "<li>$1</li></ul>$2"),
-        ],
-        "paragraphs": [(ws + "{3,}", "</p><p>")],
-        "cleanup": [
-            ("<p>" + ws + "*</p>", ""),
-            ("</p>" + ws + "*</p>", "</p>"),
-            ("<p>" + ws + "*<p>", "<p>"),
-            # "<p> <h4>" -> "<h4>", "</h4> </p>" -> "</h4>", "<p> <ol>" -> "<ol>",
-            # "<p> <ul>" -> "<ul>": one pass, since none of these can create or hide a
-            # match of another (each removes whitespace and one tag next to a different tag)
-            ("<p>" + ws + "*(<h4>|<ol>|<ul>)|(</h4>)" + ws + "*</p>", "$1$2"),
-        ],
-    }
-
-
-FULL = _steps(WS)
-FAST = _steps(WS_ASCII)
-HEADERS, HAS_NUMBERED, NUMBERED = FULL["headers"], FULL["has_numbered"], FULL["numbered"]
-HAS_BULLETS, BULLETED, PARAGRAPHS, CLEANUP = BULLETS, FULL["bulleted"], FULL["paragraphs"], FULL["cleanup"]
-
-
-def _chain(c: Column, steps) -> Column:
-    for pattern, repl in steps:
-        c = F.regexp_replace(c, pattern, repl)
-    return c
-
-
-def _has_other_space(x: Column) -> Column:
-    """Whether the text holds whitespace outside ASCII. A text whose character count
-    equals its byte count is pure ASCII, so the regex runs only on the others."""
-    return (F.length(x) != F.octet_length(x)) & x.rlike(WS_OTHER)
-
-
-def _structure(x: Column, st: dict) -> Column:
-    x = _chain(x, st["headers"])
-    x = F.when(x.rlike(st["has_numbered"]), _chain(x, st["numbered"])).otherwise(x)
-    x = F.when(x.rlike(BULLETS), _chain(x, st["bulleted"])).otherwise(x)
-    x = F.concat(F.lit("<p>"), _chain(x, st["paragraphs"]), F.lit("</p>"))
-    return _chain(x, st["cleanup"])
+# Longest header label, bullets, and white space as browsers define it.
+HEADER_CHARS = 30
+BULLETS = "·§•"
+SPACE = "[\\t-\\r \\u00A0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000\\uFEFF]"
+
+SECTION, TITLE_END, NUMBERED, BULLET, PARAGRAPH, CUT = "\x01", "\x02", "\x03", "\x04", "\x05", "\x06"
+
+
+def _marked(text: Column) -> Column:
+    """The text with a mark at each boundary."""
+    x = F.translate(text, SECTION + TITLE_END + NUMBERED + BULLET + PARAGRAPH + CUT, " " * 6)
+    x = F.regexp_replace(x, f"{SPACE}{{2,}}([A-Za-z ]{{1,{HEADER_CHARS}}}):{SPACE}{{2,}}", f"{SECTION}$1{TITLE_END}")
+    opener = f"(^{SPACE}*|{SPACE}{{2,}}|;{SPACE}+or{SPACE}+|{TITLE_END})"
+    numbered = F.regexp_replace(x, f"{opener}[0-9]+\\.{SPACE}", f"$1{CUT}{NUMBERED}")
+    x = F.when(x.rlike(f"(^{SPACE}*|{SPACE}{{2,}}|{TITLE_END})1\\.{SPACE}"), numbered).otherwise(x)
+    # "; or" before an item belongs to neither of the two
+    x = F.regexp_replace(x, f";{SPACE}+or{SPACE}+{CUT}", CUT)
+    x = F.regexp_replace(x, f"[{BULLETS}]", CUT + BULLET)
+    return F.regexp_replace(x, f"{SPACE}{{3,}}", CUT + PARAGRAPH)
+
+
+def _trimmed(x: Column) -> Column:
+    return F.regexp_replace(x, f"^{SPACE}+|{SPACE}+$", "")
+
+
+def _sections(text: Column) -> Column:
+    """Array of (title or null, body) in the order of the text."""
+    parts = F.split(_marked(text), SECTION)
+    return F.transform(
+        parts,
+        lambda s, i: F.struct(
+            F.when(i > 0, _trimmed(F.substring_index(s, TITLE_END, 1))).alias("title"),
+            F.when(i > 0, F.substring(s, F.length(F.substring_index(s, TITLE_END, 1)) + 2, F.length(s))).otherwise(s).alias("body"),
+        ),
+    )
+
+
+def _pieces(body: Column) -> Column:
+    """Array of (kind, text) of a section's body, without empty pieces."""
+    kind = lambda p: F.when(p.startswith(NUMBERED), "numbered").when(p.startswith(BULLET), "bullet").otherwise("paragraph")
+    text = lambda p: _trimmed(F.translate(p, NUMBERED + BULLET + PARAGRAPH, ""))
+    parts = F.transform(F.split(body, CUT), lambda p: F.struct(kind(p).alias("kind"), text(p).alias("text")))
+    return F.filter(parts, lambda p: p["text"] != "")
+
+
+def _html(title: Column, pieces: Column) -> Column:
+    """A section's HTML from its pieces."""
+    tag = lambda p: F.when(p["kind"] == "numbered", "ol").when(p["kind"] == "bullet", "ul")
+    at = lambda i: F.when((i >= 1) & (i <= F.size(pieces)), F.element_at(pieces, F.greatest(i, F.lit(1))))
+
+    def element(p: Column, i: Column) -> Column:
+        listed = p["kind"] != "paragraph"
+        opens = listed & ~F.coalesce(at(i)["kind"] == p["kind"], F.lit(False))
+        closes = listed & ~F.coalesce(F.get(pieces, i + 1)["kind"] == p["kind"], F.lit(False))
+        none = F.lit("")
+        return F.concat(
+            F.when(opens, F.concat(F.lit("<"), tag(p), F.lit(">"))).otherwise(none),
+            F.when(listed, "<li>").otherwise("<p>"),
+            escape_html(p["text"]),
+            F.when(listed, "</li>").otherwise("</p>"),
+            F.when(closes, F.concat(F.lit("</"), tag(p), F.lit(">"))).otherwise(none),
+        )
+
+    head = F.when(F.length(title) > 0, F.concat(F.lit("<h4>"), escape_html(title), F.lit("</h4>"))).otherwise(F.lit(""))
+    return F.concat(head, F.array_join(F.transform(pieces, element), ""))
 
 
 def structure_text(c: ColumnOrName) -> Column:
-    """P18 (with P19 first): text -> HTML fragment, as one Column expression (fine for a
-    page of rows; for whole tables use :func:`with_structured_text`)."""
-    x = escape_html(col(c))
-    return F.when(_has_other_space(x), _structure(x, FULL)).otherwise(_structure(x, FAST))
+    """P18 (with P19): text -> HTML fragment, as one Column expression."""
+    staged = F.transform(_sections(col(c)), lambda s: F.struct(s["title"].alias("title"), _pieces(s["body"]).alias("pieces")))
+    return F.array_join(F.transform(staged, lambda s: _html(s["title"], s["pieces"])), "")
 
 
 def with_structured_text(df: DataFrame, source: str, out: str) -> DataFrame:
-    """P18 over a frame. The escaped text and the "has non-ASCII whitespace" flag are
-    computed once per row in their own projection; each row then runs one chain of regex
-    passes (the fast ASCII one unless it holds other whitespace)."""
-    keep = [c for c in df.columns if c != out]
-    esc = df.select(*keep, escape_html(F.col(source)).alias("__x"))
-    esc = esc.select(*keep, "__x", _has_other_space(F.col("__x")).alias("__u"))
-    x = F.col("__x")
-    html = F.when(F.col("__u"), _structure(x, FULL)).otherwise(_structure(x, FAST))
-    return esc.select(*keep, html.alias(out))
-
-
-def sql_structure_stages(x: str = "x") -> list[str]:
-    """The same chain as DuckDB SQL (oracle side), as a list of stage expressions over a
-    column named ``x``; each stage reads the previous one (use as a chain of CTEs).
-    Replacement groups ``$n`` become ``\\n``."""
-
-    def q(s: str) -> str:
-        return "'" + s.replace("'", "''") + "'"
-
-    def chain(e: str, steps) -> str:
-        for pattern, repl in steps:
-            r = repl
-            for n in range(9, 0, -1):
-                r = r.replace(f"${n}", f"\\{n}")
-            e = f"regexp_replace({e}, {q(pattern)}, {q(r)}, 'g')"
-        return e
-
-    escaped = f"replace(replace(replace(replace({x}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), chr(160), '&nbsp;')"
-    return [
-        chain(escaped, HEADERS),
-        f"CASE WHEN regexp_matches({x}, {q(HAS_NUMBERED)}) THEN {chain(x, NUMBERED)} ELSE {x} END",
-        f"CASE WHEN regexp_matches({x}, {q(HAS_BULLETS)}) THEN {chain(x, BULLETED)} ELSE {x} END",
-        "'<p>' || " + chain(x, PARAGRAPHS) + " || '</p>'",
-        chain(x, CLEANUP),
-    ]
+    """P18 over a frame, each step as a projection of its own."""
+    keep = [F.col(c) for c in df.columns if c != out]
+    staged = df.select(*keep, _sections(F.col(source)).alias("__s"))
+    staged = staged.select(*keep, F.transform("__s", lambda s: F.struct(s["title"].alias("title"), _pieces(s["body"]).alias("pieces"))).alias("__s"))
+    return staged.select(*keep, F.array_join(F.transform("__s", lambda s: _html(s["title"], s["pieces"])), "").alias(out))
+
+
+def text_items(df: DataFrame, id_col: str, source: str) -> DataFrame:
+    """P18, long form: ``id_col, section_no, section, item_no, kind, text``, one row per piece
+    (numbers from 0; the part before the first header has a null section)."""
+    sections = df.select(id_col, F.posexplode(_sections(F.col(source))).alias("section_no", "s"))
+    items = sections.select(id_col, "section_no", F.col("s.title").alias("section"), F.posexplode(_pieces(F.col("s.body"))).alias("item_no", "p"))
+    return items.select(id_col, "section_no", "section", "item_no", F.col("p.kind").alias("kind"), F.col("p.text").alias("text"))

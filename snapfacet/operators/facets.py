@@ -92,12 +92,29 @@ def facet_counts(
     facet_col: str = "facet",
     value_col: str = "value",
     count_col: str = "n",
+    index=None,
+    id_col: str = "id",
 ) -> DataFrame:
     """For every facet value, the number of rows that match all *other* selections.
 
-    One scan: each row carries, per facet, a flag "passes the request without this
-    facet's own filter"; rows explode into (facet, value) pairs, keep pairs whose flag is
-    set, and one grouped count (with map-side partial aggregation) gives all facets."""
+    One scan: filters that no facet leaves out (text, salary, dates, ...) are applied to the rows
+    first, so they reach the scan; then each row carries, per facet, a flag "passes the request
+    without this facet's own filter", rows explode into (facet, value) pairs, keep pairs whose flag
+    is set, and one grouped count (with map-side partial aggregation) gives all facets.
+
+    A text search by ``index`` (modes ``bm25`` and ``auto``) counts the rows that have a score;
+    without an index both modes are the substring search, as in ``search``."""
+    if spec.text and spec.text_mode in ("bm25", "auto"):
+        if index is None:
+            spec = spec.with_(text_mode="literal")
+        else:
+            from .text_index import bm25_scores
+
+            spec = spec.with_(text_mode="bm25")
+            scored = bm25_scores(index, spec.text).select(F.col(index.id_col).alias(id_col))
+            df = df.join(scored, on=id_col, how="left_semi")
+    df = df.where(spec.predicate(skip=(*scalar, *arrays)))
+    spec = spec.with_(text=None)  # applied above, for all facets
     pieces: list[Column] = []
     for c in scalar:
         ok = spec.predicate(skip=(c,))

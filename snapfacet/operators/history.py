@@ -34,12 +34,9 @@ def snapshot_counts(df: DataFrame, key: str, alias: str = "record_count") -> Dat
 def snapshot_gate(incoming: DataFrame, existing: DataFrame, key: str) -> DataFrame:
     """Snapshot keys of ``incoming`` that ``existing`` does not hold yet.
 
-    The gate is tested against the *processed* keys, so a snapshot whose processing failed
-    is taken up again on the next run. The existing side is the list of snapshot keys --
-    one row per snapshot (a few hundred per year of daily snapshots) -- so it is broadcast;
-    the incoming side is de-duplicated map-side first."""
-    keys = F.broadcast(existing.select(key).distinct())
-    return incoming.select(key).distinct().join(keys, on=key, how="left_anti")
+    Both sides are de-duplicated map-side first; how they are joined is left to their measured
+    sizes. A pipeline gates on folder names instead (``plans.pipeline``)."""
+    return incoming.select(key).distinct().join(existing.select(key).distinct(), on=key, how="left_anti")
 
 
 def history_union(frames: Sequence[DataFrame]) -> DataFrame:
@@ -57,18 +54,23 @@ def rekey_plan(files: DataFrame, file_col: str = "file", target_col: str = "targ
     task), joined back on the target.
     """
     f, t = F.col(file_col), F.col(target_col)
-    # (the null-target group gets a keeper too, but a null key never joins back)
-    keepers = files.groupBy(target_col).agg(
+    # files without a target can never share one: they take no part in the join
+    dated, undated = files.where(t.isNotNull()), files.where(t.isNull())
+    keepers = dated.groupBy(target_col).agg(
         F.min(F.struct((f != t).alias("misnamed"), f.alias("name"))).getField("name").alias("_keeper")
     )
-    plan = files.join(keepers, on=target_col, how="left")
-    action = (
-        F.when(t.isNull(), F.lit("SKIP"))
-        .when(f == t, F.lit("SKIP"))
-        .when(f == F.col("_keeper"), F.lit("RENAME"))
-        .otherwise(F.lit("DELETE"))
-    )
-    return plan.select(f, t, action.alias(action_col))
+    plan = dated.join(keepers, on=target_col, how="left")
+    action = F.when(f == t, F.lit("SKIP")).when(f == F.col("_keeper"), F.lit("RENAME")).otherwise(F.lit("DELETE"))
+    return plan.select(f, t, action.alias(action_col)).union(undated.select(f, t, F.lit("SKIP").alias(action_col)))
+
+
+def rekeyed(records: DataFrame, plan: DataFrame, file_col: str = "file", action_col: str = "action", target_col: str = "target") -> DataFrame:
+    """W1, the kept data: the records of files that are not dropped, with their file renamed."""
+    kept = plan.where(F.col(action_col) != "DELETE")
+    name = F.when(F.col(action_col) == "RENAME", F.col(target_col)).otherwise(F.col(file_col))
+    names = kept.select(F.col(file_col).alias("_old"), name.alias("_new"))
+    out = records.join(names, F.col(file_col) == F.col("_old"))
+    return out.select(*(F.col("_new").alias(c) if c == file_col else F.col(c) for c in records.columns))
 
 
 def file_targets(records: DataFrame, file_col: str, order_col: str, date_text_col: str, prefix: str = "", suffix: str = "") -> DataFrame:
@@ -84,29 +86,31 @@ def history_metrics(df: DataFrame, key: str, entity: str) -> DataFrame:
     """Per snapshot, entities present, new (absent from the previous snapshot) and
     gone (present in the previous snapshot, absent now).
 
-    Rows are first reduced to distinct (entity, snapshot) pairs, so the per-entity window
-    holds at most one row per snapshot however many rows an entity has. Snapshot numbers
-    come from the list of snapshot keys (one row per snapshot).
-    """
+    Rows are first reduced to distinct (entity, snapshot) pairs, so the per-entity window holds at
+    most one row per snapshot however many rows an entity has. A pair knows the entity's previous
+    and next snapshot; the snapshots' own neighbours come from the one-row-per-snapshot totals, so
+    the pairs are read once."""
     pairs = df.select(F.col(entity).alias("_e"), F.col(key).alias("_k")).where(F.col("_k").isNotNull()).distinct()
-    keys = pairs.select("_k").distinct()
-    seq = keys.withColumn("_s", F.row_number().over(Window.orderBy("_k")))
-    pairs = pairs.join(seq, "_k")
-    w = Window.partitionBy("_e").orderBy("_s")
-    flagged = pairs.select(
-        "_s",
-        (F.lag("_s").over(w).isNull() | (F.lag("_s").over(w) != F.col("_s") - 1)).cast("int").alias("_new"),
-        (F.lead("_s").over(w).isNull() | (F.lead("_s").over(w) != F.col("_s") + 1)).cast("int").alias("_gone_next"),
-    )
-    # one aggregate gives all three counts; "gone at s" is "gone after s - 1", a shift
-    # over the per-snapshot rows (one row per snapshot, so the window is tiny)
-    per = flagged.groupBy("_s").agg(
-        F.count(F.lit(1)).alias("present"), F.sum("_new").alias("new"), F.sum("_gone_next").alias("_gn")
-    )
-    out = seq.join(per, "_s", "left").withColumn("gone", F.lag("_gn").over(Window.orderBy("_s")))
-    return out.select(
-        F.col("_k").alias(key),
-        F.coalesce("present", F.lit(0)).cast("long").alias("present"),
-        F.coalesce("new", F.lit(0)).cast("long").alias("new"),
-        F.coalesce("gone", F.lit(0)).cast("long").alias("gone"),
-    )
+    w = Window.partitionBy("_e").orderBy("_k")
+    near = pairs.select("_k", F.lag("_k").over(w).alias("_before"), F.lead("_k").over(w).alias("_after"))
+    # how many pairs of a snapshot come from which previous, and go to which next snapshot: at most
+    # one row per pair of snapshots
+    steps = near.groupBy("_k", "_before", "_after").agg(F.count(F.lit(1)).alias("n"))
+    seq = Window.orderBy("_k")  # one row per snapshot
+    keys = steps.select("_k").distinct().select("_k", F.lag("_k").over(seq).alias("_last"), F.lead("_k").over(seq).alias("_next"))
+    known = steps.join(keys, "_k")
+    new = ~F.coalesce(F.col("_before") == F.col("_last"), F.lit(False))
+    left = ~F.coalesce(F.col("_after") == F.col("_next"), F.lit(False))
+    part = lambda test: F.sum(F.when(test, F.col("n")).otherwise(F.lit(0))).cast("long")
+    totals = known.groupBy("_k").agg(F.sum("n").alias("present"), part(new).alias("new"), part(left).alias("_left"))
+    gone = F.coalesce(F.lag("_left").over(seq), F.lit(0)).cast("long")
+    return totals.select(F.col("_k").alias(key), "present", "new", gone.alias("gone"))
+
+
+def days_open(df: DataFrame, key: str, entity: str) -> DataFrame:
+    """Per entity its first and last snapshot, the number of snapshots that hold it, and the
+    days between the first and the last, both counted (a partial aggregate; distinct snapshots
+    only, so an entity with many rows is no heavier)."""
+    pairs = df.select(entity, key).where(F.col(key).isNotNull()).distinct()
+    span = pairs.groupBy(entity).agg(F.min(key).alias("first_seen"), F.max(key).alias("last_seen"), F.count(F.lit(1)).alias("snapshots"))
+    return span.withColumn("days_open", (F.date_diff("last_seen", "first_seen") + 1).cast("long"))

@@ -54,13 +54,15 @@ def contains_any(arr: ColumnOrName, values: Sequence[str]) -> Column:
 
 
 def one_of_two(c: ColumnOrName, chosen: Sequence, domain: Sequence) -> Column | None:
-    """a facet with two values; filter only when exactly one of them is chosen.
+    """a facet with two values; filter only when exactly one value is chosen. A single value
+    outside ``domain`` is a filter like any other (it matches the rows that hold it, so none in a
+    table that keeps to the domain).
 
-    Returns None (= no predicate, null rows pass) when none or both are chosen."""
-    picked = [v for v in domain if v in set(chosen)]
-    if len(picked) != 1:
+    Returns None (= no predicate, null rows pass) when none or all of the domain are chosen."""
+    picked = list(dict.fromkeys(chosen))
+    if not picked or set(domain) <= set(picked):
         return None
-    return col(c) == F.lit(picked[0])
+    return col(c).isin(picked)
 
 
 def tri_state(c: ColumnOrName, want_true: bool, want_false: bool) -> Column | None:
@@ -252,7 +254,6 @@ class SearchSpec:
 # Fixed values of the postings page (must equal the reference's choices).
 POSTING_TYPES = ("Internal", "External")
 CAREER_LEVELS = ("Entry-Level", "Experienced (non-manager)", "Manager", "Executive")
-DATE_PRESETS = ("", "7", "30", "90", "custom")
 SORTABLE_COLUMNS = (
     "business_title",
     "agency",

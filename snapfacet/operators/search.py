@@ -71,32 +71,6 @@ def last_page(
     return out.orderBy(*backwards).limit(int(rows_on_last)).orderBy(*order_columns(order_by, descending, tiebreak))
 
 
-def page_from_nearer_end(
-    df: DataFrame,
-    predicate: Column | None,
-    order_by: ColumnOrName,
-    descending: bool,
-    limit: int,
-    offset: int,
-    total_rows: int,
-    tiebreak: Sequence[str] = (),
-) -> DataFrame:
-    """T1/T4 with a known total: a page in the back half of the result is read from the
-    other end of the order, so the top-k keeps ``min(offset, total - offset) + limit`` rows
-    per task instead of ``offset + limit``. Same rows, same order as :func:`page`."""
-    if offset + limit <= total_rows - offset or offset >= total_rows:
-        return page(df, predicate, order_by, descending, limit, offset, tiebreak)
-    out = df if predicate is None else df.where(predicate)
-    take = min(limit, total_rows - offset)
-    back_offset = total_rows - offset - take
-    k = col(order_by)
-    backwards = [k.asc_nulls_first() if descending else k.desc_nulls_first()] + [col(t).desc_nulls_first() for t in tiebreak]
-    rev = out.orderBy(*backwards)
-    if back_offset:
-        rev = rev.offset(int(back_offset))
-    return rev.limit(int(take)).orderBy(*order_columns(order_by, descending, tiebreak))
-
-
 def total(df: DataFrame, predicate: Column | None, alias: str = "total") -> DataFrame:
     """A1: number of rows under the same predicate as the page (one row)."""
     out = df if predicate is None else df.where(predicate)

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.common import col
-from ..session import ensure_parallelism
+from ..session import scratch
 
 K1 = 1.2
 B = 0.75
@@ -129,19 +129,21 @@ class TextIndex:
     stop_words: tuple = ()
     stemmer: bool = False
 
-    def save(self, path: str, partitions: int | None = None) -> "TextIndex":
-        """Write the three tables; postings sorted by term for row-group skipping. The range
-        key is (term, id), not term alone: a term held by a third of all documents is then
-        spread over many writer tasks instead of landing in one partition."""
+    def save(self, path: str, rows_per_file: int = 20_000_000) -> "TextIndex":
+        """Write the three tables. The text is tokenised once, for postings that are staged as
+        they come; their number decides into how many files of ``rows_per_file`` they are sorted by
+        (term, id). Not by term alone: a term held by a third of all documents is then spread over
+        many writer tasks. The terms are counted from the stored postings, and stored in order."""
         spark = self.postings.sparkSession
-        n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        (
-            self.postings.repartitionByRange(n, "term", self.id_col)
-            .sortWithinPartitions("term", self.id_col)
-            .write.mode("overwrite")
-            .parquet(f"{path}/postings")
-        )
-        self.terms.write.mode("overwrite").parquet(f"{path}/terms")
+        staged = scratch(spark, "postings")
+        self.postings.write.parquet(staged)
+        postings = spark.read.parquet(staged)
+        files = max(1, math.ceil(postings.count() / rows_per_file))
+        spread = postings.repartitionByRange(files, "term", self.id_col)
+        spread.sortWithinPartitions("term", self.id_col).write.mode("overwrite").parquet(f"{path}/postings")
+        stored = spark.read.parquet(f"{path}/postings")
+        terms = stored.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+        terms.orderBy("term").write.mode("overwrite").parquet(f"{path}/terms")
         meta = spark.createDataFrame(
             [(self.n_docs, float(self.avgdl), self.id_col, list(self.stop_words), self.stemmer)],
             "n_docs long, avgdl double, id_col string, stop_words array<string>, stemmer boolean",
@@ -216,7 +218,7 @@ def postings_frame(
     Every document is one row, so its term counts are computed inside the row
     (``term_counts``) and exploded: building postings moves no data between tasks. Only the
     optional stemming re-aggregates (stems of different words of one document merge)."""
-    df = ensure_parallelism(df.select(id_col, *columns))
+    df = df.select(id_col, *columns)
     sw = list(stop_words or ())
     words = F.split(normalized_text(columns), TOKEN_SPLIT)
     keep = (lambda t: (t != F.lit("")) & ~t.isin(sw)) if sw else (lambda t: t != F.lit(""))
@@ -254,7 +256,7 @@ def build_text_index(
     terms = post.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     _, length = _tokens_and_length(columns, sw)
     stats = (
-        ensure_parallelism(df.select(*columns))
+        df.select(*columns)
         .select(length.alias("dl"))
         .agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl"))
         .first()

@@ -1,9 +1,11 @@
 """Pipeline jobs: G2 (process latest), G3 (reprocess all), G4 (rebuild history).
 
-Folder layout: see ``sources.snapshots``. All snapshots of a run are transformed in one
-job and written with one dynamic partition overwrite: no delete-first, so readers never
-see a gap, and a failed run leaves the previous partitions in place. The state is written
-last.
+Folder layout and snapshot keys: see ``sources.snapshots``. The gate compares folder names: new
+are the landed snapshots without a processed folder. Their keys are a partition filter on the raw
+scan, so a daily run reads the raw files of the new snapshots, once, and not the history. All
+snapshots of a run are transformed in one job and written with one dynamic partition overwrite: no
+delete-first, so readers never see a gap, and a failed run leaves the previous partitions in
+place. The state is written last and never goes back to an older snapshot.
 """
 
 from __future__ import annotations
@@ -14,7 +16,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.history import snapshot_gate
 from ..sources import snapshots as SRC
 from .transform import history_columns, transform_postings
 
@@ -26,30 +27,19 @@ class RunResult:
     records: int
 
 
-def _raw(spark: SparkSession, root: str) -> DataFrame:
-    return SRC.read_raw_snapshot(spark, f"{root}/raw")
+def index_path(root: str, snapshot: str) -> str:
+    return f"{root}/index/{SRC.SNAPSHOT}={snapshot}"
 
 
-def _processed_keys(spark: SparkSession, root: str) -> DataFrame:
-    try:
-        return SRC.read_processed(spark, root).select(F.col(SRC.PROCESSED_KEY).alias(SRC.RAW_KEY)).distinct()
-    except Exception:  # noqa: BLE001 - nothing processed yet
-        return spark.createDataFrame([], f"{SRC.RAW_KEY} date")
-
-
-def index_path(root: str, day) -> str:
-    return f"{root}/index/{SRC.PROCESSED_KEY}={day.isoformat()}"
-
-
-def build_snapshot_index(spark: SparkSession, root: str, day, stemmer: bool = True, stop_words: bool = True):
+def build_snapshot_index(spark: SparkSession, root: str, snapshot: str, stemmer: bool = True, stop_words: bool = True):
     """The full-text index of one processed snapshot, built in the pipeline (the
     reference builds it in the browser on every page load) and stored next to the data."""
     from ..operators import text_index as X
     from ..schema import INDEX_COLUMNS
 
-    rows = SRC.read_processed(spark, root).where(F.col(SRC.PROCESSED_KEY) == F.lit(day))
+    rows = spark.read.parquet(f"{root}/processed").where(F.col(SRC.SNAPSHOT) == F.lit(snapshot))
     sw = X.english_stop_words() if stop_words else None
-    return X.build_text_index(rows, "id", INDEX_COLUMNS, sw, stemmer).save(index_path(root, day))
+    return X.build_text_index(rows, "id", INDEX_COLUMNS, sw, stemmer).save(index_path(root, snapshot))
 
 
 def load_latest_index(spark: SparkSession, root: str):
@@ -57,64 +47,84 @@ def load_latest_index(spark: SparkSession, root: str):
     from ..operators.text_index import TextIndex
 
     st = SRC.read_state(spark, root).first()
-    if st is None or st["source_updated_at"] is None:
-        raise ValueError("state has no source_updated_at: nothing processed yet")
-    return TextIndex.load(spark, index_path(root, st["source_updated_at"].date()))
-
-
-def _finish(spark, root, new_rows: DataFrame, full_history: bool, fetched_at=None, build_index: bool = False) -> RunResult:
-    SRC.write_processed(new_rows, root)
+    if st is None or st["snapshot"] is None:
+        raise ValueError("state names no snapshot: nothing dated processed yet")
+    return TextIndex.load(spark, index_path(root, st["snapshot"]))
+
+
+def _order(snapshot: str):
+    """Snapshots by the time they name; those that name none come first."""
+    time = SRC.snapshot_time(snapshot)
+    return (time is not None, time or dt.datetime.min, snapshot)
+
+
+def _process(
+    spark: SparkSession,
+    root: str,
+    keys: list[str],
+    full_history: bool,
+    fetched_at: dt.datetime | None,
+    build_index: bool,
+    lenient: bool,
+    multiline: bool,
+) -> RunResult:
+    raw = SRC.read_raw(spark, root, multiline, keys)
+    SRC.write_processed(transform_postings(raw, lenient=lenient, carry=(SRC.SNAPSHOT,)), root)
     # Counts per written snapshot: the keys are partition folders, the count reads only
     # Parquet footers. One row per snapshot comes back to the driver.
-    touched = new_rows.select(SRC.PROCESSED_KEY).distinct()
-    written = SRC.read_processed(spark, root).join(F.broadcast(touched), SRC.PROCESSED_KEY, "left_semi")
-    counts = written.groupBy(SRC.PROCESSED_KEY).agg(F.count(F.lit(1)).alias("n")).collect()
-    hist_src = SRC.read_processed(spark, root)
-    if not full_history:
-        keys = [r[SRC.PROCESSED_KEY] for r in counts]
-        hist_src = hist_src.where(F.col(SRC.PROCESSED_KEY).isin(keys))
-    SRC.write_history(history_columns(hist_src), root, full=full_history)
-    newest = max((r[SRC.PROCESSED_KEY] for r in counts), default=None)
-    newest_count = next((r["n"] for r in counts if r[SRC.PROCESSED_KEY] == newest), None)
+    stored = spark.read.parquet(f"{root}/processed")
+    written = stored.where(F.col(SRC.SNAPSHOT).isin(keys))
+    counts = written.groupBy(F.col(SRC.SNAPSHOT).cast("string").alias("k")).agg(F.count(F.lit(1)).alias("n")).collect()
+    records = {r["k"]: int(r["n"]) for r in counts}
+    SRC.write_history(history_columns(stored if full_history else written), root, full=full_history)
+    before = SRC.read_state(spark, root).first()
+    newest = max((k for k in keys if SRC.snapshot_time(k)), key=_order, default=None)
     if build_index and newest is not None:
         build_snapshot_index(spark, root, newest)
+    if before["snapshot"] is not None and (newest is None or _order(before["snapshot"]) > _order(newest)):
+        newest, count = before["snapshot"], before["record_count"]  # a late snapshot does not move the state back
+    else:
+        count = records.get(newest, 0) if newest is not None else None
     now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    if newest is not None:
-        SRC.write_state(
-            spark,
-            root,
-            dt.datetime.combine(newest, dt.time()),
-            fetched_at or now,
-            now,
-            int(newest_count) if newest_count is not None else None,
-        )
-    return RunResult("OK", sorted(r[SRC.PROCESSED_KEY] for r in counts), int(sum(r["n"] for r in counts)))
+    time = SRC.snapshot_time(newest) if newest is not None else None
+    SRC.write_state(spark, root, time, fetched_at or before["last_fetched_at"] or now, now, count, newest)
+    return RunResult("OK", sorted(keys), sum(records.values()))
 
 
-def run_latest(spark: SparkSession, root: str, lenient: bool = False, build_index: bool = False) -> RunResult:
-    """Process every landed raw snapshot that has no processed partition yet.
+def run_latest(
+    spark: SparkSession,
+    root: str,
+    lenient: bool = False,
+    build_index: bool = False,
+    multiline: bool = False,
+    fetched_at: dt.datetime | None = None,
+) -> RunResult:
+    """Process every landed raw snapshot that has no processed folder yet.
 
     The gate tests the *processed* keys (not the raw ones), so a snapshot whose processing
-    failed is taken up again by the next run."""
-    raw = SRC.with_snapshot_partition(_raw(spark, root))
-    new_keys = snapshot_gate(raw, _processed_keys(spark, root), SRC.RAW_KEY)
-    if not new_keys.take(1):
+    failed is taken up again by the next run. ``multiline`` reads JSON array files."""
+    done = set(SRC.list_keys(spark, f"{root}/processed"))
+    keys = [k for k in SRC.list_keys(spark, f"{root}/raw") if k not in done]
+    if not keys:
         return RunResult("No new data", [], 0)
-    todo = raw.join(new_keys, on=SRC.RAW_KEY, how="left_semi").drop(SRC.RAW_KEY)
-    return _finish(spark, root, transform_postings(todo, lenient=lenient), full_history=False, build_index=build_index)
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    return _process(spark, root, keys, False, fetched_at or now, build_index, lenient, multiline)
 
 
-def reprocess_all(spark: SparkSession, root: str, lenient: bool = False, build_index: bool = False) -> RunResult:
-    """Every raw snapshot again, history rebuilt, state from the newest."""
-    raw = _raw(spark, root)
-    if not raw.take(1):
+def reprocess_all(
+    spark: SparkSession, root: str, lenient: bool = False, build_index: bool = False, multiline: bool = False
+) -> RunResult:
+    """Every raw snapshot again, history rebuilt, state from the newest. The time of the last
+    fetch stays: nothing was fetched."""
+    keys = SRC.list_keys(spark, f"{root}/raw")
+    if not keys:
         return RunResult("No raw files to process", [], 0)
-    rows = transform_postings(raw.drop(SRC.RAW_KEY) if SRC.RAW_KEY in raw.columns else raw, lenient=lenient)
-    res = _finish(spark, root, rows, full_history=True, build_index=build_index)
+    res = _process(spark, root, keys, True, None, build_index, lenient, multiline)
     res.message = f"Reprocessed {len(res.snapshots)} snapshots"
     return res
 
 
-def rebuild_history(spark: SparkSession, root: str) -> None:
+def rebuild_history(spark: SparkSession, root: str) -> DataFrame:
     """The history table from all processed snapshots."""
     SRC.write_history(history_columns(SRC.read_processed(spark, root)), root, full=True)
+    return SRC.read_history(spark, root)

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from ..functions import casts, labels
 from ..functions.identity import row_hash
 from ..functions.phrases import longest_first_pattern, split_known_phrases
-from ..functions.text_format import sql_structure_stages, with_structured_text
+from ..functions.text_format import text_items, with_structured_text
 from ..operators.export import visible_columns, with_defaults
-from ..session import ensure_parallelism, table
+from ..session import table
 from .registry import register
 
 # ---------------------------------------------------------------------------
@@ -41,7 +41,7 @@ _PHRASE_TEXT_SQL = """
 
 
 def _phrase_text(spark, sf_dir):
-    o = table(spark, sf_dir, "orders", spread=True)
+    o = table(spark, sf_dir, "orders")
     c = table(spark, sf_dir, "customer")
     j = o.join(c, o.o_custkey == c.c_custkey)
     return j.select("o_orderkey", F.concat_ws(" ", "o_orderstatus", "o_orderpriority", "c_mktsegment").alias("text"))
@@ -330,17 +330,45 @@ _SECTIONS_INPUT_SQL = """
 """
 
 
-def _sections_sql() -> str:
-    stages = sql_structure_stages("x")
-    ctes = ["s0 AS (" + _SECTIONS_INPUT_SQL + ")"]
-    for i, e in enumerate(stages, start=1):
-        ctes.append(f"s{i} AS (SELECT doc_id, {e} AS x FROM s{i - 1})")
-    return "WITH " + ",\n".join(ctes) + f"\nSELECT doc_id, x AS html, length(x) AS html_len FROM s{len(stages)}"
+# Written by hand, apart from the implementation: boundaries are found one after the other in SQL,
+# list tags come from the neighbouring rows.
+_WS = "[\\t-\\r \\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}\\x{FEFF}]"
+_ITEMS_SQL = f"""
+WITH input AS ({_SECTIONS_INPUT_SQL}),
+  a AS (SELECT doc_id, regexp_replace(x, '{_WS}{{2,}}([A-Za-z ]{{1,30}}):{_WS}{{2,}}', chr(1) || '\\1' || chr(2), 'g') AS x FROM input),
+  b AS (SELECT doc_id, CASE WHEN regexp_matches(x, '(^{_WS}*|{_WS}{{2,}}|\x02)1\.{_WS}')
+      THEN regexp_replace(x, '(^{_WS}*|{_WS}{{2,}}|;{_WS}+or{_WS}+|\x02)[0-9]+\.{_WS}', '\\1' || chr(6) || chr(3), 'g') ELSE x END AS x FROM a),
+  c AS (SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(x, ';{_WS}+or{_WS}+\x06', chr(6), 'g'),
+      '[·§•]', chr(6) || chr(4), 'g'), '{_WS}{{3,}}', chr(6) || chr(5), 'g') AS x FROM b),
+  s AS (SELECT doc_id, unnest(string_split(x, chr(1))) AS s, generate_subscripts(string_split(x, chr(1)), 1) - 1 AS section_no FROM c),
+  t AS (SELECT doc_id, section_no, CASE WHEN section_no > 0 THEN trim(string_split(s, chr(2))[1], ' ') END AS section,
+      string_split(CASE WHEN section_no > 0 THEN substr(s, strpos(s, chr(2)) + 1) ELSE s END, chr(6)) AS parts FROM s),
+  p AS (SELECT doc_id, section_no, section, unnest(parts) AS part, generate_subscripts(parts, 1) AS k FROM t),
+  q AS (SELECT doc_id, section_no, section, k,
+      CASE substr(part, 1, 1) WHEN chr(3) THEN 'numbered' WHEN chr(4) THEN 'bullet' ELSE 'paragraph' END AS kind,
+      regexp_replace(regexp_replace(part, '[\x03\x04\x05]', '', 'g'), '^{_WS}+|{_WS}+$', '', 'g') AS text FROM p),
+  items AS (SELECT doc_id, section_no, section, row_number() OVER (PARTITION BY doc_id, section_no ORDER BY k) - 1 AS item_no, kind, text
+      FROM q WHERE text <> '')
+"""
+_ESCAPED = "replace(replace(replace(replace({0}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), chr(160), '&nbsp;')"
+_HTML_SQL = (
+    _ITEMS_SQL
+    + f"""
+  , tags AS (SELECT *, CASE kind WHEN 'numbered' THEN 'ol' WHEN 'bullet' THEN 'ul' END AS tag,
+      lag(kind) OVER w AS before, lead(kind) OVER w AS after FROM items WINDOW w AS (PARTITION BY doc_id, section_no ORDER BY item_no)),
+  el AS (SELECT doc_id, section_no, item_no,
+      CASE WHEN tag IS NOT NULL AND before IS DISTINCT FROM kind THEN '<' || tag || '>' ELSE '' END
+      || CASE WHEN tag IS NULL THEN '<p>' ELSE '<li>' END || {_ESCAPED.format("text")} || CASE WHEN tag IS NULL THEN '</p>' ELSE '</li>' END
+      || CASE WHEN tag IS NOT NULL AND after IS DISTINCT FROM kind THEN '</' || tag || '>' ELSE '' END AS h FROM tags
+    UNION ALL SELECT doc_id, section_no, -1, '<h4>' || {_ESCAPED.format("section")} || '</h4>' FROM t WHERE section <> ''),
+  html AS (SELECT doc_id, string_agg(h, '' ORDER BY section_no, item_no) AS html FROM el GROUP BY doc_id)
+SELECT input.doc_id, coalesce(html, '') AS html, length(coalesce(html, '')) AS html_len FROM input LEFT JOIN html USING (doc_id)
+"""
+)
 
 
-@register("text_sections", _sections_sql())
-def text_sections(spark, sf_dir):
-    d = ensure_parallelism(table(spark, sf_dir, "documents").select("doc_id", "lang", "text"))
+def _sections_input(spark, sf_dir):
+    d = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     lang = F.col("lang")
     x = F.concat(
         F.lit("  Overview:  "),
@@ -348,10 +376,20 @@ def text_sections(spark, sf_dir):
         F.when(lang.isin("en", "fr"), F.lit("  1. first item; or 2. second item  3. third item")).otherwise(F.lit("")),
         F.when(lang.isin("de", "fr"), F.lit("  Details:  · one & two · three <b>")).otherwise(F.lit("")),
     )
-    staged = with_structured_text(d.select("doc_id", x.alias("x")), "x", "html")
+    return d.select("doc_id", x.alias("x"))
+
+
+@register("text_sections", _HTML_SQL)
+def text_sections(spark, sf_dir):
+    staged = with_structured_text(_sections_input(spark, sf_dir), "x", "html")
     return staged.select("doc_id", "html", F.length("html").alias("html_len"))
 
 
+@register("text_sections_long", _ITEMS_SQL + "SELECT doc_id, section_no, section, item_no, kind, text FROM items")
+def text_sections_long(spark, sf_dir):
+    return text_items(_sections_input(spark, sf_dir), "doc_id", "x")
+
+
 # ---------------------------------------------------------------------------
 # P12 P20 export defaults and visible columns
 # ---------------------------------------------------------------------------

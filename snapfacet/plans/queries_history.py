@@ -11,7 +11,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from ..operators import history as H
-from ..session import table
+from ..session import scratch, table
 from ..sources import snapshots as SRC
 from .registry import register
 
@@ -28,14 +28,12 @@ def _events_by_day(spark, sf_dir):
     """,
 )
 def history_union(spark, sf_dir):
-    e = _events_by_day(spark, sf_dir)
-    # one frame per snapshot family (here: per event type), put back together by name
-    kinds = ["click", "view", "purchase", "signup", "error"]
-    parts = [e.where(F.col("event_type") == k) for k in kinds]
-    rest = e.where(~F.col("event_type").isin(kinds) | F.col("event_type").isNull())
+    """Snapshots written one by one as partitioned files and read back as one table."""
     from ..plans.transform import history_columns
 
-    return history_columns(H.history_union(parts + [rest]), exclude=("props",))
+    root = scratch(spark, "history")
+    _events_by_day(spark, sf_dir).withColumn(SRC.SNAPSHOT, F.col("day").cast("string")).write.partitionBy(SRC.SNAPSHOT).parquet(f"{root}/processed")
+    return history_columns(SRC.read_processed(spark, root), exclude=("props", SRC.SNAPSHOT))
 
 
 @register(
@@ -102,15 +100,18 @@ _REKEY_FILES_SQL = """
     """,
 )
 def rekey_plan(spark, sf_dir):
+    rec = _rekey_records(spark, sf_dir)
+    return H.rekey_plan(H.file_targets(rec, "file", "event_id", "process_date", prefix="raw/", suffix=".json"))
+
+
+def _rekey_records(spark, sf_dir):
     e = table(spark, sf_dir, "events")
     day_text = F.date_format("ts", "yyyy-MM-dd'T'00:00:00.000")
     file = F.when(
         F.col("user_id") == 0,
         F.concat(F.lit("raw/"), F.date_format("ts", "yyyy-MM-dd'T'00:00:00"), F.lit("+00:00.json")),
     ).otherwise(F.concat(F.lit("raw/u"), F.col("user_id").cast("string"), F.lit("-"), F.date_format("ts", "yyyy-MM-dd"), F.lit(".json")))
-    rec = e.select("event_id", day_text.alias("process_date"), file.alias("file"))
-    files = H.file_targets(rec, "file", "event_id", "process_date", prefix="raw/", suffix=".json")
-    return H.rekey_plan(files)
+    return e.select("event_id", day_text.alias("process_date"), file.alias("file"))
 
 
 @register(
@@ -132,6 +133,33 @@ def history_metrics(spark, sf_dir):
     return H.history_metrics(_events_by_day(spark, sf_dir), "day", "user_id")
 
 
+@register(
+    "days_open",
+    """
+    SELECT user_id, min(d) AS first_seen, max(d) AS last_seen, count(*) AS snapshots, CAST(max(d) - min(d) + 1 AS BIGINT) AS days_open
+    FROM (SELECT DISTINCT user_id, CAST(ts AS DATE) AS d FROM events) GROUP BY user_id
+    """,
+)
+def days_open(spark, sf_dir):
+    return H.days_open(_events_by_day(spark, sf_dir), "day", "user_id")
+
+
+@register(
+    "rekeyed_records",
+    _REKEY_FILES_SQL
+    + """
+    SELECT r.event_id, CASE WHEN f.file = f.target OR f.target IS NULL THEN f.file ELSE f.target END AS file
+    FROM rec r JOIN files f ON r.file = f.file LEFT JOIN keep k ON f.target = k.target
+    WHERE f.target IS NULL OR f.file = f.target OR f.file = k.keeper
+    """,
+)
+def rekeyed_records(spark, sf_dir):
+    """The records that stay after the re-key, under their new file names."""
+    rec = _rekey_records(spark, sf_dir)
+    plan = H.rekey_plan(H.file_targets(rec, "file", "event_id", "process_date", prefix="raw/", suffix=".json"))
+    return H.rekeyed(rec, plan).select("event_id", "file")
+
+
 @register(
     "adhoc_sql",
     """
@@ -153,7 +181,17 @@ def adhoc_sql(spark, sf_dir):
 def intake_stream(spark, sf_dir):
     """The events land as JSON files per day; a file stream with availableNow takes
     them in batch by batch and writes day partitions (idempotent per day)."""
-    from ..streaming.intake import run_intake_once
+    return _intake(spark, sf_dir, 1)
+
+
+@register("intake_twice", "SELECT event_id, user_id, event_type, CAST(ts AS DATE) AS day FROM events")
+def intake_twice(spark, sf_dir):
+    """Every snapshot landed and taken in twice is there once."""
+    return _intake(spark, sf_dir, 2)
+
+
+def _intake(spark, sf_dir, times):
+    from ..streaming.intake import run_intake
 
     e = _events_by_day(spark, sf_dir).select(
         F.col("event_id").cast("string").alias("event_id"),
@@ -162,4 +200,4 @@ def intake_stream(spark, sf_dir):
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS").alias("process_date"),
         "day",
     )
-    return run_intake_once(spark, e, key="day")
+    return run_intake(spark, e, key="day", times=times)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import predicates as P
 from ..operators import search as S
 from ..operators import text_index as X
-from ..session import table
+from ..session import scratch, table
 from .registry import register
 
 INDEX_COLUMNS = ("text", "source")
@@ -44,30 +44,10 @@ def _documents(spark, sf_dir):
     return table(spark, sf_dir, "documents")
 
 
-_SAVED: dict = {}
-
-
 def _index(spark, sf_dir, stop_words=None, stemmer=False):
-    """The index of ``documents``, built once per session and table and kept as Parquet in
-    the shared checkpoint folder (the reference also builds its index once and reuses it
-    for every search while the page lives). Index building itself is measured by the
-    ``index_postings`` / ``index_stats`` queries."""
-    import os
-    import uuid
-
-    from ..session import ensure_checkpoint_dir
-
-    src = f"{sf_dir.rstrip('/')}/documents.parquet"
-    try:
-        stamp = os.stat(src).st_mtime_ns
-    except OSError:
-        stamp = None
-    key = (spark.sparkContext.applicationId, src, stamp, tuple(stop_words or ()), stemmer)
-    if key not in _SAVED:
-        built = X.build_text_index(_documents(spark, sf_dir), "doc_id", INDEX_COLUMNS, stop_words, stemmer)
-        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/snapfacet-index-{uuid.uuid4().hex}"
-        _SAVED[key] = built.save(path)
-    return _SAVED[key]
+    """The index of ``documents``, built for this query and stored under a path of its own."""
+    built = X.build_text_index(_documents(spark, sf_dir), "doc_id", INDEX_COLUMNS, stop_words, stemmer)
+    return built.save(scratch(spark, "index"))
 
 
 @register("index_postings", "WITH " + _TOKENS_SQL + " SELECT term, doc_id, tf, dl FROM post")

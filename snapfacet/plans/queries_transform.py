@@ -127,8 +127,8 @@ def _oracle_sql() -> str:
     )
 
 
-def _raw_frame(spark, sf_dir):
-    o = table(spark, sf_dir, "orders", spread=True).alias("o")
+def raw_frame(spark, sf_dir):
+    o = table(spark, sf_dir, "orders").alias("o")
     c = table(spark, sf_dir, "customer").alias("c")
     j = o.join(c, F.col("o.o_custkey") == F.col("c.c_custkey"))
     cats = F.array(*[F.lit(x) for x in JOB_CATEGORIES])
@@ -169,7 +169,7 @@ def _raw_frame(spark, sf_dir):
 
 def postings_frame(spark, sf_dir):
     """Processed postings built from the driver tables (the transform's output)."""
-    return transform_postings(_raw_frame(spark, sf_dir))
+    return transform_postings(raw_frame(spark, sf_dir))
 
 
 @register("transform_snapshot", _oracle_sql())

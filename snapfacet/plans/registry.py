@@ -146,4 +146,4 @@ def search_sort_asc_nulls(spark, sf_dir):
 
 
 # The query families register themselves on import.
-from . import queries_columns, queries_filters, queries_history, queries_postings, queries_text, queries_transform  # noqa: E402,F401
+from . import queries_columns, queries_filters, queries_history, queries_pipeline, queries_postings, queries_text, queries_transform  # noqa: E402,F401

@@ -46,12 +46,14 @@ def transform_postings(
     phrase_mode: str = "longest",
     vocabulary: Sequence[str] = JOB_CATEGORIES,
     with_content_id: bool = False,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """Raw snapshot -> processed rows.
 
     ``lenient``: bad numbers and dates give null instead of failing the job (the strict
     default is the reference's behaviour). ``phrase_mode``: ``longest`` (fixed) or
-    ``chained`` (reference behaviour, see ``functions.phrases``).
+    ``chained`` (reference behaviour, see ``functions.phrases``). ``carry``: further columns of
+    ``raw`` that are handed on beside the 28 (and are not part of the row hash).
     """
     cols = [F.col(c) for c in TEXT_KEEP]
     cols += [
@@ -65,18 +67,18 @@ def transform_postings(
         casts.timestamp_text_to_date("posting_updated", lenient).alias("posting_updated_date"),
         casts.timestamp_text_to_date("process_date", lenient).alias("processed_date"),
     ]
-    renamed = raw.select(*cols)
+    renamed = raw.select(*cols, *carry)
     added = renamed.select(
         "*",
         casts.equals_flag("title_classification", EXAM_CLASSIFICATION).alias("requires_exam"),
         casts.equals_flag("full_time_part_time_indicator", FULL_TIME_INDICATOR).alias("is_full_time"),
         split_known_phrases("job_category", vocabulary, phrase_mode).alias("job_categories"),
     )
-    body = added.columns
+    body = [c for c in added.columns if c not in carry]
     out = [row_hash(body, added).alias("id")]
     if with_content_id:
         out.append(row_hash([c for c in body if c != "processed_date"], added).alias("content_id"))
-    return added.select(*out, *body)
+    return added.select(*out, *body, *carry)
 
 
 def history_columns(df: DataFrame, exclude: Sequence[str] = LONG_TEXT_COLUMNS) -> DataFrame:

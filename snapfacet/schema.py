@@ -116,5 +116,6 @@ STATE = T.StructType(
         T.StructField("last_fetched_at", T.TimestampType(), True),
         T.StructField("last_processed_at", T.TimestampType(), True),
         T.StructField("record_count", T.LongType(), True),
+        T.StructField("snapshot", T.StringType(), True),
     ]
 )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,49 +53,29 @@ def apply_conf(spark: SparkSession) -> SparkSession:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's checkpoint directory; only when none is set (tests, local runs)
-    create a scratch one. On a cluster ``spark.checkpoint.dir`` names a shared folder."""
+    """The checkpoint directory: the one the cluster names in ``spark.checkpoint.dir``. Only a
+    local session without one (tests, trial runs) gets a scratch folder; on a cluster a folder of
+    one machine would lose data, so there it is an error."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        if not sc.getCheckpointDir():
-            sc.setCheckpointDir(current)
-        return current
-    path = tempfile.mkdtemp(prefix="snapfacet-ckpt-")
-    sc.setCheckpointDir(path)
-    return path
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def table(spark: SparkSession, sf_dir: str, name: str, spread: bool | None = None) -> DataFrame:
-    """A driver table. With ``spread`` (for CPU-heavy per-row work; default from
-    ``SNAPFACET_SPREAD``) an input stored as fewer partitions than task slots is spread
-    first (see ``ensure_parallelism``); inputs that already split into many scan tasks are
-    returned as they are. Light queries (filters, top-k, counts) do better without it."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    if spread if spread is not None else os.environ.get("SNAPFACET_SPREAD", "0") == "1":
-        df = ensure_parallelism(df)
-    return df
-
-
-def ensure_parallelism(df: DataFrame, factor: int = 2) -> DataFrame:
-    """Spread rows over the task slots before CPU-heavy per-row work (tokenising, regex
-    chains) -- but only when the input has fewer partitions than slots, e.g. a table
-    stored as one small file. Large inputs already split into many scan tasks and are
-    returned unchanged, so no extra shuffle is added at scale."""
-    try:
-        slots = df.sparkSession.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()  # plans the scan, runs nothing
-    except Exception:  # noqa: BLE001 - no RDD access (e.g. Spark Connect): leave as is
-        return df
-    if parts < slots:
-        return df.repartition(slots * factor)
-    return df
+    if not current:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        current = tempfile.mkdtemp(prefix="snapfacet-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(current)
+    return current
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder name under the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/snapfacet-{name}-{uuid.uuid4().hex}"
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table. How many tasks read it is a matter of the scan settings
+    (``spark.sql.files.maxPartitionBytes``), not of this library."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 _SHIPPED: set = set()

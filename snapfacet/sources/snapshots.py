@@ -2,14 +2,16 @@
 
 Layout under a root folder (any Hadoop file system: local, HDFS, object stores)::
 
-    raw/process_date=YYYY-MM-DD/part-*.json          one JSON object per line
-    processed/processed_date=YYYY-MM-DD/part-*.parquet
-    history/processed_date=YYYY-MM-DD/part-*.parquet  processed minus long texts
-    state/part-*.json                                 one-row pipeline state
-
-Snapshot keys are partition directories, not file names with colons (those break Hadoop
-globbing). Large snapshots must be landed as JSON lines: a single JSON array file can only
-be read by one task.
+    raw/snapshot=<key>/part-*.json            one JSON object per line, or one JSON array
+    processed/snapshot=<key>/part-*.parquet
+    history/snapshot=<key>/part-*.parquet     processed minus long texts
+    state/part-*.json                         one-row pipeline state
+
+The key of a snapshot is the full timestamp of its process date (``2026-01-26T00-00-00``: colons
+break Hadoop globbing), so two snapshots of one day are two snapshots; records without a date land
+under ``undated``. All tables are partitioned by that key, so the gate compares folder names and a
+run reads the folders of new snapshots only. Large snapshots must be landed as JSON lines: a JSON
+array file can only be read by one task.
 """
 
 from __future__ import annotations
@@ -17,18 +19,51 @@ from __future__ import annotations
 import datetime as dt
 from typing import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import RAW, STATE
 
-RAW_KEY = "process_date_key"
-PROCESSED_KEY = "processed_date"
+SNAPSHOT = "snapshot"
+UNDATED = "undated"
 CORRUPT_COL = "_bad"
-# Fixed values of the source pull: page size and the largest JSON object accepted.
+# Fixed value of the source pull: page size.
 PAGE_SIZE = 10_000
-MAX_OBJECT_BYTES = 33_554_432
+
+
+def snapshot_key_of(date_text: Column) -> Column:
+    """The snapshot key of a process date text (``undated`` where it is null or empty)."""
+    whole = F.replace(F.substring_index(F.trim(date_text), ".", 1), F.lit(":"), F.lit("-"))
+    return F.when(F.length(F.trim(date_text)) > 0, whole).otherwise(F.lit(UNDATED))
+
+
+def snapshot_time(key: str) -> dt.datetime | None:
+    """The time that a snapshot key names; None for other keys (``undated``)."""
+    day, _, clock = key.partition("T")
+    try:
+        return dt.datetime.fromisoformat(f"{day}T{clock.replace('-', ':')}" if clock else day)
+    except ValueError:
+        return None
+
+
+def _missing(error: AnalysisException) -> bool:
+    return (error.getCondition() or "").startswith(("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"))
+
+
+def list_keys(spark: SparkSession, path: str, key: str = SNAPSHOT) -> list[str]:
+    """Snapshot keys present under a partitioned folder: folder names only, no file is opened
+    (the ``binaryFile`` listing without its content). One value per snapshot comes back."""
+    try:
+        files = spark.read.format("binaryFile").load(path)
+        if key not in files.columns:
+            return []
+        return sorted(r[0] for r in files.select(F.col(key).cast("string")).distinct().collect())
+    except AnalysisException as e:
+        if _missing(e):
+            return []
+        raise
 
 
 def read_raw_snapshot(spark: SparkSession, path: str, multiline: bool = False, keep_corrupt: bool = False) -> DataFrame:
@@ -45,17 +80,21 @@ def read_raw_snapshot(spark: SparkSession, path: str, multiline: bool = False, k
     return reader.json(path)
 
 
-def read_landed_pages(spark: SparkSession, path: str, page_size: int = PAGE_SIZE) -> tuple[DataFrame, DataFrame]:
+def read_landed_pages(
+    spark: SparkSession, path: str, page_size: int = PAGE_SIZE, multiline: bool = False
+) -> tuple[DataFrame, DataFrame]:
     """A snapshot pulled page by page (limit/offset) and landed as one file per page.
 
-    Returns the records and a page report ``(page_file, records, full, last,
-    ok)``: every page but the last must be full. Exact duplicate records across pages (the
-    source gives no order) are reported by :func:`duplicate_records`, never dropped."""
-    df = read_raw_snapshot(spark, path).withColumn("_page", F.col("_metadata.file_path"))
+    Returns the records and a page report ``(page_file, page, records, full, last, ok)``: every page
+    but the last must be full. The last page is the one with the largest number in its file name
+    (``page-10`` comes after ``page-9``). Exact duplicate records across pages (the source gives no
+    order) are reported by :func:`duplicate_records`, never dropped."""
+    df = read_raw_snapshot(spark, path, multiline).withColumn("_page", F.col("_metadata.file_path"))
     report = df.groupBy("_page").agg(F.count(F.lit(1)).alias("records"))
-    report = report.withColumn("full", F.col("records") == F.lit(page_size))
-    # The last page is the one with the largest name (pages are numbered).
-    last = report.agg(F.max("_page")).scalar()
+    name = F.element_at(F.split("_page", "/"), -1)
+    number = F.try_to_number(F.regexp_extract(name, "([0-9]+)[^0-9]*$", 1), F.lit("9" * 18)).cast("long")
+    report = report.withColumn("page", number).withColumn("full", F.col("records") == F.lit(page_size))
+    last = report.agg(F.max(F.struct("page", "_page"))["_page"]).scalar()
     report = report.withColumn("last", F.col("_page") == last).withColumn("ok", F.col("full") | F.col("last"))
     return df.drop("_page"), report.withColumnRenamed("_page", "page_file")
 
@@ -74,12 +113,12 @@ def probe_snapshot_date(df: DataFrame, column: str = "process_date") -> DataFram
     return df.agg(F.max(column).alias("process_date"), F.count_distinct(column).alias("n_dates"))
 
 
-def with_snapshot_partition(df: DataFrame, source: str = "process_date", key: str = RAW_KEY) -> DataFrame:
-    """The partition key of a raw record (``YYYY-MM-DD`` of its process date)."""
-    return df.withColumn(key, F.to_date(F.substring_index(F.col(source), "T", 1)))
+def with_snapshot_partition(df: DataFrame, source: str = "process_date", key: str = SNAPSHOT) -> DataFrame:
+    """The snapshot key of each raw record."""
+    return df.withColumn(key, snapshot_key_of(F.col(source)))
 
 
-def write_raw(df: DataFrame, root: str, key: str = RAW_KEY) -> None:
+def write_raw(df: DataFrame, root: str, key: str = SNAPSHOT) -> None:
     """Land raw records under their snapshot key; re-landing a key replaces only that
     key (dynamic partition overwrite)."""
     if key not in df.columns:
@@ -87,8 +126,17 @@ def write_raw(df: DataFrame, root: str, key: str = RAW_KEY) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).json(f"{root}/raw")
 
 
-def write_processed(df: DataFrame, root: str, key: str = PROCESSED_KEY) -> None:
-    """Processed rows as ZSTD Parquet partitioned by snapshot date."""
+def read_raw(spark: SparkSession, root: str, multiline: bool = False, keys: list[str] | None = None) -> DataFrame:
+    """Landed raw records with their snapshot key; ``keys`` becomes a partition filter, so other
+    snapshots' files are not read."""
+    schema = T.StructType(RAW.fields + [T.StructField(SNAPSHOT, T.StringType(), True)])
+    reader = spark.read.schema(schema).option("multiLine", multiline).option("mode", "FAILFAST")
+    raw = reader.json(f"{root}/raw")
+    return raw if keys is None else raw.where(F.col(SNAPSHOT).isin(keys))
+
+
+def write_processed(df: DataFrame, root: str, key: str = SNAPSHOT) -> None:
+    """Processed rows as ZSTD Parquet partitioned by snapshot."""
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -98,12 +146,22 @@ def write_processed(df: DataFrame, root: str, key: str = PROCESSED_KEY) -> None:
     )
 
 
+def _key_as_text(df: DataFrame, key: str = SNAPSHOT) -> DataFrame:
+    """Folder names that look like dates come back as dates: as text, a key is what was written."""
+    return df.withColumn(key, F.col(key).cast("string")) if key in df.columns else df
+
+
 def read_processed(spark: SparkSession, root: str, merge_schema: bool = False) -> DataFrame:
-    """All processed snapshots (partition column comes back as a date)."""
-    return spark.read.option("mergeSchema", merge_schema).parquet(f"{root}/processed")
+    """All processed snapshots, with their key as text."""
+    return _key_as_text(spark.read.option("mergeSchema", merge_schema).parquet(f"{root}/processed"))
+
+
+def read_history(spark: SparkSession, root: str) -> DataFrame:
+    """The history table, with the snapshot key as text."""
+    return _key_as_text(spark.read.parquet(f"{root}/history"))
 
 
-def write_history(df: DataFrame, root: str, key: str = PROCESSED_KEY, full: bool = True) -> None:
+def write_history(df: DataFrame, root: str, key: str = SNAPSHOT, full: bool = True) -> None:
     """The history table. ``full=True`` rebuilds it (reference behaviour, G4); else
     only the snapshots present in ``df`` are replaced (incremental)."""
     w = df.write.mode("overwrite").option("compression", "zstd").partitionBy(key)
@@ -112,18 +170,20 @@ def write_history(df: DataFrame, root: str, key: str = PROCESSED_KEY, full: bool
 
 
 def read_state(spark: SparkSession, root: str) -> DataFrame:
-    """The one-row state; an empty state (all nulls) when none was written yet."""
+    """The one-row state; an empty state (all nulls) when none was written yet. Any other
+    failure to read it is an error."""
     try:
         st = spark.read.schema(STATE).json(f"{root}/state")
         if st.take(1):
             return st.limit(1)
-    except Exception:  # noqa: BLE001 - missing folder
-        pass
+    except AnalysisException as e:
+        if not _missing(e):
+            raise
     return empty_state(spark)
 
 
 def empty_state(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(None, None, None, None)], STATE)
+    return spark.createDataFrame([(None,) * len(STATE.fields)], STATE)
 
 
 def write_state(
@@ -133,20 +193,20 @@ def write_state(
     last_fetched_at: dt.datetime | None,
     last_processed_at: dt.datetime | None,
     record_count: int | None,
+    snapshot: str | None = None,
 ) -> None:
     """The state is written last, so readers switch only when everything is written."""
-    row = [(source_updated_at, last_fetched_at, last_processed_at, record_count)]
+    row = [(source_updated_at, last_fetched_at, last_processed_at, record_count, snapshot)]
     spark.createDataFrame(row, STATE).coalesce(1).write.mode("overwrite").json(f"{root}/state")
 
 
-def load_latest(spark: SparkSession, root: str, key: str = PROCESSED_KEY) -> DataFrame:
-    """The newest processed snapshot named by the state; an error when the state has
-    no date. The filter on the partition column prunes to one folder."""
+def load_latest(spark: SparkSession, root: str, key: str = SNAPSHOT) -> DataFrame:
+    """The processed snapshot named by the state; an error when the state names none. The
+    state's key is compared as text (no time zone), and the filter prunes to one folder."""
     st = read_state(spark, root).first()
-    if st is None or st["source_updated_at"] is None:
-        raise ValueError("state has no source_updated_at: nothing processed yet")
-    day = st["source_updated_at"].date()
-    return read_processed(spark, root).where(F.col(key) == F.lit(day))
+    if st is None or st["snapshot"] is None:
+        raise ValueError("state names no snapshot: nothing dated processed yet")
+    return spark.read.parquet(f"{root}/processed").where(F.col(key) == F.lit(st["snapshot"]))
 
 
 def register_view(df: DataFrame, name: str = "jobs", cache: bool = False) -> DataFrame:
@@ -164,11 +224,9 @@ def adhoc_sql(spark: SparkSession, text: str, views: Mapping[str, DataFrame] | N
     return spark.sql(text, args=dict(args or {}))
 
 
-def list_snapshots(spark: SparkSession, path: str, key: str, fmt: str = "parquet") -> DataFrame:
-    """Snapshot keys present under a partitioned folder. The key is a partition
-    column, so only file metadata is touched."""
-    reader = spark.read.parquet(path) if fmt == "parquet" else spark.read.schema(RAW).json(path)
-    return reader.select(key).distinct()
+def list_snapshots(spark: SparkSession, path: str, key: str = SNAPSHOT) -> DataFrame:
+    """Snapshot keys present under a partitioned folder, one row each (folder names only)."""
+    return spark.createDataFrame([(k,) for k in list_keys(spark, path, key)], f"{key} string")
 
 
 def list_files(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:

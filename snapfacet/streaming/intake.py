@@ -4,13 +4,14 @@ Raw snapshots land as JSON lines under ``landing/<key>=<value>/``. A file stream
 ``trigger(availableNow=True)`` picks up only files it has not seen (the stream checkpoint
 remembers them), and every micro-batch is written by ``foreachBatch``:
 
-* the keys touched by the batch are found (a distinct over the batch),
-* *all* landed rows of those keys are read back (partition pruning on the landing
-  folder), so a snapshot whose files arrive over several batches is still written whole,
+* the keys touched by the batch are found (a distinct over the batch; one value per snapshot),
+* *all* landed rows of those keys are read back (a partition filter on the landing folder), so a
+  snapshot whose files arrive over several batches is still written whole,
 * they are transformed and written with dynamic partition overwrite.
 
-Re-running with nothing new processes no batch (the reference's "No new data"); re-landing
-a snapshot rewrites exactly its partition. The checkpoint and output folders live in the
+Landing a snapshot replaces what was landed under its key, so landing it twice is the same as
+landing it once; ``append=True`` adds a late file to it. Re-running with nothing new processes no
+batch (the reference's "No new data"). The checkpoint and output folders live in the
 shared folder named by ``spark.checkpoint.dir``, never in a machine-local directory.
 """
 
@@ -45,11 +46,11 @@ def intake(
     written = []
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
-        keys = batch.select(key).distinct()
-        if not keys.take(1):
+        keys = [r[0] for r in batch.select(key).distinct().collect()]  # one per snapshot
+        if not keys:
             return
         # whole snapshots of the touched keys, read back from the landing folder
-        full = spark.read.schema(schema).json(landing).join(F.broadcast(keys), on=key, how="left_semi")
+        full = spark.read.schema(schema).json(landing).where(F.col(key).isin(keys))
         out = transform(full) if transform else full
         (
             out.write.mode("overwrite")
@@ -70,18 +71,18 @@ def intake(
     return len(written)
 
 
-def land(df: DataFrame, landing: str, key: str) -> None:
-    """Land raw rows as JSON lines, one folder per snapshot key (append: a landing area
-    only grows; the stream decides what is new)."""
-    df.write.mode("append").partitionBy(key).json(landing)
+def land(df: DataFrame, landing: str, key: str, append: bool = False) -> None:
+    """Land raw rows as JSON lines, one folder per snapshot key. A key that was landed before is
+    replaced (landing is idempotent), unless ``append`` adds the rows as a late file."""
+    writer = df.write.mode("append") if append else df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(key).json(landing)
 
 
-def run_intake_once(spark: SparkSession, raw: DataFrame, key: str) -> DataFrame:
-    """Land ``raw`` in a fresh area under the shared checkpoint folder, run the intake and
-    return the written table (ids back to numbers). Used by the registered query."""
+def run_intake(spark: SparkSession, raw: DataFrame, key: str, times: int = 1) -> DataFrame:
+    """Land ``raw`` ``times`` times in a fresh area under the shared checkpoint folder, run the
+    intake after each landing and return the written table (ids back to numbers)."""
     base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/snapfacet-intake-{uuid.uuid4().hex}"
     landing, output, ckpt = f"{base}/landing", f"{base}/out", f"{base}/checkpoint"
-    land(raw, landing, key)
     schema = T.StructType(
         [T.StructField(f.name, T.StringType() if f.name != key else f.dataType, True) for f in raw.schema.fields]
     )
@@ -96,5 +97,7 @@ def run_intake_once(spark: SparkSession, raw: DataFrame, key: str) -> DataFrame:
             key,
         )
 
-    intake(spark, landing, output, ckpt, schema, key, typed)
+    for _ in range(times):
+        land(raw, landing, key)
+        intake(spark, landing, output, ckpt, schema, key, typed)
     return spark.read.parquet(output).select("event_id", "user_id", "event_type", key)

@@ -3,7 +3,7 @@
 import datetime as dt
 
 from snapfacet.functions import labels
-from snapfacet.functions.text_format import structure_text
+from snapfacet.functions.text_format import structure_text, text_items, with_structured_text
 from snapfacet.operators.export import detail_view, visible_columns, with_defaults
 from snapfacet.plans.transform import transform_postings
 from snapfacet.schema import RAW
@@ -55,15 +55,25 @@ def test_escape_html(spark):
 
 
 def test_structure_text(spark):
-    texts = ["Intro.  Duties:  Do things.   More.", "1. first; or 2. second  3. third", "· a · b", ""]
+    texts = ["Intro.  Duties:  Do things.   More.", "1. first; or 2. second  3. third", "· a · b", "", None, "  Must:  1. x  2. y   · <z>", "a  2. b"]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
-    got = [r["h"] for r in df.select(structure_text("t").alias("h")).collect()]
-    assert got == [
+    want = [
         "<p>Intro.</p><h4>Duties</h4><p>Do things.</p><p>More.</p>",
-        "<ol><li>first</li><li>second</li><li>third</li></ol></p>",
-        "<ul><li>a </li><li>b</li></ul></p>",
+        "<ol><li>first</li><li>second</li><li>third</li></ol>",
+        "<ul><li>a</li><li>b</li></ul>",
         "",
+        None,
+        "<h4>Must</h4><ol><li>x</li><li>y</li></ol><ul><li>&lt;z&gt;</li></ul>",
+        "<p>a  2. b</p>",
     ]
+    assert [r["h"] for r in df.select(structure_text("t").alias("h")).collect()] == want
+    assert [r["h"] for r in with_structured_text(df, "t", "h").collect()] == want
+
+
+def test_text_items(spark):
+    df = spark.createDataFrame([(1, "Intro.  Duties:  1. a; or 2. b   c")], "i int, t string")
+    rows = sorted(tuple(r) for r in text_items(df, "i", "t").drop("section").collect())
+    assert rows == [(1, 0, 0, "paragraph", "Intro."), (1, 1, 0, "numbered", "a"), (1, 1, 1, "numbered", "b"), (1, 1, 2, "paragraph", "c")]
 
 
 def test_export_defaults_and_visibility(spark):

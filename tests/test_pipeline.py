@@ -18,7 +18,7 @@ from .conftest import raw_posting, write_json_lines
 
 def land_snapshot(root, day, records):
     """Land raw records as JSON lines under the snapshot key folder."""
-    write_json_lines(f"{root}/raw/{SRC.RAW_KEY}={day}/part-0.json", records)
+    write_json_lines(f"{root}/raw/{SRC.SNAPSHOT}={day}/part-0.json", records)
 
 
 def snap(day, n, **kw):
@@ -42,7 +42,7 @@ def test_new_snapshot_and_missing_processed(spark, workdir):
     pipeline.run_latest(spark, workdir)
     land_snapshot(workdir, "2026-01-27", snap("2026-01-27", 4))
     res = pipeline.run_latest(spark, workdir)
-    assert res.snapshots == [dt.date(2026, 1, 27)] and res.records == 4
+    assert res.snapshots == ["2026-01-27"] and res.records == 4
     latest = SRC.load_latest(spark, workdir)
     assert latest.count() == 4
     hist = spark.read.parquet(f"{workdir}/history")
@@ -53,7 +53,7 @@ def test_reprocess_all(spark, workdir):
     land_snapshot(workdir, "2026-01-26", snap("2026-01-26", 2))
     land_snapshot(workdir, "2026-01-27", snap("2026-01-27", 3))
     res = pipeline.reprocess_all(spark, workdir)
-    assert res.snapshots == [dt.date(2026, 1, 26), dt.date(2026, 1, 27)]
+    assert res.snapshots == ["2026-01-26", "2026-01-27"]
     assert SRC.read_processed(spark, workdir).count() == 5
     assert spark.read.parquet(f"{workdir}/history").count() == 5
     assert SRC.read_state(spark, workdir).first()["record_count"] == 3
@@ -131,6 +131,8 @@ def test_snapshot_gate_and_metrics(spark):
     existing = spark.createDataFrame([(dt.date(2026, 1, 1),)], "day date")
     assert sorted(r["day"] for r in H.snapshot_gate(ev, existing, "day").collect()) == [dt.date(2026, 1, 2), dt.date(2026, 1, 3)]
     m = {r["day"]: (r["present"], r["new"], r["gone"]) for r in H.history_metrics(ev, "day", "u").collect()}
+    spans = {r["u"]: (r["first_seen"].day, r["last_seen"].day, r["snapshots"], r["days_open"]) for r in H.days_open(ev, "day", "u").collect()}
+    assert spans == {1: (1, 3, 3, 3), 2: (1, 1, 1, 1), 3: (2, 2, 1, 1)}
     assert m == {dt.date(2026, 1, 1): (2, 2, 0), dt.date(2026, 1, 2): (2, 1, 1), dt.date(2026, 1, 3): (1, 0, 1)}
     assert {r["day"]: r["record_count"] for r in H.snapshot_counts(ev, "day").collect()}[dt.date(2026, 1, 1)] == 2
 
@@ -145,8 +147,61 @@ def test_intake_stream_takes_only_new(spark, workdir):
     assert R.intake(spark, landing, out, ckpt, schema, "day") == 1
     assert R.intake(spark, landing, out, ckpt, schema, "day") == 0  # nothing new
     second = spark.createDataFrame(snap("2026-01-26", 1, agency="LATE"), RAW).withColumn("day", F.lit(dt.date(2026, 1, 26)))
-    R.land(second, landing, "day")
+    R.land(second, landing, "day", append=True)
     assert R.intake(spark, landing, out, ckpt, schema, "day") == 1
     # the late file of the same snapshot is added; the snapshot is rewritten whole
     assert spark.read.parquet(out).count() == 3
     assert os.path.isdir(out)
+    # landing a snapshot again replaces it
+    R.land(first, landing, "day")
+    assert R.intake(spark, landing, out, ckpt, schema, "day") == 1
+    assert spark.read.parquet(out).count() == 2
+
+
+def test_a_late_snapshot_does_not_move_the_state_back(spark, workdir):
+    land_snapshot(workdir, "2026-01-27", snap("2026-01-27", 2))
+    pipeline.run_latest(spark, workdir, fetched_at=dt.datetime(2026, 1, 28))
+    land_snapshot(workdir, "2026-01-26", snap("2026-01-26", 5))
+    assert pipeline.run_latest(spark, workdir, fetched_at=dt.datetime(2026, 1, 29)).records == 5
+    st = SRC.read_state(spark, workdir).first()
+    assert (st["snapshot"], st["record_count"], st["source_updated_at"]) == ("2026-01-27", 2, dt.datetime(2026, 1, 27))
+    assert SRC.load_latest(spark, workdir).count() == 2
+    # reprocessing keeps the time of the last fetch
+    pipeline.reprocess_all(spark, workdir)
+    assert SRC.read_state(spark, workdir).first()["last_fetched_at"] == dt.datetime(2026, 1, 29)
+
+
+def test_undated_records_and_two_snapshots_of_a_day(spark, workdir):
+    raw = spark.createDataFrame(
+        [raw_posting(process_date=d) for d in ("2026-01-26T06:00:00.000", "2026-01-26T18:00:00.000", None, "")], RAW
+    )
+    SRC.write_raw(raw, workdir)
+    assert SRC.list_keys(spark, f"{workdir}/raw") == ["2026-01-26T06-00-00", "2026-01-26T18-00-00", "undated"]
+    res = pipeline.run_latest(spark, workdir, lenient=True)
+    assert res.records == 4 and SRC.read_state(spark, workdir).first()["snapshot"] == "2026-01-26T18-00-00"
+    assert pipeline.run_latest(spark, workdir).message == "No new data"
+    assert SRC.load_latest(spark, workdir).count() == 1
+
+
+def test_the_raw_scan_reads_new_snapshots_only(spark, workdir):
+    for day in ("2026-01-26", "2026-01-27"):
+        land_snapshot(workdir, day, snap(day, 1))
+    plan = SRC.read_raw(spark, workdir, keys=["2026-01-27"])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(snapshot" in plan and "2026-01-27" in plan
+    assert SRC.read_raw(spark, workdir, keys=["2026-01-27"]).count() == 1
+
+
+def test_json_array_snapshots_through_the_pipeline(spark, workdir):
+    path = f"{workdir}/raw/{SRC.SNAPSHOT}=2026-01-26"
+    os.makedirs(path)
+    with open(f"{path}/part.json", "w") as f:
+        json.dump(snap("2026-01-26", 3), f, indent=1)
+    assert pipeline.run_latest(spark, workdir, multiline=True).records == 3
+
+
+def test_the_last_page_is_the_one_with_the_largest_number(spark, workdir):
+    for n in (1, 2, 9, 10):
+        write_json_lines(f"{workdir}/pages/page-{n}.json", snap("2026-01-26", 1 if n == 10 else 2))
+    _, report = SRC.read_landed_pages(spark, f"{workdir}/pages", page_size=2)
+    rows = {r["page"]: r for r in report.collect()}
+    assert rows[10]["last"] and not rows[9]["last"] and all(r["ok"] for r in rows.values())

@@ -188,17 +188,6 @@ def SearchPages(n, size):
     return S.SearchResult.pages(n, size)
 
 
-def test_page_from_nearer_end_equals_offset_paging(spark):
-    df = jobs(spark)
-    n = df.count()
-    for desc in (True, False):
-        for size in (1, 2, 3):
-            full = [r["id"] for r in S.page(df, None, "salary_range_from", desc, 100, 0, ("id",)).collect()]
-            for off in range(0, n + 1, size):
-                got = [r["id"] for r in S.page_from_nearer_end(df, None, "salary_range_from", desc, size, off, n, ("id",)).collect()]
-                assert got == full[off : off + size], (desc, size, off)
-
-
 def test_null_flag_passes_only_without_filter(spark):
     df = jobs(spark)  # row "b" has requires_exam = null
     none = P.SearchSpec.postings(exam=[])
@@ -207,3 +196,35 @@ def test_null_flag_passes_only_without_filter(spark):
     assert "b" in ids(df.where(none.predicate())) and "b" in ids(df.where(both.predicate()))
     assert "b" not in ids(df.where(only.predicate()))
     assert ids(df.where(only.predicate())) == ["c", "d"]
+
+
+def test_one_of_two_with_an_unknown_value(spark):
+    df = jobs(spark)
+    assert P.one_of_two("posting_type", ["Other"], P.POSTING_TYPES) is not None
+    assert df.where(P.one_of_two("posting_type", ["Other"], P.POSTING_TYPES)).count() == 0
+    assert P.one_of_two("posting_type", [], P.POSTING_TYPES) is None and P.one_of_two("posting_type", P.POSTING_TYPES, P.POSTING_TYPES) is None
+
+
+def test_facet_counts_count_the_text_search(spark):
+    from snapfacet.operators import facets as FC
+    from snapfacet.operators import text_index as X
+
+    rows = [("1", "cat food", "A", 1.0), ("2", "dog food", "A", 2.0), ("3", "cat toy", "B", 3.0)]
+    df = spark.createDataFrame(rows, "id string, business_title string, agency string, salary_range_to double")
+    index = X.build_text_index(df, "id", ("business_title",))
+    base = P.SearchSpec(text="cat", text_columns=("business_title",), order_by="id")
+    for mode in ("bm25", "auto", "literal"):
+        got = {r["value"]: r["n"] for r in FC.facet_counts(df, base.with_(text_mode=mode), scalar=["agency"], index=index).collect()}
+        assert got == {"A": 1, "B": 1}, mode
+    got = {r["value"]: r["n"] for r in FC.facet_counts(df, base.with_(text_mode="auto"), scalar=["agency"]).collect()}
+    assert got == {"A": 1, "B": 1}
+
+
+def test_facet_counts_push_the_common_filters(spark, workdir):
+    from snapfacet.operators import facets as FC
+
+    df = spark.createDataFrame([("1", "A", 5.0)], "id string, agency string, price double")
+    df.write.parquet(f"{workdir}/t")
+    spec = P.SearchSpec(in_lists={"agency": ("A",)}, overlap=("price", "price", 1.0, 9.0), order_by="id")
+    plan = FC.facet_counts(spark.read.parquet(f"{workdir}/t"), spec, scalar=["agency"])._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(price,1.0)" in plan
