@@ -103,21 +103,25 @@ def test_saved_index_roundtrip(spark, workdir):
     assert again.n_docs == 5 and again.stemmer is True and again.stop_words == ("the",)
 
 
-def test_porter_examples():
-    cases = {
-        "caresses": "caress",
-        "ponies": "poni",
-        "running": "run",
-        "connections": "connect",
-        "relational": "relat",
-        "generalization": "gener",
-        "hopeful": "hope",
-        "adjustable": "adjust",
-        "controlling": "control",
-        "agreed": "agre",
-        "sky": "sky",
-    }
-    assert {w: stem(w) for w in cases} == cases
+def test_stemmer_examples():
+    """Pairs from the published sample vocabulary of the English Snowball stemmer."""
+    pairs = """
+        consign consign consigned consign consigning consign consignment consign consist consist consisted consist
+        consistency consist consistent consist consistently consist consists consist consolation consol consolations consol
+        consolatory consolatori console consol consoled consol consoles consol consolidate consolid consolidated consolid
+        consoling consol consolingly consol consols consol consonant conson conspicuous conspicu conspicuously conspicu
+        conspiracy conspiraci conspirator conspir conspirators conspir conspire conspir conspired conspir conspiring conspir
+        constable constabl constables constabl constance constanc constancy constanc constant constant
+        knack knack knackeries knackeri knacks knack knag knag knave knave knaves knave knavish knavish kneaded knead
+        kneading knead knee knee kneel kneel kneeled kneel kneeling kneel kneels kneel knees knee knell knell knelt knelt
+        knew knew knick knick knif knif knife knife knight knight knightly knight knights knight knit knit knits knit
+        knitted knit knitting knit knives knive knob knob knobs knob knock knock knocked knock knocker knocker
+        knockers knocker knocking knock knocks knock knopp knopp knot knot knots knot
+        news news dying die skies sky generally general generous generous communities communiti by by say say
+        hopping hop hoping hope falling fall hissing hiss filing file agreed agre feed feed ties tie cries cri
+    """.split()
+    want = dict(zip(pairs[::2], pairs[1::2]))
+    assert {w: stem(w) for w in want} == want
 
 
 def test_term_counts_edge_cases(spark):
