@@ -336,8 +336,8 @@ _WS = "[\\t-\\r \\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\
 _ITEMS_SQL = f"""
 WITH input AS ({_SECTIONS_INPUT_SQL}),
   a AS (SELECT doc_id, regexp_replace(x, '{_WS}{{2,}}([A-Za-z ]{{1,30}}):{_WS}{{2,}}', chr(1) || '\\1' || chr(2), 'g') AS x FROM input),
-  b AS (SELECT doc_id, CASE WHEN regexp_matches(x, '(^{_WS}*|{_WS}{{2,}}|\x02)1\.{_WS}')
-      THEN regexp_replace(x, '(^{_WS}*|{_WS}{{2,}}|;{_WS}+or{_WS}+|\x02)[0-9]+\.{_WS}', '\\1' || chr(6) || chr(3), 'g') ELSE x END AS x FROM a),
+  b AS (SELECT doc_id, CASE WHEN regexp_matches(x, '(^{_WS}*|{_WS}{{2,}}|\x02)1\\.{_WS}')
+      THEN regexp_replace(x, '(^{_WS}*|{_WS}{{2,}}|;{_WS}+or{_WS}+|\x02)[0-9]+\\.{_WS}', '\\1' || chr(6) || chr(3), 'g') ELSE x END AS x FROM a),
   c AS (SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(x, ';{_WS}+or{_WS}+\x06', chr(6), 'g'),
       '[·§•]', chr(6) || chr(4), 'g'), '{_WS}{{3,}}', chr(6) || chr(5), 'g') AS x FROM b),
   s AS (SELECT doc_id, unnest(string_split(x, chr(1))) AS s, generate_subscripts(string_split(x, chr(1)), 1) - 1 AS section_no FROM c),
