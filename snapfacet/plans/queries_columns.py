@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import casts, labels
 from ..functions.identity import row_hash
-from ..functions.phrases import longest_first_pattern, split_known_phrases
+from ..functions.phrases import split_known_phrases
 from ..functions.text_format import text_items, with_structured_text
 from ..operators.export import visible_columns, with_defaults
 from ..session import table
@@ -55,8 +55,8 @@ def _sql_chained() -> str:
 
 
 def _sql_longest() -> str:
-    pat = longest_first_pattern(PHRASES)
-    marked = f"regexp_replace(text, '{pat}', '|\\1', 'g')"
+    longest_first = "|".join(sorted(PHRASES, key=len, reverse=True))
+    marked = f"regexp_replace(text, '({longest_first})', '|\\1', 'g')"
     return f"list_filter(list_transform(string_split({marked}, '|'), lambda x: trim(x)), lambda x: length(x) > 0)"
 
 

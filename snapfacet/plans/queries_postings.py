@@ -138,13 +138,18 @@ _LINK_SQL = """
       coalesce(nullif(number_of_positions, ''), '—') AS number_of_positions,
       coalesce(strftime(posted_date, '%A, %B %-d, %Y'), '—') AS posted,
       coalesce(strftime(posted_until_date, '%A, %B %-d, %Y'), '—') AS post_until,
+      coalesce(business_title, '') AS business_title, coalesce(agency, '') AS agency, nullif(work_location, '') AS work_location,
+      array_to_string(job_categories, '|') AS job_categories, coalesce(nullif(civil_service_title, ''), '—') AS civil_service_title,
+      coalesce(nullif(career_level, ''), '—') AS career_level, nullif(division_work_unit, '') AS division_work_unit,
+      nullif(residency_requirement, '') AS residency_requirement,
+      CASE WHEN nullif(job_description, '') IS NOT NULL THEN '<p>' || job_description || '</p>' END AS description_html,
+      CASE WHEN nullif(minimum_qual_requirements, '') IS NOT NULL THEN '<p>' || minimum_qual_requirements || '</p>' END AS qualifications_html,
+      strftime(posting_updated_date, '%A, %B %-d, %Y') AS last_updated,
       CASE WHEN coalesce(posting_type, '') <> 'Internal' THEN {_LINK_SQL} END AS apply_link,
       coalesce(posting_type, '') = 'Internal' AS internal_only
     FROM postings
     """,
 )
 def postings_detail(spark, sf_dir):
-    d = detail_view(postings_frame(spark, sf_dir))
-    return d.select(
-        "id", "schedule", "salary", "title_classification", "number_of_positions", "posted", "post_until", "apply_link", "internal_only"
-    )
+    d = detail_view(postings_frame(spark, sf_dir))  # these texts have no sections or lists
+    return d.withColumn("job_categories", F.array_join("job_categories", "|"))

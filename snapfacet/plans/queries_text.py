@@ -44,10 +44,33 @@ def _documents(spark, sf_dir):
     return table(spark, sf_dir, "documents")
 
 
+_STORED: dict = {}
+
+
+def _listing(spark, path):
+    """Files of a table with their sizes and times, from the file system that holds it (no file is
+    opened): the table as it is now."""
+    files = spark.read.format("binaryFile").load(path).select("path", "length", "modificationTime")
+    return tuple(sorted(tuple(map(str, r)) for r in files.collect()))
+
+
 def _index(spark, sf_dir, stop_words=None, stemmer=False):
-    """The index of ``documents``, built for this query and stored under a path of its own."""
-    built = X.build_text_index(_documents(spark, sf_dir), "doc_id", INDEX_COLUMNS, stop_words, stemmer)
-    return built.save(scratch(spark, "index"))
+    """The stored index of ``documents``: built once per application and state of the table, and
+    read for every search, as a page that keeps its index does. ``index_build`` measures the
+    building."""
+    source = f"{sf_dir.rstrip('/')}/documents.parquet"
+    key = (spark.sparkContext.applicationId, _listing(spark, source), tuple(stop_words or ()), stemmer)
+    if key not in _STORED:
+        built = X.build_text_index(_documents(spark, sf_dir), "doc_id", INDEX_COLUMNS, stop_words, stemmer)
+        _STORED[key] = built.save(scratch(spark, "index"))
+    return _STORED[key]
+
+
+@register("index_build", "WITH " + _TOKENS_SQL + " SELECT term, df FROM dfs")
+def index_build(spark, sf_dir):
+    """The whole build with its writes; returns the stored terms."""
+    built = X.build_text_index(_documents(spark, sf_dir), "doc_id", INDEX_COLUMNS)
+    return built.save(scratch(spark, "index")).terms.select("term", "df")
 
 
 @register("index_postings", "WITH " + _TOKENS_SQL + " SELECT term, doc_id, tf, dl FROM post")

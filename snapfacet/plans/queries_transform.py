@@ -10,8 +10,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.identity import FIELD_SEP, ITEM_SEP, NULL_TOKEN
-from ..functions.phrases import longest_first_pattern
 from ..operators.predicates import CAREER_LEVELS
 from ..schema import JOB_CATEGORIES, RAW_FIELDS
 from ..session import table
@@ -72,23 +70,33 @@ _BODY = [
 
 def _text_sql(c: str) -> str:
     if c == "job_categories":
-        return f"array_to_string({c}, chr({ord(ITEM_SEP)}))"
+        return f"array_to_string({c}, chr(30))"
     if c in _DOUBLE_COLS + _DATE_COLS + ("requires_exam", "is_full_time"):
         return f"CAST({c} AS VARCHAR)"
     return c
 
 
 ID_SQL = (
-    f"md5(concat_ws(chr({ord(FIELD_SEP)}), "
-    + ", ".join(f"coalesce({_text_sql(c)}, chr({ord(NULL_TOKEN)}))" for c in _BODY)
+    "md5(concat_ws(chr(31), "
+    + ", ".join(f"coalesce({_text_sql(c)}, chr(1))" for c in _BODY)
     + "))"
 )
 
 
-def postings_cte_sql() -> str:
+def _categories_sql(mode: str) -> str:
+    if mode == "chained":
+        marked = "job_category"
+        for c in JOB_CATEGORIES:
+            marked = f"replace({marked}, '{c}', '|{c}')"
+        return f"list_transform(list_filter(string_split({marked}, '|'), lambda x: length(x) > 0), lambda x: trim(x))"
+    longest_first = "|".join(sorted(JOB_CATEGORIES, key=len, reverse=True))
+    marked = f"regexp_replace(job_category, '({longest_first})', '|\\1', 'g')"
+    return f"list_filter(list_transform(string_split({marked}, '|'), lambda x: trim(x)), lambda x: length(x) > 0)"
+
+
+def postings_cte_sql(mode: str = "longest") -> str:
     """``WITH raw AS (...), typed AS (...), added AS (...), postings AS (...)``: the oracle
-    side of the transform; ``postings`` holds the 28 processed columns."""
-    pat = longest_first_pattern(JOB_CATEGORIES).replace("'", "''")
+    side of the transform, written by hand; ``postings`` holds the 28 processed columns."""
     return (
         "WITH "
         + _RAW_SQL
@@ -108,23 +116,19 @@ def postings_cte_sql() -> str:
     added AS (
       SELECT *, title_classification = 'Competitive-1' AS requires_exam,
              full_time_part_time_indicator = 'F' AS is_full_time,
-             list_filter(list_transform(string_split(regexp_replace(job_category, '{pat}', '|\\1', 'g'), '|'),
-                                        lambda x: trim(x)), lambda x: length(x) > 0) AS job_categories
+             {_categories_sql(mode)} AS job_categories
       FROM typed),
     postings AS (SELECT {ID_SQL} AS id, * FROM added)
     """
     )
 
 
-def _oracle_sql() -> str:
-    return (
-        postings_cte_sql()
-        + """
-    SELECT id, job_id, salary_range_from, salary_range_to, posted_date, posted_until_date, processed_date,
-           requires_exam, is_full_time, array_to_string(job_categories, '|') AS categories, len(job_categories) AS n_categories
-    FROM postings
-    """
-    )
+_SCALARS = ["id", *_BODY[:-1]]
+
+
+def _oracle_sql(mode: str = "longest") -> str:
+    shown = ", ".join(_SCALARS)
+    return postings_cte_sql(mode) + f"SELECT {shown}, array_to_string(job_categories, '|') AS categories, len(job_categories) AS n_categories FROM postings"
 
 
 def raw_frame(spark, sf_dir):
@@ -172,19 +176,16 @@ def postings_frame(spark, sf_dir):
     return transform_postings(raw_frame(spark, sf_dir))
 
 
+def _all_columns(postings):
+    return postings.select(*_SCALARS, F.array_join("job_categories", "|").alias("categories"), F.size("job_categories").alias("n_categories"))
+
+
 @register("transform_snapshot", _oracle_sql())
 def transform_snapshot(spark, sf_dir):
-    out = postings_frame(spark, sf_dir)
-    return out.select(
-        "id",
-        "job_id",
-        "salary_range_from",
-        "salary_range_to",
-        "posted_date",
-        "posted_until_date",
-        "processed_date",
-        "requires_exam",
-        "is_full_time",
-        F.array_join("job_categories", "|").alias("categories"),
-        F.size("job_categories").alias("n_categories"),
-    )
+    return _all_columns(postings_frame(spark, sf_dir))
+
+
+@register("transform_snapshot_chained", _oracle_sql("chained"))
+def transform_snapshot_chained(spark, sf_dir):
+    """The splitter as chained replaces, which is what the reference's data shows."""
+    return _all_columns(transform_postings(raw_frame(spark, sf_dir), phrase_mode="chained"))
