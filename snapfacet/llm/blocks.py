@@ -8,7 +8,9 @@ every chunk's keys of its range, decides, and answers each chunk; the chunk, its
 its answers meet again in a co-group.
 
 A chunk holds ``CHUNK`` bytes or one document, and buckets are as many as the input needs for
-about ``PER_BUCKET`` keys each, so the memory of a task does not grow with the input.
+about ``PER_BUCKET`` keys each. A block is a chunk's share of a bucket, so with fixed sizes there
+would be ever more blocks of ever fewer keys; both sizes therefore grow with the square root of the
+input above ``EVEN`` bytes, up to bounds that a task's memory sets (about 1 GB at either bound).
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ from pyspark.sql import types as T
 
 CHUNK = 2 << 20
 PER_BUCKET = 1_500_000
+EVEN, LARGEST_CHUNK, LARGEST_BUCKET = 1 << 30, 64 << 20, 24_000_000
 SPANS = T.ArrayType(T.StructType().add("start", "long").add("end", "long"))
 BLOCK = "_chunk long, _bucket long, _level int, _block binary"
 
@@ -72,9 +75,10 @@ class Layout:
     """How many chunks and buckets an input takes (from one pass that sums text lengths)."""
 
     def __init__(self, total_bytes: int, chunk: int | None = None, per_bucket: int | None = None):
+        grown = max(1.0, math.sqrt(total_bytes / EVEN))
         self.words = max(1, total_bytes // 5)
-        self.chunks = max(1, math.ceil(total_bytes / (chunk or CHUNK)))
-        self.buckets = max(1, math.ceil(self.words / (per_bucket or PER_BUCKET)))
+        self.chunks = max(1, math.ceil(total_bytes / min(LARGEST_CHUNK, (chunk or CHUNK) * grown)))
+        self.buckets = max(1, math.ceil(self.words / min(LARGEST_BUCKET, (per_bucket or PER_BUCKET) * grown)))
 
     def bits(self, spare: int) -> int:
         """Bits of a key for which two different keys are equal with a chance under 2**-spare."""

@@ -1,5 +1,6 @@
 import pytest
 
+from snapfacet.llm import blocks as B
 from snapfacet.llm import words as W
 from snapfacet.llm.substring_dedup import lengths, op1_substring_dedup, substring_dedup
 from snapfacet.llm.suffix_dedup import op8_suffix_array_dedup, suffix_dedup
@@ -57,6 +58,14 @@ def test_texts_without_repeats_are_unchanged(spark, odd):
     assert {r["kept"]: r["text"] for r in out} == before
 
 
+def test_blocks_keep_their_size():
+    """Keys in a block, for inputs of up to 100 TB of text."""
+    for total in (10**8, 10**9, 10**11, 10**13, 10**14):
+        layout = B.Layout(total)
+        assert layout.words / layout.chunks / layout.buckets > (100 if total <= 10**13 else 10)
+        assert layout.words / layout.buckets <= B.LARGEST_BUCKET and total / layout.chunks <= B.LARGEST_CHUNK
+
+
 def test_empty_tables(spark, odd):
     none = odd.where("false")
     assert substring_dedup(none).count() == 0
