@@ -23,29 +23,38 @@ HEADER_CHARS = 30
 BULLETS = "·§•"
 SPACE = "[\\t-\\r \\u00A0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000\\uFEFF]"
 
+SPACES = "\t\n\x0b\x0c\r \u00a0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000\ufeff"
+
 SECTION, TITLE_END, NUMBERED, BULLET, PARAGRAPH, CUT = "\x01", "\x02", "\x03", "\x04", "\x05", "\x06"
 
 
-def _marked(text: Column) -> Column:
-    """The text with a mark at each boundary."""
-    x = F.translate(text, SECTION + TITLE_END + NUMBERED + BULLET + PARAGRAPH + CUT, " " * 6)
-    x = F.regexp_replace(x, f"{SPACE}{{2,}}([A-Za-z ]{{1,{HEADER_CHARS}}}):{SPACE}{{2,}}", f"{SECTION}$1{TITLE_END}")
+def _headed(text: Column) -> Column:
+    """The text with a mark around each header's label."""
+    clean = F.when(text.rlike(f"[{SECTION}-{CUT}]"), F.translate(text, SECTION + TITLE_END + NUMBERED + BULLET + PARAGRAPH + CUT, " " * 6)).otherwise(text)
+    return F.regexp_replace(clean, f"{SPACE}{{2,}}([A-Za-z ]{{1,{HEADER_CHARS}}}):{SPACE}{{2,}}", f"{SECTION}$1{TITLE_END}")
+
+
+def _listed(x: Column) -> Column:
+    """Of a text with marked headers: a mark before each list item and after each paragraph."""
     opener = f"(^{SPACE}*|{SPACE}{{2,}}|;{SPACE}+or{SPACE}+|{TITLE_END})"
     numbered = F.regexp_replace(x, f"{opener}[0-9]+\\.{SPACE}", f"$1{CUT}{NUMBERED}")
-    x = F.when(x.rlike(f"(^{SPACE}*|{SPACE}{{2,}}|{TITLE_END})1\\.{SPACE}"), numbered).otherwise(x)
     # "; or" before an item belongs to neither of the two
-    x = F.regexp_replace(x, f";{SPACE}+or{SPACE}+{CUT}", CUT)
+    numbered = F.regexp_replace(numbered, f";{SPACE}+or{SPACE}+{CUT}", CUT)
+    return F.when(x.rlike(f"(^{SPACE}*|{SPACE}{{2,}}|{TITLE_END})1\\.{SPACE}"), numbered).otherwise(x)
+
+
+def _cut(x: Column) -> Column:
     x = F.regexp_replace(x, f"[{BULLETS}]", CUT + BULLET)
     return F.regexp_replace(x, f"{SPACE}{{3,}}", CUT + PARAGRAPH)
 
 
 def _trimmed(x: Column) -> Column:
-    return F.regexp_replace(x, f"^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(x, F.lit(SPACES))
 
 
-def _sections(text: Column) -> Column:
-    """Array of (title or null, body) in the order of the text."""
-    parts = F.split(_marked(text), SECTION)
+def _sections(marked: Column) -> Column:
+    """Array of (title or null, body) of a marked text, in its order."""
+    parts = F.split(marked, SECTION)
     return F.transform(
         parts,
         lambda s, i: F.struct(
@@ -85,16 +94,27 @@ def _html(title: Column, pieces: Column) -> Column:
     return F.concat(head, F.array_join(F.transform(pieces, element), ""))
 
 
+def _marked(df: DataFrame, keep: list, source: str) -> DataFrame:
+    """``keep`` and the sections as ``__s``, each step as a projection of its own: a text that a step
+    looks at twice is not made twice."""
+    out = df.select(*keep, _headed(F.col(source)).alias("__x"))
+    out = out.select(*keep, _listed(F.col("__x")).alias("__x"))
+    out = out.select(*keep, _cut(F.col("__x")).alias("__x"))
+    return out.select(*keep, _sections(F.col("__x")).alias("__s"))
+
+
 def structure_text(c: ColumnOrName) -> Column:
-    """P18 (with P19): text -> HTML fragment, as one Column expression."""
-    staged = F.transform(_sections(col(c)), lambda s: F.struct(s["title"].alias("title"), _pieces(s["body"]).alias("pieces")))
+    """P18 (with P19): text -> HTML fragment, as one Column expression (for a page of rows; for whole
+    tables use :func:`with_structured_text`)."""
+    sections = _sections(_cut(_listed(_headed(col(c)))))
+    staged = F.transform(sections, lambda s: F.struct(s["title"].alias("title"), _pieces(s["body"]).alias("pieces")))
     return F.array_join(F.transform(staged, lambda s: _html(s["title"], s["pieces"])), "")
 
 
 def with_structured_text(df: DataFrame, source: str, out: str) -> DataFrame:
-    """P18 over a frame, each step as a projection of its own."""
-    keep = [F.col(c) for c in df.columns if c != out]
-    staged = df.select(*keep, _sections(F.col(source)).alias("__s"))
+    """P18 over a frame."""
+    keep = [c for c in df.columns if c != out]
+    staged = _marked(df, keep, source)
     staged = staged.select(*keep, F.transform("__s", lambda s: F.struct(s["title"].alias("title"), _pieces(s["body"]).alias("pieces"))).alias("__s"))
     return staged.select(*keep, F.array_join(F.transform("__s", lambda s: _html(s["title"], s["pieces"])), "").alias(out))
 
@@ -102,6 +122,6 @@ def with_structured_text(df: DataFrame, source: str, out: str) -> DataFrame:
 def text_items(df: DataFrame, id_col: str, source: str) -> DataFrame:
     """P18, long form: ``id_col, section_no, section, item_no, kind, text``, one row per piece
     (numbers from 0; the part before the first header has a null section)."""
-    sections = df.select(id_col, F.posexplode(_sections(F.col(source))).alias("section_no", "s"))
+    sections = _marked(df, [id_col], source).select(id_col, F.posexplode("__s").alias("section_no", "s"))
     items = sections.select(id_col, "section_no", F.col("s.title").alias("section"), F.posexplode(_pieces(F.col("s.body"))).alias("item_no", "p"))
     return items.select(id_col, "section_no", "section", "item_no", F.col("p.kind").alias("kind"), F.col("p.text").alias("text"))
