@@ -7,11 +7,12 @@ lines and whole file is the file's own licence if it reaches ``threshold``. A fi
 the licence of the nearest folder above it whose licence file (by name) has one: folders are joined
 with the licence files of all their ancestors on the path, once per folder, not per file.
 
-Only DataFrame functions run. Lines are scored where they are, so the texts are not shuffled. Of
-each template the heaviest words that hold more than 1 - threshold**2 of its squared norm are its key
-words: a line without any key word has a cosine under the threshold, so lines are first looked up for
-key words; this loses nothing. Templates and their words are a fixed list; what is collected from the
-files is one document frequency for each of those words.
+Only DataFrame functions run. Lines are scored where they are, so the texts are not shuffled. A bag
+can reach the threshold only if the template words it holds have at least threshold**2 of the squared
+norm of some template (Cauchy and Schwarz), and a line holds no more of them than its file: so files
+are first tested by the template words they hold, then lines, and only what passes is scored; this
+loses nothing. Templates and their words are a fixed list; what is collected from the files is one
+document frequency for each of those words.
 
 Defined results: a null or empty text has no licence of its own; a null path has no folder and inherits
 nothing; equal scores take the last template by name; several licence files of a folder give the best
@@ -52,7 +53,6 @@ TEMPLATES = [
 ]
 #: File names that hold the licence of their folder.
 LICENSE_FILE = r"(?i)(^|/)(licen[cs]e|copying|unlicense)([.-][^/]*)?$"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def _template_words(text: str) -> dict[str, int]:
@@ -64,62 +64,80 @@ def vocabulary(templates=TEMPLATES) -> list[str]:
     return sorted({w for _, t in templates for w in _template_words(t)})
 
 
-def _words(text: Column) -> Column:
-    return F.filter(F.split(F.translate(text, UPPER, LOWER), "[^a-z0-9]+"), lambda w: w != "")
+def _split(text: Column) -> Column:
+    """The words of a text, with empty ones at the ends."""
+    return F.split(F.lower(text), "[^a-z0-9]+")
 
 
-def document_frequencies(texts: DataFrame, text_col: str, terms: list[str]) -> tuple[int, dict[str, int]]:
+def _texts(column: str) -> Column:
+    return F.coalesce(B.quoted(column).cast("string"), F.lit(""))
+
+
+def document_frequencies(files: DataFrame, text_col: str, terms: list[str]) -> tuple[int, dict[str, int]]:
     """Number of files, and of the files that hold each term (one row per term comes back)."""
     known = F.array(*(F.lit(t) for t in terms))
-    found = F.array_intersect(F.split(F.translate(B.quoted(text_col).cast("string"), UPPER, LOWER), "[^a-z0-9]+"), known)
-    rows = texts.select(F.explode(F.concat(F.coalesce(found, F.array().cast("array<string>")), F.array(F.lit("")))).alias("term")).groupBy("term").count().collect()
+    found = F.concat(F.array_intersect(_split(_texts(text_col)), known), F.array(F.lit("")))
+    rows = files.select(F.explode(found).alias("term")).groupBy("term").count().collect()
     counts = {r["term"]: r["count"] for r in rows}
     return counts.pop("", 0), counts
 
 
-def _cosine(words: Column, idf: dict[str, float], other: float, templates) -> Column:
-    """The best (score, name) of a bag of words over the templates."""
-    weight = F.create_map(*(F.lit(x) for kv in idf.items() for x in kv))
-    distinct = F.array_distinct(words)
-    tf = lambda w: F.size(F.filter(words, lambda x: x == w))
-    square = lambda w: F.when(F.map_contains_key(weight, w), F.pow(tf(w) * F.element_at(weight, w), F.lit(2.0))).otherwise(other * other)
-    norm = F.sqrt(F.aggregate(distinct, F.lit(0.0), lambda acc, w: acc + square(w)))
-    scored = []
-    for name, text in templates:
-        counts = _template_words(text)
-        own = math.sqrt(sum((n * idf[w]) ** 2 for w, n in counts.items()))
-        parts = F.array(*(F.struct(F.lit(w).alias("w"), F.lit(n * idf[w] * idf[w] / own).alias("x")) for w, n in counts.items()))
-        dot = F.aggregate(parts, F.lit(0.0), lambda acc, p: acc + tf(p["w"]) * p["x"])
-        scored.append(F.struct(F.round(F.when(norm > 0, dot / norm).otherwise(0.0), 6).alias("score"), F.lit(name).alias("license")))
-    return F.array_max(F.array(*scored))
-
-
-def key_words(idf: dict[str, float], threshold: float, templates=TEMPLATES) -> list[str]:
-    """For each template its heaviest words, until the others can't reach the threshold."""
-    out: set[str] = set()
-    for _, text in templates:
-        weights = sorted(((n * idf[w]) ** 2, w) for w, n in _template_words(text).items())
-        left = total = sum(x for x, _ in weights)
-        while left >= threshold * threshold * total - 1e-9:
-            x, w = weights.pop()
-            left -= x
-            out.add(w)
-    return sorted(out)
+class Weights:
+    """TF-IDF weights of the templates, as literals."""
+
+    def __init__(self, n: int, df: dict[str, int], threshold: float, templates):
+        self.threshold = threshold
+        self.idf = {w: math.log((1 + n) / (1 + df.get(w, 0))) + 1 for w in vocabulary(templates)}
+        self.other = math.log(1 + n) + 1
+        self.templates = [(name, {w: k * self.idf[w] for w, k in _template_words(text).items()}) for name, text in templates]
+        self.norms = [math.sqrt(sum(x * x for x in weights.values())) for _, weights in self.templates]
+        self.known = F.array(*(F.lit(w) for w in self.idf))
+
+    def reachable(self, held: Column) -> Column:
+        """Whether the template words ``held`` have enough of some template's squared norm."""
+        out = F.lit(False)
+        for (_, weights), norm in zip(self.templates, self.norms):
+            # words of different weights: the sum over those that are held
+            share = sum((F.when(F.array_contains(held, w), F.lit(x * x)).otherwise(0.0) for w, x in weights.items()), F.lit(0.0))
+            out = out | (share >= self.threshold**2 * norm * norm * (1 - 1e-9))
+        return (F.size(held) > 0) & out
+
+    def best(self, tf: Column, others: Column) -> Column:
+        """The best (score, license) of a bag: counts of the template words it holds, and the
+        number of its different other words."""
+        weight = F.create_map(*(F.lit(x) for kv in self.idf.items() for x in kv))
+        parts = F.transform(F.map_entries(tf), lambda e: F.pow(e["value"] * F.element_at(weight, e["key"]), F.lit(2.0)))
+        norm = F.sqrt(F.aggregate(parts, F.lit(0.0), lambda acc, x: acc + x) + others * (self.other * self.other))
+        scored = []
+        for (name, weights), own in zip(self.templates, self.norms):
+            times = [F.coalesce(F.try_element_at(tf, F.lit(w)), F.lit(0)) * F.lit(x * self.idf[w] / own) for w, x in weights.items()]
+            dot = sum(times[1:], times[0])
+            scored.append(F.struct(F.round(F.when(norm > 0, dot / norm).otherwise(0.0), 6).alias("score"), F.lit(name).alias("license")))
+        return F.array_max(F.array(*scored))
 
 
 def own_licenses(files: DataFrame, text_col: str = "text", threshold: float = 0.7, templates=TEMPLATES) -> DataFrame:
     """All columns of ``files`` in ``row``, with ``own``: (score, license) or null."""
-    n, df = document_frequencies(files, text_col, vocabulary(templates))
-    idf = {w: math.log((1 + n) / (1 + df.get(w, 0))) + 1 for w in vocabulary(templates)}
-    other = math.log(1 + n) + 1
-    keys = "(^|[^a-z0-9])(" + "|".join(key_words(idf, threshold, templates)) + ")([^a-z0-9]|$)"
-    text = F.coalesce(B.quoted(text_col).cast("string"), F.lit(""))
-    # the whole file counts as one more line; a file that has no key word has no line with one
-    lines = F.when(F.translate(text, UPPER, LOWER).rlike(keys), F.array_union(F.split(text, "\n"), F.array(text))).otherwise(F.array().cast("array<string>"))
-    near = F.filter(lines, lambda line: F.translate(line, UPPER, LOWER).rlike(keys))
-    best = F.array_max(F.transform(near, lambda line: _cosine(_words(line), idf, other, templates)))
+    weights = Weights(*document_frequencies(files, text_col, vocabulary(templates)), threshold, templates)
     row = F.struct(*(B.quoted(c) for c in files.columns if c != text_col))
-    scored = files.select(row.alias("row"), best.alias("best"))
+    held = lambda words: F.array_intersect(words, weights.known)
+    text = F.col("_text")
+    found = files.select(row.alias("row"), _texts(text_col).alias("_text"))
+    found = found.withColumn("_held", held(_split(text)))
+    # the whole file counts as one more line
+    lines = F.when(weights.reachable(F.col("_held")), F.array_union(F.split(text, "\n"), F.array(text))).otherwise(F.array().cast("array<string>"))
+    bags = F.transform(lines, lambda line: F.filter(_split(line), lambda w: w != ""))
+    bags = F.transform(bags, lambda words: F.struct(words.alias("words"), held(words).alias("held")))
+    bags = F.filter(bags, lambda b: weights.reachable(b["held"]))
+
+    def counted(b: Column) -> Column:
+        tf = F.transform(b["held"], lambda w: F.size(F.filter(b["words"], lambda x: x == w)))
+        others = F.size(F.array_distinct(b["words"])) - F.size(b["held"])
+        return F.struct(F.map_from_arrays(b["held"], tf).alias("tf"), others.alias("others"))
+
+    found = found.select("row", F.transform(bags, counted).alias("_bags"))
+    best = F.array_max(F.transform("_bags", lambda b: weights.best(b["tf"], b["others"])))
+    scored = found.select("row", best.alias("best"))
     return scored.select("row", F.when(F.col("best.score") >= threshold, F.col("best")).alias("own"))
 
 
@@ -167,7 +185,7 @@ def op3_license_scan(spark, sf_dir: str) -> DataFrame:
 def _oracle(threshold: float = 0.7) -> str:
     """The same result in DuckDB: all lines against all templates, no key words."""
     values = ", ".join(f"({i}, '{name}', '{text}')" for i, (name, text) in enumerate(TEMPLATES))
-    split = "list_filter(regexp_split_to_array(translate({0}, '" + UPPER + "', '" + LOWER + "'), '[^a-z0-9]+'), lambda w: w <> '')"
+    split = "list_filter(regexp_split_to_array(lower({0}), '[^a-z0-9]+'), lambda w: w <> '')"
     return f"""
 WITH templates(t, name, body) AS (VALUES {values}),
   tw AS (SELECT t, name, w, count(*) AS n FROM (SELECT t, name, unnest({split.format('body')}) AS w FROM templates) GROUP BY t, name, w),

@@ -58,12 +58,14 @@ def test_license_scan_runs_no_python(spark):
     assert "Python" not in plan and "InArrow" not in plan and "InPandas" not in plan
 
 
-def test_key_words_lose_nothing():
-    idf = {w: 1.0 + (hash_ % 7) for hash_, w in enumerate(L.vocabulary())}
-    keys = set(L.key_words(idf, 0.7))
-    for _, text in L.TEMPLATES:
-        weights = {w: (n * idf[w]) ** 2 for w, n in L._template_words(text).items()}
-        assert sum(x for w, x in weights.items() if w not in keys) < 0.49 * sum(weights.values())
+def test_the_test_by_held_words_loses_nothing(spark, odd):
+    """With the threshold at 0 every line is scored; what reaches 0.7 is the same."""
+    rows = [(i, f"noise {t} {'more ' * (i % 9)}") for i, (_, t) in enumerate(L.TEMPLATES * 4)] + [(99, "license version of the work")]
+    files = spark.createDataFrame(rows, "path long, text string")
+    all_ = {r[0]: r[1] for r in L.own_licenses(files, threshold=0.0).select("row.path", "own").collect()}
+    some = {r[0]: r[1] for r in L.own_licenses(files, threshold=0.7).select("row.path", "own").collect()}
+    assert some == {p: (o if o is not None and o["score"] >= 0.7 else None) for p, o in all_.items()}
+    assert any(some.values()) and not all(some.values())
 
 
 def test_canonical_urls(spark):
