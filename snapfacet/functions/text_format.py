@@ -40,7 +40,7 @@ def _listed(x: Column) -> Column:
     numbered = F.regexp_replace(x, f"{opener}[0-9]+\\.{SPACE}", f"$1{CUT}{NUMBERED}")
     # "; or" before an item belongs to neither of the two
     numbered = F.regexp_replace(numbered, f";{SPACE}+or{SPACE}+{CUT}", CUT)
-    return F.when(x.rlike(f"(^{SPACE}*|{SPACE}{{2,}}|{TITLE_END})1\\.{SPACE}"), numbered).otherwise(x)
+    return F.when(F.contains(x, F.lit("1.")) & x.rlike(f"(^{SPACE}*|{SPACE}{{2,}}|{TITLE_END})1\\.{SPACE}"), numbered).otherwise(x)
 
 
 def _cut(x: Column) -> Column:
@@ -67,7 +67,7 @@ def _sections(marked: Column) -> Column:
 def _pieces(body: Column) -> Column:
     """Array of (kind, text) of a section's body, without empty pieces."""
     kind = lambda p: F.when(p.startswith(NUMBERED), "numbered").when(p.startswith(BULLET), "bullet").otherwise("paragraph")
-    text = lambda p: _trimmed(F.translate(p, NUMBERED + BULLET + PARAGRAPH, ""))
+    text = lambda p: F.btrim(p, F.lit(NUMBERED + BULLET + PARAGRAPH + SPACES))  # noqa: E731  the mark is its first character
     parts = F.transform(F.split(body, CUT), lambda p: F.struct(kind(p).alias("kind"), text(p).alias("text")))
     return F.filter(parts, lambda p: p["text"] != "")
 
