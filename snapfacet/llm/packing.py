@@ -294,7 +294,7 @@ def pack(
     tokenizer: str = "word_bpe_49k.json",
     capacity: int = 2048,
     end_id: int = 1,
-    fold: int = 16,
+    fold: int = 4,
 ) -> DataFrame:
     """One row per piece: ``row`` (the document's other columns), ``start``, ``length``,
     ``ids_crc32``, ``doc_tokens``, ``class``, ``sequence_id`` and ``offset``. ``tokenizer`` is a
