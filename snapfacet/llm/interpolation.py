@@ -192,9 +192,10 @@ def ngram_counts(docs: DataFrame, train, text_col: str = "text", id_col: str = "
             }
         )
 
+    # dealt by chunk here, the answers on words and pairs are one shuffle for both of their uses
     grouped = dealt.groupBy("_chunk")
-    back = B.answer(grouped.applyInArrow(small, B.BLOCK), _add_up)
-    more = B.answer(grouped.cogroup(back.groupBy("_chunk")).applyInArrow(large, B.BLOCK), _add_up)
+    back = B.answer(grouped.applyInArrow(small, B.BLOCK), _add_up).repartition("_chunk")
+    more = B.answer(grouped.cogroup(back.groupBy("_chunk")).applyInArrow(large, B.BLOCK), _add_up).repartition("_chunk")
     out = grouped.cogroup(back.union(more).groupBy("_chunk")).applyInArrow(finish, COUNTS)
     return out, kind
 
