@@ -13,7 +13,9 @@ segments. A text's chance value sums its segments' surprise, and a logistic curv
 the training rows turns it and the share of toxic rows into a score from 0 to 1.
 
 The model is fitted on a bounded sample: at most ``sample_rows`` labelled rows of each class,
-those of the smallest hash of the id. It keeps the ``max_terms`` tokens of the largest z-score;
+those of the smallest hash of the id. Where that takes a class in part, its rows count in the
+logistic curve by the inverse of the part taken, so a score is a chance under the share of toxic
+rows among all training labels, whatever the size of the input. It keeps the ``max_terms`` tokens of the largest z-score;
 other tokens score the drift. So what is broadcast has a proven bound. Scoring reads every text,
 whole, without a shuffle. Labels, language, source and id are never inputs of a score.
 
@@ -123,14 +125,17 @@ def _texts(batch, column: str):
         yield a, b, np.searchsorted(rows, np.arange(b - a + 1), "left"), units
 
 
-def _sampled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, rows: int) -> DataFrame:
-    """Text and label (``_toxic``) of at most ``rows`` rows of each class."""
+def _sampled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, rows: int) -> tuple[DataFrame, list[float]]:
+    """Text and label (``_toxic``) of at most ``rows`` rows of each class, and how many labelled
+    rows one of the clean and one of the toxic class stands for."""
     marks = labels.select(B.quoted(id_col).cast("long").alias("_key"), B.quoted(label_col).cast("int").alias("_toxic"))
     marks = marks.where("_key IS NOT NULL AND _toxic IS NOT NULL").groupBy("_key").agg(F.max("_toxic").alias("_toxic"))
+    totals = {r["_toxic"]: r["count"] for r in marks.where("_toxic IN (0, 1)").groupBy("_toxic").count().collect()}
+    stands = [max(1.0, totals.get(c, 0) / max(rows, 1)) for c in (0, 1)]
     order = (F.xxhash64("_key"), F.col("_key"))
     some = marks.where("_toxic = 1").orderBy(*order).limit(rows).union(marks.where("_toxic = 0").orderBy(*order).limit(rows))
     texts = docs.select(B.quoted(id_col).cast("long").alias("_key"), B.quoted(text_col).cast("string").alias("_text"))
-    return texts.join(F.broadcast(some), "_key").select("_text", "_toxic")  # 2 * rows ids at most
+    return texts.join(F.broadcast(some), "_key").select("_text", "_toxic"), stands  # 2 * rows ids at most
 
 
 def _counts(sample: DataFrame) -> DataFrame:
@@ -170,14 +175,14 @@ def _lambda(scores: np.ndarray, share: np.ndarray) -> float:
     return high
 
 
-def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and intercept by Newton steps, with a light ridge on the slope."""
+def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
+    """Slope and intercept of the weighted rows by Newton steps, with a light ridge on the slope."""
     w = np.zeros(2)
     design = np.column_stack((np.log1p(x), np.ones(len(x))))
     ridge = np.diag([1e-2, 1e-6])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(design @ w, -30, 30)))
-        step = np.linalg.solve((design * (p * (1 - p))[:, None]).T @ design + ridge, design.T @ (y - p) - ridge @ w)
+        step = np.linalg.solve((design * (weight * p * (1 - p))[:, None]).T @ design + ridge, design.T @ (weight * (y - p)) - ridge @ w)
         w += np.clip(step, -5, 5)
         if np.abs(step).max() < 1e-9:
             break
@@ -197,14 +202,15 @@ def fit(
 ) -> ToxicityModel:
     """Learn from the rows of ``labels``; the caller leaves out those that are held out."""
     ship_package(docs.sparkSession)
-    sample = _sampled(docs, labels, id_col, text_col, label_col, sample_rows)
+    sample, stands = _sampled(docs, labels, id_col, text_col, label_col, sample_rows)
     counts = _counts(sample)
     tokens = counts.agg(F.sum("toxic"), F.sum("clean")).first()
     bad, good = (int(x or 0) for x in tokens)
     model = ToxicityModel()
     if not bad or not good:
         y = [r["_toxic"] for r in sample.select("_toxic").collect()]  # at most 2 * sample_rows
-        share = min(max((sum(y) / len(y)) if y else 0.5, 1e-6), 1 - 1e-6)
+        toxic, clean = sum(y) * stands[1], (len(y) - sum(y)) * stands[0]
+        share = min(max(toxic / (toxic + clean) if y else 0.5, 1e-6), 1 - 1e-6)
         model.intercept = math.log(share / (1 - share))
         return model
     # log-odds with prior counts in proportion to the token's share of all tokens
@@ -238,7 +244,8 @@ def fit(
     model.k = math.exp(min(max(float(np.median(null)) - 0.3665, -20.0), 20.0)) if null else 1.0
     x = np.array([model.surprise(r["segments"], r["n"]) for r in best])
     y = np.array([float(r["toxic"]) for r in best])
-    model.slope, model.intercept = _logistic(x, y)
+    weight = np.where(y > 0, stands[1], stands[0])
+    model.slope, model.intercept = _logistic(x, y, weight * (len(y) / weight.sum()))
     return model
 
 

@@ -76,6 +76,20 @@ def test_toxicity_odd_rows(spark, odd):
         assert len(scores) == 1
 
 
+def test_sample_size_does_not_move_the_scores(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+
+    def rates(rows):
+        model = X.fit(docs, labels.where(~X.held_out()), sample_rows=rows)
+        return X.score(docs, model).agg(F.avg((F.col("score") >= X.THRESHOLD).cast("int")), F.avg("score")).first()
+
+    assert np.allclose(rates(300), rates(10**6), rtol=0.1)  # 300 of some 3000 clean rows
+    # without words the score is the share of toxic rows, also of a sample
+    rows = spark.range(100).select(F.col("id").alias("doc_id"), F.lit("").alias("text"), (F.col("id") < 10).cast("int").alias("toxic"))
+    model = X.fit(rows.drop("toxic"), rows, sample_rows=10)
+    assert np.allclose(model.probability(np.zeros(1)), 0.1)
+
+
 def test_op2_contract(spark):
     q = X.op2_toxicity(spark, SF_SMALL)
     assert q.columns[:4] == ["doc_id", "held_out", "score", "predicted"]
