@@ -122,11 +122,11 @@ def words(data: np.ndarray, offsets: np.ndarray, word=NOT_SPACE, fold=KEEP, hash
         while lo < hi:
             end = hi
             if hi - lo > 2 * SLICE:  # one long text: cut it where a word has ended
-                gap = np.flatnonzero(~word[data[lo + SLICE : lo + 2 * SLICE]])
+                gap = np.flatnonzero(~word[fold[data[lo + SLICE : lo + 2 * SLICE]]])
                 step = SLICE
                 while len(gap) == 0 and lo + step < hi:
                     step *= 2
-                    gap = np.flatnonzero(~word[data[lo + step // 2 : min(hi, lo + step)]])
+                    gap = np.flatnonzero(~word[fold[data[lo + step // 2 : min(hi, lo + step)]]])
                     gap = gap + step // 2 - SLICE
                 end = min(hi, lo + SLICE + int(gap[0]) + 1) if len(gap) else hi
             raw = fold[data[lo:end]]

@@ -44,3 +44,19 @@ def test_empty_tables(spark, odd):
 def test_contract_columns(spark):
     q = D.op7_benchmark_decontamination(spark, SF_SMALL)
     assert q.columns == ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
+
+
+def test_long_upper_case_text_is_cut_between_words(spark):
+    passages = [" ".join(f"Test{i}Passage{j}" for j in range(26)) for i in range(3)]
+    text = ""
+    for i, passage in enumerate(passages):  # one across each 1 MiB mark
+        room = (i + 1) * 2**20 - len(passage) // 2 - len(text)
+        text += "FILLING " * (room // 8) + passage.upper() + " "
+    text += "MiXedCase " * 2**14
+    rows = [(1, text), (2, text.lower())]
+    assert len(text) > 3 * 2**20
+    items = list(enumerate(passages))
+    out = D.find_benchmark(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    got = sorted((r[0], r[1], r[2], list(r[3])) for r in out.select("row.doc_id", "n_words", "n_hit", "items").collect())
+    assert got == [(i, n, hit, sorted(who)) for (i, _), (n, hit, who) in zip(rows, brute.contamination(rows, items))]
+    assert got[0][2:] == (78, ["0", "1", "2"])
