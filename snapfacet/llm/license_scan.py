@@ -2,8 +2,10 @@
 
 Every line of a file, and the file as a whole, is a bag of words. Words of the templates weigh
 tf * idf with document frequencies over all files; any other word weighs like a word no file has,
-once. The cosine to each template (one line notices, headers, identifiers) is taken; the best of
-lines and whole file is the file's own licence if it reaches ``threshold``. A file without one takes
+once. The cosine to each template (one line notices, headers, identifiers) is taken. Blocks, the
+neighbouring lines between lines without a word (a comment sign is none), and again the whole file
+are bags for the longer templates: wrapped headers, titles and bodies of licence files, with weights
+of their own words. The best of all is the file's own licence if it reaches ``threshold``. A file without one takes
 the licence of the nearest folder above it whose licence file (by name) has one: folders are joined
 with the licence files of all their ancestors on the path, once per folder, not per file.
 
@@ -51,6 +53,88 @@ TEMPLATES = [
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0"),
     ("Unlicense", "This is free and unencumbered software released into the public domain"),
 ]
+_MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+documentation files (the "Software"), to deal in the Software without restriction, including without limitation the
+rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit
+persons to whom the Software is furnished to do so, subject to the following conditions:"""
+_MIT_END = """The above copyright notice and this permission notice shall be included in all copies or substantial portions of the
+Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED
+TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS
+OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR
+OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+_BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the
+following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of
+conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice,
+this list of conditions and the following disclaimer in the documentation and/or other materials provided with the
+distribution. """
+_BSD_3 = """3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote
+products derived from this software without specific prior written permission. """
+_BSD_END = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED
+WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE
+ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL,
+SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES;
+LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN
+CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS
+SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+_ISC = """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted,
+provided that the above copyright notice and this permission notice appear in all copies."""
+_APACHE = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with
+the License. You may obtain a copy of the License at """
+_APACHE_END = """http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either
+express or implied. See the License for the specific language governing permissions and limitations under the License."""
+_GNU = """This program is free software: you can redistribute it and/or modify it under the terms of the GNU {0} License as
+published by the Free Software Foundation, either version {1} of the License, or (at your option) any later version. """
+_GNU_END = """This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied
+warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {0} License for more details. You should have
+received a copy of the GNU {0} License along with this program. If not, see https://www.gnu.org/licenses/."""
+_GNU_NAMES = [
+    ("AGPL-3.0", "Affero General Public", "3", "19 November 2007"),
+    ("GPL-1.0", "General Public", "1", "February 1989"),
+    ("GPL-2.0", "General Public", "2", "June 1991"),
+    ("GPL-3.0", "General Public", "3", "29 June 2007"),
+    ("LGPL-2.0", "Library General Public", "2", "June 1991"),
+    ("LGPL-2.1", "Lesser General Public", "2.1", "February 1999"),
+    ("LGPL-3.0", "Lesser General Public", "3", "29 June 2007"),
+]
+_CC_NAMES = [
+    ("CC-BY-4.0", "Attribution"),
+    ("CC-BY-NC-4.0", "Attribution-NonCommercial"),
+    ("CC-BY-NC-ND-4.0", "Attribution-NonCommercial-NoDerivatives"),
+    ("CC-BY-NC-SA-4.0", "Attribution-NonCommercial-ShareAlike"),
+    ("CC-BY-ND-4.0", "Attribution-NoDerivatives"),
+    ("CC-BY-SA-4.0", "Attribution-ShareAlike"),
+]
+#: Wrapped headers, and the titles, paragraphs or bodies of licence files.
+TEXTS = [
+    ("Apache-2.0", _APACHE),
+    ("Apache-2.0", _APACHE + _APACHE_END),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/"),
+    ("BSD-2-Clause", _BSD + _BSD_END),
+    ("BSD-3-Clause", _BSD + _BSD_3 + _BSD_END),
+    *((name, f"Creative Commons {kind} 4.0 International Public License") for name, kind in _CC_NAMES),
+    ("CC0-1.0", "Creative Commons Legal Code CC0 1.0 Universal"),
+    (
+        "CC0-1.0",
+        """The laws of most jurisdictions throughout the world automatically confer exclusive Copyright and Related Rights (defined
+below) upon the creator and subsequent owner(s) (each and all, an "owner") of an original work of authorship and/or a
+database (each, a "Work").""",
+    ),
+    *((name, f"GNU {kind} License Version {version}, {date}") for name, kind, version, date in _GNU_NAMES),
+    *((name, _GNU.format(kind, version)) for name, kind, version, _ in _GNU_NAMES),
+    *((name, _GNU.format(kind, version) + _GNU_END.format(kind)) for name, kind, version, _ in _GNU_NAMES),
+    ("ISC", _ISC),
+    ("MIT", _MIT),
+    ("MIT", _MIT + _MIT_END),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+    (
+        "MPL-2.0",
+        """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not
+distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.""",
+    ),
+]
+#: From the end of a line over lines without a word to the start of the next block.
+BETWEEN_BLOCKS = r"\n[^A-Za-z0-9]*\n"
 #: File names that hold the licence of their folder.
 LICENSE_FILE = r"(?i)(^|/)(licen[cs]e|copying|unlicense)([.-][^/]*)?$"
 
@@ -116,16 +200,60 @@ class Weights:
         return F.array_max(F.array(*scored))
 
 
-def own_licenses(files: DataFrame, text_col: str = "text", threshold: float = 0.7, templates=TEMPLATES) -> DataFrame:
-    """All columns of ``files`` in ``row``, with ``own``: (score, license) or null."""
-    weights = Weights(*document_frequencies(files, text_col, vocabulary(templates)), threshold, templates)
+class TextWeights(Weights):
+    """The same for many words: the templates are one literal array that is walked."""
+
+    def __init__(self, n: int, df: dict[str, int], threshold: float, templates):
+        super().__init__(n, df, threshold, templates)
+        rows = []
+        for (name, weights), own in zip(self.templates, self.norms):
+            of = lambda value: F.create_map(*(F.lit(v) for w, x in weights.items() for v in (w, value(w, x))))
+            words = F.array(*(F.lit(w) for w in weights)).alias("words")
+            least = F.lit(threshold**2 * own * own * (1 - 1e-9)).alias("least")
+            squares, parts = of(lambda w, x: x * x).alias("squares"), of(lambda w, x: x * self.idf[w] / own).alias("parts")
+            rows.append(F.struct(F.lit(name).alias("license"), words, least, squares, parts))
+        self.rows = F.array(*rows)
+
+    def reachable(self, held: Column) -> Column:
+        share = lambda t: F.aggregate(F.array_intersect(held, t["words"]), F.lit(0.0), lambda acc, w: acc + F.element_at(t["squares"], w))
+        return (F.size(held) > 0) & F.exists(self.rows, lambda t: share(t) >= t["least"])
+
+    def best(self, tf: Column, others: Column) -> Column:
+        weight = F.create_map(*(F.lit(x) for kv in self.idf.items() for x in kv))
+        add = lambda acc, e: acc + F.pow(e["value"] * F.element_at(weight, e["key"]), F.lit(2.0))
+        norm = F.sqrt(F.aggregate(F.map_entries(tf), F.lit(0.0), add) + others * (self.other * self.other))
+
+        def scored(t: Column) -> Column:
+            held = F.array_intersect(F.map_keys(tf), t["words"])
+            dot = F.aggregate(held, F.lit(0.0), lambda acc, w: acc + F.element_at(tf, w) * F.element_at(t["parts"], w))
+            return F.struct(F.round(F.when(norm > 0, dot / norm).otherwise(0.0), 6).alias("score"), t["license"].alias("license"))
+
+        return F.array_max(F.transform(self.rows, scored))
+
+
+def own_licenses(files: DataFrame, text_col: str = "text", threshold: float = 0.7, templates=TEMPLATES, texts=TEXTS) -> DataFrame:
+    """All columns of ``files`` in ``row``, with ``own``: (score, license) or null. Lines are held
+    against ``templates``, blocks against ``texts``."""
+    terms = sorted({*vocabulary(templates), *vocabulary(texts)})
+    n, df = document_frequencies(files, text_col, terms)
+    kinds = [(Weights(n, df, threshold, templates), "\n")] if templates else []
+    kinds += [(TextWeights(n, df, threshold, texts), BETWEEN_BLOCKS)] if texts else []
     row = F.struct(*(B.quoted(c) for c in files.columns if c != text_col))
+    found = files.select(row.alias("row"), _texts(text_col).alias("_text"))
+    found = found.withColumn("_held", F.array_intersect(_split(F.col("_text")), F.array(*(F.lit(t) for t in terms))))
+    found = found.select("row", *(_bags(weights, between).alias(f"_bags{i}") for i, (weights, between) in enumerate(kinds)))
+    of = lambda weights: lambda b: weights.best(b["tf"], b["others"])
+    best = [F.array_max(F.transform(f"_bags{i}", of(weights))) for i, (weights, _) in enumerate(kinds)]
+    scored = found.select("row", F.array_max(F.array(*best)).alias("best"))
+    return scored.select("row", F.when(F.col("best.score") >= threshold, F.col("best")).alias("own"))
+
+
+def _bags(weights: Weights, between: str) -> Column:
+    """The bags of ``_text``, split at ``between``, that can reach the threshold."""
     held = lambda words: F.array_intersect(words, weights.known)
     text = F.col("_text")
-    found = files.select(row.alias("row"), _texts(text_col).alias("_text"))
-    found = found.withColumn("_held", held(_split(text)))
     # the whole file counts as one more line
-    lines = F.when(weights.reachable(F.col("_held")), F.array_union(F.split(text, "\n"), F.array(text))).otherwise(F.array().cast("array<string>"))
+    lines = F.when(weights.reachable(held(F.col("_held"))), F.array_union(F.split(text, between), F.array(text))).otherwise(F.array().cast("array<string>"))
     bags = F.transform(lines, lambda line: F.filter(_split(line), lambda w: w != ""))
     bags = F.transform(bags, lambda words: F.struct(words.alias("words"), held(words).alias("held")))
     bags = F.filter(bags, lambda b: weights.reachable(b["held"]))
@@ -135,10 +263,7 @@ def own_licenses(files: DataFrame, text_col: str = "text", threshold: float = 0.
         others = F.size(F.array_distinct(b["words"])) - F.size(b["held"])
         return F.struct(F.map_from_arrays(b["held"], tf).alias("tf"), others.alias("others"))
 
-    found = found.select("row", F.transform(bags, counted).alias("_bags"))
-    best = F.array_max(F.transform("_bags", lambda b: weights.best(b["tf"], b["others"])))
-    scored = found.select("row", best.alias("best"))
-    return scored.select("row", F.when(F.col("best.score") >= threshold, F.col("best")).alias("own"))
+    return F.transform(bags, counted)
 
 
 def folder(path: Column) -> Column:
@@ -146,11 +271,11 @@ def folder(path: Column) -> Column:
     return F.regexp_replace(path, "/?[^/]*$", "")
 
 
-def scan(files: DataFrame, path_col: str = "path", text_col: str = "text", threshold: float = 0.7, templates=TEMPLATES) -> DataFrame:
+def scan(files: DataFrame, path_col: str = "path", text_col: str = "text", threshold: float = 0.7, templates=TEMPLATES, texts=TEXTS) -> DataFrame:
     """Per file: ``row``, ``license``, ``score``, ``origin`` ('own', 'inherited' or null) and
     ``from_folder`` (of the licence file that it is inherited from)."""
     path = F.col("row")[path_col].cast("string")
-    found = own_licenses(files, text_col, threshold, templates).withColumn("_folder", folder(path))
+    found = own_licenses(files, text_col, threshold, templates, texts).withColumn("_folder", folder(path))
     given = found.where(path.rlike(LICENSE_FILE) & F.col("own").isNotNull()).groupBy("_folder").agg(F.max("own").alias("given"))
     given = given.select(F.col("_folder").alias("_above"), "given")
     parts = F.split("_folder", "/")

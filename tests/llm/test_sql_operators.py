@@ -68,6 +68,29 @@ def test_the_test_by_held_words_loses_nothing(spark, odd):
     assert any(some.values()) and not all(some.values())
 
 
+def test_wrapped_headers_and_licence_files(spark):
+    import textwrap
+
+    gpl = """This file is part of Frob. Frob is free software: you can redistribute it and/or modify it under the terms of the GNU
+        General Public License as published by the Free Software Foundation, either version {} of the License, or (at your option)
+        any later version."""
+    wrapped = lambda text, mark: "\n".join(mark + x for x in textwrap.wrap(" ".join(text.split()), 60))
+    paragraphs = lambda text: f"Copyright (c) 2020, Jane Doe\nAll rights reserved.\n\n{wrapped(text, '')}\n"
+    code = "\n".join(f"value{i} = compute{i}(value{i + 1})" for i in range(200))
+    header = lambda text: f"# Copyright 2020 Jane Doe\n#\n{wrapped(text, '# ')}\n#\n\n{code}\n"
+    cc = lambda kind: f"{kind} 4.0 International\n\n{'=' * 60}\n\nCreative Commons\n{kind}\n4.0 International Public\nLicense\n\n{code}"
+    rows = [
+        ("GPL-3.0", header(gpl.format(3))), ("GPL-2.0", header(gpl.format(2))), ("LGPL-3.0", header(gpl.format(3).replace("General", "Lesser General"))),
+        ("Apache-2.0", header(L._APACHE)), ("MIT", paragraphs(L._MIT + "\n" + L._MIT_END)), ("ISC", paragraphs(L._ISC)),
+        ("BSD-2-Clause", paragraphs(L._BSD + L._BSD_END)), ("BSD-3-Clause", paragraphs(L._BSD + L._BSD_3 + L._BSD_END)),
+        ("GPL-3.0", f"   GNU GENERAL PUBLIC LICENSE\r\n   Version 3, 29 June 2007\r\n\r\n{code}"), ("CC-BY-4.0", cc("Attribution")),
+        ("CC-BY-NC-SA-4.0", cc("Attribution-NonCommercial-ShareAlike")), ("CC0-1.0", f"CC0\n\n{wrapped(L.TEXTS[12][1], '')}\n\n{code}"), (None, code),
+    ]
+    files = [(i, f"p{i}/LICENSE", name, text) for i, (name, text) in enumerate(rows)] + [(99, "p6/src/x.c", "BSD-2-Clause", "int x;")]
+    out = L.scan(spark.createDataFrame(files, "n int, path string, want string, text string")).select("row.n", "row.want", "license").collect()
+    assert len(out) == len(files) and [tuple(r) for r in out if r["want"] != r["license"]] == []
+
+
 def test_canonical_urls(spark):
     same = ["http://www.Example.com/A/?utm_source=x#f", "https://example.com:443/A", "example.com/A/", "HTTP://m.example.com/A?ref=1"]
     other = ["http://example.com/a", "http://example.com/A?b=1", "http://example.com/A?a=2&b=1"]
