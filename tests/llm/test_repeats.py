@@ -1,3 +1,4 @@
+import pyarrow as pa
 import pytest
 
 from snapfacet.llm import blocks as B
@@ -99,3 +100,15 @@ def test_contract_columns(spark):
     assert q.columns[:4] == ["doc_id", "n_words", "n_removed", "kept_sha256"]
     assert q.count() == spark.read.parquet(f"{SF_SMALL}/documents.parquet").count()
     assert op8_suffix_array_dedup(spark, SF_SMALL).columns[0] == "doc_id"
+
+
+def test_word_hashes_do_not_collide_by_construction():
+    """Words in Thue-Morse order are equal under every polynomial modulo 2**64."""
+    order = "".join("ab"[i.bit_count() % 2] for i in range(1024))
+    swapped = order.translate(str.maketrans("ab", "ba"))
+    for text in (f"{order} {swapped}", f"{order[:200]} {swapped[:200]}", f"a{chr(0)} a", f"{'x' * 256} {'x' * 257}", f"{'x' * 8} {'x' * 9}"):
+        data, offsets = W.text_bytes(pa.array([text]))
+        h = W.words(data, offsets)[3]
+        assert len(h) == 2 and h[0] != h[1]
+        again = W.words(*W.text_bytes(pa.array(["z " + text])))[3]
+        assert again[1:].tolist() == h.tolist()
