@@ -8,6 +8,7 @@ from .benchmark_decontamination import op7_benchmark_decontamination
 from .hamming_search import OP6_SQL, op6_exact_top_k
 from .interpolation import op9_deleted_interpolation
 from .license_scan import OP3_SQL, op3_license_scan
+from .minhash import OP13_SQL, op13_minhash_near_dedup
 from .packing import op4_harmonic_packing
 from .revisits import OP5_SQL, op5_not_modified_revisits
 from .simhash import op10_simhash_near_dedup
@@ -32,5 +33,6 @@ QUERIES = {
     "op8_suffix_array_dedup": (op8_suffix_array_dedup, None),
     "op9_deleted_interpolation": (op9_deleted_interpolation, None),
     "op10_simhash_near_dedup": (op10_simhash_near_dedup, None),
+    "op13_minhash_near_dedup": (op13_minhash_near_dedup, OP13_SQL),
     "pipeline": (pipeline, corpus_pipeline.ORACLE_SQL),
 }
