@@ -7,6 +7,7 @@ import corpus_pipeline
 from .benchmark_decontamination import op7_benchmark_decontamination
 from .hamming_search import OP6_SQL, op6_exact_top_k
 from .interpolation import op9_deleted_interpolation
+from .lexical_search import OP11_SQL, op11_dual_tree_search
 from .license_scan import OP3_SQL, op3_license_scan
 from .minhash import OP13_SQL, op13_minhash_near_dedup
 from .packing import op4_harmonic_packing
@@ -33,6 +34,7 @@ QUERIES = {
     "op8_suffix_array_dedup": (op8_suffix_array_dedup, None),
     "op9_deleted_interpolation": (op9_deleted_interpolation, None),
     "op10_simhash_near_dedup": (op10_simhash_near_dedup, None),
+    "op11_dual_tree_search": (op11_dual_tree_search, OP11_SQL),
     "op13_minhash_near_dedup": (op13_minhash_near_dedup, OP13_SQL),
     "pipeline": (pipeline, corpus_pipeline.ORACLE_SQL),
 }
