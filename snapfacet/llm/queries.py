@@ -6,6 +6,7 @@ import corpus_pipeline
 
 from .benchmark_decontamination import op7_benchmark_decontamination
 from .hamming_search import OP6_SQL, op6_exact_top_k
+from .hard_negatives import OP12_SQL, op12_hard_negatives
 from .interpolation import op9_deleted_interpolation
 from .lexical_search import OP11_SQL, op11_dual_tree_search
 from .license_scan import OP3_SQL, op3_license_scan
@@ -35,6 +36,7 @@ QUERIES = {
     "op9_deleted_interpolation": (op9_deleted_interpolation, None),
     "op10_simhash_near_dedup": (op10_simhash_near_dedup, None),
     "op11_dual_tree_search": (op11_dual_tree_search, OP11_SQL),
+    "op12_hard_negatives": (op12_hard_negatives, OP12_SQL),
     "op13_minhash_near_dedup": (op13_minhash_near_dedup, OP13_SQL),
     "pipeline": (pipeline, corpus_pipeline.ORACLE_SQL),
 }
