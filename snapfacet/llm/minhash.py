@@ -7,20 +7,19 @@ permutation is drawn, however long the signature is.
 
 Texts with one shingle set are one class; the classes are what is compared. Bands of ``rows``
 coordinates are the keys of buckets. With 32 bands of 5, two sets at the limit of 0.85 share no
-bucket with a chance of about 7e-9. Within a bucket the share of equal coordinates of two signatures
-estimates their similarity; pairs with so few that a linked pair has them with a chance of about 1e-9
-(``least_matches``) are given up, all others are verified on the full shingle sets.
-
-Only components are wanted, so pairs are taken up best estimate first, in rounds: a round verifies, for each
-member of a bucket, its next best partners of *other* components, links what passes, and joins the
-links to components; what has become one component by then is not looked at again. The order of the
-pairs does not depend on the components, so each pair is met in exactly one round, and the rounds go
-on until no pair is left: nothing is capped. A group of thousands of near copies falls together in
-the first rounds, without its pairs being listed.
-
-A bucket with more than ``tile`` members is cut into tiles of that many, first along itself; if the members
-are not one component then, those outside its largest component are held against all tiles of it in a second
-pass. Thus no task holds more than two tiles.
+bucket with a chance of about 7e-9. The share of equal coordinates of two signatures estimates their similarity;
+pairs with so few that a linked pair has them with a chance of about 1e-9 (``least_matches``) are given
+up, all others are verified on the full shingle sets.
+
+Only components are wanted, so no list of pairs is ever made. A class's home is the largest bucket within
+a few steps of it; homes are cut into blocks of at most ``block`` classes and ``BLOCK_SHINGLES`` shingles, or one class.
+A block's task has its sets and takes the pairs of different components best estimate first: it verifies, joins what
+passes, and goes on until no pair is left, so nothing is capped; it answers with a spanning forest of its links.
+In a home of several blocks some classes, the pivots, are in every block, so that the blocks of a group of near
+copies fall together at once. What is left are pairs that share a bucket, but no block and no component: a
+second pass brings the two blocks of such pairs together, of each bucket only what is outside its main component and what that
+has to be held against. A group of copies is thus read a fixed number of times, whatever its size; only classes that
+stay outside cost more.
 
 Defined results: a text without words, or null, has no shingles, is linked with nothing and is its
 own component; fewer words than a shingle are one shingle; rows with one shingle set are linked; a
@@ -41,11 +40,10 @@ from pyspark.sql import types as T
 from ..session import ensure_checkpoint_dir, scratch, ship_package, table
 from . import blocks as B
 from . import words as W
-from .simhash import components
+from .simhash import _components, components
 
-BANDS, ROWS, TILE = 32, 5, 2048
-#: Partners of each member that the rounds go up to; after the last all that are left.
-STEPS = (4, 32, 256)
+BANDS, ROWS, BLOCK = 32, 5, 2048
+BLOCK_SHINGLES, PIVOTS, STEPS = 2_000_000, 64, 3
 SLAB = 1 << 15
 _U = np.uint64
 #: Fixed odd numbers: the keys of the two permutations and of a set's two sums.
@@ -168,124 +166,124 @@ def sketch(docs: DataFrame, text_col: str, words: int, bands: int, band_rows: in
     return d.mapInArrow(run, schema)
 
 
-# --- candidates of a tile ---------------------------------------------------------------------
+# --- one block, or two, in a task -------------------------------------------------------------
 
 
 def _matches(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Equal coordinates of each signature of ``a`` with each of ``b``."""
-    out = np.zeros((len(a), len(b)), np.uint16)
+    """Equal coordinates of each signature of ``a`` with each of ``b`` (at most 255 coordinates)."""
+    out = np.zeros((len(a), len(b)), np.uint8)
     for k in range(a.shape[1]):
         out += a[:, k, None] == b[None, :, k]
     return out
 
 
-def _place(m: np.ndarray) -> np.ndarray:
-    """For each row of matches the place of each column, best first."""
-    order = np.argsort(-m.astype(np.int16), axis=1, kind="stable")
-    place = np.empty(m.shape, np.int32)
-    np.put_along_axis(place, order, np.broadcast_to(np.arange(m.shape[1], dtype=np.int32), m.shape), axis=1)
-    return place
-
-
-def tile_pairs(sign: np.ndarray, side: np.ndarray, label: np.ndarray, lo: int, hi: int | None, least: int):
-    """Pairs (i, j) of one tile whose turn is between ``lo`` and ``hi`` (None: no end), of two labels, with at
-    least that many matches; and whether later rounds have more. A pair's turn is its place among the
-    partners of the member that prefers it most. Rows of side 1 and 2 are held against each other (a member
-    may stand on both); those of side 0 among themselves."""
-    two = bool(side.any())
-    a = np.flatnonzero(side == 1) if two else np.arange(len(side))
-    b = np.flatnonzero(side == 2) if two else a
-    if not len(a) or not len(b) or (label == label[0]).all():
-        return a[:0], b[:0], False
+class Sets:
+    """Shingle sets with the shingles numbered."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.at = np.cumsum([0, *map(len, sets)])
+        _, self.term = np.unique(np.concatenate(sets), return_inverse=True)
+        self.size = np.diff(self.at)
+        self.mark = np.zeros(int(self.term.max(initial=0)) + 1, bool)
+
+    def common(self, a: int, others: np.ndarray) -> np.ndarray:
+        """Shingles that set ``a`` shares with each of the others (none of them empty)."""
+        mine = self.term[self.at[a] : self.at[a + 1]]
+        self.mark[mine] = True
+        n = self.size[others]
+        first = np.cumsum(n) - n
+        spot = np.repeat(self.at[others] - first, n) + np.arange(int(n.sum()))
+        out = np.add.reduceat(self.mark[self.term[spot]], first, dtype=np.int64)
+        self.mark[mine] = False
+        return out
+
+
+def spanning_links(sign: np.ndarray, label: np.ndarray, sets: Sets, a: np.ndarray, b: np.ndarray, least: int, top: int):
+    """Verified links between the classes ``a`` and the classes ``b`` (numbers of rows; ``a`` is ``b`` for one
+    block): with the labels they make the components that all links of 10000 * common >= top * union make. Pairs
+    of one component are passed over, others come up with the best estimates first, twice as many each time."""
+    same = a is b
     m = _matches(sign[a], sign[b])
-    if not two:  # a member is no partner of itself: it takes the last place
-        np.fill_diagonal(m, 0)
-    turn = np.minimum(_place(m), _place(m.T).T)
-    open_ = (m >= least) & (label[a][:, None] != label[b][None, :])
-    if not two:
-        open_ &= a[:, None] < b[None, :]
-    more = bool(hi is not None and (open_ & (turn >= hi)).any())
-    i, j = np.nonzero(open_ & (turn >= lo) & (turn < (hi if hi is not None else m.size + 1)))
-    return a[i], b[j], more
-
-
-def _small_tiles(sign, label, first, size, least):
-    """All pairs of the tiles with ``size`` members that begin at ``first``."""
-    i, j = np.triu_indices(size, 1)
-    a, b = (first[:, None] + i).ravel(), (first[:, None] + j).ravel()
-    a, b = a[label[a] != label[b]], b[label[a] != label[b]]
-    keep = []
-    for lo in range(0, len(a), 65_536):
-        s = slice(lo, lo + 65_536)
-        keep.append((sign[a[s]] == sign[b[s]]).sum(axis=1) >= least)
-    ok = np.concatenate(keep) if keep else np.zeros(0, bool)
-    return a[ok], b[ok]
-
-
-def _candidates(size: int, lo: int, hi: int | None, least: int):
-    """Rows sorted by tile -> (a, b, more): candidate pairs, and one row (null, null, true) for each tile
-    that has more for later rounds. A tile's rows may come in several batches."""
-
-    def columns(batch):
-        tile = batch.column("tile").to_numpy(zero_copy_only=False)
-        ints = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("side", "node", "label")]
-        sign = np.frombuffer(b"".join(batch.column("sign").to_pylist()), np.uint8).reshape(len(tile), size)
-        return [tile, *ints, sign]
-
-    def work(tile, side, node, label, sign):
-        cut = np.append(np.flatnonzero(np.append(True, tile[1:] != tile[:-1])), len(tile))
-        n, out_a, out_b, more = np.diff(cut), [], [], 0
-        plain = np.maximum.reduceat(side, cut[:-1]) == 0
-        if lo == 0:
-            for k in range(2, STEPS[0] + 2):  # each member has STEPS[0] partners at most: all have their turn now
-                first = cut[:-1][plain & (n == k)]
-                if len(first):
-                    a, b = _small_tiles(sign, label, first, k, least)
-                    out_a.append(node[a])
-                    out_b.append(node[b])
-        for t in np.flatnonzero(~plain | (n > STEPS[0] + 1)):
-            s = slice(cut[t], cut[t + 1])
-            a, b, later = tile_pairs(sign[s], side[s], label[s], lo, hi, least)
-            out_a.append(node[s][a])
-            out_b.append(node[s][b])
-            more += later
-        a = np.concatenate(out_a) if out_a else np.zeros(0, np.int64)
-        b = np.concatenate(out_b) if out_b else np.zeros(0, np.int64)
-        pairs = np.unique(np.stack((np.minimum(a, b), np.maximum(a, b)), axis=1), axis=0) if len(a) else np.zeros((0, 2), np.int64)
-        pairs = pairs[pairs[:, 0] != pairs[:, 1]]
-        none = pa.nulls(int(more > 0), pa.int64())
-        cols = [pa.concat_arrays([pa.array(np.ascontiguousarray(pairs[:, c]), pa.int64()), none]) for c in (0, 1)]
-        return pa.RecordBatch.from_arrays([*cols, pa.array([False] * len(pairs) + [True] * len(none), pa.bool_())], ["a", "b", "more"])
+    small, large = np.minimum.outer(sets.size[a], sets.size[b]), np.maximum.outer(sets.size[a], sets.size[b])
+    m[(m < least) | (small * 10_000 < top * large)] = 0
+    if same:
+        m[np.tril_indices(len(a))] = 0
+    found, k = [], 1
+    label = np.unique(label, return_inverse=True)[1]
+    while True:
+        m[label[a][:, None] == label[b][None, :]] = 0
+        rows = np.flatnonzero(m.any(axis=1))
+        if not len(rows):
+            break
+        some = m[rows]
+        best = np.argpartition(some, len(b) - k, axis=1)[:, len(b) - k :] if k < len(b) else np.broadcast_to(np.arange(len(b)), some.shape)
+        for r, columns in zip(rows, best):
+            columns = columns[m[r, columns] > 0]
+            common = sets.common(a[r], b[columns])
+            ok = common * 10_000 >= top * (sets.size[a[r]] + sets.size[b[columns]] - common)
+            found += [(int(a[r]), int(x)) for x in b[columns[ok]]]
+            m[r, columns] = 0
+        if found:
+            i, j = np.array(found).T
+            label = _components(int(label.max()) + 1, label[i], label[j])[label]
+        k *= 2
+    return found
+
+
+def _forest(found: list, label: np.ndarray) -> list:
+    """Those of the links that join something."""
+    up, out = {}, []
+
+    def root(x):
+        while up.get(x, x) != x:
+            x = up[x]
+        return x
+
+    for i, j in found:
+        x, y = root(int(label[i])), root(int(label[j]))
+        if x != y:
+            up[max(x, y)] = min(x, y)
+            out.append((i, j))
+    return out
+
+
+def _linked(size: int, words: int, least: int, top: int):
+    """Rows sorted by task (side 0: one block with itself; 1 and 2: the two blocks) -> links."""
+
+    def work(rows: pa.Table) -> pa.RecordBatch:
+        node, side, label = (rows[c].to_numpy() for c in ("node", "side", "label"))
+        out = []
+        if (label != label[0]).any():
+            sign = np.frombuffer(b"".join(rows["sign"].to_pylist()), np.uint8).reshape(len(node), size)
+            sets = Sets([np.cumsum(B.unpack(x.as_py())[0], dtype=np.uint64) for x in rows["set"]])
+            a = np.flatnonzero(side < 2)
+            b = np.flatnonzero(side == 2) if side.any() else a
+            out = _forest(spanning_links(sign, label, sets, a, b, least, top), label) if len(a) and len(b) else []
+        pairs = np.array(out, np.int64).reshape(-1, 2)
+        return pa.RecordBatch.from_arrays([pa.array(node[pairs[:, 0]], pa.int64()), pa.array(node[pairs[:, 1]], pa.int64())], ["a", "b"])
 
     def run(batches):
         held = []
         for batch in batches:
-            if not batch.num_rows:
+            task = batch.column("task").to_numpy(zero_copy_only=False)
+            if not len(task):
                 continue
-            now = columns(batch)
-            tail = int(np.searchsorted(now[0], now[0][-1], "left"))
-            if held and tail:  # the tile left over from before ends in this batch
-                done = [np.concatenate([h[c] for h in held] + [now[c][:tail]]) for c in range(5)]
+            cuts = np.append(np.flatnonzero(np.append(True, task[1:] != task[:-1])), len(task))
+            if held and held[0].column("task")[0].as_py() != task[0]:
+                yield work(pa.Table.from_batches(held))
                 held = []
-                yield work(*done)
-            elif tail:
-                yield work(*(c[:tail] for c in now))
-            if held and held[-1][0][-1] != now[0][tail]:
-                yield work(*(np.concatenate([h[c] for h in held]) for c in range(5)))
-                held = []
-            held.append([c[tail:] for c in now])
+            for lo, hi in zip(cuts[:-1], cuts[1:]):
+                held.append(batch.slice(int(lo), int(hi - lo)))
+                if hi < len(task):  # the last one may go on in the next batch
+                    yield work(pa.Table.from_batches(held))
+                    held = []
         if held:
-            yield work(*(np.concatenate([h[c] for h in held]) for c in range(5)))
+            yield work(pa.Table.from_batches(held))
 
     return run
 
 
-# --- verification on full sets ---------------------------------------------------------------
-
-
-def _unpacked(block) -> str | None:
-    raw = block.as_buffer() if block.is_valid else None
-    return None if raw is None else pa.decompress(raw[8:], int.from_bytes(raw[:8], "little"), codec="zstd", asbytes=True).decode()
+# --- the join ---------------------------------------------------------------------------------
 
 
 def _sets(words: int):
@@ -294,82 +292,82 @@ def _sets(words: int):
     def made(nodes, texts):
         x, at = shingles(pa.array(texts, pa.string()), words)
         packed = [B.pack(B.delta(x[a:b])) for a, b in zip(at[:-1], at[1:])]
-        return pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(packed, pa.binary())], ["node", "set"])
+        return [pa.array(nodes, pa.int64()), pa.array(packed, pa.binary())]
 
     def run(batches):
         for batch in batches:
             nodes, texts, size = [], [], 0
             for node, text in zip(batch.column("node").to_pylist(), batch.column("text")):
+                raw = text.as_buffer()
+                texts.append(pa.decompress(raw[8:], int.from_bytes(raw[:8], "little"), codec="zstd", asbytes=True).decode())
                 nodes.append(node)
-                texts.append(_unpacked(text))
-                size += len(texts[-1] or "")
+                size += len(texts[-1])
                 if size > W.SLICE:  # memory follows the slice, or the longest text
-                    yield made(nodes, texts)
+                    yield pa.RecordBatch.from_arrays(made(nodes, texts), ["node", "set"])
                     nodes, texts, size = [], [], 0
             if nodes:
-                yield made(nodes, texts)
+                yield pa.RecordBatch.from_arrays(made(nodes, texts), ["node", "set"])
 
     return run
 
 
-def _verified(similarity: float):
-    """Pairs with both sets -> those with intersection >= similarity * union, in whole numbers."""
-    top, below = round(similarity * 10_000), 10_000
+def homes(met: DataFrame) -> DataFrame:
+    """(node, home): the largest bucket within ``STEPS`` steps of each class, the first of equal ones, as a
+    struct (members, bucket). ``met``: bucket, members, node."""
+    home = met.groupBy("node").agg(F.max(F.struct("members", "bucket")).alias("home"))
+    for _ in range(STEPS - 1):
+        near = met.select("bucket", "node").join(home, "node")
+        near = near.groupBy("bucket").agg(F.max("home").alias("home"))
+        home = met.select("bucket", "node").join(near, "bucket").groupBy("node").agg(F.max("home").alias("home"))
+    return home
 
-    def run(batches):
-        for batch in batches:
-            keep, last, held = [], None, None
-            for i in range(batch.num_rows):
-                a = batch.column("a")[i].as_py()
-                if a != last:
-                    last, held = a, np.cumsum(B.unpack(batch.column("set_a")[i].as_py())[0], dtype=np.uint64)
-                other = np.cumsum(B.unpack(batch.column("set_b")[i].as_py())[0], dtype=np.uint64)
-                if min(len(held), len(other)) * below < top * max(len(held), len(other)):
-                    continue
-                both = int(B.member(held, other).sum())
-                if below * both >= top * (len(held) + len(other) - both):
-                    keep.append(i)
-            yield batch.select(["a", "b"]).take(pa.array(keep, pa.int64()))
 
-    return run
+def blocks_of(classes: DataFrame, met: DataFrame, block: int) -> DataFrame:
+    """(node, home, part, parts, pivot): the block of each class is its home and part."""
+    home = homes(met).select("node", F.col("home.bucket").alias("home"))
+    home = home.join(classes.select("node", "n_shingles"), "node")
+    sizes = home.groupBy("home").agg(F.count("*").alias("members"), F.sum("n_shingles").alias("all"))
+    most = F.greatest(F.ceil(F.col("members") / F.lit(block)), F.ceil(F.col("all") / F.lit(BLOCK_SHINGLES)))
+    sizes = sizes.select("home", "members", most.cast("long").alias("parts"))
+    part = F.pmod(F.xxhash64("node", F.lit(1)), F.col("parts"))
+    # about PIVOTS classes of a home of several blocks
+    pivot = F.pmod(F.xxhash64("node", F.lit(2)), F.greatest(F.lit(1), (F.col("members") / F.lit(PIVOTS)).cast("long"))) == 0
+    return home.join(sizes, "home").select("node", "home", part.alias("part"), "parts", ((F.col("parts") > 1) & pivot).alias("pivot"))
 
 
 class _Join:
     """The links so far, and the component of each class that has any."""
 
-    def __init__(self, similarity: float, size: int):
-        self.similarity, self.size, self.least = similarity, size, least_matches(size, similarity)
-        self.links, self.roots = None, None
+    def __init__(self, held: DataFrame, size: int, words: int, similarity: float):
+        self.held, self.links, self.roots = held, None, None
+        self.run = _linked(size, words, least_matches(size, similarity), round(similarity * 10_000))
 
-    def labelled(self, tiles: DataFrame) -> DataFrame:
+    def labelled(self, rows: DataFrame) -> DataFrame:
         if self.roots is None:
-            return tiles.withColumn("label", F.col("node"))
+            return rows.withColumn("label", F.col("node"))
         named = self.roots.select("node", F.col("root").alias("_root"))
-        return tiles.join(named, "node", "left").withColumn("label", F.coalesce("_root", "node")).drop("_root")
-
-    def round(self, tiles: DataFrame, sets: DataFrame, lo: int, hi: int | None) -> bool:
-        """Verify the pairs whose turn it is; whether any tile has more."""
-        rows = self.labelled(tiles).select("tile", "side", "node", "label", "sign")
-        if self.roots is not None:  # tiles that are one component have nothing to say
-            mixed = rows.groupBy("tile").agg(F.min("label").alias("_low"), F.max("label").alias("_high")).where("_low <> _high")
-            rows = rows.join(mixed.select("tile"), "tile", "left_semi")
-        found = rows.repartition("tile").sortWithinPartitions("tile", "side", "node")
-        found = found.mapInArrow(_candidates(self.size, lo, hi, self.least), "a long, b long, more boolean").distinct()
-        found = written(found, "candidates")
-        pairs = found.where("not more").select("a", "b")
-        left = pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("set_a")), "a")
-        both = left.join(sets.select(F.col("node").alias("b"), F.col("set").alias("set_b")), "b")
-        links = both.select("a", "b", "set_a", "set_b").mapInArrow(_verified(self.similarity), "a long, b long")
-        links = written(links if self.links is None else links.union(self.links), "links")
-        if self.links is None or links.count() > self.links.count():
-            self.roots = components(links)
-        self.links = links
-        return bool(found.where("more").take(1))
-
-    def rounds(self, tiles: DataFrame, sets: DataFrame) -> None:
-        for lo, hi in zip((0, *STEPS), (*STEPS, None)):
-            if not self.round(tiles, sets, lo, hi):
-                break
+        return rows.join(named, "node", "left").withColumn("label", F.coalesce("_root", "node")).drop("_root")
+
+    def take(self, rows: DataFrame) -> None:
+        """Verify what the tasks of ``rows`` (task, side, node, label) hold, and join the links."""
+        full = rows.join(self.held, "node").select("task", "side", "node", "label", "sign", "set")
+        links = full.repartition("task").sortWithinPartitions("task", "side", "node").mapInArrow(self.run, "a long, b long")
+        links = written(links, "links")
+        self.links = links if self.links is None else self.links.union(links)
+        self.roots = components(self.links)
+
+
+def _left(met: DataFrame) -> DataFrame:
+    """Tasks (task, side, node, label) of the second pass. ``met``: bucket, node, label, home, part."""
+    sizes = met.groupBy("bucket", "label").agg(F.count("*").alias("n"))
+    main = sizes.groupBy("bucket").agg(F.max(F.struct("n", "label"))["label"].alias("main"), F.count("*").alias("labels")).where("labels > 1")
+    mixed = met.join(main.select("bucket", "main"), "bucket").withColumn("apart", F.col("label") != F.col("main"))
+    places = mixed.groupBy("bucket", "home", "part").agg(F.max("apart").alias("any_apart"))
+    places = places.select("bucket", F.col("home").alias("home2"), F.col("part").alias("part2"), "any_apart")
+    beside = mixed.join(places, "bucket").where("(home <> home2 or part <> part2) and (apart or any_apart)")
+    one, two = F.struct("home", "part"), F.struct(F.col("home2").alias("home"), F.col("part2").alias("part"))
+    task = F.xxhash64(F.least(one, two), F.greatest(one, two))
+    return beside.select(task.alias("task"), F.when(one < two, 1).otherwise(2).alias("side"), "node", "label").distinct()
 
 
 def near_duplicates(
@@ -380,75 +378,59 @@ def near_duplicates(
     similarity: float = 0.8,
     bands: int = BANDS,
     band_rows: int = ROWS,
-    tile: int = TILE,
+    block: int = BLOCK,
 ) -> DataFrame:
     """Per row of ``docs``: ``row``, ``n_shingles``, ``component_id``, the smallest id reachable over
-    links of at least ``similarity``, ``component``, a number that names the component also where it has no id
-    (null: no shingles), and ``kept``, whether the row's id is the component's. ``similarity`` has up to four decimals."""
-    spark = docs.sparkSession
-    ensure_checkpoint_dir(spark)
+    links of at least ``similarity`` (of up to four decimals), ``component``, a text that names the component also
+    where it has no id (null: no shingles), and ``kept``, whether the row's id is the component's."""
+    ensure_checkpoint_dir(docs.sparkSession)
+    size = bands * band_rows
     # Each row's numbers, and its text for the verification, are written once.
     id_ = B.quoted("row")[id_col].cast("long").alias("_id")
     prints = written(sketch(docs, text_col, shingle_words, bands, band_rows).select("*", id_), "sketches")
-    key = ("h1", "h2", "n_shingles")
-    some = prints.where("n_shingles > 0")
-    classes = some.groupBy(*key).agg(F.min("_id").alias("least"), *(F.first(c).alias(c) for c in ("keys", "sign", "text")))
-    # Classes get a number that is fixed by the write.
-    classes = written(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+    some, key = prints.where("n_shingles > 0"), ["h1", "h2", "n_shingles"]
 
     def buckets(batches):
         for batch in batches:
             keys = np.frombuffer(b"".join(batch.column("keys").to_pylist()), np.int64)
-            node = np.repeat(batch.column("node").to_numpy(zero_copy_only=False), bands)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(node, pa.int64())], ["bucket", "node"])
-
-    keyed = classes.select("keys", "node").mapInArrow(buckets, "bucket long, node long")
-    shared = keyed.groupBy("bucket").agg(F.count("*").alias("members")).where("members > 1")
-    met = written(keyed.join(shared, "bucket"), "met")
-    nodes = met.select("node").distinct()
-    mine = classes.join(nodes, "node", "left_semi")
-    sets = mine.select("node", "text").mapInArrow(_sets(shingle_words), "node long, set binary")
-    sets = written(sets, "sets")
-    signed = mine.select("node", "sign")
-
-    parts = F.ceil(F.col("members") / F.lit(tile)).cast("long")
-    part = F.pmod(F.xxhash64("node", F.lit(1)), parts)
-    met = met.select("bucket", "node", parts.alias("parts"), part.alias("part"))
-    along = met.select(F.when(F.col("parts") > 1, F.xxhash64("bucket", "part")).otherwise(F.col("bucket")).alias("tile"), F.lit(0).alias("side"), "node")
-    join = _Join(similarity, bands * band_rows)
-    join.rounds(written(along.join(signed, "node"), "tiles"), sets)
-
-    full = join.labelled(met.where("parts > 1"))
-    if full.take(1):
-        across = _across(full, tile)
-        join.rounds(written(across.join(signed, "node"), "tiles"), sets)
-
-    named = classes.join(join.roots, "node", "left").select(*key, "least", F.coalesce("root", "node").alias("component"))
+            h1 = np.repeat(batch.column("h1").to_numpy(zero_copy_only=False), bands)
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(h1, pa.int64())], ["bucket", "h1"])
+
+    # Buckets with two different sets; a set is known by its first sum here, by all three numbers below.
+    keyed = some.select("keys", "h1").mapInArrow(buckets, "bucket long, h1 long")
+    shared = keyed.groupBy("bucket").agg(F.min("h1").alias("low"), F.max("h1").alias("high")).where("low <> high")
+    met = written(keyed.join(shared.select("bucket"), "bucket").distinct(), "met")
+    mine = some.join(met.select("h1").distinct(), "h1", "left_semi")
+    # The classes that meet another get a number that is fixed by the write.
+    classes = mine.groupBy(*key).agg(F.first("sign").alias("sign"), F.first("text").alias("text"))
+    classes = written(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+    held = classes.select("node", "text").mapInArrow(_sets(shingle_words), "node long, set binary")
+    held = written(held.join(classes.select("node", "sign"), "node"), "sets")
+
+    members = met.groupBy("bucket").agg(F.count("*").alias("members"))
+    met = written(met.join(members, "bucket").join(classes.select("h1", "node"), "h1").select("bucket", "members", "node"), "buckets")
+    places = written(blocks_of(classes, met, block), "blocks")
+    every = F.explode(F.when(F.col("pivot"), F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).otherwise(F.array("part")))
+    first = places.select("home", every.alias("part"), "node")
+    first = first.select(F.xxhash64("home", "part").alias("task"), F.lit(0).alias("side"), "node")
+
+    join = _Join(held, size, shingle_words, similarity)
+    join.take(join.labelled(first))
+    join.take(_left(join.labelled(met.join(places.select("node", "home", "part"), "node"))))
+
+    least = some.groupBy(*key).agg(F.min("_id").alias("least"))
+    named = least.join(classes.select(*key, "node"), key, "left").join(join.roots, "node", "left")
+    alone = F.concat_ws("-", *(F.hex(c) for c in key))
+    component = F.coalesce(F.coalesce("root", "node").cast("string"), alone)
+    named = named.select(*(F.col(c).alias(f"_{c}") for c in key), "least", component.alias("component"))
     smallest = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = named.join(smallest, "component").select(*(F.col(c).alias(f"_{c}") for c in key), "component", "component_id")
-    same = [prints[c] == named[f"_{c}"] for c in key]
-    out = prints.select("row", "_id", *key).join(named, same, "left")
-    component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("_id"))
-    out = out.select("row", "_id", "n_shingles", component.alias("component_id"), "component")
+    named = named.join(smallest, "component")
+    out = prints.select("row", "_id", *key).join(named, [prints[c] == named[f"_{c}"] for c in key], "left")
+    component_id = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("_id"))
+    out = out.select("row", "_id", "n_shingles", component_id.alias("component_id"), "component")
     return out.select("row", "n_shingles", "component_id", "component", F.col("_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
-def _across(full: DataFrame, tile: int) -> DataFrame:
-    """Tiles of the buckets with several parts that are not one component yet: members outside the largest
-    component (side 1), in parts of their own, against all parts (side 2)."""
-    sizes = full.groupBy("bucket", "label").agg(F.count("*").alias("n"))
-    most = sizes.groupBy("bucket").agg(F.max(F.struct("n", "label")).alias("top"), F.sum("n").alias("members"))
-    most = most.select("bucket", F.col("top.label").alias("main"), (F.col("members") - F.col("top.n")).alias("others"))
-    held = full.join(most.where("others > 0"), "bucket")
-    cuts = F.ceil(F.col("others") / F.lit(tile)).cast("long")
-    name = lambda a, b: F.xxhash64("bucket", a, b, F.lit("across")).alias("tile")
-    mine = F.pmod(F.xxhash64("node", F.lit(2)), cuts)
-    one = held.where("label <> main").withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
-    two = held.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), cuts - 1)))
-    one = one.select(name(F.col("mine"), F.col("other")), F.lit(1).alias("side"), "node")
-    return one.union(two.select(name(F.col("other"), F.col("part")), F.lit(2).alias("side"), "node"))
-
-
 def op13_minhash_near_dedup(spark, sf_dir: str) -> DataFrame:
     """Contract query: sets of 3-word shingles, 0.85 or more, whole ``documents``."""
     out = near_duplicates(table(spark, sf_dir, "documents"), shingle_words=3, similarity=0.85)

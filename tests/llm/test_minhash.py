@@ -89,31 +89,44 @@ def test_equal_coordinates_estimate_the_similarity():
     assert M.least_matches(160, 0.85) < 115
 
 
-def test_each_pair_has_one_round():
-    rng = np.random.default_rng(1)
-    sign = rng.integers(0, 3, (40, 24)).astype(np.uint8)
-    label, seen = np.arange(40), []
-    for lo, hi in zip((0, 4, 9), (4, 9, None)):
-        a, b, more = M.tile_pairs(sign, np.zeros(40, int), label, lo, hi, 8)
-        seen += list(zip(a.tolist(), b.tolist()))
-        assert more == (hi is not None)
-    want = {(i, j) for i in range(40) for j in range(i + 1, 40) if (sign[i] == sign[j]).sum() >= 8}
-    assert len(seen) == len(set(seen)) and set(seen) == want
-    side = np.repeat([1, 2], 20)
-    a, b, _ = M.tile_pairs(sign, side, label, 0, None, 8)
-    assert set(zip(a.tolist(), b.tolist())) == {(i, j) for i, j in want if i < 20 <= j}
-
-
-@pytest.mark.parametrize("tile", [M.TILE, 3])
-def test_links_are_brute_force(spark, small, odd, tile, monkeypatch):
-    if tile == 3:
-        monkeypatch.setattr(M, "STEPS", (1, 2))
+def links_of(texts, one_block):
+    """Components from ``spanning_links``, with all texts in one block or in two."""
+    x, at = M.shingles(pa.array(texts), 3)
+    sets = M.Sets([x[a:b] for a, b in zip(at[:-1], at[1:])])
+    sign = (M.signatures(x, at, 160) & np.uint64(255)).astype(np.uint8)
+    label, every = np.arange(len(texts)), np.arange(len(texts))
+    odd_, even = every[1::2], every[::2]
+    blocks = [(every, every)] if one_block else [(odd_, odd_), (even, even), (odd_, even)]
+    for a, b in blocks:
+        found = M.spanning_links(sign, label, sets, a, a if a is b else b, M.least_matches(160, 0.85), 8500)
+        forest = M._forest(found, label)
+        assert len(forest) < len(texts)
+        if forest:
+            i, j = np.array(forest).T
+            label = M._components(len(texts), label[i], label[j])[label]
+    return label.tolist()
+
+
+@pytest.mark.parametrize("one_block", [True, False])
+def test_blocks_find_the_components(one_block):
+    rng = np.random.default_rng(2)
+    texts = [t for n in (40, 25, 9) for t in family(rng, 90, n, 5)]
+    got = links_of(texts, one_block)
+    want = linked(list(enumerate(texts)), 3, 85)
+    assert sorted((str(i), str(x)) for i, x in enumerate(got)) == sorted((w[0], w[2]) for w in want)
+    assert 3 < len(set(got)) < 40
+
+
+@pytest.mark.parametrize("block", [M.BLOCK, 3])
+def test_links_are_brute_force(spark, small, odd, block, monkeypatch):
+    if block == 3:
+        monkeypatch.setattr(M, "PIVOTS", 2)
     rng = np.random.default_rng(7)
     texts = [t for n in (12, 7, 2) for t in family(rng, 120, n, 6)]
     made = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
-    for docs in (made, odd) if tile == 3 else (made, odd, small):
+    for docs in (made, odd) if block == 3 else (made, odd, small):
         rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
-        assert result(docs, tile=tile) == linked(rows, 3, 85)
+        assert result(docs, block=block) == linked(rows, 3, 85)
 
 
 def test_empty_table(spark, odd):
