@@ -111,11 +111,11 @@ class WordTokenizer:
         rows, starts, ends, _ = W.words(data, offsets, hashes=False)
         rows, starts, ends = _parted(data, rows, starts, ends)
         h = np.zeros(len(starts), np.uint64)
-        low = W.LOWER[data]
         for a in range(0, len(starts), 1 << 18):
             b = min(len(starts), a + (1 << 18))
             lo, hi = int(starts[a]), int(ends[b - 1])
-            h[a:b] = W._hash(low[lo:hi], starts[a:b] - lo, ends[a:b] - lo)
+            # by their bytes as they are: a special token is known by its case
+            h[a:b] = W._hash(data[lo:hi], starts[a:b] - lo, ends[a:b] - lo)
         unit, place = np.unique(h, return_index=True)
         self._learn(data, unit, starts[place], ends[place])
         at = np.searchsorted(self.units, h)
@@ -235,7 +235,7 @@ def pack_full(docs: DataFrame, tokenizer: str, text_col: str, capacity: int, end
     """Tokenize, cut and fill: one row per piece; pieces of sequences that the task could not
     fill have no ``sequence_id`` but their ``ids``."""
     ship_package(docs.sparkSession)
-    of = {capacity // k: k for k in sorted(classes(capacity), reverse=True)}
+    of = {capacity // k: k for k in classes(capacity)}  # of classes of one size the one that fills a sequence
     sizes = sorted(of, reverse=True)
     end = np.array([end_id], np.uint32)
 

@@ -31,6 +31,24 @@ def test_words_give_the_tokens_of_whole_texts(small):
             assert ids[at[i] : at[i + 1]].tolist() == whole.encode(t or "", add_special_tokens=False).ids, t
 
 
+@pytest.mark.parametrize("turn", [1, -1])
+def test_special_tokens_are_known_by_their_case(turn):
+    """Whatever a worker has met before, in one text or in texts before it."""
+    units = ["<|endoftext|>", "<|ENDOFTEXT|>", "<|EndOfText|>", "x<|endoftext|>Y", "X<|ENDOFTEXT|>y", "Word", "WORD", "word"]
+    whole, mine = tokenizers.Tokenizer.from_file(FILE), K.WordTokenizer(FILE)
+    assert whole.encode("<|ENDOFTEXT|> <|endoftext|>", add_special_tokens=False).ids == [27, 347, 40786, 4160, 91, 285, 49407]
+    for text in [" ".join(units[::turn]), *units[::turn], " ".join(units)]:
+        ids, _ = mine(*W.text_bytes(pa.array([text])))
+        assert ids.tolist() == whole.encode(text, add_special_tokens=False).ids, text
+
+
+def test_full_sequences_have_little_padding():
+    """Of the classes of one size the largest holds: k pieces of capacity // k tokens fill a sequence but for k - 1."""
+    numbers = {2048 // k: k for k in K.classes(2048)}
+    assert all(2048 - k * size < 0.02 * 2048 for size, k in numbers.items() if k <= 32)
+    assert numbers[1] == 2048 and numbers[2] == 1024
+
+
 def test_classes_and_cuts():
     assert K.classes(16) == [1, 2, 3, 4, 6, 8, 12, 16]
     sizes = sorted({2048 // k for k in K.classes(2048)}, reverse=True)
