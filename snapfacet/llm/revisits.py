@@ -8,11 +8,12 @@ stored ones and the others of the response stay.
 
 The as-of join is a running maximum in two levels, so that no task gets all records of a URL that
 holds a third of them: within blocks of time of a URL first, then over one row per block.
-The response itself joins by its record number, without its body unless ``body`` is asked for.
+Records get a row number that is fixed by a write; the response found joins by it, without its body unless
+``body`` is asked for. So record ids may be null or repeated.
 
 Defined results: a record without URL or time resolves to nothing and nothing resolves to it; a
 response at the same time is not earlier; of several responses at one time the one with the largest
-record number counts; header names are compared in lower case, a null header map is empty; a
+record id counts, a null id before all others, and of equal ones the last row; header names are compared in lower case, a null header map is empty; a
 revisit without validators is 'no_validator'; records of other kinds are left out; repeated rows
 are returned as often as they are there; an empty table gives an empty result.
 """
@@ -22,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import table
+from ..session import scratch, table
 from . import blocks as B
 
 #: Headers that a not-modified answer may renew; all others stay as stored.
@@ -75,29 +76,32 @@ def resolve_revisits(
         canonical_url(B.quoted(url_col)).alias("url"),
         B.quoted(time_col).cast("long").alias("time"),
         _headers(B.quoted(headers_col)).alias("headers"),
+        *([B.quoted(body).alias("body")] if body is not None else []),
     ).where(F.col("kind").isin("response", "revisit"))
-    every = every.withColumn("block", F.floor(F.col("time") / block))
-    response = F.when(F.col("kind") == "response", F.struct(F.col("time").alias("t"), F.col("record_id").alias("id")))
+    every = every.withColumn("block", F.floor(F.col("time") / block)).withColumn("row", F.monotonically_increasing_id())
+    path = scratch(records.sparkSession, "records")
+    every.write.parquet(path)
+    every = records.sparkSession.read.schema(every.schema).parquet(path)
+    response = F.when(F.col("kind") == "response", F.struct(F.col("time").alias("t"), F.col("record_id").alias("id"), "row"))
     # within a block: the latest response at a smaller time
     inside = Window.partitionBy("url", "block").orderBy("time").rangeBetween(Window.unboundedPreceding, -1)
-    slim = every.where("url IS NOT NULL AND time IS NOT NULL").select("record_id", "kind", "url", "time", "block")
+    slim = every.where("url IS NOT NULL AND time IS NOT NULL").select("record_id", "kind", "url", "time", "block", "row")
     asof = slim.withColumn("near", F.max(response).over(inside)).where("kind = 'revisit'")
     # before the block: the latest response of all earlier blocks of the URL, one row a block
     blocks = slim.groupBy("url", "block").agg(F.max(response).alias("last"))
     before = Window.partitionBy("url").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.select("url", "block", F.max("last").over(before).alias("far")).where("far IS NOT NULL")
-    asof = asof.join(blocks, ["url", "block"], "left").select("record_id", F.coalesce("near", "far").alias("of"))
-    asof = asof.where("of IS NOT NULL").select(F.col("record_id").alias("_revisit"), F.col("of.id").alias("_id"), F.col("of.t").alias("response_time")).distinct()
-    stored = every.where("kind = 'response'").select(F.col("record_id").alias("_id"), F.col("headers").alias("_stored")).dropDuplicates(["_id"])
-    if body is not None:
-        bodies = records.select(B.quoted(id_col).cast("long").alias("_id"), F.lower(B.quoted(kind_col)).alias("k"), B.quoted(body).alias("body"))
-        stored = stored.join(bodies.where("k = 'response'").drop("k").dropDuplicates(["_id"]), "_id")
-    out = every.where("kind = 'revisit'").join(asof, F.col("record_id") == F.col("_revisit"), "left").join(stored, "_id", "left")
+    asof = asof.join(blocks, ["url", "block"], "left").select(F.col("row").alias("_revisit"), F.coalesce("near", "far").alias("of"))
+    asof = asof.where("of IS NOT NULL").select("_revisit", F.col("of.row").alias("_row"), F.col("of.id").alias("response_id"), F.col("of.t").alias("response_time"))
+    kept = [F.col("body")] if body is not None else []
+    stored = every.where("kind = 'response'").select(F.col("row").alias("_row"), F.col("headers").alias("_stored"), *kept)
+    revisits = every.where("kind = 'revisit'").drop("body")
+    out = revisits.join(asof, F.col("row") == F.col("_revisit"), "left").join(stored, "_row", "left")
     own, old = F.col("headers"), F.col("_stored")
     has_etag, has_date = _etag(own).isNotNull(), F.element_at(own, "last-modified").isNotNull()
     agree = F.when(has_etag, _etag(own) == _etag(old)).otherwise(F.element_at(own, "last-modified") == F.element_at(old, "last-modified"))
     status = (
-        F.when(F.col("_id").isNull(), "no_response")
+        F.when(F.col("_row").isNull(), "no_response")
         .when(~has_etag & ~has_date, "no_validator")
         .when(F.coalesce(agree, F.lit(False)), "resolved")
         .otherwise("validator_mismatch")
@@ -105,7 +109,7 @@ def resolve_revisits(
     allowed = F.map_filter(own, lambda k, v: k.isin(PERMITTED))
     merged = F.map_concat(F.map_filter(old, lambda k, v: ~F.map_contains_key(allowed, k)), allowed)
     out = out.withColumn("status", status)
-    cols = ["record_id", "url", "time", "status", F.col("_id").alias("response_id"), "response_time"]
+    cols = ["record_id", "url", "time", "status", "response_id", "response_time"]
     cols.append(F.when(F.col("status") == "resolved", merged).otherwise(own).alias("headers"))
     if body is not None:
         cols.append(F.when(F.col("status") == "resolved", F.col("body")).alias("body"))

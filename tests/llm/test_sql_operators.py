@@ -125,6 +125,33 @@ def test_revisit_cases(spark):
     assert R.resolve_revisits(records.where("false")).count() == 0
 
 
+def test_revisits_with_null_and_repeated_ids(spark):
+    """Records are told apart by their rows: equal ids at other URLs, null ids, rows twice."""
+    etag = lambda x: {"ETag": f'"{x}"'}
+    rows = [
+        (1, "response", "http://a/", 10, etag("a")),
+        (1, "response", "http://b/", 10, etag("b")),
+        (2, "revisit", "http://a/", 40, etag("a")),
+        (2, "revisit", "http://b/", 40, etag("b")),
+        (None, "revisit", "http://a/", 40, etag("a")),
+        (None, "revisit", "http://b/", 41, etag("x")),
+        (None, "response", "http://c/", 10, etag("c")),
+        (3, "revisit", "http://c/", 20, etag("c")),
+        (3, "revisit", "http://c/", 20, etag("c")),
+        (4, "revisit", "http://d/", 20, etag("d")),
+    ]
+    records = spark.createDataFrame(rows, "record_id long, kind string, url string, time long, headers map<string,string>")
+    records = records.withColumn("body", F.col("url"))
+    for block in (1, 25, 10**6):
+        out = R.resolve_revisits(records, block=block, body="body").collect()
+        got = sorted((str(r["record_id"]), r["url"], r["status"], r["response_id"], r["response_time"], r["body"]) for r in out)
+        assert got == [
+            ("2", "a", "resolved", 1, 10, "http://a/"), ("2", "b", "resolved", 1, 10, "http://b/"), ("3", "c", "resolved", None, 10, "http://c/"),
+            ("3", "c", "resolved", None, 10, "http://c/"), ("4", "d", "no_response", None, None, None),
+            ("None", "a", "resolved", 1, 10, "http://a/"), ("None", "b", "validator_mismatch", 1, 10, None),
+        ]
+
+
 def test_top_k_is_brute_force(spark):
     import random
 
