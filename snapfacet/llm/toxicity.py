@@ -242,27 +242,43 @@ def fit(
     # K from the null rows: the mean of lambda * S - ln m is ln K plus Euler's constant
     null = [model.lam * r["best"] - math.log(r["n"]) for r in best if not r["toxic"] and r["best"] > 0]
     model.k = math.exp(min(max(float(np.median(null)) - 0.3665, -20.0), 20.0)) if null else 1.0
-    x = np.array([model.surprise(r["segments"], r["n"]) for r in best])
-    y = np.array([float(r["toxic"]) for r in best])
+    rows = _surprises(sample, model)
+    x = np.array([r["surprise"] for r in rows])
+    y = np.array([float(r["toxic"]) for r in rows])
     weight = np.where(y > 0, stands[1], stands[0])
     model.slope, model.intercept = _logistic(x, y, weight * (len(y) / weight.sum()))
     return model
 
 
 def _best(sample: DataFrame, model: ToxicityModel) -> list:
-    """Number of tokens and segment scores of each row of the sample."""
+    """Number of tokens and best segment score of each row of the sample."""
 
     def run(batches):
         for batch in batches:
             toxic = batch.column("_toxic").to_pylist()
             for a, b, base, units in _texts(batch, "_text"):
                 scores = model.token_scores(units)
-                segments = [[s for _, _, s in maximal_segments(scores[base[i] : base[i + 1]])] for i in range(b - a)]
-                cols = [toxic[a:b], np.maximum(1, np.diff(base)), [max(s, default=0.0) for s in segments], [sorted(s)[-64:] for s in segments]]
-                types = (pa.int32(), pa.int64(), pa.float64(), pa.list_(pa.float64()))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], ["toxic", "n", "best", "segments"])
+                best = [max((s for _, _, s in maximal_segments(scores[base[i] : base[i + 1]])), default=0.0) for i in range(b - a)]
+                cols = [toxic[a:b], np.maximum(1, np.diff(base)), best]
+                types = (pa.int32(), pa.int64(), pa.float64())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], ["toxic", "n", "best"])
 
-    return sample.mapInArrow(run, "toxic int, n long, best double, segments array<double>").collect()
+    return sample.mapInArrow(run, "toxic int, n long, best double").collect()
+
+
+def _surprises(sample: DataFrame, model: ToxicityModel) -> list:
+    """One number for each row of the sample, as ``score`` adds it up: over all its segments."""
+
+    def run(batches):
+        for batch in batches:
+            toxic = batch.column("_toxic").to_pylist()
+            for a, b, base, units in _texts(batch, "_text"):
+                scores = model.token_scores(units)
+                each = [maximal_segments(scores[base[i] : base[i + 1]]) for i in range(b - a)]
+                surprise = [model.surprise([s for _, _, s in found], int(base[i + 1] - base[i])) for i, found in enumerate(each)]
+                yield pa.RecordBatch.from_arrays([pa.array(toxic[a:b], pa.int32()), pa.array(surprise, pa.float64())], ["toxic", "surprise"])
+
+    return sample.mapInArrow(run, "toxic int, surprise double").collect()
 
 
 PASSAGES = T.ArrayType(T.StructType().add("start", "long").add("end", "long").add("score", "double").add("e_value", "double"))

@@ -65,6 +65,65 @@ def test_toxic_documents_are_found_and_held_out_rows_unseen(spark):
     assert (again.tokens == model.tokens).all() and np.allclose(again.scores, model.scores)
 
 
+def plain_scores(rows, marks):
+    """The score of each text by the method, in plain Python, for fewer rows than a sample has."""
+    names = [brute.ALNUM.findall(brute.lower(t)) for _, t in rows]
+    units = lambda w: [("", w), *((k, w[:k]) for k in X.STEMS if len(w) > k)]
+    toxic, clean = Counter(), Counter()
+    for (i, _), words in zip(rows, names):
+        for u in {u for w in words for u in units(w)}:
+            (toxic if marks[i] else clean)[u] += 1
+    bad, good = sum(toxic.values()), sum(clean.values())
+    prior, drift, table = 0.01 * (bad + good), 2.0, {}
+    for u in toxic | clean:
+        t, c, a = toxic[u], clean[u], 0.01 * (toxic[u] + clean[u])
+        odds = math.log(t + a) - math.log(bad + prior - t - a) - math.log(c + a) + math.log(good + prior - c - a)
+        z = odds / math.sqrt(1 / (t + a) + 1 / (c + a))
+        if t + c >= X.MIN_ROWS and abs(z) >= X.MIN_Z:
+            table[u] = (odds - drift, abs(z), c)
+
+    def of(word):
+        known = [table[u] for u in units(word) if u in table]
+        return max(known, key=lambda k: k[1])[0] if known else -drift
+
+    share = np.array([*(max(c, 0.5) for _, _, c in table.values()), max(0.5, good - sum(c for _, _, c in table.values()))], float)
+    share /= share.sum()
+    value = lambda x: float((share * np.exp(x * np.array([*(s for s, _, _ in table.values()), -drift]))).sum())
+    low, high = 1e-6, 10.0
+    for _ in range(200):
+        low, high = (low, (low + high) / 2) if value((low + high) / 2) >= 1 else ((low + high) / 2, high)
+    segments = [[s for _, _, s in best_segments(np.array([of(w) for w in words]))] for words in names]
+    null = [high * max(s) - math.log(len(w)) for (i, _), s, w in zip(rows, segments, names) if s and not marks[i]]
+    assert null
+    k = math.exp(float(np.median(null)) - 0.3665)
+    x = [math.log1p(sum(max(0.0, high * s - math.log(k * max(len(w), 1))) for s in row)) for row, w in zip(segments, names)]
+    y, slope, cut = [float(marks[i]) for i, _ in rows], 0.0, 0.0
+    for _ in range(200):  # Newton steps with the ridge on the slope
+        p = [1 / (1 + math.exp(-slope * a - cut)) for a in x]
+        g = (sum(a * (q - b) for a, q, b in zip(x, p, y)) + 1e-2 * slope, sum(q - b for q, b in zip(p, y)) + 1e-6 * cut)
+        w = [q * (1 - q) for q in p]
+        h = (sum(a * a * v for a, v in zip(x, w)) + 1e-2, sum(a * v for a, v in zip(x, w)), sum(w) + 1e-6)
+        det = h[0] * h[2] - h[1] ** 2
+        step = ((h[2] * g[0] - h[1] * g[1]) / det, (h[0] * g[1] - h[1] * g[0]) / det)
+        slope, cut = slope - max(-5, min(5, step[0])), cut - max(-5, min(5, step[1]))
+    return [1 / (1 + math.exp(-slope * a - cut)) for a in x]
+
+
+def test_scores_are_plain_pythons(spark):
+    docs, labels = toxic_corpus(spark, 240)
+    # a long row with more than 64 bad passages, far apart
+    long = " ".join(f"scum idiot {' '.join(f'w{(7 * i + j) % 300}' for j in range(9))}" for i in range(80))
+    docs = docs.union(spark.createDataFrame([(1000, long)], docs.schema))
+    labels = labels.union(spark.createDataFrame([(1000, 1)], labels.schema))
+    labels = labels.withColumn("toxic", F.when(F.col("doc_id") % 30 == 0, 0).otherwise(F.col("toxic")))  # bad words in clean rows
+    rows = sorted(tuple(r) for r in docs.collect())
+    marks = {r[0]: r[1] for r in labels.collect()}
+    model = X.fit(docs, labels)
+    got = {r[0]: r[1] for r in X.score(docs, model).select("row.doc_id", "score").collect()}
+    want = plain_scores(rows, marks)
+    assert model.lam < 10 and max(abs(got[i] - w) for (i, _), w in zip(rows, want)) < 1e-6
+
+
 def test_toxicity_odd_rows(spark, odd):
     docs, labels = toxic_corpus(spark, 300)
     model = X.fit(docs, labels)
