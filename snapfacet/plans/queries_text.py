@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import block_search as K
 from ..operators import predicates as P
 from ..operators import search as S
 from ..operators import text_index as X
@@ -25,11 +26,12 @@ _TOKENS_SQL = """
     dfs AS (SELECT term, count(*) AS df FROM post GROUP BY term)
 """
 
-_SCORES_SQL = (
-    "WITH "
-    + _TOKENS_SQL
-    + """,
-    q AS (SELECT unnest(['haed', 'ingor', 'whon']) AS term),
+def _scores_sql(*terms):
+    return (
+        "WITH "
+        + _TOKENS_SQL
+        + f""",
+    q AS (SELECT unnest({list(terms)}) AS term),
     scores AS (
       SELECT p.doc_id,
              sum(ln(1 + (c.n - f.df + 0.5) / (f.df + 0.5)) * p.tf * (1.2 + 1)
@@ -37,7 +39,11 @@ _SCORES_SQL = (
       FROM post p JOIN q ON p.term = q.term JOIN dfs f ON f.term = p.term, corpus c
       GROUP BY p.doc_id)
 """
-)
+    )
+
+
+_SCORES_SQL = _scores_sql("haed", "ingor", "whon")
+_PAGE_SQL = " SELECT doc_id, round(score, 6) AS score FROM scores ORDER BY round(score, 6) DESC, doc_id LIMIT 25"
 
 
 def _documents(spark, sf_dir):
@@ -128,6 +134,29 @@ def bm25_filtered(spark, sf_dir):
     return rows.where(spec.predicate()).select("doc_id", "lang", "n_chars", F.round("score", 6).alias("score"))
 
 
+_BLOCKS: dict = {}
+
+
+def _blocks(spark, sf_dir):
+    """The block-max index beside the stored one, kept like it."""
+    index = _index(spark, sf_dir)
+    if id(index) not in _BLOCKS:
+        _BLOCKS[id(index)] = (index, K.build_block_index(index))
+    return _BLOCKS[id(index)][1]
+
+
+@register("bm25_top_blocks", _SCORES_SQL + _PAGE_SQL)
+def bm25_top_blocks(spark, sf_dir):
+    """The page of ``bm25_top`` from the blocks that can hold one of its documents."""
+    return _blocks(spark, sf_dir).top(QUERY, 25)
+
+
+@register("bm25_common_blocks", _scores_sql("the", "in") + _PAGE_SQL)
+def bm25_common_blocks(spark, sf_dir):
+    """T2 for terms that many documents hold: most blocks are passed over."""
+    return _blocks(spark, sf_dir).top("the IN", 25)
+
+
 @register("bm25_stemmed", None)
 def bm25_stemmed(spark, sf_dir):
     """Stop words and the Porter stemmer on: no SQL oracle (the stemmer has no SQL form);
