@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.identity import lookup_many, lookup_one, row_hash
 from ..operators import facets as FC
 from ..operators import predicates as P
+from ..operators.trigram_index import build_trigram_index
 from ..session import table
 from .registry import register
 
@@ -41,6 +42,47 @@ def substring_wildcard(spark, sf_dir):
     return d.where(pred).select("doc_id", "lang", "source", "n_chars")
 
 
+def _trigrams(spark, sf_dir):
+    return build_trigram_index(table(spark, sf_dir, "documents"), ["text", "source", "lang"])
+
+
+@register(
+    "substring_indexed",
+    """
+    SELECT doc_id, lang, source, n_chars FROM documents
+    WHERE contains(lower(text), 'ndtion') OR contains(lower(source), 'ndtion') OR contains(lower(lang), 'ndtion')
+    """,
+)
+def substring_indexed(spark, sf_dir):
+    """F1 by the trigram index of the whole table, built here: the rows of ``substring_search``."""
+    return _trigrams(spark, sf_dir).matching("NDtion").select("doc_id", "lang", "source", "n_chars")
+
+
+@register(
+    "substring_indexed_wildcard",
+    """
+    SELECT doc_id, lang, source, n_chars FROM documents
+    WHERE text ILIKE '%ndt_on%the%' OR source ILIKE '%ndt_on%the%' OR lang ILIKE '%ndt_on%the%'
+    """,
+)
+def substring_indexed_wildcard(spark, sf_dir):
+    """F1 compat by the index: the pieces between the wildcards have trigrams."""
+    return _trigrams(spark, sf_dir).matching("ndt_on%THE", mode="compat").select("doc_id", "lang", "source", "n_chars")
+
+
+@register(
+    "trigram_counts",
+    """
+    WITH t AS (SELECT doc_id, lower(concat_ws(chr(1), text, source, lang)) AS t FROM documents),
+      g AS (SELECT DISTINCT doc_id, substring(t, i, 3) AS gram FROM (SELECT doc_id, t, unnest(range(1, length(t) - 1)) AS i FROM t))
+    SELECT gram, count(*) AS n FROM g WHERE NOT contains(gram, chr(1)) GROUP BY gram
+    """,
+)
+def trigram_counts(spark, sf_dir):
+    """The index's trigrams with the number of rows that hold each."""
+    return _trigrams(spark, sf_dir).grams
+
+
 # ---------------------------------------------------------------------------
 # F6 array contains any
 # ---------------------------------------------------------------------------
