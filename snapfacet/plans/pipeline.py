@@ -4,8 +4,9 @@ Folder layout and snapshot keys: see ``sources.snapshots``. The gate compares fo
 are the landed snapshots without a processed folder. Their keys are a partition filter on the raw
 scan, so a daily run reads the raw files of the new snapshots, once, and not the history. All
 snapshots of a run are transformed in one job and written with one dynamic partition overwrite: no
-delete-first, so readers never see a gap, and a failed run leaves the previous partitions in
-place. The state is written last and never goes back to an older snapshot.
+delete-first, and a failed run leaves the previous partitions in place. History and state are
+published in versions (``sources.versions``): readers find the one before until the new one is whole. The
+state is written last and never goes back to an older snapshot.
 """
 
 from __future__ import annotations

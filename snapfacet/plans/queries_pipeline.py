@@ -14,6 +14,7 @@ from ..operators import predicates as P
 from ..operators import search as S
 from ..session import scratch
 from ..sources import snapshots as SRC
+from ..sources import versions as V
 from . import pipeline as PL
 from .queries_postings import _PAGE_COLS
 from .queries_transform import postings_cte_sql, raw_frame
@@ -79,6 +80,34 @@ def pipeline_history(spark, sf_dir):
     return PL.rebuild_history(spark, root).select("snapshot", "id", "job_id", "agency")
 
 
+@register(
+    "state_after_crash",
+    postings_cte_sql()
+    + """
+    SELECT strftime(max(processed_date), '%Y-%m-%dT00-00-00') AS snapshot,
+      count(*) FILTER (processed_date = (SELECT max(processed_date) FROM postings)) AS record_count FROM postings
+    """,
+)
+def state_after_crash(spark, sf_dir):
+    """A writer died in the middle of its state file; the state before it is read."""
+    root = _processed(spark, sf_dir)
+    half = spark.createDataFrame([('{"snapshot": "2999-01-01", "record_co',)], "value string")
+    half.coalesce(1).write.text(f"{root}/state/version=99990101T000000.000000-dead")
+    return SRC.read_state(spark, root).select("snapshot", "record_count")
+
+
+@register(
+    "history_after_crash",
+    postings_cte_sql() + "SELECT strftime(processed_date, '%Y-%m-%dT00-00-00') AS snapshot, count(*) AS records FROM postings GROUP BY 1",
+)
+def history_after_crash(spark, sf_dir):
+    """A rebuild died after writing part of its rows; the history before it is read, whole."""
+    root = _processed(spark, sf_dir)
+    history = SRC.read_history(spark, root)
+    V.write(spark, f"{root}/history", history.where(F.col(SRC.SNAPSHOT) < F.lit("1996")), SRC.SNAPSHOT)
+    return SRC.read_history(spark, root).groupBy(SRC.SNAPSHOT).agg(F.count(F.lit(1)).alias("records"))
+
+
 @register(
     "pipeline_snapshots",
     postings_cte_sql() + f"SELECT DISTINCT {_KEY_SQL} AS snapshot FROM raw",

@@ -4,8 +4,8 @@ Layout under a root folder (any Hadoop file system: local, HDFS, object stores):
 
     raw/snapshot=<key>/part-*.json            one JSON object per line, or one JSON array
     processed/snapshot=<key>/part-*.parquet
-    history/snapshot=<key>/part-*.parquet     processed minus long texts
-    state/part-*.json                         one-row pipeline state
+    history/version=<v>/snapshot=<key>/...    processed minus long texts, in versions (see ``versions``)
+    state/version=<v>/part-*.json             pipeline state, a new one-row file at each run
 
 The key of a snapshot is the full timestamp of its process date (``2026-01-26T00-00-00``: colons
 break Hadoop globbing), so two snapshots of one day are two snapshots; records without a date land
@@ -17,6 +17,7 @@ array file can only be read by one task.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from typing import Mapping
 
 from pyspark.errors import AnalysisException
@@ -25,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import RAW, STATE
+from . import versions as V
 
 SNAPSHOT = "snapshot"
 UNDATED = "undated"
@@ -48,10 +50,6 @@ def snapshot_time(key: str) -> dt.datetime | None:
         return None
 
 
-def _missing(error: AnalysisException) -> bool:
-    return (error.getCondition() or "").startswith(("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"))
-
-
 def list_keys(spark: SparkSession, path: str, key: str = SNAPSHOT) -> list[str]:
     """Snapshot keys present under a partitioned folder: folder names only, no file is opened
     (the ``binaryFile`` listing without its content). One value per snapshot comes back."""
@@ -61,7 +59,7 @@ def list_keys(spark: SparkSession, path: str, key: str = SNAPSHOT) -> list[str]:
             return []
         return sorted(r[0] for r in files.select(F.col(key).cast("string")).distinct().collect())
     except AnalysisException as e:
-        if _missing(e):
+        if V.is_missing(e):
             return []
         raise
 
@@ -157,27 +155,31 @@ def read_processed(spark: SparkSession, root: str, merge_schema: bool = False) -
 
 
 def read_history(spark: SparkSession, root: str) -> DataFrame:
-    """The history table, with the snapshot key as text."""
-    return _key_as_text(spark.read.parquet(f"{root}/history"))
+    """The history table as last published, with the snapshot key as text."""
+    return V.read(spark, f"{root}/history")
 
 
 def write_history(df: DataFrame, root: str, key: str = SNAPSHOT, full: bool = True) -> None:
     """The history table. ``full=True`` rebuilds it (reference behaviour, G4); else
-    only the snapshots present in ``df`` are replaced (incremental)."""
-    w = df.write.mode("overwrite").option("compression", "zstd").partitionBy(key)
-    w = w.option("partitionOverwriteMode", "static" if full else "dynamic")
-    w.parquet(f"{root}/history")
+    only the snapshots present in ``df`` are replaced (incremental). Either way the rows go to a new version,
+    which readers see when it is published: a rebuild that fails, or is under way, leaves the history as it was."""
+    V.replace(df.sparkSession, f"{root}/history", df, key, keep=not full)
 
 
 def read_state(spark: SparkSession, root: str) -> DataFrame:
-    """The one-row state; an empty state (all nulls) when none was written yet. Any other
-    failure to read it is an error."""
+    """The one-row state last written; an empty state (all nulls) when none was written yet. A version
+    without its file, or with a broken one, is passed over. Any other failure to read it is an error."""
+    broken = T.StructField(CORRUPT_COL, T.StringType(), True)
     try:
-        st = spark.read.schema(STATE).json(f"{root}/state")
-        if st.take(1):
-            return st.limit(1)
+        every = spark.read.schema(T.StructType([*STATE.fields, broken])).option("columnNameOfCorruptRecord", CORRUPT_COL)
+        every = every.option("recursiveFileLookup", "true").json(f"{root}/state").select("*", F.col("_metadata.file_path").alias("_file"))
+        # the version is in the folder's name; a file from before there were versions has none and is the oldest
+        number = F.regexp_extract("_file", "/version=([^/]*)/[^/]*$", 1)
+        last = every.where(F.col(CORRUPT_COL).isNull()).orderBy(number.desc()).limit(1).drop("_file", CORRUPT_COL)
+        if row := last.first():
+            return spark.createDataFrame([row], STATE)
     except AnalysisException as e:
-        if not _missing(e):
+        if not V.is_missing(e):
             raise
     return empty_state(spark)
 
@@ -195,9 +197,11 @@ def write_state(
     record_count: int | None,
     snapshot: str | None = None,
 ) -> None:
-    """The state is written last, so readers switch only when everything is written."""
+    """The state is written last, so readers switch only when everything is written. Each state is a new
+    one-row file, named by the time of writing: there is no moment without a state."""
     row = [(source_updated_at, last_fetched_at, last_processed_at, record_count, snapshot)]
-    spark.createDataFrame(row, STATE).coalesce(1).write.mode("overwrite").json(f"{root}/state")
+    version = f"{dt.datetime.now(dt.timezone.utc):%Y%m%dT%H%M%S.%f}-{uuid.uuid4().hex[:8]}"
+    spark.createDataFrame(row, STATE).coalesce(1).write.json(f"{root}/state/version={version}")
 
 
 def load_latest(spark: SparkSession, root: str, key: str = SNAPSHOT) -> DataFrame:
