@@ -287,7 +287,7 @@ def _search(held: DataFrame, anchors: DataFrame, parts: int, dims: int, ask, k:
     sent = anchors.withColumn("part", every).select(*mine.columns).unionByName(mine)
     sent = sent.withColumn("later", F.col("asked").isNotNull())
     # a row of the index has some 300 bytes, so Arrow batches stay small beside a part
-    sorted_ = sent.repartition(parts, "part").sortWithinPartitions("part", "later", "label", "row").drop("later")
+    sorted_ = sent.repartitionByRange(parts, "part").sortWithinPartitions("part", "later", "label", "row").drop("later")
     found = sorted_.mapInArrow(_streamed(dims, ask), "anchor long, question long, row long, id long, score long")
     order = Window.partitionBy("anchor", "question").orderBy(F.desc("score"), "id", "row")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
