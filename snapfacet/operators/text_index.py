@@ -218,11 +218,19 @@ def postings_frame(
     Every document is one row, so its term counts are computed inside the row
     (``term_counts``) and exploded: building postings moves no data between tasks. Only the
     optional stemming re-aggregates (stems of different words of one document merge)."""
-    df = df.select(id_col, *columns)
+    return exploded_counts(counted_documents(df, id_col, columns, stop_words), id_col, stemmer)
+
+
+def counted_documents(df: DataFrame, id_col: str, columns: Sequence[str], stop_words: Sequence[str] = ()) -> DataFrame:
+    """One row per document: id, ``c`` (its terms with their counts) and ``dl`` (its length)."""
     sw = list(stop_words or ())
     words = F.split(normalized_text(columns), TOKEN_SPLIT)
     keep = (lambda t: (t != F.lit("")) & ~t.isin(sw)) if sw else (lambda t: t != F.lit(""))
-    docs = with_term_counts(df.select(id_col, F.filter(words, keep).alias("toks")), F.col("toks"), "c", "dl")
+    return with_term_counts(df.select(id_col, F.filter(words, keep).alias("toks")), F.col("toks"), "c", "dl")
+
+
+def exploded_counts(docs: DataFrame, id_col: str, stemmer: bool = False) -> DataFrame:
+    """(term, id, tf, dl) of counted documents."""
     # explode_outer + an explicit null filter: for a plain explode Spark infers a
     # ``size(c) > 0`` filter and pushes it below the projections, re-evaluating the whole
     # counting expression (sort included) inside it.

@@ -17,6 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.identity import row_hash
 from ..sources import snapshots as SRC
 from .transform import history_columns, transform_postings
 
@@ -53,6 +54,27 @@ def load_latest_index(spark: SparkSession, root: str):
     return TextIndex.load(spark, index_path(root, st["snapshot"]))
 
 
+def segment_index(spark: SparkSession, root: str, stemmer: bool = True, stop_words: bool = True):
+    """E2, kept across snapshots: the index of processed contents (``operators.segments``)."""
+    from ..operators import text_index as X
+    from ..operators.segments import SegmentedIndex
+    from ..schema import INDEX_COLUMNS
+
+    return SegmentedIndex(spark, f"{root}/index_segments", INDEX_COLUMNS, "content_id", X.english_stop_words() if stop_words else (), stemmer)
+
+
+def with_content_id(rows: DataFrame) -> DataFrame:
+    """Processed rows with the hash that follows a posting across snapshots (``transform_postings`` makes the same)."""
+    body = [c for c in rows.columns if c not in ("id", "processed_date", SRC.SNAPSHOT)]
+    return rows.withColumn("content_id", row_hash(body, rows))
+
+
+def update_segment_index(spark: SparkSession, root: str, snapshot: str, **kw):
+    """Bring the kept index to the contents of one processed snapshot: only new contents are tokenised."""
+    rows = spark.read.parquet(f"{root}/processed").where(F.col(SRC.SNAPSHOT) == F.lit(snapshot))
+    return segment_index(spark, root, **kw).add_snapshot(with_content_id(rows), snapshot)
+
+
 def _order(snapshot: str):
     """Snapshots by the time they name; those that name none come first."""
     time = SRC.snapshot_time(snapshot)
@@ -65,7 +87,7 @@ def _process(
     keys: list[str],
     full_history: bool,
     fetched_at: dt.datetime | None,
-    build_index: bool,
+    build_index: bool | str,
     lenient: bool,
     multiline: bool,
 ) -> RunResult:
@@ -80,7 +102,9 @@ def _process(
     SRC.write_history(history_columns(stored if full_history else written), root, full=full_history)
     before = SRC.read_state(spark, root).first()
     newest = max((k for k in keys if SRC.snapshot_time(k)), key=_order, default=None)
-    if build_index and newest is not None:
+    if build_index == "segments" and newest is not None and (before["snapshot"] is None or _order(newest) >= _order(before["snapshot"])):
+        update_segment_index(spark, root, newest)  # a late snapshot is not what is searched
+    elif build_index and build_index != "segments" and newest is not None:
         build_snapshot_index(spark, root, newest)
     if before["snapshot"] is not None and (newest is None or _order(before["snapshot"]) > _order(newest)):
         newest, count = before["snapshot"], before["record_count"]  # a late snapshot does not move the state back
@@ -96,11 +120,12 @@ def run_latest(
     spark: SparkSession,
     root: str,
     lenient: bool = False,
-    build_index: bool = False,
+    build_index: bool | str = False,
     multiline: bool = False,
     fetched_at: dt.datetime | None = None,
 ) -> RunResult:
-    """Process every landed raw snapshot that has no processed folder yet.
+    """Process every landed raw snapshot that has no processed folder yet. ``build_index``: True builds the
+    index of the newest snapshot, "segments" brings the kept one to it.
 
     The gate tests the *processed* keys (not the raw ones), so a snapshot whose processing
     failed is taken up again by the next run. ``multiline`` reads JSON array files."""
@@ -113,7 +138,7 @@ def run_latest(
 
 
 def reprocess_all(
-    spark: SparkSession, root: str, lenient: bool = False, build_index: bool = False, multiline: bool = False
+    spark: SparkSession, root: str, lenient: bool = False, build_index: bool | str = False, multiline: bool = False
 ) -> RunResult:
     """Every raw snapshot again, history rebuilt, state from the newest. The time of the last
     fetch stays: nothing was fetched."""

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.identity import row_hash
 from ..operators import block_search as K
 from ..operators import predicates as P
 from ..operators import search as S
 from ..operators import text_index as X
+from ..operators.segments import SegmentedIndex
 from ..session import scratch, table
 from .registry import register
 
@@ -157,6 +159,33 @@ def bm25_common_blocks(spark, sf_dir):
     return _blocks(spark, sf_dir).top("the IN", 25)
 
 
+def _two_snapshots(spark, sf_dir):
+    """The index kept over two snapshots of all documents: in the first the English texts were others."""
+    docs = _documents(spark, sf_dir).select("doc_id", *INDEX_COLUMNS, "lang")
+    before = docs.withColumn("text", F.when(F.col("lang") == "en", F.concat(F.lit("draft "), "text")).otherwise(F.col("text")))
+    index = SegmentedIndex(spark, scratch(spark, "segments"), INDEX_COLUMNS)
+    for name, rows in (("first", before), ("second", docs)):
+        index.add_snapshot(rows.withColumn("content_id", row_hash(["doc_id", *INDEX_COLUMNS], rows)), name)
+    return index, docs
+
+
+@register("index_after_two_snapshots", "WITH " + _TOKENS_SQL + " SELECT term, df FROM dfs")
+def index_after_two_snapshots(spark, sf_dir):
+    """After the second snapshot the index is that of its contents; only the English texts, which are
+    new in it, were tokenised for it."""
+    return _two_snapshots(spark, sf_dir)[0].index().terms.select("term", "df")
+
+
+@register("bm25_after_merge", _SCORES_SQL + _PAGE_SQL)
+def bm25_after_merge(spark, sf_dir):
+    """X5 over the merged segments: the page of ``bm25_top``."""
+    index, docs = _two_snapshots(spark, sf_dir)
+    index.merge()
+    rows = docs.withColumn("content_id", row_hash(["doc_id", *INDEX_COLUMNS], docs))
+    scores = X.scored_rows(rows.select("doc_id", "content_id"), index.index(), QUERY).select("doc_id", F.round("score", 6).alias("score"))
+    return S.page(scores, None, "score", True, 25, 0, ("doc_id",))
+
+
 @register("bm25_stemmed", None)
 def bm25_stemmed(spark, sf_dir):
     """Stop words and the Porter stemmer on: no SQL oracle (the stemmer has no SQL form);
