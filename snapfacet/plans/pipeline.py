@@ -75,6 +75,17 @@ def update_segment_index(spark: SparkSession, root: str, snapshot: str, **kw):
     return segment_index(spark, root, **kw).add_snapshot(with_content_id(rows), snapshot)
 
 
+def update_intervals(spark: SparkSession, root: str, snapshots: list[str]):
+    """Merge processed snapshots into the stored table of validity intervals (``operators.intervals``)."""
+    from ..operators.intervals import IntervalTable
+
+    intervals = IntervalTable(spark, f"{root}/intervals")
+    stored = spark.read.parquet(f"{root}/processed")
+    for key in sorted(snapshots):
+        intervals.add(with_content_id(stored.where(F.col(SRC.SNAPSHOT) == F.lit(key))), key)
+    return intervals
+
+
 def _order(snapshot: str):
     """Snapshots by the time they name; those that name none come first."""
     time = SRC.snapshot_time(snapshot)

@@ -11,6 +11,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from ..operators import history as H
+from ..operators.intervals import IntervalTable
 from ..session import scratch, table
 from ..sources import snapshots as SRC
 from .registry import register
@@ -144,6 +145,63 @@ def days_open(spark, sf_dir):
     return H.days_open(_events_by_day(spark, sf_dir), "day", "user_id")
 
 
+# Weekly snapshots of what each user does of each kind in each quarter of a day: on which weekday it first came.
+_WEEKLY_SQL = """
+    WITH s AS (
+      SELECT strftime(date_trunc('week', ts), '%Y-%m-%d') AS k, user_id || '-' || event_type || '-' || (hour(ts) // 6) AS job_id,
+             strftime(min(ts), '%w') AS content_id FROM events GROUP BY 1, 2),
+    seq AS (SELECT k, row_number() OVER (ORDER BY k) AS n FROM (SELECT DISTINCT k FROM s))
+"""
+
+
+def _weekly_intervals(spark, sf_dir):
+    """The interval table of the weeks, merged in one by one; the second week comes last."""
+    e = table(spark, sf_dir, "events")
+    job = F.concat_ws("-", F.col("user_id").cast("string"), "event_type", F.floor(F.hour("ts") / 6).cast("string"))
+    week = F.date_format(F.date_trunc("week", "ts"), "yyyy-MM-dd")
+    weekly = e.groupBy(week.alias("k"), job.alias("job_id")).agg((F.dayofweek(F.min("ts")) - 1).cast("string").alias("content_id"))
+    weekly.write.parquet(path := scratch(spark, "weeks"))
+    weekly = spark.read.parquet(path)
+    weeks = sorted(r["k"] for r in weekly.select("k").distinct().collect())
+    out = IntervalTable(spark, scratch(spark, "intervals"))
+    for k in [*weeks[:1], *weeks[2:], *weeks[1:2]]:
+        out.add(weekly.where(F.col("k") == k), k)
+    return out
+
+
+@register(
+    "history_intervals",
+    _WEEKLY_SQL
+    + """,
+    p AS (SELECT job_id, content_id, n, n - row_number() OVER (PARTITION BY job_id, content_id ORDER BY n) AS g FROM s JOIN seq USING (k)),
+    i AS (SELECT job_id, content_id, min(n) AS a, max(n) AS b FROM p GROUP BY job_id, content_id, g)
+    SELECT job_id, content_id, f.k AS first_seen, l.k AS last_seen, f.k AS valid_from, x.k AS valid_to
+    FROM i JOIN seq f ON f.n = a JOIN seq l ON l.n = b LEFT JOIN seq x ON x.n = b + 1
+    """,
+)
+def history_intervals(spark, sf_dir):
+    """When each entity had which content, merged snapshot by snapshot, one of them late."""
+    return _weekly_intervals(spark, sf_dir).intervals()
+
+
+@register(
+    "history_changes",
+    _WEEKLY_SQL
+    + """,
+    j AS (SELECT job_id, n, content_id FROM s JOIN seq USING (k)),
+    b AS (SELECT *, lag(n) OVER w AS pn, lag(content_id) OVER w AS pc FROM j WINDOW w AS (PARTITION BY job_id ORDER BY n)),
+    c AS (
+      SELECT n, job_id, CASE WHEN pn IS NULL THEN 'new' WHEN pn < n - 1 THEN 'reopened' WHEN pc <> content_id THEN 'changed' END AS change, 1 AS contents FROM b
+      UNION ALL
+      SELECT j.n + 1, j.job_id, 'closed', 0 FROM j LEFT JOIN j x ON x.job_id = j.job_id AND x.n = j.n + 1 WHERE x.job_id IS NULL)
+    SELECT seq.k AS snapshot, job_id, change, contents FROM c JOIN seq USING (n) WHERE change IS NOT NULL AND n > 1
+    """,
+)
+def history_changes(spark, sf_dir):
+    """New, reopened, changed and closed entities of each snapshot."""
+    return _weekly_intervals(spark, sf_dir).changes()
+
+
 @register(
     "rekeyed_records",
     _REKEY_FILES_SQL
