@@ -8,7 +8,8 @@ from ..functions.identity import lookup_many, lookup_one, row_hash
 from ..operators import facets as FC
 from ..operators import predicates as P
 from ..operators.trigram_index import build_trigram_index
-from ..session import table
+from ..session import scratch, table
+from ..sources.lookup import read_for_lookup, write_for_lookup
 from .registry import register
 
 # ---------------------------------------------------------------------------
@@ -217,6 +218,22 @@ def point_lookup(spark, sf_dir):
     return lookup_one(c, "id", wanted).select("id", "c_custkey", "c_name")
 
 
+@register(
+    "stored_lookup",
+    f"""
+    WITH c AS (SELECT {_CUSTOMER_ID_SQL} AS id, c_custkey, c_name FROM customer)
+    SELECT id, c_custkey, c_name FROM c WHERE id = (SELECT min(id) FROM c) OR id = (SELECT max(id) FROM c)
+    """,
+)
+def stored_lookup(spark, sf_dir):
+    """F13 on a stored table with bloom filters on the id: the customers with the smallest and largest hash."""
+    path = scratch(spark, "customers")
+    customers = _customers_with_id(spark, sf_dir)
+    write_for_lookup(customers, path)
+    ids = customers.agg(F.min("id"), F.max("id")).first()
+    return read_for_lookup(spark, path, [*ids, "0" * 32, None]).select("id", "c_custkey", "c_name")
+
+
 @register(
     "batch_lookup",
     f"""

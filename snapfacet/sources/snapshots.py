@@ -27,6 +27,7 @@ from pyspark.sql import types as T
 
 from ..schema import RAW, STATE
 from . import versions as V
+from .lookup import bloom_options
 
 SNAPSHOT = "snapshot"
 UNDATED = "undated"
@@ -134,11 +135,12 @@ def read_raw(spark: SparkSession, root: str, multiline: bool = False, keys: list
 
 
 def write_processed(df: DataFrame, root: str, key: str = SNAPSHOT) -> None:
-    """Processed rows as ZSTD Parquet partitioned by snapshot."""
+    """Processed rows as ZSTD Parquet partitioned by snapshot, with bloom filters on the row id."""
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "zstd")
+        .options(**bloom_options([c for c in ("id",) if c in df.columns]))
         .partitionBy(key)
         .parquet(f"{root}/processed")
     )
