@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import predicates as P
+from ..operators import rank_paging as R
 from ..operators import search as S
 from ..session import table
 
@@ -114,6 +115,24 @@ def last_page(spark, sf_dir):
     return S.last_page(orders, pred, "o_totalprice", True, 25, n, ("o_orderkey",))
 
 
+@register(
+    "deep_page",
+    """
+    WITH r AS (
+      SELECT *, row_number() OVER (ORDER BY l_extendedprice DESC NULLS LAST, l_orderkey, l_linenumber, l_partkey, l_suppkey) AS rn,
+             count(*) OVER () AS n FROM lineitem)
+    SELECT l_orderkey, l_linenumber, l_extendedprice FROM r WHERE rn > n // 2 AND rn <= n // 2 + 25
+    """,
+)
+def deep_page(spark, sf_dir):
+    """T4: the page in the middle of all line items, found by rank selection."""
+    lines = table(spark, sf_dir, "lineitem")
+    middle = lines.count() // 2
+    ties = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    found = R.rank_page(lines, None, "l_extendedprice", True, 25, middle, ties, most=2000)
+    return found.select("l_orderkey", "l_linenumber", "l_extendedprice")
+
+
 @register(
     "search_sort_asc_nulls",
     """
