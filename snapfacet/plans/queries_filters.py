@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.identity import lookup_many, lookup_one, row_hash
 from ..operators import facets as FC
 from ..operators import predicates as P
+from ..operators.facet_bitmaps import build_facet_bitmaps
 from ..operators.trigram_index import build_trigram_index
 from ..session import scratch, table
 from ..sources.lookup import read_for_lookup, write_for_lookup
@@ -315,9 +316,7 @@ _FACET_SPEC = P.SearchSpec(
 )
 
 
-@register(
-    "facet_counts",
-    """
+_FACET_COUNTS_SQL = """
     SELECT 'o_orderpriority' AS facet, o_orderpriority AS value, count(*) AS n FROM orders
     WHERE o_orderstatus IN ('F', 'O') AND o_totalprice >= 50000.0
       AND o_orderpriority IS NOT NULL AND o_orderpriority <> ''
@@ -327,7 +326,32 @@ _FACET_SPEC = P.SearchSpec(
     WHERE o_orderpriority IN ('1-URGENT', '2-HIGH') AND o_totalprice >= 50000.0
       AND o_orderstatus IS NOT NULL AND o_orderstatus <> ''
     GROUP BY 1, 2
-    """,
-)
+    """
+
+
+@register("facet_counts", _FACET_COUNTS_SQL)
 def facet_counts(spark, sf_dir):
     return FC.facet_counts(table(spark, sf_dir, "orders"), _FACET_SPEC, scalar=["o_orderpriority", "o_orderstatus"])
+
+
+@register("facet_counts_bitmap", _FACET_COUNTS_SQL)
+def facet_counts_bitmap(spark, sf_dir):
+    """E1 from stored bitmaps of the whole table: the counts of ``facet_counts``."""
+    return build_facet_bitmaps(table(spark, sf_dir, "orders"), ["o_orderpriority", "o_orderstatus"]).counts(_FACET_SPEC)
+
+
+@register(
+    "facet_array_counts_bitmap",
+    """
+    WITH p AS (SELECT p_partkey, p_brand, string_split(p_name, ' ') AS words FROM part)
+    SELECT 'p_brand' AS facet, p_brand AS value, count(*) AS n FROM p WHERE list_has_any(words, ['ring', 'bolt']) GROUP BY 2
+    UNION ALL
+    SELECT 'words', w, count(*) FROM (SELECT DISTINCT p_partkey, unnest(words) AS w FROM p WHERE p_brand = (SELECT min(p_brand) FROM p)) WHERE w <> '' GROUP BY 2
+    """,
+)
+def facet_array_counts_bitmap(spark, sf_dir):
+    """E1 from bitmaps with an array facet; no filter but facets, so no row is read."""
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_brand", F.split("p_name", " ").alias("words"))
+    first = parts.agg(F.min("p_brand")).first()[0]
+    spec = P.SearchSpec(in_lists={"p_brand": (first,)}, any_of={"words": ("ring", "bolt")})
+    return build_facet_bitmaps(parts, ["p_brand"], ["words"]).counts(spec)
