@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..functions.identity import row_hash
 from ..sources import snapshots as SRC
+from . import quality as Q
 from .transform import history_columns, transform_postings
 
 
@@ -27,6 +28,7 @@ class RunResult:
     message: str
     snapshots: list
     records: int
+    rejected: int = 0
 
 
 def index_path(root: str, snapshot: str) -> str:
@@ -101,15 +103,24 @@ def _process(
     build_index: bool | str,
     lenient: bool,
     multiline: bool,
+    quarantine: bool = False,
 ) -> RunResult:
-    raw = SRC.read_raw(spark, root, multiline, keys)
-    SRC.write_processed(transform_postings(raw, lenient=lenient, carry=(SRC.SNAPSHOT,)), root)
-    # Counts per written snapshot: the keys are partition folders, the count reads only
-    # Parquet footers. One row per snapshot comes back to the driver.
-    stored = spark.read.parquet(f"{root}/processed")
-    written = stored.where(F.col(SRC.SNAPSHOT).isin(keys))
-    counts = written.groupBy(F.col(SRC.SNAPSHOT).cast("string").alias("k")).agg(F.count(F.lit(1)).alias("n")).collect()
-    records = {r["k"]: int(r["n"]) for r in counts}
+    if quarantine:
+        records, rejected = _write_good(spark, root, keys, multiline)
+        if not any(records.values()):
+            return RunResult("No good records", sorted(keys), 0, rejected)
+        stored = spark.read.parquet(f"{root}/processed")
+        keys = [k for k in keys if records[k]]
+        written = stored.where(F.col(SRC.SNAPSHOT).isin(keys))
+    else:
+        rejected, raw = 0, SRC.read_raw(spark, root, multiline, keys)
+        SRC.write_processed(transform_postings(raw, lenient=lenient, carry=(SRC.SNAPSHOT,)), root)
+        # Counts per written snapshot: the keys are partition folders, the count reads only
+        # Parquet footers. One row per snapshot comes back to the driver.
+        stored = spark.read.parquet(f"{root}/processed")
+        written = stored.where(F.col(SRC.SNAPSHOT).isin(keys))
+        counts = written.groupBy(F.col(SRC.SNAPSHOT).cast("string").alias("k")).agg(F.count(F.lit(1)).alias("n")).collect()
+        records = {r["k"]: int(r["n"]) for r in counts}
     SRC.write_history(history_columns(stored if full_history else written), root, full=full_history)
     before = SRC.read_state(spark, root).first()
     newest = max((k for k in keys if SRC.snapshot_time(k)), key=_order, default=None)
@@ -124,7 +135,23 @@ def _process(
     now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     time = SRC.snapshot_time(newest) if newest is not None else None
     SRC.write_state(spark, root, time, fetched_at or before["last_fetched_at"] or now, now, count, newest)
-    return RunResult("OK", sorted(keys), sum(records.values()))
+    return RunResult("OK", sorted(keys), sum(records.values()), rejected)
+
+
+def _write_good(spark: SparkSession, root: str, keys: list[str], multiline: bool) -> tuple[dict[str, int], int]:
+    """Write the good records of the snapshots and set the bad ones aside: (records written per snapshot, records
+    set aside). One job, and a second one only where there are bad records."""
+    records, rejected = {}, 0
+    for lo in range(0, len(keys), Q.MOST):
+        counted = Q.Counted(SRC.read_raw(spark, root, multiline, keys[lo : lo + Q.MOST], keep_corrupt=True), keys[lo : lo + Q.MOST])
+        SRC.write_processed(transform_postings(counted.good, carry=(SRC.SNAPSHOT,)), root)
+        counts = counted.counts()
+        records |= {k: good for k, (good, _) in counts.items()}
+        bad = sum(b for _, b in counts.values())
+        if bad:
+            Q.write_quarantine(counted.bad, root)
+        rejected += bad
+    return records, rejected
 
 
 def run_latest(
@@ -134,18 +161,20 @@ def run_latest(
     build_index: bool | str = False,
     multiline: bool = False,
     fetched_at: dt.datetime | None = None,
+    quarantine: bool = False,
 ) -> RunResult:
     """Process every landed raw snapshot that has no processed folder yet. ``build_index``: True builds the
     index of the newest snapshot, "segments" brings the kept one to it.
 
     The gate tests the *processed* keys (not the raw ones), so a snapshot whose processing
-    failed is taken up again by the next run. ``multiline`` reads JSON array files."""
+    failed is taken up again by the next run. ``multiline`` reads JSON array files. ``quarantine`` sets bad records
+    aside instead of failing at them (``plans.quality``)."""
     done = set(SRC.list_keys(spark, f"{root}/processed"))
     keys = [k for k in SRC.list_keys(spark, f"{root}/raw") if k not in done]
     if not keys:
         return RunResult("No new data", [], 0)
     now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    return _process(spark, root, keys, False, fetched_at or now, build_index, lenient, multiline)
+    return _process(spark, root, keys, False, fetched_at or now, build_index, lenient, multiline, quarantine)
 
 
 def reprocess_all(

@@ -16,6 +16,7 @@ from ..session import scratch
 from ..sources import snapshots as SRC
 from ..sources import versions as V
 from . import pipeline as PL
+from . import quality as Q
 from .queries_postings import _PAGE_COLS
 from .queries_transform import postings_cte_sql, raw_frame
 from .registry import register
@@ -108,6 +109,29 @@ def history_after_crash(spark, sf_dir):
     return SRC.read_history(spark, root).groupBy(SRC.SNAPSHOT).agg(F.count(F.lit(1)).alias("records"))
 
 
+@register(
+    "quarantine_counts",
+    postings_cte_sql()
+    + """
+    , bad AS (SELECT *, CASE WHEN posting_type = 'Internal' AND agency = 'BUILDING' THEN 'salary_range_from' END AS a,
+              CASE WHEN level = '4' THEN 'post_until' END AS b FROM raw),
+    r AS (SELECT strftime(CAST(split_part(process_date, '.', 1) AS TIMESTAMP), '%Y-%m-%dT%H-%M-%S') AS snapshot, concat_ws('+', a, b) AS reasons FROM bad)
+    SELECT snapshot, CASE WHEN reasons = '' THEN 'processed' ELSE reasons END AS outcome, count(*) AS records FROM r GROUP BY 1, 2
+    """,
+)
+def quarantine_counts(spark, sf_dir):
+    """Two kinds of bad records among all landed ones: processed and set aside, per snapshot and reason."""
+    root = scratch(spark, "postings")
+    raw = raw_frame(spark, sf_dir)
+    price = F.when((F.col("posting_type") == "Internal") & (F.col("agency") == "BUILDING"), F.lit("n/a")).otherwise(F.col("salary_range_from"))
+    until = F.when(F.col("level") == "4", F.lit("soon")).otherwise(F.col("post_until"))
+    SRC.write_raw(raw.withColumn("salary_range_from", price).withColumn("post_until", until), root)
+    PL.run_latest(spark, root, fetched_at=dt.datetime(2024, 1, 1), quarantine=True)
+    good = SRC.read_processed(spark, root).select(SRC.SNAPSHOT, F.lit("processed").alias("outcome"))
+    bad = Q.read_quarantine(spark, root).select(SRC.SNAPSHOT, F.array_join("reasons", "+").alias("outcome"))
+    return good.union(bad).groupBy(SRC.SNAPSHOT, "outcome").agg(F.count(F.lit(1)).alias("records"))
+
+
 @register(
     "pipeline_snapshots",
     postings_cte_sql() + f"SELECT DISTINCT {_KEY_SQL} AS snapshot FROM raw",

@@ -125,11 +125,14 @@ def write_raw(df: DataFrame, root: str, key: str = SNAPSHOT) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(key).json(f"{root}/raw")
 
 
-def read_raw(spark: SparkSession, root: str, multiline: bool = False, keys: list[str] | None = None) -> DataFrame:
+def read_raw(spark: SparkSession, root: str, multiline: bool = False, keys: list[str] | None = None, keep_corrupt: bool = False) -> DataFrame:
     """Landed raw records with their snapshot key; ``keys`` becomes a partition filter, so other
-    snapshots' files are not read."""
-    schema = T.StructType(RAW.fields + [T.StructField(SNAPSHOT, T.StringType(), True)])
-    reader = spark.read.schema(schema).option("multiLine", multiline).option("mode", "FAILFAST")
+    snapshots' files are not read. ``keep_corrupt``: records that are no JSON come with their text in ``_bad``."""
+    broken = [T.StructField(CORRUPT_COL, T.StringType(), True)] if keep_corrupt else []
+    schema = T.StructType([*RAW.fields, *broken, T.StructField(SNAPSHOT, T.StringType(), True)])
+    reader = spark.read.schema(schema).option("multiLine", multiline).option("mode", "PERMISSIVE" if keep_corrupt else "FAILFAST")
+    if keep_corrupt:
+        reader = reader.option("columnNameOfCorruptRecord", CORRUPT_COL)
     raw = reader.json(f"{root}/raw")
     return raw if keys is None else raw.where(F.col(SNAPSHOT).isin(keys))
 
