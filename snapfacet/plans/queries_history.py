@@ -248,6 +248,22 @@ def intake_twice(spark, sf_dir):
     return _intake(spark, sf_dir, 2)
 
 
+@register(
+    "intake_late_file",
+    "SELECT event_id, user_id, event_type, CAST(ts AS DATE) AS day FROM events",
+)
+def intake_late_file(spark, sf_dir):
+    """R1 with keyed state: the mornings of all days land first, the afternoons as late files of the same snapshots, and the mornings once
+    more; each record is taken in once."""
+    from ..streaming.keyed_intake import run_keyed_intake
+
+    e = _events_by_day(spark, sf_dir)
+    texts = e.select(*(F.col(c).cast("string").alias(c) for c in ("event_id", "user_id", "event_type")), "day", (F.hour("ts") < 12).alias("_morning"))
+    first, late = texts.where("_morning").drop("_morning"), texts.where("NOT _morning").drop("_morning")
+    out, _ = run_keyed_intake(spark, [(first, True), (late, True), (first, True)], "day")
+    return out.select(F.col("event_id").cast("long").alias("event_id"), F.col("user_id").cast("long").alias("user_id"), "event_type", "day")
+
+
 def _intake(spark, sf_dir, times):
     from ..streaming.intake import run_intake
 
