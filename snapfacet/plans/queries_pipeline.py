@@ -20,6 +20,7 @@ from . import quality as Q
 from .queries_postings import _PAGE_COLS
 from .queries_transform import postings_cte_sql, raw_frame
 from .registry import register
+from .transform import transform_postings
 
 _KEY_SQL = "replace(split_part(process_date, '.', 1), ':', '-')"
 _COLS = "id, job_id, agency, salary_range_from, salary_range_to, posted_date, processed_date"
@@ -141,6 +142,81 @@ def pipeline_snapshots(spark, sf_dir):
     return SRC.list_snapshots(spark, f"{_landed(spark, sf_dir)}/raw")
 
 
+@register(
+    "landed_pages",
+    postings_cte_sql()
+    + """
+    , p AS (SELECT CAST(job_id AS BIGINT) // 1000 AS page, count(*) AS records FROM raw GROUP BY 1)
+    SELECT page, records, records = 1000 AS "full", page = (SELECT max(page) FROM p) AS "last",
+      records = 1000 OR page = (SELECT max(page) FROM p) AS ok FROM p
+    """,
+)
+def landed_pages(spark, sf_dir):
+    """All records landed in pages of a thousand job numbers, and the report on the pages."""
+    path = f"{scratch(spark, 'pages')}/landed"
+    raw = raw_frame(spark, sf_dir).withColumn("page", F.floor(F.col("job_id").cast("long") / 1000))
+    raw.repartition("page").write.partitionBy("page").json(path)
+    _, report = SRC.read_landed_pages(spark, path, page_size=1000)
+    return report.select("page", "records", "full", "last", "ok")
+
+
+@register("landed_records", postings_cte_sql() + "SELECT job_id, agency, process_date, 1 AS copies FROM raw")
+def landed_records(spark, sf_dir):
+    """The records of pages that overlap (every page is landed twice), each with half of its copies."""
+    path = f"{scratch(spark, 'pages')}/landed"
+    raw = raw_frame(spark, sf_dir).withColumn("page", F.floor(F.col("job_id").cast("long") / 1000))
+    raw.union(raw).repartition("page").write.partitionBy("page").json(path)
+    records, _ = SRC.read_landed_pages(spark, path, page_size=2000)
+    return SRC.duplicate_records(records).select("job_id", "agency", "process_date", (F.col("copies") / 2).cast("int").alias("copies"))
+
+
+@register("snapshot_probe", postings_cte_sql() + "SELECT max(process_date) AS process_date, count(DISTINCT process_date) AS n_dates FROM raw")
+def snapshot_probe(spark, sf_dir):
+    """S3: the date of a pull, and whether it is one."""
+    root = _landed(spark, sf_dir)
+    return SRC.probe_snapshot_date(SRC.read_raw(spark, root))
+
+
+# The words of the postings' titles and agencies, with their English stems; "for" is a stop word.
+_STEMS_SQL = """
+    (VALUES ('automobile', 'automobil'), ('building', 'build'), ('customer', 'custom'), ('furniture', 'furnitur'), ('household', 'household'),
+            ('machinery', 'machineri'), ('order', 'order'), ('title', 'titl')) AS stems(word, stem)
+"""
+
+
+@register(
+    "pipeline_index_latest",
+    postings_cte_sql()
+    + f"""
+    , t AS (SELECT id, unnest(string_split_regex(lower(concat_ws(' ', business_title, job_description, agency, civil_service_title)), '[^a-z]+')) AS word
+        FROM postings WHERE processed_date = (SELECT max(processed_date) FROM postings))
+    SELECT stem AS term, count(DISTINCT id) AS df FROM t JOIN {_STEMS_SQL} USING (word) GROUP BY 1
+    """,
+)
+def pipeline_index_latest(spark, sf_dir):
+    """E2 with X3 and X4: the index that the pipeline stored beside the newest snapshot, with stop words and stems."""
+    root = _landed(spark, sf_dir)
+    PL.run_latest(spark, root, build_index=True, fetched_at=dt.datetime(2024, 1, 1))
+    return PL.load_latest_index(spark, root).terms.select("term", "df")
+
+
+@register(
+    "search_unknown_sort",
+    postings_cte_sql() + "SELECT id, posted_date FROM postings WHERE agency = 'BUILDING' ORDER BY posted_date DESC NULLS LAST, id LIMIT 25",
+)
+def search_unknown_sort(spark, sf_dir):
+    """A sort key that is not on the list falls back to the posting date."""
+    spec = P.SearchSpec.postings(agencies=["BUILDING"], order_by="o_comment; DROP TABLE jobs")
+    return S.search(transform_postings(raw_frame(spark, sf_dir)), spec).page.select("id", "posted_date")
+
+
+@register("registered_view", postings_cte_sql() + "SELECT agency, count(*) AS n FROM postings WHERE posting_type = 'External' GROUP BY 1")
+def registered_view(spark, sf_dir):
+    """The newest table as the view ``jobs``, asked in SQL."""
+    SRC.register_view(transform_postings(raw_frame(spark, sf_dir)), "jobs")
+    return SRC.adhoc_sql(spark, "SELECT agency, count(*) AS n FROM jobs WHERE posting_type = :kind GROUP BY agency", args={"kind": "External"})
+
+
 _LATEST = P.SearchSpec.ui_default(agencies=["BUILDING", "AUTOMOBILE"], salary_min=50000, order_by="salary_range_from")
 
 

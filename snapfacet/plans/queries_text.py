@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.identity import row_hash
 from ..operators import block_search as K
+from ..operators import facets as FC
 from ..operators import predicates as P
 from ..operators import search as S
 from ..operators import text_index as X
@@ -195,6 +196,40 @@ def bm25_stemmed(spark, sf_dir):
     return S.page(scores, None, "score", True, 25, 0, ("doc_id",))
 
 
+_FILTERED_SQL = """
+    , hits AS (SELECT s.doc_id, s.score, d.lang, d.source, d.n_chars FROM scores s JOIN documents d ON d.doc_id = s.doc_id)
+"""
+
+
+@register(
+    "facet_counts_bm25",
+    _SCORES_SQL
+    + _FILTERED_SQL
+    + """
+    SELECT 'lang' AS facet, lang AS value, count(*) AS n FROM hits WHERE source IN ('src0', 'src1', 'src2') AND n_chars >= 300 AND lang <> '' GROUP BY 2
+    UNION ALL
+    SELECT 'source', source, count(*) FROM hits WHERE lang IN ('en', 'de') AND n_chars >= 300 AND source <> '' GROUP BY 2
+    """,
+)
+def facet_counts_bm25(spark, sf_dir):
+    """E1 under a text search by the index."""
+    lists = {"lang": ("en", "de"), "source": ("src0", "src1", "src2")}
+    spec = P.SearchSpec(text=QUERY, text_mode="bm25", in_lists=lists, overlap=("n_chars", "n_chars", 300, None))
+    return FC.facet_counts(_documents(spark, sf_dir), spec, scalar=["lang", "source"], index=_index(spark, sf_dir), id_col="doc_id")
+
+
+@register(
+    "search_auto_indexed",
+    _SCORES_SQL + _FILTERED_SQL + "SELECT doc_id, lang, round(score, 6) AS score FROM hits WHERE lang IN ('en', 'de') ORDER BY hits.score DESC, doc_id LIMIT 25",
+)
+def search_auto_indexed(spark, sf_dir):
+    """With an index, the mode ``auto`` is the search by score."""
+    docs = _documents(spark, sf_dir).select("doc_id", "lang", "text", "source")
+    spec = P.SearchSpec(text=QUERY, text_columns=INDEX_COLUMNS, text_mode="auto", in_lists={"lang": ("en", "de")}, order_by="lang")
+    page = S.search(docs, spec, index=_index(spark, sf_dir), id_col="doc_id").page
+    return page.select("doc_id", "lang", F.round("score", 6).alias("score"))
+
+
 @register(
     "search_auto",
     """

@@ -86,16 +86,17 @@ def read_landed_pages(
 
     Returns the records and a page report ``(page_file, page, records, full, last, ok)``: every page
     but the last must be full. The last page is the one with the largest number in its file name
-    (``page-10`` comes after ``page-9``). Exact duplicate records across pages (the source gives no
+    (``page-10`` comes after ``page-9``), or of its folder ``page=<number>``. Exact duplicate records across pages (the source gives no
     order) are reported by :func:`duplicate_records`, never dropped."""
     df = read_raw_snapshot(spark, path, multiline).withColumn("_page", F.col("_metadata.file_path"))
     report = df.groupBy("_page").agg(F.count(F.lit(1)).alias("records"))
     name = F.element_at(F.split("_page", "/"), -1)
-    number = F.try_to_number(F.regexp_extract(name, "([0-9]+)[^0-9]*$", 1), F.lit("9" * 18)).cast("long")
+    folder, file = F.regexp_extract("_page", "/page=([0-9]+)/[^/]*$", 1), F.regexp_extract(name, "([0-9]+)[^0-9]*$", 1)
+    number = F.try_to_number(F.when(folder != "", folder).otherwise(file), F.lit("9" * 18)).cast("long")
     report = report.withColumn("page", number).withColumn("full", F.col("records") == F.lit(page_size))
     last = report.agg(F.max(F.struct("page", "_page"))["_page"]).scalar()
     report = report.withColumn("last", F.col("_page") == last).withColumn("ok", F.col("full") | F.col("last"))
-    return df.drop("_page"), report.withColumnRenamed("_page", "page_file")
+    return df.select(*(f.name for f in RAW.fields)), report.withColumnRenamed("_page", "page_file")
 
 
 def duplicate_records(df: DataFrame) -> DataFrame:
