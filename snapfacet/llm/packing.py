@@ -1,15 +1,15 @@
 """Operator 4, harmonic packing of token sequences.
 
-Documents are tokenized, an end id is added, and each is cut into pieces whose lengths are the
-capacities of reciprocal classes: class k holds pieces of capacity // k tokens, k of them fill a
-sequence. A document gives whole sequences first; of what is left, the largest class that fits is
-cut off again and again (classes 1, 2, 3, 4, 6, 8, 12, ... down to one token), so a piece always
-fills its class's place and a full sequence of class k has fewer than k tokens of padding.
+Documents are tokenized and an end id is added. What is as long as a sequence is cut off first; the rest of a
+document, or a short document as it is, belongs to the reciprocal class of its length: class k has lengths over
+capacity / (k + 1) and up to capacity / k, so that k of them always fit into one sequence.
 
-Each task fills the sequences of each class with the class's fixed number of pieces, without
-regard to other tasks. What a task has left over of a class (fewer than k pieces) is packed once
-more: a group of ``fold`` tasks puts its left-over pieces one after the other into sequences,
-cutting where one is full, so the group pads one sequence only.
+Each task fills the sequences of each class with the class's fixed number of documents, without regard to
+other tasks. The gap that they leave is shorter than any other piece of the class: where it is over one 128th of a sequence, it is filled with the
+beginning of one more piece of the class, whose rest goes on in the class of its own length. So a full sequence of class k holds k
+whole pieces and one beginning, and pads less than a 128th; a document is rarely cut twice. What a task has left over of its classes
+(fewer pieces than fill a sequence) is packed once more: a group of ``fold`` tasks puts its left-over pieces one after the other into
+sequences, cutting where one is full, so the group pads one sequence only.
 
 Tokenizing is by word: a text's ids are those of its white-space-parted words, and a letter run
 and the punctuation beside it never merge, so each distinct unit of a batch is tokenized once (and
@@ -37,7 +37,9 @@ from . import blocks as B
 from . import words as W
 
 #: Units kept per worker, and bytes of text tokenized at once.
-CACHE, BATCH = 2_000_000, 4 << 20
+CACHE, BATCH = 600_000, 4 << 20
+#: A gap of at most one part of so many of a sequence is padded.
+SMALL = 128
 _APOSTROPHE, _ZERO = 39, ord("0")
 _LETTER = np.zeros(256, bool)
 _LETTER[65:91] = _LETTER[97:123] = True
@@ -159,26 +161,9 @@ def _tokenizer(name: str) -> WordTokenizer:
     return _TOKENIZERS[name]
 
 
-def classes(capacity: int) -> list[int]:
-    """The class numbers k: powers of two and three times a power of two, up to the capacity."""
-    out, k = [], 1
-    while k <= capacity:
-        out.append(k)
-        if k > 1 and 3 * k // 2 <= capacity:
-            out.append(3 * k // 2)
-        k *= 2
-    return sorted(set(out))
-
-
-def cut_lengths(tokens: int, capacity: int, sizes: list[int]) -> list[int]:
-    """Piece lengths of a document: whole sequences, then the largest class that fits."""
-    out = [capacity] * (tokens // capacity)
-    left = tokens % capacity
-    for size in sizes:
-        while left >= size:
-            out.append(size)
-            left -= size
-    return out
+def class_of(length: int, capacity: int) -> int:
+    """The reciprocal class of a piece: so many of its length fit into a sequence."""
+    return capacity // length
 
 
 COLUMNS = ("row", "start", "length", "ids_crc32", "doc_tokens", "class", "sequence_id", "offset", "task", "ids")
@@ -194,49 +179,98 @@ def _schema(row: T.DataType) -> T.StructType:
     return out
 
 
+class _Piece:
+    __slots__ = ("row", "start", "total", "ids")
+
+    def __init__(self, row: int, start: int, total: int, ids: bytes):
+        self.row, self.start, self.total, self.ids = row, start, total, ids
+
+    def __len__(self) -> int:
+        return len(self.ids) // 4
+
+
 class _Filling:
-    """The open sequences of a task: fewer than k pieces of each class k."""
+    """The open pieces of a task: of each class k at most k, or k + 1 beside each other."""
 
     def __init__(self, task: int, capacity: int):
-        self.task, self.capacity, self.used, self.open = task, capacity, 0, None
-
-    def add(self, pieces: pa.Table) -> pa.Table:
-        """The pieces whose sequences are now full; the others stay here."""
-        pieces = pieces if self.open is None else pa.concat_tables([self.open, pieces])
-        kind = pieces["class"].to_numpy()
-        take, sequence, offset, rest = [], [], [], []
-        for k in np.unique(kind).tolist():
-            at = np.flatnonzero(kind == k)
-            full = len(at) // k * k
-            number = np.arange(full)
-            take.append(at[:full])
-            sequence.append(self.task * TASK + self.used + number // k)
-            offset.append(number % k * (self.capacity // k))
-            rest.append(at[full:])
-            self.used += full // k
-        self.open = pieces.take(pa.array(np.sort(np.concatenate(rest)))).combine_chunks()
-        return self._placed(pieces.take(pa.array(np.concatenate(take))), np.concatenate(sequence), np.concatenate(offset))
-
-    def _placed(self, pieces: pa.Table, sequence, offset) -> pa.Table:
-        n = pieces.num_rows
-        cols = [pieces[c] for c in COLUMNS[:6]] + [pa.array(sequence, pa.int64()), pa.array(offset, pa.int64())]
-        return pa.table([*cols, pa.array(np.full(n, self.task), pa.int64()), pa.nulls(n, pa.binary())], names=COLUMNS)
+        self.task, self.capacity, self.used = task, capacity, 0
+        self.open: dict[int, list[_Piece]] = {}
+        self.rows, self.out = None, []
+
+    def add(self, rows: pa.Array, pieces: list[_Piece]) -> pa.Table | None:
+        """The pieces of sequences that are now full; the others stay here. The pieces' ``row`` is a place in ``rows``."""
+        if self.rows is not None:
+            for p in pieces:
+                p.row += len(self.rows)
+            rows = pa.concat_arrays([self.rows, rows])
+        for p in pieces:
+            self._put(p)
+        out, self.out = self.out, []
+        table = self._table(rows, out) if out else None
+        # of the rows, keep what open pieces need
+        held = [p for queue in self.open.values() for p in queue]
+        places, number = np.unique(np.array([p.row for p in held], np.int64), return_inverse=True)
+        for p, n in zip(held, number.tolist()):
+            p.row = n
+        self.rows = rows.take(pa.array(places, pa.int64()))
+        return table
+
+    def _put(self, piece: _Piece) -> None:
+        todo = [piece]
+        while todo:
+            p = todo.pop()
+            k = class_of(len(p), self.capacity)
+            queue = self.open.setdefault(k, [])
+            queue.append(p)
+            if len(queue) < k:
+                continue
+            gap = self.capacity - sum(map(len, queue[:k]))
+            if gap <= self.capacity // SMALL:
+                self._fill(k, queue[:k])
+                del queue[:k]
+            elif len(queue) > k:  # the longest is cut, so that its rest is not short
+                cut = queue.pop(max(range(k + 1), key=lambda i: len(queue[i])))
+                gap = self.capacity - sum(map(len, queue))
+                begin = _Piece(cut.row, cut.start, cut.total, cut.ids[: 4 * gap])
+                self._fill(k, [*queue, begin] if gap else queue)
+                queue.clear()
+                if gap < len(cut):
+                    todo.append(_Piece(cut.row, cut.start + gap, cut.total, cut.ids[4 * gap :]))
+
+    def _fill(self, k: int, pieces: list[_Piece]) -> None:
+        place, number = 0, self.task * TASK + self.used
+        for p in pieces:
+            self.out.append((p, k, number, place))
+            place += len(p)
+        self.used += 1
+
+    def _table(self, rows: pa.Array, placed: list, ids: bool = False) -> pa.Table:
+        pieces = [p for p, _, _, _ in placed]
+        longs = lambda values: pa.array(list(values), pa.int64())
+        cols = [
+            rows.take(longs(p.row for p in pieces)),
+            longs(p.start for p in pieces),
+            longs(len(p) for p in pieces),
+            longs(zlib.crc32(p.ids) for p in pieces),
+            longs(p.total for p in pieces),
+            pa.array([k for _, k, _, _ in placed], pa.int32()),
+            longs(n for _, _, n, _ in placed),
+            longs(o for _, _, _, o in placed),
+            pa.array(np.full(len(placed), self.task), pa.int64()),
+            pa.array([p.ids for p in pieces], pa.binary()) if ids else pa.nulls(len(placed), pa.binary()),
+        ]
+        return pa.table(cols, names=COLUMNS)
 
     def left(self) -> pa.Table | None:
-        """The pieces of open sequences, with their ids."""
-        if self.open is None:
-            return None
-        n = self.open.num_rows
-        cols = [self.open[c] for c in COLUMNS[:6]] + [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())]
-        return pa.table([*cols, pa.array(np.full(n, self.task), pa.int64()), self.open["ids"]], names=COLUMNS)
+        """The open pieces, with their ids."""
+        held = [(p, k, None, None) for k, queue in sorted(self.open.items()) for p in queue]
+        return self._table(self.rows, held, ids=True) if held else None
 
 
 def pack_full(docs: DataFrame, tokenizer: str, text_col: str, capacity: int, end_id: int) -> DataFrame:
     """Tokenize, cut and fill: one row per piece; pieces of sequences that the task could not
     fill have no ``sequence_id`` but their ``ids``."""
     ship_package(docs.sparkSession)
-    of = {capacity // k: k for k in classes(capacity)}  # of classes of one size the one that fills a sequence
-    sizes = sorted(of, reverse=True)
     end = np.array([end_id], np.uint32)
 
     def run(batches):
@@ -246,20 +280,15 @@ def pack_full(docs: DataFrame, tokenizer: str, text_col: str, capacity: int, end
             for a, b in W.slices(offsets, BATCH):
                 lo, hi = int(offsets[a]), int(offsets[b])
                 ids, at = encode(data[lo:hi], offsets[a : b + 1] - lo)
-                index, out, raw = [], [], []
+                pieces = []
                 for i in range(b - a):
                     mine = np.concatenate((ids[at[i] : at[i + 1]], end)).astype("<u4").tobytes()
-                    start, total = 0, len(mine) // 4
-                    for n in cut_lengths(total, capacity, sizes):
-                        piece = mine[4 * start : 4 * (start + n)]
-                        out.append((start, n, zlib.crc32(piece), total, of[n]))
-                        raw.append(piece)
-                        index.append(a + i)
-                        start += n
-                cols = [pa.array(c, pa.int64()) for c in list(zip(*out))[:4]] + [pa.array([o[4] for o in out], pa.int32())]
-                row = batch.column("row").take(pa.array(index, pa.int64()))
-                pieces = pa.table([row, *cols, pa.array(raw, pa.binary())], names=(*COLUMNS[:6], "ids"))
-                yield from filling.add(pieces).combine_chunks().to_batches()
+                    total = len(mine) // 4
+                    for start in range(0, total, capacity):
+                        pieces.append(_Piece(a + i, start, total, mine[4 * start : 4 * (start + capacity)]))
+                full = filling.add(batch.column("row"), pieces)
+                if full is not None:
+                    yield from full.combine_chunks().to_batches()
         if (left := filling.left()) is not None:
             yield from left.to_batches()
 

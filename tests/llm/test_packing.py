@@ -42,18 +42,47 @@ def test_special_tokens_are_known_by_their_case(turn):
         assert ids.tolist() == whole.encode(text, add_special_tokens=False).ids, text
 
 
-def test_full_sequences_have_little_padding():
-    """Of the classes of one size the largest holds: k pieces of capacity // k tokens fill a sequence but for k - 1."""
-    numbers = {2048 // k: k for k in K.classes(2048)}
-    assert all(2048 - k * size < 0.02 * 2048 for size, k in numbers.items() if k <= 32)
-    assert numbers[1] == 2048 and numbers[2] == 1024
-
-
-def test_classes_and_cuts():
-    assert K.classes(16) == [1, 2, 3, 4, 6, 8, 12, 16]
-    sizes = sorted({2048 // k for k in K.classes(2048)}, reverse=True)
-    for n in range(1, 5000, 7):
-        assert sum(K.cut_lengths(n, 2048, sizes)) == n
+@pytest.mark.parametrize("capacity", [16, 256, 2048])
+def test_classes_fill_sequences(capacity):
+    """A full sequence of class k: k whole pieces of the class, and one beginning of a piece of it at most; hardly any padding."""
+    rng = np.random.default_rng(capacity)
+    lengths = [int(n) for n in np.exp(rng.uniform(0, np.log(3 * capacity), 4000))]
+    filling, made, rows = K._Filling(3, capacity), [], pa.array(range(len(lengths)))
+    for lo in range(0, len(lengths), 700):
+        pieces = []
+        for i, n in enumerate(lengths[lo : lo + 700]):
+            ids = np.arange(n, dtype="<u4").tobytes()
+            pieces += [K._Piece(i, s, n, ids[4 * s : 4 * (s + capacity)]) for s in range(0, n, capacity)]
+        table = filling.add(rows.slice(lo, 700), pieces)
+        made += table.to_pylist() if table is not None else []
+    open_ = filling.left().to_pylist()
+    got, sequences = defaultdict(list), defaultdict(list)
+    for r in made + open_:
+        got[r["row"]].append((r["start"], r["length"]))
+        assert r["doc_tokens"] == lengths[r["row"]] and r["ids_crc32"] == zlib.crc32(np.arange(r["start"], r["start"] + r["length"], dtype="<u4").tobytes())
+    for i, n in enumerate(lengths):
+        place = 0
+        for start, length in sorted(got[i]):
+            assert start == place
+            place += length
+        assert place == n
+    for r in made:
+        sequences[r["sequence_id"]].append(r)
+    for held in sequences.values():
+        used, k = sum(r["length"] for r in held), held[0]["class"]
+        assert capacity - capacity // K.SMALL <= used <= capacity and {r["class"] for r in held} == {k}
+        assert sum(K.class_of(r["length"], capacity) == k for r in held) >= k
+        assert len(held) <= k + 1
+    # nearly every document that fits is in one or two pieces
+    short = [len(got[i]) for i, n in enumerate(lengths) if n <= capacity]
+    assert sum(short) < 1.8 * len(short)
+    assert len(open_) < sum(K.class_of(r["length"], capacity) + 1 for r in {r["class"]: r for r in open_}.values()) + 1
+
+
+def test_documents_stay_whole(small):
+    """Fewer than two pieces a document, over all documents."""
+    out = K.pack(small.coalesce(1))
+    assert out.count() < 2 * small.count()
 
 
 @pytest.mark.parametrize("parts", [1, 6])
