@@ -144,6 +144,16 @@ def _template_words(text: str) -> dict[str, int]:
     return {w: words.count(w) for w in words}
 
 
+def _anchors(weights: dict[str, float], least: float) -> list[str]:
+    """The heaviest words of a template, so many that the others together stay below ``least`` of its squared norm."""
+    words, rest = sorted(weights, key=lambda w: (-weights[w], w)), sum(x * x for x in weights.values())
+    for n, w in enumerate(words):
+        if rest < least:
+            return words[:n]
+        rest -= weights[w] ** 2
+    return words
+
+
 def vocabulary(templates=TEMPLATES) -> list[str]:
     return sorted({w for _, t in templates for w in _template_words(t)})
 
@@ -176,6 +186,15 @@ class Weights:
         self.templates = [(name, {w: k * self.idf[w] for w, k in _template_words(text).items()}) for name, text in templates]
         self.norms = [math.sqrt(sum(x * x for x in weights.values())) for _, weights in self.templates]
         self.known = F.array(*(F.lit(w) for w in self.idf))
+        self.anchors = sorted({w for (_, weights), norm in zip(self.templates, self.norms) for w in _anchors(weights, self._least(norm))})
+
+    def _least(self, norm: float) -> float:
+        """The part of a template's squared norm that a bag's words must have to reach the threshold."""
+        return self.threshold**2 * norm * norm * (1 - 1e-9)
+
+    def anchored(self, held: Column) -> Column:
+        """Whether there is a word that some template cannot be reached without: a cheap test, made first."""
+        return F.arrays_overlap(held, F.array(*(F.lit(w) for w in self.anchors)))
 
     def reachable(self, held: Column) -> Column:
         """Whether the template words ``held`` have enough of some template's squared norm."""
@@ -183,7 +202,7 @@ class Weights:
         for (_, weights), norm in zip(self.templates, self.norms):
             # words of different weights: the sum over those that are held
             share = sum((F.when(F.array_contains(held, w), F.lit(x * x)).otherwise(0.0) for w, x in weights.items()), F.lit(0.0))
-            out = out | (share >= self.threshold**2 * norm * norm * (1 - 1e-9))
+            out = out | (share >= self._least(norm))
         return (F.size(held) > 0) & out
 
     def best(self, tf: Column, others: Column) -> Column:
@@ -209,7 +228,7 @@ class TextWeights(Weights):
         for (name, weights), own in zip(self.templates, self.norms):
             of = lambda value: F.create_map(*(F.lit(v) for w, x in weights.items() for v in (w, value(w, x))))
             words = F.array(*(F.lit(w) for w in weights)).alias("words")
-            least = F.lit(threshold**2 * own * own * (1 - 1e-9)).alias("least")
+            least = F.lit(self._least(own)).alias("least")
             squares, parts = of(lambda w, x: x * x).alias("squares"), of(lambda w, x: x * self.idf[w] / own).alias("parts")
             rows.append(F.struct(F.lit(name).alias("license"), words, least, squares, parts))
         self.rows = F.array(*rows)
@@ -253,10 +272,11 @@ def _bags(weights: Weights, between: str) -> Column:
     held = lambda words: F.array_intersect(words, weights.known)
     text = F.col("_text")
     # the whole file counts as one more line
-    lines = F.when(weights.reachable(held(F.col("_held"))), F.array_union(F.split(text, between), F.array(text))).otherwise(F.array().cast("array<string>"))
+    enough = weights.anchored(F.col("_held")) & weights.reachable(held(F.col("_held")))
+    lines = F.when(enough, F.array_union(F.split(text, between), F.array(text))).otherwise(F.array().cast("array<string>"))
     bags = F.transform(lines, lambda line: F.filter(_split(line), lambda w: w != ""))
     bags = F.transform(bags, lambda words: F.struct(words.alias("words"), held(words).alias("held")))
-    bags = F.filter(bags, lambda b: weights.reachable(b["held"]))
+    bags = F.filter(bags, lambda b: weights.anchored(b["held"]) & weights.reachable(b["held"]))
 
     def counted(b: Column) -> Column:
         tf = F.transform(b["held"], lambda w: F.size(F.filter(b["words"], lambda x: x == w)))
