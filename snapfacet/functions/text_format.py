@@ -23,29 +23,50 @@ HEADER_CHARS = 30
 BULLETS = "·§•"
 SPACE = "[\\t-\\r \\u00A0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000\\uFEFF]"
 
+#: The same in texts that have none but ASCII white space: Java tests this class by a table.
+ASCII_SPACE = "\\s"
+RARE_SPACES = "\u00a0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000\ufeff"
 SPACES = "\t\n\x0b\x0c\r \u00a0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000\ufeff"
 
 SECTION, TITLE_END, NUMBERED, BULLET, PARAGRAPH, CUT = "\x01", "\x02", "\x03", "\x04", "\x05", "\x06"
 
 
-def _headed(text: Column) -> Column:
+def _plain(text: Column) -> Column:
+    """Whether a text has no white space but ASCII: it is ASCII, or holds none of the others."""
+    rare = F.contains(text, F.lit(RARE_SPACES[0]))
+    for c in RARE_SPACES[1:]:
+        rare = rare | F.contains(text, F.lit(c))
+    return (F.octet_length(text) == F.char_length(text)) | ~rare
+
+
+def _spaced(plain: Column, step):
+    """A step by the cheaper class of white space where the text allows it."""
+    return F.when(plain, step(ASCII_SPACE)).otherwise(step(SPACE))
+
+
+def _headed(text: Column, plain: Column) -> Column:
     """The text with a mark around each header's label."""
     clean = F.when(text.rlike(f"[{SECTION}-{CUT}]"), F.translate(text, SECTION + TITLE_END + NUMBERED + BULLET + PARAGRAPH + CUT, " " * 6)).otherwise(text)
-    return F.regexp_replace(clean, f"{SPACE}{{2,}}([A-Za-z ]{{1,{HEADER_CHARS}}}):{SPACE}{{2,}}", f"{SECTION}$1{TITLE_END}")
+    return _spaced(plain, lambda s: F.regexp_replace(clean, f"{s}{{2,}}([A-Za-z ]{{1,{HEADER_CHARS}}}):{s}{{2,}}", f"{SECTION}$1{TITLE_END}"))
 
 
-def _listed(x: Column) -> Column:
+def _listed(x: Column, plain: Column) -> Column:
     """Of a text with marked headers: a mark before each list item and after each paragraph."""
-    opener = f"(^{SPACE}*|{SPACE}{{2,}}|;{SPACE}+or{SPACE}+|{TITLE_END})"
-    numbered = F.regexp_replace(x, f"{opener}[0-9]+\\.{SPACE}", f"$1{CUT}{NUMBERED}")
-    # "; or" before an item belongs to neither of the two
-    numbered = F.regexp_replace(numbered, f";{SPACE}+or{SPACE}+{CUT}", CUT)
-    return F.when(F.contains(x, F.lit("1.")) & x.rlike(f"(^{SPACE}*|{SPACE}{{2,}}|{TITLE_END})1\\.{SPACE}"), numbered).otherwise(x)
+
+    def step(s: str) -> Column:
+        opener = f"(^{s}*|{s}{{2,}}|;{s}+or{s}+|{TITLE_END})"
+        numbered = F.regexp_replace(x, f"{opener}[0-9]+\\.{s}", f"$1{CUT}{NUMBERED}")
+        # "; or" before an item belongs to neither of the two
+        numbered = F.when(F.contains(numbered, F.lit(";")), F.regexp_replace(numbered, f";{s}+or{s}+{CUT}", CUT)).otherwise(numbered)
+        return F.when(x.rlike(f"(^{s}*|{s}{{2,}}|{TITLE_END})1\\.{s}"), numbered).otherwise(x)
+
+    return F.when(F.contains(x, F.lit("1.")), _spaced(plain, step)).otherwise(x)
 
 
-def _cut(x: Column) -> Column:
-    x = F.regexp_replace(x, f"[{BULLETS}]", CUT + BULLET)
-    return F.regexp_replace(x, f"{SPACE}{{3,}}", CUT + PARAGRAPH)
+def _cut(x: Column, plain: Column) -> Column:
+    for bullet in BULLETS:
+        x = F.replace(x, F.lit(bullet), F.lit(CUT + BULLET))
+    return _spaced(plain, lambda s: F.regexp_replace(x, f"{s}{{3,}}", CUT + PARAGRAPH))
 
 
 def _trimmed(x: Column) -> Column:
@@ -97,16 +118,18 @@ def _html(title: Column, pieces: Column) -> Column:
 def _marked(df: DataFrame, keep: list, source: str) -> DataFrame:
     """``keep`` and the sections as ``__s``, each step as a projection of its own: a text that a step
     looks at twice is not made twice."""
-    out = df.select(*keep, _headed(F.col(source)).alias("__x"))
-    out = out.select(*keep, _listed(F.col("__x")).alias("__x"))
-    out = out.select(*keep, _cut(F.col("__x")).alias("__x"))
+    plain = F.col("__plain")  # marks are no white space: it holds for all steps
+    out = df.select(*keep, F.col(source).alias("__x"), _plain(F.col(source)).alias("__plain"))
+    for step in (_headed, _listed, _cut):
+        out = out.select(*keep, step(F.col("__x"), plain).alias("__x"), plain)
     return out.select(*keep, _sections(F.col("__x")).alias("__s"))
 
 
 def structure_text(c: ColumnOrName) -> Column:
     """P18 (with P19): text -> HTML fragment, as one Column expression (for a page of rows; for whole
     tables use :func:`with_structured_text`)."""
-    sections = _sections(_cut(_listed(_headed(col(c)))))
+    plain = _plain(col(c))
+    sections = _sections(_cut(_listed(_headed(col(c), plain), plain), plain))
     staged = F.transform(sections, lambda s: F.struct(s["title"].alias("title"), _pieces(s["body"]).alias("pieces")))
     return F.array_join(F.transform(staged, lambda s: _html(s["title"], s["pieces"])), "")
 

@@ -2,7 +2,7 @@
 
 Build (X1): every row's text columns are joined, lower-cased, stripped of accents and split
 at non-letters -- native Column expressions (X2). Optional English stop words (X3) are an
-``IN``-set filter (fixed size, no join) and the optional Porter stemmer (X4) is an Arrow UDF
+``IN``-set filter (fixed size, no join) and the optional English Snowball stemmer (X4) is an Arrow UDF
 applied to the *distinct vocabulary only* and joined back to the postings.
 
 Stored layout (Parquet, one folder per table):
@@ -186,11 +186,11 @@ def with_term_counts(df: DataFrame, tokens: Column, out: str = "counts", length:
     ``out`` (array<struct<term, tf>>) and ``length`` (number of tokens).
 
     The sorted array and the run ends are their own columns (separate projections): the
-    lambdas below read them by position, and an inlined ``array_sort`` would be re-run for
+    lambdas below read them by position, and an inlined ``sort_array`` would be re-run for
     every element."""
     keep = [c for c in df.columns if c not in (out, length)]
     a, e = F.col("__sorted"), F.col("__ends")
-    staged = df.select(*keep, F.array_sort(tokens).alias("__sorted"))
+    staged = df.select(*keep, F.sort_array(tokens).alias("__sorted"))
     staged = staged.select(*keep, "__sorted", F.size(a).alias("__n"))
     n = F.col("__n")
     ends = F.when(

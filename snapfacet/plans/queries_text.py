@@ -189,7 +189,7 @@ def bm25_after_merge(spark, sf_dir):
 
 @register("bm25_stemmed", None)
 def bm25_stemmed(spark, sf_dir):
-    """Stop words and the Porter stemmer on: no SQL oracle (the stemmer has no SQL form);
+    """Stop words and the English Snowball stemmer on: no SQL oracle (the stemmer has no SQL form);
     the unit tests check it against a brute-force scorer on a fixture."""
     idx = _index(spark, sf_dir, stop_words=X.english_stop_words(), stemmer=True)
     scores = X.bm25_scores(idx, "the ingoring whons haed").select("doc_id", F.round("score", 6).alias("score"))
