@@ -128,18 +128,16 @@ class TextIndex:
     id_col: str = "id"
     stop_words: tuple = ()
     stemmer: bool = False
+    n_postings: int | None = None
 
     def save(self, path: str, rows_per_file: int = 20_000_000) -> "TextIndex":
-        """Write the three tables. The text is tokenised once, for postings that are staged as
-        they come; their number decides into how many files of ``rows_per_file`` they are sorted by
-        (term, id). Not by term alone: a term held by a third of all documents is then spread over
-        many writer tasks. The terms are counted from the stored postings, and stored in order."""
+        """Write the three tables. The number of postings (before stemming, where words of a document may fall together) decides into how many
+        files of ``rows_per_file`` they are sorted by (term, id). Not by term alone: a term held by a third of
+        all documents is then spread over many writer tasks. The terms are counted from the stored postings, and
+        stored in order."""
         spark = self.postings.sparkSession
-        staged = scratch(spark, "postings")
-        self.postings.write.parquet(staged)
-        postings = spark.read.parquet(staged)
-        files = max(1, math.ceil(postings.count() / rows_per_file))
-        spread = postings.repartitionByRange(files, "term", self.id_col)
+        rows = self.postings.count() if self.n_postings is None else self.n_postings
+        spread = self.postings.repartitionByRange(max(1, math.ceil(rows / rows_per_file)), "term", self.id_col)
         spread.sortWithinPartitions("term", self.id_col).write.mode("overwrite").parquet(f"{path}/postings")
         stored = spark.read.parquet(f"{path}/postings")
         terms = stored.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
@@ -165,21 +163,6 @@ class TextIndex:
         )
 
 
-def _tokens_and_length(columns: Sequence[str], stop_words: Sequence[str]) -> tuple[Column, Column]:
-    """(array of tokens, document length). Splitting at runs of non-letters leaves empty
-    strings only at the two ends, so without stop words the length is plain arithmetic and
-    the empties are dropped after the explode -- all codegen, no lambda. Stop words need an
-    array filter (a lambda) so the length counts only the kept tokens."""
-    arr = F.split(normalized_text(columns), TOKEN_SPLIT)
-    if stop_words:
-        sw = list(stop_words)
-        kept = F.filter(arr, lambda t: (t != F.lit("")) & ~t.isin(sw))
-        return kept, F.size(kept).cast("long")
-    n = F.size(arr)
-    empties = F.when(arr[0] == F.lit(""), 1).otherwise(0) + F.when((n > 1) & (F.element_at(arr, -1) == F.lit("")), 1).otherwise(0)
-    return arr, (n - empties).cast("long")
-
-
 def with_term_counts(df: DataFrame, tokens: Column, out: str = "counts", length: str = "dl") -> DataFrame:
     """Per-row term frequencies without a shuffle: sort the row's tokens, find where each
     run of equal tokens ends, and pair every distinct term with its run length. Adds
@@ -258,18 +241,18 @@ def build_text_index(
     stemmer: bool = False,
 ) -> TextIndex:
     """Build the index. ``stop_words=None`` -> none; pass ``english_stop_words()``
-    for the reference's setting. Corpus statistics are one aggregate (one row)."""
+    for the reference's setting.
+
+    The texts are read once: their terms, counted per document, are staged in the shared scratch folder. Corpus statistics
+    are one aggregate over the staged lengths, postings come from the staged counts, however often they are asked for."""
     sw = tuple(stop_words or ())
-    post = postings_frame(df, id_col, columns, sw, stemmer)
+    spark, staged = df.sparkSession, scratch(df.sparkSession, "counted")
+    counted_documents(df, id_col, columns, sw).write.parquet(staged)
+    docs = spark.read.parquet(staged)
+    post = exploded_counts(docs, id_col, stemmer)
     terms = post.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    _, length = _tokens_and_length(columns, sw)
-    stats = (
-        df.select(*columns)
-        .select(length.alias("dl"))
-        .agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl"))
-        .first()
-    )
-    return TextIndex(post, terms, int(stats["n"]), float(stats["avgdl"] or 0.0), id_col, sw, stemmer)
+    stats = docs.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl"), F.coalesce(F.sum(F.size("c")), F.lit(0)).alias("p")).first()
+    return TextIndex(post, terms, int(stats["n"]), float(stats["avgdl"] or 0.0), id_col, sw, stemmer, int(stats["p"]))
 
 
 def bm25_scores(index: TextIndex, query: str, k1: float = K1, b: float = B, score_col: str = "score") -> DataFrame:
