@@ -185,6 +185,13 @@ class SearchSpec:
             preds.append(last_n_days(*self.recent))
         return conjunction(preds)
 
+    def is_open(self) -> bool:
+        """Whether nothing but the text filters."""
+        two = any(one_of_two(c, *v) is not None for c, v in self.two_value.items())
+        flags = any(a != b for a, b in self.flags.values())
+        lists = any(self.in_lists.values()) or any(self.any_of.values())
+        return not (two or flags or lists or self.overlap or self.dates or self.recent)
+
     @classmethod
     def postings(
         cls,

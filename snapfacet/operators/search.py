@@ -18,7 +18,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.common import ColumnOrName, col
+from .block_search import DIGITS, BlockIndex
 from .predicates import SearchSpec
+from .text_index import scored_rows
 
 
 def order_columns(key: ColumnOrName, descending: bool, tiebreak: Sequence[str] = ()) -> list[Column]:
@@ -128,11 +130,14 @@ class SearchResult:
         return math.ceil(n_total / size) if size else 0
 
 
-def search(df: DataFrame, spec: SearchSpec, index=None, id_col: str = "id") -> SearchResult:
+def search(df: DataFrame, spec: SearchSpec, index=None, id_col: str = "id", substrings=None) -> SearchResult:
     """A request over a table -> page + total.
 
     Text search with ``text_mode='bm25'`` needs a stored index (see ``text_index``); with
-    ``auto`` the index is used when one is given, otherwise the substring filter (X7).
+    ``auto`` the index is used when one is given, otherwise the substring filter (X7). A block index
+    (``block_search``) gives the page of a request without other filters from few of its blocks; scores are then rounded as it
+    rounds them. ``substrings``, a trigram index of the table, stands for ``df`` in substring searches: the rows
+    that cannot hold the term are not read.
     """
     mode = spec.text_mode
     if spec.text and mode == "auto":
@@ -142,14 +147,22 @@ def search(df: DataFrame, spec: SearchSpec, index=None, id_col: str = "id") -> S
         if index is None:
             spec = spec.with_(text_mode="literal")
         else:
-            from .text_index import scored_rows
-
-            scored = scored_rows(df, index, spec.text, id_col=id_col)
             pred = spec.predicate(include_text=False)
+            if isinstance(index, BlockIndex):
+                every = index.scores(spec.text).withColumnRenamed(index.id_col, id_col)
+                scored = df.join(every.withColumn("score", F.round("score", DIGITS)), id_col)
+                if spec.is_open():
+                    best = index.top(spec.text, spec.limit, spec.offset).withColumnRenamed(index.id_col, id_col)
+                    return SearchResult(page(df.join(best, id_col), None, "score", True, spec.limit, 0, (id_col,)), total(scored, None))
+            else:
+                scored = scored_rows(df, index, spec.text, id_col=id_col)
             return SearchResult(
                 page=page(scored, pred, "score", True, spec.limit, spec.offset, (id_col,)),
                 total=total(scored, pred),
             )
+    if spec.text and substrings is not None:
+        df = substrings.matching(spec.text, spec.text_mode, spec.text_columns)
+        spec = spec.with_(text=None)
     pred = spec.predicate()
     tiebreak = (spec.tiebreak,) if spec.tiebreak and spec.tiebreak in df.columns else ()
     order = spec.order_by or (df.columns[0])

@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from snapfacet.operators import block_search as K
+from snapfacet.operators import predicates as P
+from snapfacet.operators import search as S
 from snapfacet.operators import text_index as X
 
 from .conftest import SF_SMALL
@@ -100,6 +102,18 @@ def test_empty_table(spark, made):
     assert blocks.top("ak", 5).count() == 0
 
 
+def test_search_by_blocks_is_the_search_by_the_index(spark, made):
+    """G5 with a block index: the same page and total, with and without other filters."""
+    index, blocks = made
+    rows = corpus(spark).where("id IS NOT NULL").withColumn("even", F.col("id") % 2 == 0)
+    for more in ({}, {"flags": {"even": (True, False)}}):
+        spec = P.SearchSpec(text="ak bl", text_mode="bm25", limit=12, offset=5, **more)
+        assert spec.is_open() == (not more)
+        want, n = S.search(rows, spec, index=index).collect()
+        got, m = S.search(rows, spec, index=blocks).collect()
+        assert m == n and [r["id"] for r in got] == [r["id"] for r in sorted(want, key=lambda r: (-round(r["score"], 6), r["id"]))]
+
+
 def test_blocks_are_bounded(made):
     _, blocks = made
     sizes = blocks.blocks.groupBy("term", "block").agg(F.count("*").alias("rows"), F.max("n").alias("n")).agg(F.max("rows"), F.max("n")).first()

@@ -52,6 +52,16 @@ def test_rows_are_those_of_the_scan(table, index, mode):
         index.matching("data", columns=["id"])
 
 
+def test_search_with_the_index(table, index):
+    """G5 with a trigram index: page and total of the search by scan."""
+    from snapfacet.operators import search as S
+
+    for text, mode in (("data", "literal"), ("an_l%", "compat"), ("da", "literal"), ("CAFÉ", "auto"), ("zzz", "literal")):
+        spec = P.SearchSpec(text=text, text_columns=("title", "body"), text_mode=mode, in_lists={"id": (1, 3, 5, 7)}, order_by="id")
+        (got, n), (want, m) = (S.search(table, spec, substrings=s).collect() for s in (index, None))
+        assert (n, got) == (m, want)
+
+
 def test_short_terms_take_the_scan(index):
     assert index.candidates("da") is None and index.candidates("d_t%a", "compat") is None
     assert index.candidates("zzz").count() == 0
