@@ -240,6 +240,6 @@ def list_snapshots(spark: SparkSession, path: str, key: str = SNAPSHOT) -> DataF
 
 
 def list_files(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
-    """S12 by file: the distinct files under a folder (``_metadata.file_path``)."""
-    reader = spark.read.schema(RAW).json(path) if fmt == "json" else spark.read.parquet(path)
-    return reader.select(F.col("_metadata.file_path").alias("file")).distinct()
+    """S12 by file: the files of a format under a folder, by their names' ending; none is opened."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", f"*.{fmt}")
+    return files.load(path).select(F.col("path").alias("file"))

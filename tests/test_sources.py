@@ -40,3 +40,13 @@ def test_facet_lists_of_postings(spark):
     assert [r[0] for r in lists["agency"].collect()] == ["B", "DEPT OF X"]
     assert [r[0] for r in lists["job_categories"].collect()] == ["Green Jobs", "Health", "Legal Affairs"]
     assert [r[0] for r in lists["civil_service_title"].collect()] == ["CITY RESEARCH SCIENTIST"]
+
+
+def test_snapshots_with_other_columns_are_merged_on_request(spark, workdir):
+    """A snapshot written before a column was there; the union has it as null."""
+    old = spark.createDataFrame([("a",)], "id string").withColumn(SRC.SNAPSHOT, F.lit("2026-01-26"))
+    new = spark.createDataFrame([("b", 1)], "id string, extra int").withColumn(SRC.SNAPSHOT, F.lit("2026-01-27"))
+    for df in (old, new):
+        SRC.write_processed(df, workdir)
+    rows = SRC.read_processed(spark, workdir, merge_schema=True).select("id", "extra", SRC.SNAPSHOT).collect()
+    assert sorted(map(tuple, rows)) == [("a", None, "2026-01-26"), ("b", 1, "2026-01-27")]
