@@ -327,29 +327,38 @@ def op3_license_scan(spark, sf_dir: str) -> DataFrame:
     return out.select("row.doc_id", "row.path", "license", F.round("score", 4).alias("score"), "origin", "from_folder")
 
 
-def _oracle(threshold: float = 0.7) -> str:
-    """The same result in DuckDB: all lines against all templates, no key words."""
-    values = ", ".join(f"({i}, '{name}', '{text}')" for i, (name, text) in enumerate(TEMPLATES))
+def _oracle_kind(k: str, templates, bags: str) -> str:
+    """Tables of one kind of templates, held against the given bags: no key words, no test before the score."""
+    values = ", ".join(f"({i}, '{name}', '{text.replace(chr(39), chr(39) * 2)}')" for i, (name, text) in enumerate(templates))
     split = "list_filter(regexp_split_to_array(lower({0}), '[^a-z0-9]+'), lambda w: w <> '')"
     return f"""
-WITH templates(t, name, body) AS (VALUES {values}),
-  tw AS (SELECT t, name, w, count(*) AS n FROM (SELECT t, name, unnest({split.format('body')}) AS w FROM templates) GROUP BY t, name, w),
-  files AS (SELECT doc_id, coalesce(text, '') AS text,
+  templates{k}(t, name, body) AS (VALUES {values}),
+  tw{k} AS (SELECT t, name, w, count(*) AS n FROM (SELECT t, name, unnest({split.format('body')}) AS w FROM templates{k}) GROUP BY t, name, w),
+  df{k} AS (SELECT w, count(*) AS df FROM (SELECT DISTINCT doc_id, unnest({split.format('text')}) AS w FROM files) WHERE w IN (SELECT w FROM tw{k}) GROUP BY w),
+  idf{k} AS (SELECT w, ln((1 + n.n) / (1 + coalesce(df.df, 0))) + 1 AS idf FROM (SELECT DISTINCT w FROM tw{k}) LEFT JOIN df{k} AS df USING (w), n),
+  lines{k} AS (SELECT doc_id, unnest(list_distinct(list_append({bags}, text))) AS line FROM files),
+  bags{k} AS (SELECT doc_id, line, w, count(*) AS n FROM (SELECT doc_id, line, unnest({split.format('line')}) AS w FROM lines{k}) GROUP BY doc_id, line, w),
+  norms{k} AS (SELECT doc_id, line, sqrt(sum(CASE WHEN i.w IS NULL THEN (ln(1 + nn.n) + 1) * (ln(1 + nn.n) + 1) ELSE b.n * idf * b.n * idf END)) AS norm
+      FROM bags{k} b LEFT JOIN idf{k} i ON i.w = b.w, n AS nn GROUP BY doc_id, line),
+  tn{k} AS (SELECT t, sqrt(sum(n * idf * n * idf)) AS norm FROM tw{k} JOIN idf{k} USING (w) GROUP BY t),
+  dots{k} AS (SELECT b.doc_id, b.line, tw.t, tw.name, sum(b.n * tw.n * idf * idf) AS dot FROM bags{k} b JOIN tw{k} tw USING (w) JOIN idf{k} USING (w)
+      GROUP BY b.doc_id, b.line, tw.t, tw.name),
+  scored{k} AS (SELECT d.doc_id, d.name, round(dot / (norms.norm * tn.norm), 6) AS score FROM dots{k} d JOIN norms{k} norms USING (doc_id, line) JOIN tn{k} tn USING (t)),"""
+
+
+def _oracle(threshold: float = 0.7) -> str:
+    """The same result in DuckDB: all lines against all notices, all blocks against all headers and bodies."""
+    lines = _oracle_kind("1", TEMPLATES, "string_split(text, chr(10))")
+    blocks = _oracle_kind("2", TEXTS, f"regexp_split_to_array(text, '{BETWEEN_BLOCKS}')")
+    return f"""
+WITH files AS (SELECT doc_id, coalesce(text, '') AS text,
       coalesce(source, 'none') || '/' || CAST(doc_id // 1000 AS VARCHAR) AS above,
       coalesce(source, 'none') || '/' || CAST(doc_id // 1000 AS VARCHAR) || '/' || CAST(doc_id // 100 AS VARCHAR) AS below FROM documents),
   paths AS (SELECT doc_id, text, CASE WHEN doc_id % 1000 = 0 THEN above || '/LICENSE' WHEN doc_id % 50 = 0 THEN below || '/COPYING'
       ELSE below || '/' || CAST(doc_id AS VARCHAR) || '.txt' END AS path,
       CASE WHEN doc_id % 1000 = 0 THEN above ELSE below END AS folder FROM files),
-  n AS (SELECT count(*) AS n FROM documents),
-  df AS (SELECT w, count(*) AS df FROM (SELECT DISTINCT doc_id, unnest({split.format('text')}) AS w FROM files) WHERE w IN (SELECT w FROM tw) GROUP BY w),
-  idf AS (SELECT w, ln((1 + n.n) / (1 + coalesce(df.df, 0))) + 1 AS idf FROM (SELECT DISTINCT w FROM tw) LEFT JOIN df USING (w), n),
-  lines AS (SELECT doc_id, unnest(list_distinct(list_append(string_split(text, chr(10)), text))) AS line FROM files),
-  bags AS (SELECT doc_id, line, w, count(*) AS n FROM (SELECT doc_id, line, unnest({split.format('line')}) AS w FROM lines) GROUP BY doc_id, line, w),
-  norms AS (SELECT doc_id, line, sqrt(sum(CASE WHEN idf.w IS NULL THEN (ln(1 + nn.n) + 1) * (ln(1 + nn.n) + 1) ELSE bags.n * idf * bags.n * idf END)) AS norm
-      FROM bags LEFT JOIN idf ON idf.w = bags.w, n AS nn GROUP BY doc_id, line),
-  tn AS (SELECT t, sqrt(sum(n * idf * n * idf)) AS norm FROM tw JOIN idf USING (w) GROUP BY t),
-  dots AS (SELECT b.doc_id, b.line, tw.t, tw.name, sum(b.n * tw.n * idf * idf) AS dot FROM bags b JOIN tw USING (w) JOIN idf USING (w) GROUP BY b.doc_id, b.line, tw.t, tw.name),
-  scored AS (SELECT d.doc_id, d.name, round(dot / (norms.norm * tn.norm), 6) AS score FROM dots d JOIN norms USING (doc_id, line) JOIN tn USING (t)),
+  n AS (SELECT count(*) AS n FROM documents),{lines}{blocks}
+  scored AS (SELECT * FROM scored1 UNION ALL SELECT * FROM scored2),
   own AS (SELECT doc_id, name, score FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, name DESC) AS r FROM scored) WHERE r = 1 AND score >= {threshold}),
   given AS (SELECT folder, name, score FROM (SELECT folder, name, score, row_number() OVER (PARTITION BY folder ORDER BY score DESC, name DESC) AS r
       FROM paths JOIN own USING (doc_id) WHERE doc_id % 50 = 0) WHERE r = 1),

@@ -91,6 +91,29 @@ def test_wrapped_headers_and_licence_files(spark):
     assert len(out) == len(files) and [tuple(r) for r in out if r["want"] != r["license"]] == []
 
 
+def test_headers_and_bodies_are_those_of_the_sql(spark, tmp_path, monkeypatch):
+    """Documents that hold wrapped headers, titles and bodies: the query and its SQL on data that need them."""
+    import textwrap
+
+    import duckdb
+
+    rows, code = [], "\n".join(f"value{i} = compute{i}(value{i + 1})" for i in range(30))
+    for i, (_, text) in enumerate(L.TEXTS * 3):
+        wrapped = textwrap.wrap(" ".join(text.split()), 50 + i % 30)
+        kept = wrapped if i % 3 == 0 else [x for j, x in enumerate(wrapped) if j % (2 + i % 5)]  # some with lines left out
+        mark = ("", "# ", " * ")[i % 3]
+        rows.append((25 * i, f"intro {i}\n\n" * (i % 2) + "\n".join(mark + x for x in kept) + f"\n{mark}\n{code if i % 4 else ''}", f"src{i % 2}"))
+    rows += [(25 * len(rows) + i, text, None) for i, (_, text) in enumerate(L.TEMPLATES)] + [(7, None, "src0"), (8, "", "src1"), (9, code, None)]
+    path = f"{tmp_path}/sf"
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{path}/documents.parquet/*.parquet'")
+    got = sorted(map(str, (tuple(r) for r in L.op3_license_scan(spark, path).collect())))
+    assert got == sorted(map(str, con.execute(L.OP3_SQL).fetchall()))
+    found = {r[2] for r in con.execute(L.OP3_SQL).fetchall()}
+    assert {"Apache-2.0", "BSD-3-Clause", "ISC", "MPL-2.0", "GPL-3.0", None} <= found
+
+
 def test_canonical_urls(spark):
     same = ["http://www.Example.com/A/?utm_source=x#f", "https://example.com:443/A", "example.com/A/", "HTTP://m.example.com/A?ref=1"]
     other = ["http://example.com/a", "http://example.com/A?b=1", "http://example.com/A?a=2&b=1"]
