@@ -20,6 +20,8 @@ BASE_CONF = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # The driver keeps a description of every plan and of each of its adaptive changes; those of long literals are megabytes.
+    "spark.sql.maxPlanStringLength": "200000",
     "spark.ui.enabled": "false",
 }
 
