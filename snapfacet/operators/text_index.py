@@ -84,6 +84,16 @@ def english_stop_words() -> list[str]:
     return [w for w in StopWordsRemover.loadDefaultStopWords("english") if re.fullmatch("[a-z]+", w)]
 
 
+def read_stop_words(spark: SparkSession, path: str, most: int = 10_000) -> list[str]:
+    """A list of one's own, a word or line of words per line of text files, folded as the index folds texts. A list is
+    small by nature (it is a filter on every token): one of more than ``most`` words is an error."""
+    lines = spark.read.text(path).select(strip_accents(F.lower("value")).alias("t"))
+    words = lines.select(F.explode(F.split("t", TOKEN_SPLIT)).alias("w")).where("w <> ''").distinct().limit(most + 1).collect()
+    if len(words) > most:
+        raise ValueError(f"more than {most} stop words")
+    return sorted(r["w"] for r in words)
+
+
 def _stem_batch(words: pd.Series) -> pd.Series:
     from ..functions.stemmer import stem
 

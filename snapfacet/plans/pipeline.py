@@ -35,14 +35,15 @@ def index_path(root: str, snapshot: str) -> str:
     return f"{root}/index/{SRC.SNAPSHOT}={snapshot}"
 
 
-def build_snapshot_index(spark: SparkSession, root: str, snapshot: str, stemmer: bool = True, stop_words: bool = True):
+def build_snapshot_index(spark: SparkSession, root: str, snapshot: str, stemmer: bool = True, stop_words: bool | list = True):
     """The full-text index of one processed snapshot, built in the pipeline (the
-    reference builds it in the browser on every page load) and stored next to the data."""
+    reference builds it in the browser on every page load) and stored next to the data. ``stop_words``: True for Spark's
+    English list, or a list (``text_index.read_stop_words``)."""
     from ..operators import text_index as X
     from ..schema import INDEX_COLUMNS
 
     rows = spark.read.parquet(f"{root}/processed").where(F.col(SRC.SNAPSHOT) == F.lit(snapshot))
-    sw = X.english_stop_words() if stop_words else None
+    sw = X.english_stop_words() if stop_words is True else stop_words or None
     return X.build_text_index(rows, "id", INDEX_COLUMNS, sw, stemmer).save(index_path(root, snapshot))
 
 

@@ -140,3 +140,17 @@ def test_postings_plan_has_no_inferred_size_filter(spark):
     d = spark.createDataFrame([(1, "b a b")], "id long, text string")
     plan = X.postings_frame(d, "id", ["text"])._jdf.queryExecution().optimizedPlan().toString()
     assert "Filter (size(" not in plan
+
+
+def test_stop_words_of_ones_own(spark, workdir):
+    import os
+
+    os.makedirs(f"{workdir}/words")
+    with open(f"{workdir}/words/list.txt", "w", encoding="utf-8") as f:
+        f.write("The\nOF and, café\n\n  THE\n")
+    words = X.read_stop_words(spark, f"{workdir}/words")
+    assert words == ["and", "cafe", "of", "the"]
+    idx = X.build_text_index(df(spark), "id", COLS, words)
+    assert X.bm25_scores(idx, "the CAFÉ of").count() == 0 and X.bm25_scores(idx, "the bridges").count() == 1
+    with pytest.raises(ValueError):
+        X.read_stop_words(spark, f"{workdir}/words", most=3)
