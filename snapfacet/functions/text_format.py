@@ -145,6 +145,8 @@ def with_structured_text(df: DataFrame, source: str, out: str) -> DataFrame:
 def text_items(df: DataFrame, id_col: str, source: str) -> DataFrame:
     """P18, long form: ``id_col, section_no, section, item_no, kind, text``, one row per piece
     (numbers from 0; the part before the first header has a null section)."""
-    sections = _marked(df, [id_col], source).select(id_col, F.posexplode("__s").alias("section_no", "s"))
-    items = sections.select(id_col, "section_no", F.col("s.title").alias("section"), F.posexplode(_pieces(F.col("s.body"))).alias("item_no", "p"))
+    # outer explodes: for a plain one Spark infers a filter on the array's size, and makes the array twice
+    sections = _marked(df, [id_col], source).select(id_col, F.posexplode_outer("__s").alias("section_no", "s")).where("s IS NOT NULL")
+    items = sections.select(id_col, "section_no", F.col("s.title").alias("section"), F.posexplode_outer(_pieces(F.col("s.body"))).alias("item_no", "p"))
+    items = items.where("p IS NOT NULL")
     return items.select(id_col, "section_no", "section", "item_no", F.col("p.kind").alias("kind"), F.col("p.text").alias("text"))
