@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch
-from .text_index import B, K1, TextIndex, analyze_query
+from .text_index import B, K1, ROWS_PER_FILE, TextIndex, analyze_query
 
 BLOCK_DOCS = 1024
 #: Digits that scores are rounded to, and half a unit of the last one.
@@ -146,16 +146,19 @@ def build_block_index(index: TextIndex, path: str | None = None, block_docs: int
     path = path or scratch(spark, "blocks")
     key = F.col(index.id_col)
     posted = index.postings.select("term", key.alias("id"), "tf", "dl").withColumn("class", _length_class(F.col("dl")))
-    # documents per length class: some hundred rows at most, as a length has 63 bits
-    sizes = posted.select("id", "dl", "class").distinct().groupBy("class").agg(F.count(F.lit(1)).alias("docs")).collect()
+    # documents per length class: some hundred rows at most, as a length has 63 bits. The counts of a document's terms add up to
+    # its length, so every document adds up to one: none has to be told from the others
+    docs = F.sum(F.col("tf") / F.greatest(F.col("dl"), F.lit(1)))
+    sizes = posted.groupBy("class").agg(F.round(docs).alias("docs"), F.count(F.lit(1)).alias("rows")).collect()
     parts = {r["class"]: max(1, math.ceil(r["docs"] / block_docs)) for r in sizes}
     many = F.element_at(F.create_map(*(F.lit(x).cast("long") for kv in parts.items() for x in kv)), F.col("class")) if parts else F.lit(1)
     block = F.col("class") * _CLASS + F.pmod(F.xxhash64("id"), many)
-    grouped = posted.withColumn("block", block).groupBy("term", "block")
+    # a block's postings meet in the task that writes it: there is one exchange, sized by the postings
+    files = max(1, math.ceil(sum(r["rows"] for r in sizes) / ROWS_PER_FILE))
+    grouped = posted.withColumn("block", block).repartitionByRange(files, "term", "block").groupBy("term", "block")
     best = F.max(_part(F.col("tf"), F.col("dl"), index.avgdl, k1, b))
     blocks = grouped.agg(F.count(F.lit(1)).alias("n"), best.alias("best"), F.collect_list(F.struct("id", "tf", "dl")).alias("postings"))
-    files = max(1, math.ceil(sum(parts.values()) * block_docs / 5_000_000))
-    blocks = blocks.repartitionByRange(files, "term", "block").sortWithinPartitions("term", "block")
+    blocks = blocks.sortWithinPartitions("term", "block")
     blocks.write.mode("overwrite").parquet(f"{path}/blocks")
     index.terms.orderBy("term").write.mode("overwrite").parquet(f"{path}/terms")
     row = [(index.n_docs, float(index.avgdl), index.id_col, list(index.stop_words), index.stemmer, float(k1), float(b))]

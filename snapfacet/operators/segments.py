@@ -35,9 +35,8 @@ from pyspark.sql import functions as F
 
 from ..session import scratch
 from ..sources import versions as V
-from .text_index import TextIndex, counted_documents, exploded_counts
+from .text_index import ROWS_PER_FILE, TextIndex, counted_documents, exploded_counts
 
-ROWS_PER_FILE = 20_000_000
 DOCS, POSTINGS, TOMBSTONES = "docs", "postings", "tombstones"
 
 

@@ -43,6 +43,8 @@ from ..session import scratch
 K1 = 1.2
 B = 0.75
 TOKEN_SPLIT = "[^a-z]+"
+#: Postings that one task sorts and writes: some 200 MB of its memory, whatever the size of the table.
+ROWS_PER_FILE = 2_000_000
 
 
 def _accent_table() -> tuple[str, str]:
@@ -68,8 +70,9 @@ def strip_accents(c: Column) -> Column:
 
 def normalized_text(columns: Sequence[str]) -> Column:
     """X2 (before splitting): joined, lower-cased, accents stripped."""
-    joined = F.concat_ws(" ", *[col(c) for c in columns])
-    return strip_accents(F.lower(joined))
+    joined = F.lower(F.concat_ws(" ", *[col(c) for c in columns]))
+    # looking up every character is half of the work on a text; one of single-byte characters has no accents
+    return F.when(F.octet_length(joined) == F.length(joined), joined).otherwise(strip_accents(joined))
 
 
 def token_array(columns: Sequence[str]) -> Column:
@@ -139,15 +142,19 @@ class TextIndex:
     stop_words: tuple = ()
     stemmer: bool = False
     n_postings: int | None = None
+    unmerged: DataFrame | None = None  # postings in which stems of different words of a document are rows of their own
 
-    def save(self, path: str, rows_per_file: int = 20_000_000) -> "TextIndex":
+    def save(self, path: str, rows_per_file: int = ROWS_PER_FILE) -> "TextIndex":
         """Write the three tables. The number of postings (before stemming, where words of a document may fall together) decides into how many
         files of ``rows_per_file`` they are sorted by (term, id). Not by term alone: a term held by a third of
-        all documents is then spread over many writer tasks. The terms are counted from the stored postings, and
-        stored in order."""
+        all documents is then spread over many writer tasks. Stems of a document meet in the task that writes them: they need no
+        exchange of their own. The terms are counted from the stored postings, and stored in order."""
         spark = self.postings.sparkSession
         rows = self.postings.count() if self.n_postings is None else self.n_postings
-        spread = self.postings.repartitionByRange(max(1, math.ceil(rows / rows_per_file)), "term", self.id_col)
+        loose = self.postings if self.unmerged is None else self.unmerged
+        spread = loose.repartitionByRange(max(1, math.ceil(rows / rows_per_file)), "term", self.id_col)
+        if self.unmerged is not None:
+            spread = merged_stems(spread, self.id_col)
         spread.sortWithinPartitions("term", self.id_col).write.mode("overwrite").parquet(f"{path}/postings")
         stored = spark.read.parquet(f"{path}/postings")
         terms = stored.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
@@ -233,16 +240,20 @@ def exploded_counts(docs: DataFrame, id_col: str, stemmer: bool = False) -> Data
         .select(F.col("p.term").alias("term"), id_col, F.col("p.tf").alias("tf"), "dl")
     )
     if stemmer:
-        vocab = post.select("term").distinct()
-        stems = vocab.select("term", porter_stem(F.col("term")).alias("stem"))
-        post = (
-            post.join(stems, "term")
-            .groupBy(F.col("stem").alias("term"), id_col, "dl")
-            .agg(F.sum("tf").alias("tf"))
-        )
+        post = merged_stems(stemmed(post, id_col), id_col)
     return post.select("term", id_col, "tf", "dl")
 
 
+def stemmed(post: DataFrame, id_col: str) -> DataFrame:
+    """(term, id, tf, dl) with the stem of each word in its place; a document may have a stem more than once."""
+    stems = post.select("term").distinct().select("term", porter_stem(F.col("term")).alias("stem"))
+    return post.join(stems, "term").select(F.col("stem").alias("term"), id_col, "tf", "dl")
+
+
+def merged_stems(post: DataFrame, id_col: str) -> DataFrame:
+    return post.groupBy("term", id_col, "dl").agg(F.sum("tf").alias("tf")).select("term", id_col, "tf", "dl")
+
+
 def build_text_index(
     df: DataFrame,
     id_col: str,
@@ -259,10 +270,13 @@ def build_text_index(
     spark, staged = df.sparkSession, scratch(df.sparkSession, "counted")
     counted_documents(df, id_col, columns, sw).write.parquet(staged)
     docs = spark.read.parquet(staged)
-    post = exploded_counts(docs, id_col, stemmer)
+    loose = exploded_counts(docs, id_col)
+    if stemmer:
+        loose = stemmed(loose, id_col)
+    post = merged_stems(loose, id_col) if stemmer else loose
     terms = post.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     stats = docs.agg(F.count(F.lit(1)).alias("n"), F.avg("dl").alias("avgdl"), F.coalesce(F.sum(F.size("c")), F.lit(0)).alias("p")).first()
-    return TextIndex(post, terms, int(stats["n"]), float(stats["avgdl"] or 0.0), id_col, sw, stemmer, int(stats["p"]))
+    return TextIndex(post, terms, int(stats["n"]), float(stats["avgdl"] or 0.0), id_col, sw, stemmer, int(stats["p"]), loose if stemmer else None)
 
 
 def bm25_scores(index: TextIndex, query: str, k1: float = K1, b: float = B, score_col: str = "score") -> DataFrame:

@@ -118,3 +118,23 @@ def test_blocks_are_bounded(made):
     _, blocks = made
     sizes = blocks.blocks.groupBy("term", "block").agg(F.count("*").alias("rows"), F.max("n").alias("n")).agg(F.max("rows"), F.max("n")).first()
     assert sizes[0] == 1 and sizes[1] <= 40
+
+
+def test_blocks_are_written_by_as_many_tasks_as_their_postings_need(spark, made, monkeypatch):
+    """Not by one task for five million documents: a task sorts ``ROWS_PER_FILE`` postings, also of one length class."""
+    index, whole = made
+    monkeypatch.setattr(K, "ROWS_PER_FILE", 500)
+    cut = K.build_block_index(index, block_docs=16)
+    held = cut.blocks.groupBy(F.col("_metadata.file_path").alias("f")).agg(F.sum("n").alias("n")).collect()
+    rows = index.postings.count()
+    assert sum(r["n"] for r in held) == rows and len(held) > rows / 1000
+    assert max(r["n"] for r in held) < 2000
+    assert sorted(map(tuple, cut.blocks.select("term", "block", "n").collect())) == sorted(map(tuple, whole.blocks.select("term", "block", "n").collect()))
+    assert [tuple(r) for r in cut.top("ak bk", 10).collect()] == everything(index, "ak bk", 10)
+
+
+def test_documents_are_counted_without_telling_them_apart(spark):
+    """Rows of one id are rows of a block like any other: 64 of one length in blocks of 16 are four blocks and no distinct."""
+    index = X.build_text_index(spark.createDataFrame([(i, "ak bk ak") for i in range(64)], "id long, text string"), "id", ["text"])
+    blocks = K.build_block_index(index, block_docs=16).blocks.where("term = 'ak'").collect()
+    assert len(blocks) == 4 and sum(r["n"] for r in blocks) == 64

@@ -154,3 +154,30 @@ def test_stop_words_of_ones_own(spark, workdir):
     assert X.bm25_scores(idx, "the CAFÉ of").count() == 0 and X.bm25_scores(idx, "the bridges").count() == 1
     with pytest.raises(ValueError):
         X.read_stop_words(spark, f"{workdir}/words", most=3)
+
+
+@pytest.mark.parametrize("stemmer", [False, True])
+def test_a_task_writes_a_bounded_number_of_postings(spark, workdir, stemmer):
+    words = [f"{a}{b}" for a in "abcdefgh" for b in ("lls", "ll", "lling")]
+    rows = [(i, " ".join(words[(i * 7 + j) % len(words)] for j in range(12))) for i in range(200)]
+    built = X.build_text_index(spark.createDataFrame(rows, "id long, text string"), "id", ["text"], stemmer=stemmer)
+    kept = built.save(f"{workdir}/idx", rows_per_file=100)
+    sizes = [r["count"] for r in kept.postings.groupBy("_metadata.file_path").count().collect()]
+    assert len(sizes) > 10 and max(sizes) < 400
+    assert sorted(map(tuple, kept.postings.collect())) == sorted(map(tuple, built.postings.collect()))
+    assert X.ROWS_PER_FILE <= 2_000_000  # what a task of four in 10 GB sorts without spilling
+
+
+def test_stems_meet_in_the_task_that_writes_them(spark):
+    built = X.build_text_index(df(spark), "id", COLS, stemmer=True)
+    spread = X.merged_stems(built.unmerged.repartitionByRange(3, "term", "id"), "id")
+    plan = spread._jdf.queryExecution().executedPlan().toString()
+    above = plan[: plan.index("Exchange rangepartitioning")]
+    assert "HashAggregate" in above and "Exchange" not in above  # the one exchange after the join is that of the write
+    assert sorted(map(tuple, spread.collect())) == sorted(map(tuple, built.postings.collect()))
+
+
+def test_texts_with_and_without_accents_fold_alike(spark):
+    rows = [(1, "Élan CAFÉ"), (2, "elan cafe"), (3, None), (4, "日本 Žena"), (5, "")]
+    got = spark.createDataFrame(rows, "id long, text string").select("id", X.normalized_text(["text"]).alias("t")).collect()
+    assert {r["id"]: r["t"] for r in got} == {1: "elan cafe", 2: "elan cafe", 3: "", 4: "日本 zena", 5: ""}
