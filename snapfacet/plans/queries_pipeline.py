@@ -165,7 +165,8 @@ def landed_records(spark, sf_dir):
     """The records of pages that overlap (every page is landed twice), each with half of its copies."""
     path = f"{scratch(spark, 'pages')}/landed"
     raw = raw_frame(spark, sf_dir).withColumn("page", F.floor(F.col("job_id").cast("long") / 1000))
-    raw.union(raw).repartition("page").write.partitionBy("page").json(path)
+    # a page is a small file that one task reads: compressed, it is a fraction of its text
+    raw.union(raw).repartition("page").write.partitionBy("page").option("compression", "snappy").json(path)
     records, _ = SRC.read_landed_pages(spark, path, page_size=2000)
     return SRC.duplicate_records(records).select("job_id", "agency", "process_date", (F.col("copies") / 2).cast("int").alias("copies"))
 

@@ -13,7 +13,7 @@ from snapfacet.schema import RAW
 from snapfacet.sources import snapshots as SRC
 from snapfacet.streaming import intake as R
 
-from .conftest import raw_posting, write_json_lines
+from .conftest import SF_SMALL, raw_posting, write_json_lines
 
 
 def land_snapshot(root, day, records):
@@ -205,3 +205,17 @@ def test_the_last_page_is_the_one_with_the_largest_number(spark, workdir):
     _, report = SRC.read_landed_pages(spark, f"{workdir}/pages", page_size=2)
     rows = {r["page"]: r for r in report.collect()}
     assert rows[10]["last"] and not rows[9]["last"] and all(r["ok"] for r in rows.values())
+
+
+def test_pages_landed_twice_are_compressed_files(spark, workdir, monkeypatch):
+    from snapfacet.plans import queries_pipeline as Q
+
+    monkeypatch.setattr(Q, "scratch", lambda *_: workdir)
+    got = Q.landed_records(spark, SF_SMALL).collect()
+    orders = spark.read.parquet(f"{SF_SMALL}/orders.parquet").join(spark.read.parquet(f"{SF_SMALL}/customer.parquet"), F.expr("o_custkey = c_custkey"))
+    assert sorted(r["job_id"] for r in got) == sorted(str(r[0]) for r in orders.select("o_orderkey").collect())
+    assert {r["copies"] for r in got} == {1}
+    landed = [r["path"] for r in spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json*").load(f"{workdir}/landed").select("path").collect()]
+    assert landed and all(p.endswith(".json.snappy") for p in landed)
+    records, report = SRC.read_landed_pages(spark, f"{workdir}/landed", page_size=2000)
+    assert records.count() == 2 * len(got) and report.select("page").distinct().count() == len(landed)  # a page is one file
