@@ -136,3 +136,46 @@ def test_pipeline_keeps_the_index(spark, workdir):
         spec = P.SearchSpec.postings(search=term, use_index=True)
         rows, total = S.search(latest, spec, index=index.index(), id_col="content_id").collect()
         assert [r["job_id"] for r in rows] == found and total == len(found)
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_neither_texts_nor_postings_move_for_the_dead(spark, workdir, monkeypatch):
+    """Where joins are not broadcast by size: texts of a snapshot without repeated ids are not shuffled, postings lose their
+    dead documents in place, and a new segment's postings are sorted where they are made."""
+    texts, stored = [], []
+    monkeypatch.setattr(G, "counted_documents", lambda df, *args: (texts.append(plan(df)), X.counted_documents(df, *args))[1])
+    store = G.SegmentedIndex._store
+    monkeypatch.setattr(G.SegmentedIndex, "_store", lambda self, df, name: (stored.append((name, plan(df))), store(self, df, name))[1])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        index = G.SegmentedIndex(spark, f"{workdir}/idx", COLS)
+        index.add_snapshot(frame(spark, A), "s1")
+        index.add_snapshot(frame(spark, B), "s2")
+        terms = plan(index.index().terms)
+        index.merge()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Exchange" not in texts[0] and texts[1].count("SortMergeJoin") == 2  # ids to ids, and the new ids to their texts
+    assert "SortMergeJoin" not in terms and terms.count("Exchange hashpartitioning") == 1
+    postings = {name: p for name, p in stored if name.startswith(G.POSTINGS)}
+    assert sum("Exchange" in p for p in postings.values()) == 1  # the merge's, by range
+    assert not any("SortMergeJoin" in p for p in postings.values())
+    same(index.index(), at_once(spark, B))
+
+
+def test_many_documents_by_number(spark, workdir, monkeypatch):
+    """Numbers of several files and rows of bits, the highest bit of a row too; bits that are broadcast, and bits that are not."""
+    rows = lambda keep: [(f"{i:03d}", f"word{chr(97 + i % 26)}", f"data item{chr(97 + i % 7)}") for i in range(300) if keep(i)]
+    index = G.SegmentedIndex(spark, f"{workdir}/idx", COLS)
+    for n, keep in enumerate((lambda i: i < 250, lambda i: i % 3)):
+        index.add_snapshot(frame(spark, rows(keep)).repartition(2, "content_id"), f"s{n}")
+    want = sorted(map(tuple, at_once(spark, rows(keep)).postings.collect()))
+    for most in (0, 10):
+        monkeypatch.setattr(G, "BROADCAST_ROWS", most)
+        assert sorted(map(tuple, index.index().postings.collect())) == want
+    assert sum(r["df"] for r in index.index().terms.collect()) == len(want)
+    index.merge()
+    same(index.index(), at_once(spark, rows(keep)))
