@@ -12,6 +12,9 @@ rows that hold it. A search
 
 Terms, or with wildcards pieces of terms, of fewer than three characters have no trigram: they take the scan.
 
+Building: a task takes the trigrams of its own texts, some million characters at a time, and hands on one list for each
+(trigram, part) of them; what is shuffled and grouped are these lists, not a row for each trigram of each text.
+
 Layout (Parquet):
 
 * ``rows``: all columns of the table and ``row``, a number that is fixed by the write. Rows are numbered
@@ -29,26 +32,74 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
-from typing import Sequence
+from typing import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch
+from ..session import scratch, ship_package
 from .predicates import substring_any
 
 #: Rows of a part (a power of two), trigrams of a term that are intersected, ranges in a scan's filter.
 PART_BITS, RAREST, RANGES = 12, 4, 32
 #: At most so many rows found are listed on the driver for the scan's filter; more are joined only.
 LISTED = 10_000
-#: Every run of three characters, overlapping ones too.
-GRAM = "(?s)(?=(...))"
-
-
-def trigrams(columns: Sequence[str]) -> Column:
-    """The distinct trigrams of the lower-cased columns (none goes over from one column to another)."""
-    each = [F.regexp_extract_all(F.coalesce(F.lower(F.col(c).cast("string")), F.lit("")), F.lit(GRAM), F.lit(1)) for c in columns]
-    return F.array_distinct(F.concat(*each))
+#: Characters whose trigrams are sorted at a time: some 150 MB of a task's memory.
+CHARS = 4_000_000
+
+
+def _as_strings(codes: np.ndarray) -> pa.Array:
+    """Strings of three characters from their code points (n x 3)."""
+    sizes = 1 + (codes > 0x7F).astype(np.int32) + (codes > 0x7FF) + (codes > 0xFFFF)
+    offsets = np.concatenate([[0], np.cumsum(sizes.sum(axis=1))]).astype(np.int32)
+    text = codes.astype("<u4").tobytes().decode("utf-32-le").encode()
+    return pa.StringArray.from_buffers(len(codes), pa.py_buffer(offsets), pa.py_buffer(text))
+
+
+def _lists(rows: np.ndarray, texts: list[tuple]) -> Iterator[pa.RecordBatch]:
+    """(gram, part, rows): the trigrams of some rows' texts (a tuple of columns a row), each with the rows that hold it."""
+    pieces = [t or "" for row in texts for t in row]
+    points = np.frombuffer("".join(pieces).encode("utf-32-le"), "<u4")
+    piece = np.repeat(np.arange(len(pieces)), np.fromiter(map(len, pieces), np.int64, len(pieces)))
+    inside = np.flatnonzero(piece[:-2] == piece[2:])
+    if not len(inside):
+        return
+    seen = np.zeros(int(points.max()) + 1, bool)
+    seen[points] = True
+    alphabet = np.flatnonzero(seen)
+    size, many = len(alphabet), len(texts)
+    if size**3 * many >= 1 << 63:  # a key below would not fit (one row's always does)
+        half = many // 2
+        yield from _lists(rows[:half], texts[:half])
+        yield from _lists(rows[half:], texts[half:])
+        return
+    letter = (np.cumsum(seen) - 1)[points]
+    gram = (letter[inside] * size + letter[inside + 1]) * size + letter[inside + 2]
+    key = np.sort(gram * many + piece[inside] // len(texts[0]))
+    key = key[np.concatenate([[True], key[1:] != key[:-1]])]
+    gram, held = key // many, rows[key % many]
+    part = held >> PART_BITS
+    starts = np.flatnonzero(np.concatenate([[True], (gram[1:] != gram[:-1]) | (part[1:] != part[:-1])]))
+    first = gram[starts]
+    points = alphabet[np.stack([first // (size * size), first // size % size, first % size], axis=1)]
+    lists = pa.ListArray.from_arrays(pa.array(np.append(starts, len(held)), pa.int32()), pa.array(held))
+    yield pa.RecordBatch.from_arrays([_as_strings(points), pa.array(part[starts]), lists], ["gram", "part", "rows"])
+
+
+def gram_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(gram, part, rows) of batches of a row number and lower-cased texts."""
+    for batch in batches:
+        rows, *columns = batch.columns
+        rows, texts = rows.to_numpy(), list(zip(*(c.to_pylist() for c in columns)))
+        ends = np.cumsum([sum(len(t) for t in row if t) for row in texts])
+        start = 0
+        while start < len(texts):
+            done = ends[start - 1] if start else 0
+            end = max(start + 1, int(np.searchsorted(ends, done + CHARS, "right")))
+            yield from _lists(rows[start:end], texts[start:end])
+            start = end
 
 
 def term_trigrams(spark: SparkSession, term: str, mode: str = "literal") -> list[str]:
@@ -131,10 +182,12 @@ def build_trigram_index(df: DataFrame, columns: Sequence[str], path: str | None
     # a number's low 33 bits count the rows of a file, so 4096 neighbours share a part
     df.withColumn("row", F.monotonically_increasing_id()).write.mode("overwrite").parquet(f"{path}/rows")
     stored = spark.read.parquet(f"{path}/rows")
-    # explode_outer: for a plain explode Spark infers a filter on the array's size, and would make the array twice
-    pairs = stored.select("row", F.explode_outer(trigrams(columns)).alias("gram")).where(F.col("gram").isNotNull())
-    lists = pairs.groupBy("gram", F.shiftright("row", PART_BITS).alias("part"))
-    lists = lists.agg(F.count(F.lit(1)).cast("int").alias("n"), F.sort_array(F.collect_list("row")).alias("rows"))
+    ship_package(spark)
+    texts = [F.lower(F.col(c).cast("string")).alias(f"c{i}") for i, c in enumerate(columns)]
+    some = stored.select("row", *texts).mapInArrow(gram_lists, "gram string, part long, rows array<long>")
+    # few lists of a trigram meet in a part: those of the same file that were sorted apart
+    lists = some.groupBy("gram", "part").agg(F.flatten(F.collect_list("rows")).alias("rows"))
+    lists = lists.select("gram", "part", F.size("rows").alias("n"), F.sort_array("rows").alias("rows"))
     lists = lists.repartitionByRange("gram", "part").sortWithinPartitions("gram", "part")
     lists.write.mode("overwrite").parquet(f"{path}/lists")
     grams = spark.read.parquet(f"{path}/lists").groupBy("gram").agg(F.sum("n").cast("long").alias("n"))

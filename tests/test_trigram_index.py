@@ -112,6 +112,55 @@ def scanned(df):
     return total
 
 
+def brute(texts):
+    """gram -> numbers of the rows (tuples of texts) that hold it."""
+    held = {}
+    for i, row in enumerate(texts):
+        for t in row:
+            for k in range(len(t or "") - 2):
+                held.setdefault(t[k : k + 3], set()).add(i)
+    return held
+
+
+def test_lists_hold_whole_characters(spark):
+    """Every trigram of every column with its rows, none of half a character."""
+    texts = [("aaaa", "😀😀b😀"), (None, ""), ("ab", "c"), ("日本語日本", None), ("x\0\0\0", "aaa")]
+    index = G.build_trigram_index(spark.createDataFrame(texts, "a string, b string").coalesce(1), ["a", "b"])
+    assert index.lists.dtypes == [("gram", "string"), ("part", "bigint"), ("n", "int"), ("rows", "array<bigint>")]
+    lists = {r["gram"]: r["rows"] for r in index.lists.collect()}
+    assert lists == {g: sorted(rows) for g, rows in brute(texts).items()}
+    assert {r["gram"]: r["n"] for r in index.grams.collect()} == {g: len(rows) for g, rows in lists.items()}
+
+
+def test_a_task_hands_on_one_list_of_a_trigram(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    rng = random.Random(5)
+    texts = [("".join(rng.choices("abc", k=rng.randrange(30))), rng.choice(["", None, "cab"])) for _ in range(500)]
+    batch = pa.RecordBatch.from_arrays([pa.array(np.arange(500)), *(pa.array(c, pa.string()) for c in zip(*texts))], ["row", "c0", "c1"])
+    for chars, apart in ((10**6, 1), (700, 30), (1, 500)):
+        monkeypatch.setattr(G, "CHARS", chars)
+        found, most = {}, {}
+        for out in G.gram_lists([batch]):
+            for r in out.to_pylist():
+                found.setdefault(r["gram"], set()).update(r["rows"])
+                most[r["gram"]] = most.get(r["gram"], 0) + 1
+        assert found == brute(texts) and max(most.values()) <= apart
+
+
+def test_very_many_characters():
+    import numpy as np
+
+    every = "".join(map(chr, [*range(1, 0xD800), *range(0xE000, 0x1E000)]))
+    texts = [(every,)] + [("abc",)] * 7000
+    found = {}
+    for out in G._lists(np.arange(len(texts)), texts):
+        for r in out.to_pylist():
+            found.setdefault(r["gram"], set()).update(r["rows"])
+    assert found == brute(texts)
+
+
 def test_ranges():
     assert G.ranges([]) == [] and G.ranges([5]) == [(5, 5)]
     assert G.ranges([1, 2, 3, 10, 11, 50], 2) == [(1, 11), (50, 50)]
